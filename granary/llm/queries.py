@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .chat import chat_format
+from .minhash import near_duplicates
 from .mixing import mixing
 from .quality import quality
 from .toxicity import toxicity
@@ -22,6 +23,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_near_dedup": op2_near_dedup,
         "op4_token_output": op4_token_output,
         "op5_chat_format": op5_chat_format,
         "op6_mixing": op6_mixing,
