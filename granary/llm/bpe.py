@@ -45,7 +45,8 @@ def _category_class(kind: str) -> str:
 
 
 LETTER, NUMBER = _category_class("L"), _category_class("N")
-PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{_SPACE}{LETTER}{NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+# the contractions begin with a mark, so words, by far the most pieces, may be tried before them
+PIECES = re.compile(f" ?[{LETTER}]+| ?[{NUMBER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{_SPACE}{LETTER}{NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 def _byte_letters() -> list[str]:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import _OTHER_SCRIPT, _SPACE, LETTER, NUMBER
+from .bpe import _LATIN, _SPACE, LETTER, NUMBER
 from .shared import keep
 from .words import text_slices
 
@@ -39,8 +39,10 @@ PLANES = 16
 SHARD_TOKENS = 1 << 20
 _MAGIC = b"GWM1"
 _HEAD = struct.Struct("<4sIQI")
+_LIBRARY_ONLY = re.compile(f"[\\x1c-\\x1f{chr(_LATIN)}-{chr(0x10FFFF)}]")
+_JOINED = 512
 _STEP = 512  # bits between stored popcounts
-_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^{_SPACE}{LETTER}{NUMBER}]+")
+_PIECES = re.compile(f"[{LETTER}]+|[{NUMBER}]|'s|'t|'re|'ve|'m|'ll|'d|[^{_SPACE}{LETTER}{NUMBER}]+")
 
 
 class WaveletMatrix:
@@ -154,9 +156,10 @@ class WaveletMatrix:
 
 
 class WordBpe:
-    """The library's encoding with a bounded memory of pieces; the library encodes each new piece.
+    """The library's encoding with a bounded memory of words and pieces; the library encodes each new piece.
 
-    Texts with characters from U+0250 on go to the library whole: there its normaliser and classes matter.
+    No piece crosses white space. Texts with characters from U+0250 on, or with control characters on whose
+    class str.split() and the library differ, go to the library whole.
     """
 
     def __init__(self, path: str, remember: int = 400_000):
@@ -166,28 +169,49 @@ class WordBpe:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.remember, self.known = remember, {}
-        self.ints = list(range(self.tokenizer.get_vocab_size(with_added_tokens=True)))
+        self.remember = remember
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ints = list(range(max(vocabulary.values()) + 1))
+        self.last = np.zeros(len(self.ints), dtype=bool)  # ids that end a piece
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words between white space: those of their pieces, of which the library encodes the new ones."""
+        pieces = [_PIECES.findall(w) for w in words]
+        wanted = set(chain.from_iterable(pieces))
+        if len(self.pieces) > self.remember:
+            self.pieces.clear()
+        new = [p for p in wanted if p not in self.pieces]
+        for at in range(0, len(new), _JOINED):  # many pieces a call: each ends with an id that ends a piece
+            some = new[at : at + _JOINED]
+            ids = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary does not mark the ends of pieces")
+            ids = list(map(self.ints.__getitem__, ids))
+            self.pieces.update(zip(some, map(tuple, (ids[a:b] for a, b in zip([0, *ends[:-1]], ends)))))
+        known = self.pieces.__getitem__
+        self.words.update(zip(words, [known(p[0]) if len(p) == 1 else tuple(chain.from_iterable(map(known, p))) for p in pieces]))
 
     def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
         split, whole, wanted = [], [], set()
         for i, text in enumerate(texts):
-            if text and (_OTHER_SCRIPT.search(text) or any(s in text for s in self.special)):
+            if text and (_LIBRARY_ONLY.search(text) or any(s in text for s in self.special)):
                 whole.append(i)
-                split.append(None)
+                split.append(())
                 continue
-            found = _PIECES.findall(text.lower()) if text else []
+            found = text.lower().split() if text else ()
             split.append(found)
             wanted.update(found)
-        if len(self.known) > self.remember:
-            self.known.clear()
-        new = [p for p in wanted if p not in self.known]
-        for at in range(0, len(new), 1 << 15):
-            some = new[at : at + (1 << 15)]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[p] = tuple(map(self.ints.__getitem__, e.ids))
-        known = self.known.__getitem__
-        out = [list(chain.from_iterable(map(known, found))) if found is not None else None for found in split]
+        if len(self.words) > self.remember:
+            self.words.clear()
+        new = [w for w in wanted if w not in self.words]
+        if new:
+            self._learn(new)
+        known = self.words.__getitem__
+        out = [list(chain.from_iterable(map(known, found))) for found in split]
         for i in whole:
             out[i] = self.tokenizer.encode_batch_fast([texts[i]], add_special_tokens=False)[0].ids
         return out
