@@ -11,6 +11,7 @@ from .chat import chat_format
 from .minhash import near_duplicates
 from .mixing import mixing
 from .quality import quality
+from .substring import removed
 from .toxicity import toxicity
 from .wavelet import token_output
 
@@ -27,6 +28,10 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed(table(spark, sf_dir, "documents"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_near_dedup": op2_near_dedup,
+        "op3_substring_dedup": op3_substring_dedup,
         "op4_token_output": op4_token_output,
         "op5_chat_format": op5_chat_format,
         "op6_mixing": op6_mixing,
