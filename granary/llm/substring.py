@@ -123,8 +123,8 @@ def later_windows(blocks: DataFrame, expected: int) -> DataFrame:
         for c in cells:
             c = c.astype(np.int64)
             count[c] = np.minimum(count[c] + 1, 2)
-        found = [(n, _pack(c[count[c.astype(np.int64)] > 1])) for n, c in zip(numbers, cells)]
-        found = [(n, c) for n, c in found if len(c) > 4]
+        common = [c[count[c.astype(np.int64)] > 1] for c in cells]
+        found = [(n, _pack(c)) for n, c in zip(numbers, common) if len(c)]
         shard = parts.column("shard")[0].as_py()
         return pa.table({"_block": pa.array([n for n, _ in found], pa.int64()), "shard": pa.array([shard] * len(found), pa.int32()), "cells": pa.array([c for _, c in found], pa.binary())})
 
