@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .chat import chat_format
+from .forest import near_vectors
 from .minhash import near_duplicates
 from .mixing import mixing
+from .pivots import top_k
 from .quality import quality
 from .substring import removed
 from .toxicity import toxicity
@@ -44,6 +46,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing(table(spark, sf_dir, "documents"))
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"))
 
@@ -60,6 +70,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_output": op4_token_output,
         "op5_chat_format": op5_chat_format,
         "op6_mixing": op6_mixing,
+        "op7_exact_top_k": op7_exact_top_k,
+        "op8_near_vectors": op8_near_vectors,
         "op9_bpe": op9_bpe,
         "op10_toxicity": op10_toxicity,
     }
