@@ -29,7 +29,7 @@ from .words import _BASES, _rolled, find_words, mix, text_slices, windows
 SHINGLE = 5
 PERMUTATIONS, BANDS, ROWS = 63, 25, 5
 BLOCK = 256  # members of a bucket that are compared at a time, and of a hub's salt
-ESTIMATE = 0.66  # pairs below are no candidates in the second round: 5.9 standard errors under 0.85
+ESTIMATE = 0.68  # agreeing values of a signature; pairs below are no candidates in the second round: 5.3 standard errors under 0.85
 _rng = np.random.default_rng(85)
 _FACTORS = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MASKS = _rng.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64)
@@ -137,40 +137,87 @@ def _sizes_allow(x: str, y: str, percent: int):
     return 100 * F.least(F.col(x), F.col(y)) >= percent * F.greatest(F.col(x), F.col(y))
 
 
-def _across_components(members: DataFrame, linked: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Candidate (a, b) pairs of one bucket in different components, neither being the bucket's hub."""
-    m = members.where("id != hub").join(linked.select(F.col("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("key", "n")
+def _labels(links: DataFrame) -> DataFrame:
+    """(id, label): ids with one label are connected; a cheap stand-in for components, two steps along the links."""
+    one = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label"))
+    two = one.select(F.col("id").alias("label"), F.col("label").alias("next"))
+    return keep(one.join(two, "label", "left").select("id", F.coalesce("next", "label").alias("label")))
+
+
+def _set_rows(texts: DataFrame) -> DataFrame:
+    """(doc_id, shingles): each text's sorted distinct shingle hashes as bytes."""
+
+    def run(batches):
+        for whole in batches:
+            for batch in text_slices(whole, "text"):
+                h, bounds = shingle_sets(batch.column("text"))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([h[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:])], pa.binary())], ["doc_id", "shingles"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles binary")
+
+
+def _across_labels(members: DataFrame, links: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Confirmed (a, b) links of one bucket's members under different labels, neither being the bucket's hub.
+
+    Blocks of a bucket meet two at a time and hold their members' sets, so that only links leave a task. A pair
+    is looked at in the first band that it shares.
+    """
+    labels = _labels(links)
+    m = members.where("id != hub").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    open_ = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("key", "n")
     m = keep(m.join(open_, "key"))
-    own = m.groupBy("key", "component").agg(F.count("*").alias("own"))
-    m = m.join(own, ["key", "component"])
-    # a component of more than a block has blocks to itself, so that pairs of its blocks needn't meet
-    block = F.when(F.col("own") > BLOCK, F.xxhash64("component", F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / BLOCK)))).otherwise(F.pmod(F.xxhash64("component"), F.ceil(F.col("n") / BLOCK)))
-    rows = m.withColumn("block", block).join(reps.select("id", "signature"), "id")
-    blocks = keep(rows.groupBy("key", "block").agg(F.collect_list(F.struct("id", "component", "n_shingles", "signature")).alias("rows"), F.min("component").alias("lo"), F.max("component").alias("hi")))
+    own = m.groupBy("key", "label").agg(F.count("*").alias("own"))
+    # a label with more than a block has blocks to itself, so that pairs of its blocks needn't meet
+    block = F.when(F.col("own") > BLOCK, F.xxhash64("label", F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / BLOCK)))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("n") / BLOCK)))
+    wanted = m.select("id").distinct()
+    held = reps.join(wanted, "id").join(_set_rows(texts.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")).withColumnRenamed("doc_id", "id"), "id")
+    rows = m.join(own, ["key", "label"]).withColumn("block", block).select("id", "key", "band", "label", "block").join(held.select("id", "bands", "signature", "shingles"), "id")
+    item = F.struct("id", "label", "bands", "signature", "shingles")
+    blocks = keep(rows.groupBy("key", "band", "block").agg(F.collect_list(item).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")))
     other = blocks.select("key", *[F.col(c).alias(f"{c}2") for c in ("block", "rows", "lo", "hi")])
     met = blocks.join(other, "key").where("block <= block2 and not (lo = hi and lo2 = hi2 and lo = lo2)")
 
     def run(batches):
         for batch in batches:
             out_a, out_b = [], []
-            for left, right in zip(batch.column("rows"), batch.column("rows2")):
-                (ia, ca, na, sa), (ib, cb, nb, sb) = (_columns(x.values) for x in (left, right))
-                for i in range(len(ia)):
-                    go = (cb != ca[i]) & (100 * np.minimum(nb, na[i]) >= percent * np.maximum(nb, na[i])) & (ib != ia[i])
+            for band, left, right in zip(batch.column("band").to_pylist(), batch.column("rows"), batch.column("rows2")):
+                a, b = _Block(left.values), _Block(right.values)
+                for i in range(len(a.ids)):
+                    # an earlier band in common has seen the pair
+                    go = (b.labels != a.labels[i]) & (b.ids != a.ids[i]) & ~(b.bands[:, :band] == a.bands[i, :band]).any(axis=1)
+                    go &= 100 * np.minimum(b.sizes, a.sizes[i]) >= percent * np.maximum(b.sizes, a.sizes[i])
                     at = np.flatnonzero(go)
-                    if len(at):
-                        at = at[(sb[at] == sa[i]).mean(axis=1) >= ESTIMATE]
-                        out_a += np.maximum(ib[at], ia[i]).tolist()
-                        out_b += np.minimum(ib[at], ia[i]).tolist()
+                    for j in at[(b.signatures[at] == a.signatures[i]).mean(axis=1) >= ESTIMATE].tolist() if len(at) else ():
+                        common = len(a.set(i).intersection(b.list(j)))
+                        if 100 * common >= percent * int(a.sizes[i] + b.sizes[j] - common):
+                            out_a.append(max(a.ids[i], b.ids[j]))
+                            out_b.append(min(a.ids[i], b.ids[j]))
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    return met.select("rows", "rows2").mapInArrow(run, "a long, b long").distinct()
+    return met.select("band", "rows", "rows2").mapInArrow(run, "a long, b long").distinct()
+
+
+class _Block:
+    """Members of a bucket as arrays; their shingles become Python sets only where a pair asks for them."""
+
+    def __init__(self, rows: pa.StructArray):
+        self.ids, self.labels = rows.field("id").to_numpy(), rows.field("label").to_numpy()
+        self.bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), BANDS)
+        self.signatures = np.frombuffer(b"".join(rows.field("signature").to_pylist()), dtype=np.uint16).reshape(len(rows), 2 * PERMUTATIONS)
+        self._raw = rows.field("shingles").to_pylist()
+        self.sizes = np.array([len(r) // 8 for r in self._raw])
+        self._lists: dict[int, list[int]] = {}
+        self._sets: dict[int, set[int]] = {}
 
+    def list(self, i: int) -> list[int]:
+        if i not in self._lists:
+            self._lists[i] = np.frombuffer(self._raw[i], dtype=np.uint64).tolist()
+        return self._lists[i]
 
-def _columns(rows: pa.StructArray) -> tuple[np.ndarray, ...]:
-    signature = np.frombuffer(b"".join(rows.field("signature").to_pylist()), dtype=np.uint16).reshape(len(rows), 2 * PERMUTATIONS)
-    return rows.field("id").to_numpy(), rows.field("component").to_numpy(), rows.field("n_shingles").to_numpy(), signature
+    def set(self, i: int) -> set[int]:
+        if i not in self._sets:
+            self._sets[i] = set(self.list(i))
+        return self._sets[i]
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -182,7 +229,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     same_set = named.where("rep != doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     reps = named.where("rep = doc_id").select(F.col("doc_id").alias("id"), "n_shingles", "bands", "signature").dropDuplicates(["id", "bands"])
 
-    banded = reps.select("id", "n_shingles", F.explode("bands").alias("key"))
+    banded = reps.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
     hubs = banded.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("h"), F.count("*").alias("n")).where("n > 1").select("key", F.col("h.id").alias("hub"), F.col("h.n_shingles").alias("hub_size"))
     members = keep(banded.join(hubs, "key"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -190,8 +237,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     first = members.where(F.col("id") != F.col("hub")).where(_sizes_allow("n_shingles", "hub_size", percent)).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     links = keep(confirm(first, texts, percent))
-    linked = keep(components(links))
-    second = keep(confirm(_across_components(members, linked, reps, percent), texts, percent))
+    second = _across_labels(members, links, reps, texts, percent)
     found = components(links.unionByName(second).unionByName(same_set))
     out = signed.select("doc_id", "n_shingles").join(found.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
