@@ -155,6 +155,51 @@ class WaveletMatrix:
         return i
 
 
+class _Numbered(dict):
+    """Numbers strings as they come up; those that are new since the last call to fresh() are kept apart."""
+
+    def __init__(self):
+        self.pending: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        self.pending.append(key)
+        return number
+
+    def number(self, strings: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, strings), dtype=np.int64, count=len(strings))
+
+    def fresh(self) -> list[str]:
+        out, self.pending = self.pending, []
+        return out
+
+
+class _Spans:
+    """Token ids of numbered strings: one flat array, and where each string's own begin."""
+
+    def __init__(self):
+        self.flat, self.used = np.empty(1 << 16, dtype=np.uint16), 0
+        self.ends, self.n = np.zeros(1 << 16, dtype=np.int64), 0
+
+    def append(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        for name, used, more in (("flat", self.used, len(ids)), ("ends", self.n + 1, len(counts))):
+            old = getattr(self, name)
+            if used + more > len(old):
+                new = np.empty(2 * (used + more), dtype=old.dtype)
+                new[:used] = old[:used]
+                setattr(self, name, new)
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.ends[self.n + 1 : self.n + 1 + len(counts)] = self.used + np.cumsum(counts)
+        self.used, self.n = self.used + len(ids), self.n + len(counts)
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the strings one after the other, number of ids of each)."""
+        starts = self.ends[numbers]
+        counts = self.ends[numbers + 1] - starts
+        after = np.cumsum(counts)
+        return self.flat[np.repeat(starts - (after - counts), counts) + np.arange(after[-1] if len(after) else 0)], counts
+
+
 class WordBpe:
     """The library's encoding with a bounded memory of words and pieces; the library encodes each new piece.
 
@@ -162,58 +207,58 @@ class WordBpe:
     class str.split() and the library differ, go to the library whole.
     """
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, words: int = 700_000, pieces: int = 900_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.remember = remember
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ints = list(range(max(vocabulary.values()) + 1))
-        self.last = np.zeros(len(self.ints), dtype=bool)  # ids that end a piece
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a piece
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.most_words, self.most_pieces = words, pieces
+        self.words, self.word_ids = _Numbered(), _Spans()
+        self.pieces, self.piece_ids = _Numbered(), _Spans()
 
     def _learn(self, words: list[str]) -> None:
         """Ids of words between white space: those of their pieces, of which the library encodes the new ones."""
-        pieces = [_PIECES.findall(w) for w in words]
-        wanted = set(chain.from_iterable(pieces))
-        if len(self.pieces) > self.remember:
-            self.pieces.clear()
-        new = [p for p in wanted if p not in self.pieces]
+        if len(self.pieces) > self.most_pieces:
+            self.pieces, self.piece_ids = _Numbered(), _Spans()
+        found = list(map(_PIECES.findall, words))
+        numbers = self.pieces.number(list(chain.from_iterable(found)))
+        new = self.pieces.fresh()
         for at in range(0, len(new), _JOINED):  # many pieces a call: each ends with an id that ends a piece
             some = new[at : at + _JOINED]
-            ids = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
-            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids)
+            ends = np.flatnonzero(self.last[ids])
             if len(ends) != len(some):
                 raise ValueError("the vocabulary does not mark the ends of pieces")
-            ids = list(map(self.ints.__getitem__, ids))
-            self.pieces.update(zip(some, map(tuple, (ids[a:b] for a, b in zip([0, *ends[:-1]], ends)))))
-        known = self.pieces.__getitem__
-        self.words.update(zip(words, [known(p[0]) if len(p) == 1 else tuple(chain.from_iterable(map(known, p))) for p in pieces]))
-
-    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
-        split, whole, wanted = [], [], set()
+            self.piece_ids.append(ids, np.diff(ends, prepend=-1))
+        ids, counts = self.piece_ids.take(numbers)
+        per_word = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        sums = np.concatenate([[0], np.cumsum(counts)])
+        self.word_ids.append(ids, np.diff(sums[np.concatenate([[0], np.cumsum(per_word)])]))
+
+    def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        if len(self.words) > self.most_words:
+            self.words, self.word_ids = _Numbered(), _Spans()
+        whole, sizes, numbers = [], [], []
         for i, text in enumerate(texts):
-            if text and (_LIBRARY_ONLY.search(text) or any(s in text for s in self.special)):
+            if text and ((not text.isascii() or not text.isprintable()) and _LIBRARY_ONLY.search(text) or any(s in text for s in self.special)):
                 whole.append(i)
-                split.append(())
-                continue
-            found = text.lower().split() if text else ()
-            split.append(found)
-            wanted.update(found)
-        if len(self.words) > self.remember:
-            self.words.clear()
-        new = [w for w in wanted if w not in self.words]
-        if new:
+                found = []
+            else:
+                found = text.lower().split() if text else []
+            sizes.append(len(found))
+            numbers.append(self.words.number(found))
+        if new := self.words.fresh():
             self._learn(new)
-        known = self.words.__getitem__
-        out = [list(chain.from_iterable(map(known, found))) for found in split]
+        ids, counts = self.word_ids.take(np.concatenate(numbers) if numbers else np.zeros(0, dtype=np.int64))
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(sizes)] if sizes else []
+        out = np.split(ids, ends[:-1]) if len(ends) else []
         for i in whole:
-            out[i] = self.tokenizer.encode_batch_fast([texts[i]], add_special_tokens=False)[0].ids
+            out[i] = np.array(self.tokenizer.encode_batch_fast([texts[i]], add_special_tokens=False)[0].ids, dtype=np.uint16)
         return out
 
 
@@ -231,6 +276,7 @@ def write_shards(docs: DataFrame, path: str = VOCABULARY, end_id: int = END_ID,
     def run(batches):
         bpe, part = load(path), TaskContext.get().partitionId()
         ids, lengths, arrays, size, first = [], [], [], 0, 0
+        end = np.array([end_id], dtype=np.uint16)
 
         def flush():
             tokens = np.concatenate(arrays)
@@ -245,7 +291,7 @@ def write_shards(docs: DataFrame, path: str = VOCABULARY, end_id: int = END_ID,
                         yield flush()
                         first += size
                         ids, lengths, arrays, size = [], [], [], 0
-                    arrays.append(np.array([*tokens, end_id], dtype=np.uint16))
+                    arrays += [tokens, end]
                     ids.append(doc_id)
                     lengths.append(len(tokens) + 1)
                     size += len(tokens) + 1
