@@ -38,6 +38,10 @@ class ToxicModel:
     slope: float = 0.0
     bias: float = -50.0
 
+    def __post_init__(self):
+        for w in list(self.weights):  # the first four letters alone tell that a word may have a weight
+            self.weights.setdefault(w[:4], 0.0)
+
     def evidence(self, segments: list[float], n: int) -> float:
         """The extreme-value sum statistic of segment scores in a text of n tokens.
 
@@ -155,8 +159,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     delta = F.log(y1 / (F.lit(n1 + prior) - y1)) - F.log(y0 / (F.lit(n0 + prior) - y0))
     weighed = counts.select("token", (delta - errors * F.sqrt(1 / y1 + 1 / y0)).alias("w")).where((F.col("w") >= least) & (F.col("token") != ""))
     weights = {r.token: r.w for r in weighed.orderBy(F.desc("w"), "token").limit(max_tokens).collect()}
-    for w in list(weights):
-        weights.setdefault(w[:4], 0.0)
     model = ToxicModel(weights, drift)
 
     def scan(batches):

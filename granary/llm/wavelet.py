@@ -8,7 +8,7 @@ times a token occurs before a place (rank) and the place of its n-th occurrence
 Shards are rows of a Parquet table in ascending document order, written with Spark's commit protocol, so a lost
 executor's task is simply run again.
 
-Defined results: null and empty texts have the end id alone; rows with the same doc_id stay apart, ordered by
+Defined results: null and empty texts have the end id alone; a null doc_id comes first and is read back as null; rows with the same doc_id stay apart, ordered by
 their text's hash; an empty table gives an empty result; other columns are ignored; a document longer than a
 shard gets a shard of its own.
 """
@@ -36,6 +36,7 @@ from .words import text_slices
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 PLANES = 16
+_NULL_ID = -(2**63)  # stands for a null doc_id in a shard
 SHARD_TOKENS = 1 << 20
 _MAGIC = b"GWM1"
 _HEAD = struct.Struct("<4sIQI")
@@ -292,7 +293,7 @@ def write_shards(docs: DataFrame, path: str = VOCABULARY, end_id: int = END_ID,
                         first += size
                         ids, lengths, arrays, size = [], [], [], 0
                     arrays += [tokens, end]
-                    ids.append(doc_id)
+                    ids.append(_NULL_ID if doc_id is None else doc_id)
                     lengths.append(len(tokens) + 1)
                     size += len(tokens) + 1
         if size:
@@ -323,7 +324,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
                 ends = np.cumsum(matrix.lengths)
                 starts = ends - matrix.lengths
                 crc = [zlib.crc32(tokens[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(matrix.doc_ids, pa.int64()), pa.array(starts + (before[part] + first), pa.int64()), pa.array(matrix.lengths, pa.int64()), pa.array(crc, pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(matrix.doc_ids, pa.int64(), mask=matrix.doc_ids == _NULL_ID), pa.array(starts + (before[part] + first), pa.int64()), pa.array(matrix.lengths, pa.int64()), pa.array(crc, pa.int64())], schema=schema)
 
     return shards.select("part", "first", "shard").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
