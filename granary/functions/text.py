@@ -62,7 +62,7 @@ def classify_branch(branch: Column) -> Column:
 
 def join_keywords(words: Column) -> Column:
     """Distinct, trimmed, in Swedish order, joined by semicolons."""
-    clean = F.filter(F.array_distinct(F.transform(words, F.trim)), lambda x: x != "")
+    clean = F.filter(F.array_distinct(F.transform(words, lambda x: F.trim(x))), lambda x: x != "")
     ordered = F.array_sort(F.transform(clean, lambda x: F.collate(x, "sv")))
     return F.array_join(F.transform(ordered, lambda x: F.collate(x, "UTF8_BINARY")), ";")
 

@@ -52,7 +52,7 @@ def read_observations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     raw = spark.read.schema(OBSERVATION).json(path, mode="PERMISSIVE").select("*", "_metadata.file_path", "_metadata.file_block_start").withColumn("_id", F.monotonically_increasing_id())
     seq = F.struct("file_path", "file_block_start", "_id")
     sound = raw.where("_corrupt_record is null and coalesce(org, '') != ''").withColumn("seq", seq).drop("_corrupt_record", "file_path", "file_block_start", "_id")
-    return sound, raw.where("_corrupt_record is not null").select("_corrupt_record")
+    return sound, raw.where("_corrupt_record is not null and (org is null or length(org) >= 0)").select("_corrupt_record")
 
 
 def matched_items(observations: DataFrame, column: str) -> DataFrame:
@@ -73,11 +73,11 @@ def append_observations(observations: DataFrame, path: str) -> None:
 
 
 def intake_report_files(spark: SparkSession, folder: str, most_bytes: int = 25_000_000) -> DataFrame:
-    """(org, path, length, ok, reason) of `<org>_*.pdf` files; the content is read for its first bytes only."""
+    """(org, path, length, ok, reason) of `<org>_*.pdf` files; empty files have no row, as the source skips them."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", True).load(folder)
     org = F.nullif(F.regexp_extract("path", "/([0-9]{10})_[^/]*$", 1), F.lit(""))
     signed = F.substring("content", 1, 8).cast("string").contains("%PDF-")
-    reason = F.when(org.isNull(), "no org").when(F.col("length") == 0, "empty").when(F.col("length") > most_bytes, "too large").when(~signed, "not a pdf")
+    reason = F.when(org.isNull(), "no org").when(F.col("length") > most_bytes, "too large").when(~signed, "not a pdf")
     return files.select(org.alias("org"), "path", "length", reason.alias("reason")).withColumn("ok", F.col("reason").isNull())
 
 
