@@ -448,9 +448,9 @@ def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crm.distinct_branches(_scored(spark, sf_dir))
 
 
-@query("SELECT org, name FROM scored ORDER BY name, org LIMIT 100 OFFSET 200", "scored")
+@query("SELECT org, name FROM scored ORDER BY name, org LIMIT 100 OFFSET 100", "scored")
 def leads_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crm.page_leads(_scored(spark, sf_dir), 2, key="org").select("org", "name")
+    return crm.page_leads(_scored(spark, sf_dir), 1, key="org").select("org", "name")
 
 
 @query("SELECT count(*) FILTER (WHERE branch = 'Industri') AS filtered, count(*) AS total, count(*) FILTER (WHERE resolved) AS resolved, CAST(ceil(count(*) FILTER (WHERE branch = 'Industri') / 100.0) AS BIGINT) AS pages FROM old_leads", "old_leads")
