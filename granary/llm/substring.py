@@ -4,7 +4,7 @@ Texts are dealt into blocks by document. Each block makes a sketch of its window
 a row of cells a hash function, as sorted gaps. Sketches are merged by ranges of cells, and each block learns
 which of its cells another block uses too. A count-min estimate over the rows of cells never undercounts, so
 every repeated window passes; the few others that pass are harmless. A second pass over the blocks groups only
-those windows exactly, by 128-bit hashes: the first of a group stays, words under the others go.
+those windows exactly, by 96-bit hashes: the first of a group stays, words under the others go.
 
 Within a block all occurrences but the first are settled on the spot, so a window that stands in a third of all
 documents brings one row a block to the exact grouping, however often it stands there.
@@ -128,7 +128,7 @@ def later_windows(blocks: DataFrame, expected: int) -> DataFrame:
         shard = parts.column("shard")[0].as_py()
         return pa.table({"_block": pa.array([n for n, _ in found], pa.int64()), "shard": pa.array([shard] * len(found), pa.int32()), "cells": pa.array([c for _, c in found], pa.binary())})
 
-    asked = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("place", pa.int64())])
+    asked = pa.schema([("h1", pa.int64()), ("h2_place", pa.int64()), ("doc", pa.int64())])
 
     def suspects(block, shared):
         if not block.num_rows or not shared.num_rows:
@@ -146,13 +146,15 @@ def later_windows(blocks: DataFrame, expected: int) -> DataFrame:
             own = _cells(h1[places], h2[places], row, bits)
             places = places[merged[np.minimum(np.searchsorted(merged, own), len(merged) - 1)] == own]
         docs = block.column("_doc").to_numpy()[np.searchsorted(ptr, firsts[places], side="right") - 1]
-        return pa.Table.from_arrays([pa.array(h1[places].view(np.int64)), pa.array(h2[places].view(np.int64)), pa.array(docs), pa.array(places)], schema=asked)
+        both = (h2[places] >> np.uint64(32) << np.uint64(32)) | places.astype(np.uint64)  # a block has fewer than 2**32 windows
+        return pa.Table.from_arrays([pa.array(h1[places].view(np.int64)), pa.array(both.view(np.int64)), pa.array(docs)], schema=asked)
 
     sketches = blocks.groupBy("_block").applyInArrow(sketch, "shard int, _block long, cells binary")
     shared = sketches.groupBy("shard").applyInArrow(merge, "_block long, shard int, cells binary")
-    rows = blocks.groupBy("_block").cogroup(shared.groupBy("_block")).applyInArrow(suspects, "h1 long, h2 long, doc long, place long")
-    order = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("doc", "place"))
-    return rows.withColumn("n", order).where("n > 1").select("doc", "place")
+    rows = blocks.groupBy("_block").cogroup(shared.groupBy("_block")).applyInArrow(suspects, "h1 long, h2_place long, doc long")
+    place = F.col("h2_place").bitwiseAND(F.lit(0xFFFFFFFF))
+    order = F.row_number().over(Window.partitionBy("h1", F.shiftright("h2_place", 32)).orderBy("doc", place))
+    return rows.withColumn("n", order).where("n > 1").select("doc", place.alias("place"))
 
 
 def _finish(blocks: DataFrame, expected: int, block_of, outputs, schema: str) -> DataFrame:
