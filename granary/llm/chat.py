@@ -148,4 +148,4 @@ def chat_format(conversations: DataFrame) -> DataFrame:
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
-    return read_back(assemble(rows.unionByName(extra)))
+    return read_back(assemble(rows.unionByName(extra))).drop("n_tokens")

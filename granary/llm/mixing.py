@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .shared import keep
 
 WORD = r"[^\x20\x09-\x0D]+"
+DEFAULT_SEED = 20240611
 BROADCAST_SOURCES = 50_000  # a plan row a source: some 5 MB at most
 
 
@@ -25,6 +26,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def seeded_hash(seed: int, key: Column) -> Column:
+    """48 bits of an md5: the same number in every engine."""
+    return F.conv(F.left(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))), F.lit(12)), 16, 10).cast("long")
+
+
 def ranked(df: DataFrame, *order: Column) -> DataFrame:
     """Adds `_rank` (long, from 0) by a range-partitioned sort; only one count a partition reaches the driver."""
     spark = df.sparkSession
@@ -66,7 +72,7 @@ def plan(docs: DataFrame, share: float, max_epochs: float, weights: tuple[float,
     return filled.select("source", F.col("size").alias("source_size"), "source_rows", "target")
 
 
-def mix(docs: DataFrame, share: float = 1.5, max_epochs: float = 2.0, weights: tuple[float, ...] = (3, 1, 2), seed: int = 20240611, stratum_rows: int = 256) -> DataFrame:
+def mix(docs: DataFrame, share: float = 1.5, max_epochs: float = 2.0, weights: tuple[float, ...] = (3, 1, 2), seed: int = DEFAULT_SEED, stratum_rows: int = 256) -> DataFrame:
     """docs with size, source_size, target and times: how often the mix takes each document.
 
     The fractional part is settled within strata of about `stratum_rows` documents of one source, dealt by a
@@ -79,8 +85,8 @@ def mix(docs: DataFrame, share: float = 1.5, max_epochs: float = 2.0, weights: t
     sources = sources.withColumnRenamed("source", "_source")
     joined = docs.withColumn("size", n_words(F.col("text"))).join(F.broadcast(sources) if few else sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    dealt = joined.withColumns({"_epochs": epochs, "_hash": F.xxhash64(F.lit(seed), "doc_id")})
-    dealt = dealt.withColumn("_stratum", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.ceil(F.col("source_rows") / stratum_rows)))
+    dealt = joined.withColumns({"_epochs": epochs, "_hash": seeded_hash(seed, F.col("doc_id"))})
+    dealt = dealt.withColumn("_stratum", F.pmod(seeded_hash(seed + 1, F.col("doc_id")), F.ceil(F.col("source_rows") / stratum_rows)))
     stratum = Window.partitionBy("source", "_stratum")
     part = F.sum("size").over(stratum) * (F.col("_epochs") - F.floor("_epochs"))
     running = F.sum("size").over(stratum.orderBy("_hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow))

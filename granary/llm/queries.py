@@ -11,6 +11,7 @@ from .chat import chat_format
 from .forest import near_vectors
 from .minhash import near_duplicates
 from .mixing import mixing
+from .oracles import ORACLES
 from .pivots import top_k
 from .quality import quality
 from .substring import removed
@@ -78,4 +79,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
