@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 OBS = """
 SELECT lpad(CAST(o.o_custkey AS STRING),10,'0') AS org, o.o_orderkey AS seq,
@@ -61,4 +62,7 @@ def obs_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def finance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(FINANCE_ROWS.replace("obs_tables", "{obs_tables}"), obs_tables=obs_tables(spark, sf_dir))
+    """FINANCE_ROWS in one pass over the tables."""
+    pair = F.array(F.struct(F.col("y1").alias("year"), F.col("v1").alias("raw_value")), F.struct(F.col("y2").alias("year"), F.col("v2").alias("raw_value")))
+    cells = obs_tables(spark, sf_dir).select("org", "seq", "tbl_idx", "raw_label", F.posexplode(pair).alias("pos", "c"))
+    return cells.select("org", "seq", "tbl_idx", "raw_label", "pos", "c.year", "c.raw_value")
