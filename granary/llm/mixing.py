@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import keep
+from ..plans.storage import global_rank, keep
 
 WORD = r"[^\x20\x09-\x0D]+"
 DEFAULT_SEED = 20240611
@@ -31,21 +31,6 @@ def seeded_hash(seed: int, key: Column) -> Column:
     return F.conv(F.left(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))), F.lit(12)), 16, 10).cast("long")
 
 
-def ranked(df: DataFrame, *order: Column) -> DataFrame:
-    """Adds `_rank` (long, from 0) by a range-partitioned sort; only one count a partition reaches the driver."""
-    spark = df.sparkSession
-    parts = keep(df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id()))
-    before, total = {}, 0
-    for row in sorted(parts.groupBy("_part").count().collect()):
-        before[row["_part"]] = total
-        total += row["count"]
-    if not before:
-        return parts.withColumn("_rank", F.lit(0).cast("long")).drop("_part")
-    offsets = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return parts.withColumn("_rank", (within + offsets[F.col("_part")]).cast("long")).drop("_part")
-
-
 def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame:
     """Adds `target` to (size, weight) rows; each round is one aggregate of a table with a row a source."""
     cap = F.col("size") * F.lit(float(max_epochs))
@@ -64,8 +49,8 @@ def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame
 def plan(docs: DataFrame, share: float, max_epochs: float, weights: tuple[float, ...]) -> DataFrame:
     """(source, source_size, source_rows, target): sources by code point, null last, weigh in turn by `weights`."""
     sizes = docs.select(F.col("source"), n_words(F.col("text")).alias("size")).groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("source_rows"))
-    in_order = keep(ranked(sizes, F.col("source").isNull(), F.col("source")))
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
+    in_order = keep(global_rank(sizes, "_rank", F.col("source").isNull(), F.col("source")))
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.col("_rank") - 1) % len(weights) + 1).cast("int"))
     in_order = in_order.withColumn("weight", weight)
     total = in_order.agg(F.sum("size")).first()[0] or 0
     filled = water_fill(in_order, share * total, max_epochs)

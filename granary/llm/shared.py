@@ -2,33 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.storage import keep
 
-def work_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
-
-    Only where the session has none (local tests) a temporary folder takes its place.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="granary-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/granary-{uuid.uuid4().hex}"
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it back: later steps don't depend on lost executors."""
-    spark = df.sparkSession
-    path = work_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["fold_of", "held_out", "keep", "labelled_sample"]
 
 
 def fold_of(doc_id: Column) -> Column:
@@ -51,7 +30,3 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     picked = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     ids = picked[0].unionByName(picked[1])
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-
-
-def blocks_for(spark: SparkSession, n_bytes: float, block_bytes: float, least: int = 1) -> int:
-    return max(least, int(n_bytes / block_bytes) + 1)
