@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE, literal_pattern, normalize_label
-from .numbers import split_text_and_numbers
+from .numbers import split_text_and_numbers, strip_numbers
 
 
 def text_lines(texts: DataFrame, *keys: str) -> DataFrame:
@@ -99,8 +99,6 @@ def normalize_matched_lines(lines: DataFrame, keys: list[str], credit_rule: bool
         large = F.filter("values", lambda v: v.isin("0", "+0", "-0") | (F.length(F.regexp_replace(v, "[^0-9]", "")) > 2))
         debt = (F.lower("key") == "kreditinstitut") & F.lower("line").contains("skuld") & (F.size("values") > 2) & (F.size(large) >= 2)
         split = split.withColumn("values", F.when(debt, F.slice(large, -2, 2)).otherwise(F.col("values")))
-    from .numbers import strip_numbers
-
     label = strip_numbers(F.col("_text"))
     return split.withColumn("line", F.when(label != "", label).otherwise(F.col("_text"))).drop("_given", "_digits", "_pair", "_read", "_text", "label")
 
