@@ -6,8 +6,8 @@ probability of their similarity. 25 bands of five values find candidates: a pair
 none with a probability of 4e-7. Candidates are confirmed on full sets.
 
 Copies of one set are one node throughout. In every bucket the members are compared with the bucket's least
-document; what is then still apart, bucket by bucket, is compared across components in blocks of bounded size.
-So no link is lost to a bucket's size, and the pairs within a component are never listed.
+document; members that are then not known to be connected meet in blocks of bounded size, from which only
+confirmed links come out. So no link is lost to a bucket's size, and a bucket's pairs are never listed.
 
 Defined results: documents without words or text have 0 shingles and are their own component; rows with the
 same doc_id are one document of the table, linked by the text of any of them; a null doc_id has a null
@@ -138,7 +138,7 @@ def _sizes_allow(x: str, y: str, percent: int):
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    """(id, label): ids with one label are connected; a cheap stand-in for components, two steps along the links."""
+    """(id, label): ids with one label are connected; two steps along the links stand in for whole components."""
     one = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label"))
     two = one.select(F.col("id").alias("label"), F.col("label").alias("next"))
     return keep(one.join(two, "label", "left").select("id", F.coalesce("next", "label").alias("label")))
