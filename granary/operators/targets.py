@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import EDGE, SPACE, first_match, normalize_org, normalize_spaces
@@ -53,19 +53,24 @@ def name_tokens(name: Column) -> Column:
 
 
 def resolve_by_name(targets: DataFrame, registry: DataFrame) -> DataFrame:
-    """(target_id, name, org, candidate, score): the registry's best match of each target's name.
+    """(target_id, query, org, candidate, score): the registry's best match of each target's name.
 
     targets: (target_id, name); registry: (org, name, seq). Tokens meet in an equi-join, one row a shared token; a
-    candidate with a score of 3 wins by its place in the registry, others by score, then place.
+    candidate with a score of 3 wins by its place in the registry, others by score, then place. Equal queries are
+    asked once, and of candidates with the same tokens only the first can win, so both sides are reduced first.
     """
-    word_ab = f"(?iu){EDGE}ab{EDGE}"
-    asked = targets.select("target_id", clean_name(F.col("name")).alias("query")).withColumn("t", F.explode(name_tokens(F.col("query"))))
-    known = registry.select("org", F.col("name").alias("candidate"), "seq").withColumn("t", F.explode(name_tokens(F.col("candidate"))))
-    hits = asked.join(known, "t").groupBy("target_id", "query", "org", "candidate", "seq").agg(F.count("*").alias("hits"))
-    score = F.col("hits") + (F.col("query").rlike(word_ab) & F.col("candidate").rlike(word_ab)).cast("int")
-    order = Window.partitionBy("target_id").orderBy((F.col("score") >= 3).desc(), F.when(F.col("score") < 3, F.col("score")).desc_nulls_last(), "seq", "org")
-    best = hits.withColumn("score", score).withColumn("_n", F.row_number().over(order)).where("_n = 1")
-    return best.select("target_id", "query", "org", "candidate", "score")
+    has_ab = lambda c: F.col(c).rlike(f"(?iu){EDGE}ab{EDGE}")
+    cleaned = targets.select("target_id", clean_name(F.col("name")).alias("query"))
+    asked = cleaned.select("query").where("query != ''").distinct().withColumn("t", F.explode(name_tokens(F.col("query"))))
+    first = F.min(F.struct("seq", "org", "candidate")).alias("first")
+    named = registry.select("org", F.col("name").alias("candidate"), "seq", F.array_sort(name_tokens(F.col("name"))).alias("tokens"))
+    known = named.groupBy("tokens", has_ab("candidate").alias("ab")).agg(first).select("ab", "first", F.explode("tokens").alias("t"))
+    hits = asked.join(known, "t").groupBy("query", "first", "ab").agg(F.count("*").alias("hits"))
+    score = F.col("hits") + (has_ab("query") & F.col("ab")).cast("int")
+    # the greatest of: reaches 3, score below 3, earliest place
+    order = F.struct(F.col("score") >= 3, F.when(F.col("score") < 3, F.col("score")).otherwise(0), -F.col("first.seq"))
+    best = hits.withColumn("score", score).groupBy("query").agg(F.max_by(F.struct("first", "score"), order).alias("b"))
+    return cleaned.join(best, "query").select("target_id", "query", F.col("b.first.org").alias("org"), F.col("b.first.candidate").alias("candidate"), F.col("b.score").alias("score"))
 
 
 def org_from_page(url: Column, html: Column) -> Column:
