@@ -46,9 +46,9 @@ def line_facts(lines: DataFrame, rules: Rules = RULES) -> DataFrame:
 
 
 def best_facts(facts: DataFrame) -> DataFrame:
-    """The winner of each org and label: score, then year, then first seen. A maximum by key combines before the shuffle."""
-    order = F.struct(F.col("score"), F.coalesce(F.col("year"), F.lit(-1)), -F.col("seq"), -F.col("tbl_idx"))
-    winner = F.max_by(F.struct("year", "value", "raw_line", "source_type", "score", "seq", "tbl_idx"), order).alias("w")
+    """The winner of each org and label: score, then year, then first seen. A minimum by key combines before the shuffle."""
+    order = F.struct((-F.col("score")).alias("s"), (-F.coalesce(F.col("year"), F.lit(-1))).alias("y"), "seq", "tbl_idx")
+    winner = F.min_by(F.struct("year", "value", "raw_line", "source_type", "score", "seq", "tbl_idx"), order).alias("w")
     return facts.groupBy("org", "label").agg(winner).select("org", "label", "w.*")
 
 

@@ -18,7 +18,7 @@ def _first(column: str | Column, when: Column, alias: str) -> Column:
 def merge_observations(observations: DataFrame, figures: DataFrame | None = None, keywords: DataFrame | None = None, rules: Rules = RULES, compat: bool = False) -> DataFrame:
     """One row an org; each field is the first that says something.
 
-    observations: org, seq, name, email, phone, is_ab, reg_year, employees, branch. figures: latest_figures().
+    observations: org, seq, name, email, phone, is_ab, reg_year, employees, branch, perhaps sni_code. figures: latest_figures().
     keywords: union_keywords(). With `compat`, missing employees count as 0 and so block later ones.
     """
     said = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
@@ -31,6 +31,7 @@ def merge_observations(observations: DataFrame, figures: DataFrame | None = None
         _first("reg_year", F.coalesce(F.col("reg_year"), F.lit(0)) != 0, "reg_year"),
         F.min_by(staff, F.when(staff.isNotNull(), F.col("seq"))).alias("employees"),
         _first("branch", said("branch"), "branch"),
+        *([_first("sni_code", said("sni_code"), "sni_code")] if "sni_code" in observations.columns else []),
     )
     merged = merged.withColumns({"company_age": F.lit(rules.as_of_year) - F.col("reg_year"), "branch_segment": classify_branch(F.col("branch"))})
     if figures is not None:

@@ -11,7 +11,7 @@ from ..operators import crm, extract, facts, leads, lines, targets
 
 def build_leads(observations: DataFrame, rules: Rules = RULES) -> DataFrame:
     """Observations as read from their files (see sources.files) to scored leads."""
-    named = observations.select("org", "seq", "name", "email", "phone", F.col("isAB").alias("is_ab"), F.col("regYear").alias("reg_year"), "employees", "branch")
+    named = observations.select("org", "seq", "name", "email", "phone", F.col("isAB").alias("is_ab"), F.col("regYear").alias("reg_year"), "employees", "branch", F.col("sniCode").alias("sni_code"))
     words = observations.select("org", "seq", F.explode("lenderKeywords").alias("keyword"))
     return leads.score_leads(named, facts.finance_rows(observations), words, rules)
 

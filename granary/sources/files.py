@@ -89,9 +89,6 @@ def read_leads_sheet(spark: SparkSession, path: str, columns: list[str], numeric
     return named.select(*clean, F.monotonically_increasing_id().alias("seq"))
 
 
-CONTACT_TITLES = ("ICP_Score", "ICP_Reasons", "OrgNr", "Name", "Email", "Phone", "Is_AB", "Reg_Year", "Company_Age", "Employees", "Branch", "Branch_Segment", "SNI_Code", "Omsattning_SEK", "Omsattning_Year", "Rorelseresultat_SEK", "Arets_Resultat_SEK", "Kortfristiga_Skulder_SEK", "Langfristiga_Skulder_SEK", "Lender_Keywords", "Keyword_Line_1", "Recent_Year_Value", "Previous_Year_Value", "Keyword_Line_2", "Recent_Year_Value", "Previous_Year_Value")
-
-
 def write_sheet(df: DataFrame, path: str, titles: tuple[str, ...] | None = None, quote_all: bool = False) -> None:
     """CSV with a header whose titles may repeat; nulls are empty."""
     df = df.select([F.col(c).cast("string").alias(c) for c in df.columns])

@@ -4,7 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from granary.plans import jobs
+from granary.operators import facts
+from granary.plans import jobs, reports
 from granary.sources import files
 from granary.streaming.leads import stream_leads
 
@@ -81,3 +82,22 @@ def test_rescan(spark):
     obs = spark.createDataFrame([("1", 1, "A"), ("2", 2, "B")], "org string, seq long, name string")
     words = spark.createDataFrame([("1", 1, "Almi")], "org string, seq long, keyword string")
     assert [(r.org, r.rescan_only) for r in jobs.rescan_cycle(obs, words, obs).collect()] == [("1", True)]
+
+
+def test_reports(spark, tmp_path):
+    (tmp_path / "o.jsonl").write_text("\n".join([_observation("0000000001", sniCode="43"), _observation("0000000002", isAB=False)]), encoding="utf-8")
+    sound, _ = files.read_observations(spark, str(tmp_path))
+    leads = jobs.build_leads(sound)
+    lines = spark.createDataFrame([("0000000001", 1, 2, "Kreditinstitut", "Skulder b", ["60 000 000", "5"]), ("0000000001", 1, 1, "Kreditinstitut", "Skulder a", ["7", "8"]), ("0000000001", 1, 3, "Almi", "x", [])], "org string, seq long, line_idx int, key string, line string, values array<string>")
+    sheet, titles = reports.contacts(leads, lines)
+    assert len(titles) == 26 and titles.count("Recent_Year_Value") == 2
+    files.write_sheet(sheet, str(tmp_path / "contacts"), titles)
+    shown = files.read_leads_sheet(spark, str(tmp_path / "contacts"), [f"c{i}" for i in range(26)]).orderBy("c2").collect()
+    assert [(r.c2, r.c12, r.c20, r.c21, r.c23, r.c24, r.c25) for r in shown] == [("0000000001", "43", "Skulder a", "7", "Skulder b", None, "5"), ("0000000002", None, None, None, None, None, None)]
+    sheet, titles = reports.wide(leads, lines)
+    row = sheet.where("c0 = '0000000001'").first()
+    assert len(titles) == len(sheet.columns) == 15 and row.c6 == "Kreditinstitut: Skulder a || Kreditinstitut: Skulder b" and row.c5.endswith("Almi: x")
+    best = facts.best_facts(facts.atomic_facts(facts.finance_rows(sound)))
+    sheet, titles = reports.pivot(leads, best, ["Omsättning"])
+    assert titles[-2:] == ("Omsättning", "År") and sheet.count() == 2
+    files.write_sheet(sheet, str(tmp_path / "pivot"), titles)
