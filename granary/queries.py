@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .operators import crm, extract, facts, layout, leads, lines, numbers, targets
 from .functions import text
 from .plans import adapters as a
+from .plans import jobs
 from .plans.adapters import table
 from .plans.storage import global_rank
 
@@ -131,6 +132,15 @@ def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.obs_tables(spark, sf_dir).groupBy("org", "seq").agg(nested.alias("tables"))
 
 
+@query(f"SELECT {', '.join(LEAD_COLUMNS)} FROM scored", "scored")
+def built_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over observation records as files hold them."""
+    words = a.obs_keywords(spark, sf_dir).groupBy("seq").agg(F.collect_set("keyword").alias("lenderKeywords"))
+    records = a.obs(spark, sf_dir).join(_observations(spark, sf_dir).drop("org"), "seq", "left").join(words, "seq", "left")
+    shaped = records.withColumnsRenamed({"is_ab": "isAB", "reg_year": "regYear"}).withColumn("sniCode", F.lit(None).cast("string"))
+    return jobs.build_leads(shaped).select(*LEAD_COLUMNS)
+
+
 @query("SELECT org, seq, tbl_idx, raw_label, pos, year, raw_value FROM finance", "finance")
 def finance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.finance_rows(_observations(spark, sf_dir))
@@ -227,6 +237,11 @@ def lender_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return targets.lender_targets(a.obs(spark, sf_dir), a.obs_keywords(spark, sf_dir))
 
 
+@query(f"SELECT t.*, true AS rescan_only FROM ({_TARGETS}) t WHERE EXISTS (SELECT 1 FROM obs_keywords k WHERE k.org = t.org)", "obs_keywords")
+def rescan_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.rescan_cycle(a.obs(spark, sf_dir), a.obs_keywords(spark, sf_dir), _targets(spark, sf_dir))
+
+
 @query("SELECT count(*) AS total, count(*) FILTER (WHERE email IS NULL) AS missing FROM obs", "obs")
 def missing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return targets.profile_missing(a.obs(spark, sf_dir), "email")[0]
