@@ -152,6 +152,7 @@ def later_windows(blocks: DataFrame, expected: int) -> DataFrame:
     sketches = blocks.groupBy("_block").applyInArrow(sketch, "shard int, _block long, cells binary")
     shared = sketches.groupBy("shard").applyInArrow(merge, "_block long, shard int, cells binary")
     rows = blocks.groupBy("_block").cogroup(shared.groupBy("_block")).applyInArrow(suspects, "h1 long, h2_place long, doc long")
+    rows = rows.repartition("h1")  # else the window's keys would travel beside the packed column
     place = F.col("h2_place").bitwiseAND(F.lit(0xFFFFFFFF))
     order = F.row_number().over(Window.partitionBy("h1", F.shiftright("h2_place", 32)).orderBy("doc", place))
     return rows.withColumn("n", order).where("n > 1").select("doc", place.alias("place"))
