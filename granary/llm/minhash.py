@@ -2,8 +2,9 @@
 
 A document's set is its distinct five-word shingles. Each of 63 permutations gives two values of its signature,
 the least and the greatest hash, so 126 values cost 63 evaluations; both agree between two sets with the
-probability of their similarity. 25 bands of five values find candidates: a pair at a similarity of 0.85 shares
-none with a probability of 4e-7. Candidates are confirmed on full sets.
+probability of their similarity. Bands of values find candidates: plan() takes the widest bands of which a pair
+at the asked similarity shares none with a probability of 1e-6 at most (25 bands of five values and 4e-7 at 0.85,
+31 of four and 8e-8 at 0.80). Candidates are confirmed on full sets.
 
 Copies of one set are one node throughout. In every bucket the members are compared with the bucket's least
 document; members that are then not known to be connected meet in blocks of bounded size, from which only
@@ -17,6 +18,9 @@ ignored.
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,15 +31,34 @@ from .shared import keep
 from .words import _BASES, _rolled, find_words, mix, text_slices, windows
 
 SHINGLE = 5
-PERMUTATIONS, BANDS, ROWS = 63, 25, 5
+PERMUTATIONS = 63
 BLOCK = 256  # members of a bucket that are compared at a time, and of a hub's salt
-ESTIMATE = 0.68  # agreeing values of a signature; pairs below are no candidates in the second round: 5.3 standard errors under 0.85
+UNSHARED, UNDER = 1e-6, 1e-7  # chances that a pair at the asked similarity shares no band, or has fewer agreeing values than asked
 _rng = np.random.default_rng(85)
 _FACTORS = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MASKS = _rng.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64)
 SIGNATURES = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, signature binary"
 
 
+class Plan(NamedTuple):
+    bands: int
+    rows: int
+    agree: int  # equal values of two signatures; pairs with fewer are no candidates in the second round
+
+
+def plan(percent: int) -> Plan:
+    """Bands and the least agreement that keep pairs at `percent` but for UNSHARED and UNDER."""
+    values, s = 2 * PERMUTATIONS, percent / 100
+    wide = [r for r in range(1, values + 1) if 0 < s <= 1 and (1 - s**r) ** (values // r) <= UNSHARED]
+    if not wide:
+        raise ValueError(f"{values} values do not find pairs at a similarity of {percent} percent")
+    agree, under = 0, (1 - s) ** values
+    while under <= UNDER and agree < values:
+        agree += 1
+        under += math.comb(values, agree) * s**agree * (1 - s) ** (values - agree)
+    return Plan(values // wide[-1], wide[-1], agree)
+
+
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct shingle hashes of all texts, bounds of each text's own)."""
     words = find_words(texts, lower=True)
@@ -64,7 +87,7 @@ def min_max(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, bands_of: int, rows_of: int) -> DataFrame:
     """Set size, a 128-bit name of the set, band keys and a 16-bit signature of every whole text."""
 
     def run(batches):
@@ -81,11 +104,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                     s1[some] = np.add.reduceat(mix(sets, 21), inner[:-1])
                     s2[some] = np.add.reduceat(mix(sets, 22), inner[:-1])
                     values = min_max(sets, inner)
-                    keys = np.empty((len(some), BANDS), dtype=np.uint64)
-                    for b in range(BANDS):
+                    keys = np.empty((len(some), bands_of), dtype=np.uint64)
+                    for b in range(bands_of):
                         key = np.full(len(some), b + 1, dtype=np.uint64)
-                        for r in range(ROWS):
-                            key = mix(key ^ values[:, b * ROWS + r], 3)
+                        for r in range(rows_of):
+                            key = mix(key ^ values[:, b * rows_of + r], 3)
                         keys[:, b] = key
                     small = mix(values, 5).astype(np.uint16)
                     for i, own, bits in zip(some.tolist(), keys.view(np.int64).tolist(), small):
@@ -156,7 +179,7 @@ def _set_rows(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles binary")
 
 
-def _across_labels(members: DataFrame, links: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _across_labels(members: DataFrame, links: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, agree: int) -> DataFrame:
     """Confirmed (a, b) links of one bucket's members under different labels, neither being the bucket's hub.
 
     Blocks of a bucket meet two at a time and hold their members' sets, so that only links leave a task. A pair
@@ -187,7 +210,7 @@ def _across_labels(members: DataFrame, links: DataFrame, reps: DataFrame, texts:
                     go = (b.labels != a.labels[i]) & (b.ids != a.ids[i]) & ~(b.bands[:, :band] == a.bands[i, :band]).any(axis=1)
                     go &= 100 * np.minimum(b.sizes, a.sizes[i]) >= percent * np.maximum(b.sizes, a.sizes[i])
                     at = np.flatnonzero(go)
-                    for j in at[(b.signatures[at] == a.signatures[i]).mean(axis=1) >= ESTIMATE].tolist() if len(at) else ():
+                    for j in at[(b.signatures[at] == a.signatures[i]).sum(axis=1) >= agree].tolist() if len(at) else ():
                         common = len(a.set(i).intersection(b.list(j)))
                         if 100 * common >= percent * int(a.sizes[i] + b.sizes[j] - common):
                             out_a.append(max(a.ids[i], b.ids[j]))
@@ -202,7 +225,7 @@ class _Block:
 
     def __init__(self, rows: pa.StructArray):
         self.ids, self.labels = rows.field("id").to_numpy(), rows.field("label").to_numpy()
-        self.bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), BANDS)
+        self.bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), -1)
         self.signatures = np.frombuffer(b"".join(rows.field("signature").to_pylist()), dtype=np.uint16).reshape(len(rows), 2 * PERMUTATIONS)
         self._raw = rows.field("shingles").to_pylist()
         self.sizes = np.array([len(r) // 8 for r in self._raw])
@@ -222,7 +245,8 @@ class _Block:
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
-    signed = keep(signatures(docs))
+    how = plan(percent)
+    signed = keep(signatures(docs, how.bands, how.rows))
     sets = signed.where("n_shingles > 0 and doc_id is not null")
     copies = keep(sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("s1", "s2", "rep"))
     named = sets.join(copies, ["s1", "s2"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
@@ -237,7 +261,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     first = members.where(F.col("id") != F.col("hub")).where(_sizes_allow("n_shingles", "hub_size", percent)).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     links = keep(confirm(first, texts, percent))
-    second = _across_labels(members, links, reps, texts, percent)
+    second = _across_labels(members, links, reps, texts, percent, how.agree)
     found = components(links.unionByName(second).unionByName(same_set))
     out = signed.select("doc_id", "n_shingles").join(found.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")

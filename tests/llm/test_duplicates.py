@@ -137,3 +137,36 @@ def test_texts_without_repeats(spark):
     assert out.columns == ["doc_id", "text", "n_chars"]
     assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, f"a  b {passage}", 9), (2, "end here", 8), (2, "", 0), (3, None, None)], key=str)
     assert substring.removed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def least_linked(rows, percent):
+    sets, least = {i: shingles(t) for i, t in rows}, {i: i for i, _ in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and (k := len(sets[a] & sets[b])) and 100 * k >= percent * (len(sets[a]) + len(sets[b]) - k)]
+    for _ in sets:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+@pytest.mark.parametrize("percent", [80, 60])
+def test_near_duplicates_at_other_similarities(spark, monkeypatch, percent):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rng, texts = random.Random(percent), [t for s in range(3) for t in family(s, 20)]
+    for i in range(150):  # pairs just above and just under: a copy whose end is another
+        words = [f"q{i}x{k}" for k in range(204)]
+        common = round(400 * percent / (100 + percent)) + rng.randrange(-3, 5)
+        texts += [" ".join(words), " ".join(words[: common + 4] + [f"o{i}x{k}" for k in range(200 - common)])]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent).collect()}
+    assert got == least_linked(rows, percent)
+
+
+def test_plan_holds_at_every_similarity():
+    for percent in range(11, 101):
+        bands, rows, agree = minhash.plan(percent)
+        assert bands * rows <= 2 * minhash.PERMUTATIONS and (1 - (percent / 100) ** rows) ** bands <= 1e-6
+        assert percent == 100 or agree / 126 < percent / 100
+    assert minhash.plan(85)[:2] == (25, 5)
+    for percent in (0, 10, 101):
+        with pytest.raises(ValueError):
+            minhash.plan(percent)
