@@ -406,13 +406,13 @@ def credit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.credit_institution_lines(t).select("org", "seq", "line_idx", "line")
 
 
-def _old_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = a.obs(spark, sf_dir).where("seq % 3 = 0").groupBy("org").agg(F.min_by(F.struct("name", "email", "branch", "employees"), "seq").alias("r")).select(F.col("org").alias("org_nr"), "r.*")
+def _old_leads(spark: SparkSession, sf_dir: str, of: str = "seq % 3 = 0") -> DataFrame:
+    first = a.obs(spark, sf_dir).where(of).groupBy("org").agg(F.min_by(F.struct("name", "email", "branch", "employees"), "seq").alias("r")).select(F.col("org").alias("org_nr"), "r.*")
     return first.withColumns({"resolved": F.col("employees") % 3 == 0, "notes": F.concat(F.lit("n"), F.col("org_nr"))})
 
 
-def _new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return a.obs(spark, sf_dir).where("seq % 3 = 1").select(F.col("org").alias("org_nr"), "seq", "name", "email", "branch", "employees")
+def _new_rows(spark: SparkSession, sf_dir: str, of: str = "seq % 3 = 1") -> DataFrame:
+    return a.obs(spark, sf_dir).where(of).select(F.col("org").alias("org_nr"), "seq", "name", "email", "branch", "employees")
 
 
 _UPSERT = """SELECT coalesce(e.org_nr, i.org_nr) AS org_nr, CASE WHEN i.org_nr IS NOT NULL THEN i.name ELSE e.name END AS name, CASE WHEN i.org_nr IS NOT NULL THEN i.email ELSE e.email END AS email,
@@ -425,8 +425,8 @@ def leads_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crm.upsert_leads(_old_leads(spark, sf_dir), _new_rows(spark, sf_dir))
 
 
-def _patches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0")
+def _patches(spark: SparkSession, sf_dir: str, of: str = "o_orderkey % 4 = 0") -> DataFrame:
+    o = table(spark, sf_dir, "orders").where(of)
     column = F.element_at(F.array(*map(F.lit, ("notes", "branch", "secret"))), (F.col("o_orderkey") % 3 + 1).cast("int"))
     return o.select(F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("org_nr"), F.col("o_orderkey").alias("seq"), column.alias("column"), F.when(F.col("o_orderkey") % 5 > 0, F.concat(F.lit("p"), F.col("o_orderkey").cast("string"))).alias("value"))
 
@@ -446,8 +446,12 @@ def leads_patch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT org_nr, employees, CAST(n AS BOOLEAN) AS resolved, CASE WHEN n IS DISTINCT FROM r OR employees % 2 = 0 THEN '2026-01-01' END AS updated_at, CASE WHEN n IS DISTINCT FROM r AND n THEN '2026-01-01' END AS resolved_at FROM (
  SELECT org_nr, employees, resolved AS r, CASE WHEN employees % 4 = 0 THEN NOT resolved ELSE resolved END AS n FROM old_leads)""", "old_leads")
 def leads_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stamped(_old_leads(spark, sf_dir))
+
+
+def _stamped(old: DataFrame) -> DataFrame:
     empty = F.lit(None).cast("string")
-    old = _old_leads(spark, sf_dir).withColumns({"updated_at": empty, "resolved_at": empty})
+    old = old.withColumns({"updated_at": empty, "resolved_at": empty})
     new = old.withColumns({"notes": F.when(F.col("employees") % 2 == 0, "changed").otherwise(F.col("notes")), "resolved": F.when(F.col("employees") % 4 == 0, ~F.col("resolved")).otherwise(F.col("resolved"))})
     return crm.stamp_changes(new, old, F.lit("2026-01-01")).select("org_nr", "employees", "resolved", "updated_at", "resolved_at")
 
@@ -554,3 +558,55 @@ def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def token_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.matched_token_lines(_tokens(spark, sf_dir), ("skulder", "resultat"))
+
+
+# The queries above give their roles to a part of the rows; those below to all rows of the table.
+_EACH = "true"
+
+
+def _of_all(name: str, *parts: tuple[str, str]) -> str:
+    """The SQL of a query above, with other conditions for its roles."""
+    sql = ORACLES[name]
+    for old, new in parts:
+        assert old in sql
+        sql = sql.replace(old, new)
+    return sql
+
+
+_ALL_LEADS, _ALL_PATCHES = ("WHERE seq % 3 = 0", f"WHERE {_EACH}"), ("WHERE o_orderkey % 4 = 0", f"WHERE {_EACH}")
+
+
+@query(_of_all("blended_lines", ("line_idx % 3 = 0", "line_idx % 2 = 1")))
+def blended_lines_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _valued(_matched(spark, sf_dir))
+    return lines.blend_lines(m.where("line_idx % 2 = 0"), m.where("line_idx % 2 = 1"), ["doc_id", "keyword"]).select("doc_id", "keyword", "n", "from_first", "line")
+
+
+@query(_of_all("leads_upsert", ("seq % 3 = 1", "seq % 3 <> 0")))
+def leads_upsert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crm.upsert_leads(_old_leads(spark, sf_dir), _new_rows(spark, sf_dir, "seq % 3 <> 0"))
+
+
+@query(_of_all("leads_patch", _ALL_LEADS, _ALL_PATCHES))
+def leads_patch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crm.patch_leads(_old_leads(spark, sf_dir, _EACH), _patches(spark, sf_dir, _EACH), ("notes", "branch", "email", "resolved"))[0]
+
+
+@query(_of_all("leads_patch_status", _ALL_LEADS, _ALL_PATCHES))
+def leads_patch_status_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crm.patch_leads(_old_leads(spark, sf_dir, _EACH), _patches(spark, sf_dir, _EACH), ("notes", "branch", "email", "resolved"))[1]
+
+
+@query(_of_all("leads_stamped", _ALL_LEADS))
+def leads_stamped_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stamped(_old_leads(spark, sf_dir, _EACH))
+
+
+@query(_of_all("lead_counts", _ALL_LEADS))
+def lead_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crm.lead_counts(_old_leads(spark, sf_dir, _EACH), F.coalesce(F.col("branch") == "Industri", F.lit(False)))
+
+
+@query(_of_all("open_leads_of_branch", _ALL_LEADS))
+def open_leads_of_branch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crm.filter_leads(_old_leads(spark, sf_dir, _EACH), "Bemanning", hide_resolved=True).select("org_nr", "branch")
