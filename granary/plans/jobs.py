@@ -17,13 +17,20 @@ def build_leads(observations: DataFrame, rules: Rules = RULES) -> DataFrame:
 
 
 def build_observations(target_list: DataFrame, pages: DataFrame, texts: DataFrame, done: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """One observation for each pending target from its pages (org, html) and report texts (org, text)."""
+    """One observation for each pending target from its pages (org, html, perhaps seq) and report texts (org, text).
+
+    Of an org's pages, by seq and then by a hash of html, the first that says a thing counts; the finance tables of all join.
+    """
     pending = targets.pending_targets(target_list, done).select("org", "name")
     own = pages.join(pending.select("org"), "org", "left_semi")
-    contacts = extract.extract_contacts(own, "org").select("org", "email", "phone")
-    plain = own.select("org", targets.flatten_html(F.col("html")).alias("text"))
-    about = extract.company_facts(plain, "org", rules=rules)
-    tables = extract.finance_tables(own, "org")
+    own = own.withColumn("_at", F.struct(*[c for c in ("seq",) if c in pages.columns], F.xxhash64("html")))
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_at"))).alias(c)
+    contacts = extract.extract_contacts(own, "org", "_at").groupBy("org").agg(*map(first, ("email", "phone")))
+    plain = own.select("org", "_at", targets.flatten_html(F.col("html")).alias("text"))
+    said = extract.company_facts(plain, "org", "_at", rules=rules)
+    about = said.groupBy("org").agg(F.bool_or("is_ab").alias("is_ab"), *map(first, ("reg_year", "employees", "branch", "sni_code")))
+    each = extract.finance_tables(own, "org", "_at")
+    tables = each.groupBy("org").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_at", "tables"))), lambda x: x["tables"])).alias("tables"))
     words = lines.scan_keywords(texts.join(pending.select("org"), "org", "left_semi"), rules.lenders, "org").groupBy("org").agg(F.array_sort(F.collect_set("keyword")).alias("lenderKeywords"))
     out = pending
     for part in (contacts, about, tables, words):

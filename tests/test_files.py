@@ -78,6 +78,18 @@ def test_build_observations(spark):
     assert set(got) == {"0000000001", "0000000002"} and got["0000000001"].regYear == 2001 and got["0000000002"].lenderKeywords == ["Almi"]
 
 
+def test_build_observations_of_many_pages(spark):
+    table = lambda label: f'<table data-test="finance-table"><tr><th class="text-right">2023</th><th class="text-right">2022</th></tr><tr><td><span class="title">{label}</span></td><td class="text-right">5</td><td class="text-right">4</td></tr></table>'
+    wanted = spark.createDataFrame([("0000000001", "A")], "org string, name string")
+    rows = [("0000000001", 3, "<p>Antal anställda: 9 registrerat 1999</p>" + table("Rörelseresultat")), ("0000000001", 1, "<p>Acme registrerat 2001</p>" + table("Nettoomsättning")), ("0000000001", 2, '<p>Acme AB</p><a href="mailto:a@b.se">x</a>')]
+    pages = spark.createDataFrame(rows, "org string, seq long, html string")
+    texts, done = spark.createDataFrame([], "org string, text string"), spark.createDataFrame([], "org string")
+    got = jobs.build_observations(wanted, pages, texts, done).collect()
+    assert [(r.org, r.email, r.regYear, r.employees, r.isAB) for r in got] == [("0000000001", "a@b.se", 2001, 9, True)]
+    assert [t.rawLabel for t in got[0].tables] == ["Nettoomsättning", "Rörelseresultat"]
+    assert jobs.build_observations(wanted, pages.drop("seq"), texts, done).count() == 1
+
+
 def test_rescan(spark):
     obs = spark.createDataFrame([("1", 1, "A"), ("2", 2, "B")], "org string, seq long, name string")
     words = spark.createDataFrame([("1", 1, "Almi")], "org string, seq long, keyword string")
