@@ -1,19 +1,21 @@
 """Near-duplicate documents by min-max hashing.
 
-A document's set is its distinct five-word shingles. Each of 63 permutations gives two values of its signature,
-the least and the greatest hash, so 126 values cost 63 evaluations; both agree between two sets with the
-probability of their similarity. Bands of values find candidates: plan() takes the widest bands of which a pair
-at the asked similarity shares none with a probability of 1e-6 at most (25 bands of five values and 4e-7 at 0.85,
-31 of four and 8e-8 at 0.80). Candidates are confirmed on full sets.
+A document's set is its distinct five-word shingles, each named by 128 bits of hash over the bytes of its words.
+Each of 63 permutations gives two values of its signature, the least and the greatest hash, so 126 values cost
+63 evaluations; both agree between two sets with the probability of their similarity. Bands of values find
+candidates: plan() takes the widest bands of which a pair at the asked similarity shares none with a probability
+of 1e-6 at most (25 bands of five values and 4e-7 at 0.85, 31 of four and 8e-8 at 0.80). Candidates are confirmed
+on full sets.
 
 Copies of one set are one node throughout. In every bucket the members are compared with the bucket's least
-document; members that are then not known to be connected meet in blocks of bounded size, from which only
-confirmed links come out. So no link is lost to a bucket's size, and a bucket's pairs are never listed.
-
-Defined results: documents without words or text have 0 shingles and are their own component; rows with the
-same doc_id are one document of the table, linked by the text of any of them; a null doc_id has a null
-component and is kept; ties go to the smallest doc_id; an empty table gives an empty result; other columns are
-ignored.
+document; members that are then not known to be connected meet in blocks of bounded size, by rows and by bytes,
+each pair of blocks by itself. Only links that connect what its task has not yet connected come out, so no link
+that matters is lost to a bucket's size, and a bucket's pairs are never listed.
+
+Defined results: documents without words or text have 0 shingles and are their own component; very long texts
+count whole, with all of their shingles; rows with the same doc_id are one document of the table, linked by the
+text of any of them (one_of_each() counts every row by itself); a null doc_id has a null component and is kept;
+ties go to the smallest doc_id; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,9 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import block_pairs, in_blocks
 from .components import components
-from .shared import keep
-from .words import _BASES, _rolled, find_words, mix, text_slices, windows
+from .shared import by_bytes, free_names, keep
+from .words import find_words, mix, short_texts, text_slices, windows
 
 SHINGLE = 5
 PERMUTATIONS = 63
@@ -59,21 +62,50 @@ def plan(percent: int) -> Plan:
     return Plan(values // wide[-1], wide[-1], agree)
 
 
-def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct shingle hashes of all texts, bounds of each text's own)."""
+class Sets(NamedTuple):
+    h: np.ndarray  # two hashes of each distinct shingle, by text and then by h
+    g: np.ndarray
+    bounds: np.ndarray  # shingles bounds[i] to bounds[i + 1] belong to text i
+
+    def of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(self.bounds[i], self.bounds[i + 1])
+        return self.h[own], self.g[own]
+
+
+def shingle_sets(texts: pa.Array) -> Sets:
     words = find_words(texts, lower=True)
-    hashes, counts = words.hashes(), words.counts
-    firsts, h = windows(hashes, words.ptr, SHINGLE)
+    lanes, counts = words.hashes(2), words.counts
+    _, h, g = windows(lanes, words.ptr, SHINGLE)
     text_of = np.repeat(np.arange(len(counts)), np.maximum(counts - (SHINGLE - 1), 0))
     short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
     if len(short):
-        whole = mix(_rolled(hashes, words.ptr[short], words.ptr[short + 1], _BASES[1]), 7)
-        h, text_of = np.concatenate([h, whole]), np.concatenate([text_of, short])
+        whole = short_texts(lanes, words.ptr, short, SHINGLE)
+        h, g, text_of = np.concatenate([h, whole[0]]), np.concatenate([g, whole[1]]), np.concatenate([text_of, short])
     order = np.lexsort((h, text_of))
-    h, text_of = h[order], text_of[order]
-    new = np.ones(len(h), dtype=bool)
-    new[1:] = (h[1:] != h[:-1]) | (text_of[1:] != text_of[:-1])
-    return h[new], np.searchsorted(text_of[new], np.arange(len(counts) + 1))
+    again = _repeats(h, text_of, order)
+    if (g[order[1:]] != g[order[:-1]])[again].any():  # two shingles under one first hash
+        order = np.lexsort((g, h, text_of))
+        again = _repeats(h, text_of, order) & (g[order[1:]] == g[order[:-1]])
+    order = order[np.concatenate([[True], ~again])] if len(order) else order
+    return Sets(h[order], g[order], np.searchsorted(text_of[order], np.arange(len(counts) + 1)))
+
+
+def _repeats(h: np.ndarray, text_of: np.ndarray, order: np.ndarray) -> np.ndarray:
+    a, b = order[:-1], order[1:]
+    return (h[b] == h[a]) & (text_of[b] == text_of[a])
+
+
+def common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
+    """Shingles that two sets share, by both hashes."""
+    if not len(a[0]) or not len(b[0]):
+        return 0
+    at = np.minimum(np.searchsorted(a[0], b[0]), len(a[0]) - 1)
+    return int(((a[0][at] == b[0]) & (a[1][at] == b[1])).sum())
+
+
+def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], percent: int) -> bool:
+    shared = common(a, b)
+    return 100 * shared >= percent * (len(a[0]) + len(b[0]) - shared)
 
 
 def min_max(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -93,17 +125,17 @@ def signatures(docs: DataFrame, bands_of: int, rows_of: int) -> DataFrame:
     def run(batches):
         for whole in batches:
             for batch in text_slices(whole, "text", 1 << 20):
-                sets, bounds = shingle_sets(batch.column("text"))
-                n = np.diff(bounds)
+                sets = shingle_sets(batch.column("text"))
+                n = np.diff(sets.bounds)
                 some = np.flatnonzero(n > 0)
                 s1, s2 = (np.zeros(len(n), dtype=np.uint64) for _ in range(2))
                 bands: list = [[]] * len(n)
                 signature: list = [b""] * len(n)
                 if len(some):
-                    inner = np.append(bounds[some], bounds[-1])
-                    s1[some] = np.add.reduceat(mix(sets, 21), inner[:-1])
-                    s2[some] = np.add.reduceat(mix(sets, 22), inner[:-1])
-                    values = min_max(sets, inner)
+                    inner = np.append(sets.bounds[some], sets.bounds[-1])
+                    s1[some] = np.add.reduceat(mix(sets.h, 21), inner[:-1])
+                    s2[some] = np.add.reduceat(mix(sets.g, 22), inner[:-1])
+                    values = min_max(sets.h, inner)
                     keys = np.empty((len(some), bands_of), dtype=np.uint64)
                     for b in range(bands_of):
                         key = np.full(len(some), b + 1, dtype=np.uint64)
@@ -116,7 +148,7 @@ def signatures(docs: DataFrame, bands_of: int, rows_of: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array(bands, pa.list_(pa.int64())), pa.array(signature, pa.binary())],
                                                  ["doc_id", "n_shingles", "s1", "s2", "bands", "signature"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SIGNATURES)
+    return by_bytes(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SIGNATURES)
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -126,31 +158,25 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     holds one b's set at a time.
     """
     pairs = keep(pairs)
-    salts = pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
+    salts = keep(pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts")))
     members = pairs.join(salts, "b").select(F.col("a").alias("doc_id"), "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"))
     hubs = salts.select(F.col("b").alias("doc_id"), "b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     rows = members.withColumn("hub", F.lit(False)).unionByName(hubs.withColumn("hub", F.lit(True))).join(texts, "doc_id")
 
     def run(batches):
-        at, sets = object(), []
+        at, hubs_of = object(), []
         for whole in batches:
             for batch in text_slices(whole, "text"):
-                h, bounds = shingle_sets(batch.column("text"))
+                sets = shingle_sets(batch.column("text"))
                 out_a, out_b = [], []
                 for i, (doc, b, salt, hub) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "b", "salt", "hub")))):
-                    own = h[bounds[i] : bounds[i + 1]]
                     if (b, salt) != at:
-                        at, sets = (b, salt), []
+                        at, hubs_of = (b, salt), []
                     if hub:
-                        sets.append(set(own.tolist()))
-                        continue
-                    mine = own.tolist()
-                    for other in sets:
-                        common = len(other.intersection(mine))
-                        if 100 * common >= percent * (len(mine) + len(other) - common):
-                            out_a.append(doc)
-                            out_b.append(b)
-                            break
+                        hubs_of.append(tuple(x.copy() for x in sets.of(i)))
+                    elif any(similar(other, sets.of(i), percent) for other in hubs_of):
+                        out_a.append(doc)
+                        out_b.append(b)
                 yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
     return rows.repartition("b", "salt").sortWithinPartitions("b", "salt", F.desc("hub")).select("doc_id", "b", "salt", "hub", "text").mapInArrow(run, "a long, b long").distinct()
@@ -168,79 +194,90 @@ def _labels(links: DataFrame) -> DataFrame:
 
 
 def _set_rows(texts: DataFrame) -> DataFrame:
-    """(doc_id, shingles): each text's sorted distinct shingle hashes as bytes."""
+    """(doc_id, shingles): the two hashes of each text's distinct shingles as bytes."""
 
     def run(batches):
         for whole in batches:
             for batch in text_slices(whole, "text"):
-                h, bounds = shingle_sets(batch.column("text"))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([h[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:])], pa.binary())], ["doc_id", "shingles"])
+                sets = shingle_sets(batch.column("text"))
+                raw = [b"".join(x.tobytes() for x in sets.of(i)) for i in range(batch.num_rows)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(raw, pa.binary())], ["doc_id", "shingles"])
 
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles binary")
 
 
 def _across_labels(members: DataFrame, links: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, agree: int) -> DataFrame:
-    """Confirmed (a, b) links of one bucket's members under different labels, neither being the bucket's hub.
+    """Confirmed (a, b) links that connect a bucket's members under different labels, neither being its hub.
 
-    Blocks of a bucket meet two at a time and hold their members' sets, so that only links leave a task. A pair
-    is looked at in the first band that it shares.
+    Blocks of a bucket meet two at a time and hold their members' sets. A pair is looked at in the first band
+    that it shares, unless links found before in the same task have connected it.
     """
     labels = _labels(links)
     m = members.where("id != hub").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    open_ = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("key", "n")
-    m = keep(m.join(open_, "key"))
-    own = m.groupBy("key", "label").agg(F.count("*").alias("own"))
-    # a label with more than a block has blocks to itself, so that pairs of its blocks needn't meet
-    block = F.when(F.col("own") > BLOCK, F.xxhash64("label", F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / BLOCK)))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("n") / BLOCK)))
+    open_ = keep(m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key"))
+    m = keep(m.join(open_, "key").select("key", "band", "id", "label"))
     wanted = m.select("id").distinct()
-    held = reps.join(wanted, "id").join(_set_rows(texts.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")).withColumnRenamed("doc_id", "id"), "id")
-    rows = m.join(own, ["key", "label"]).withColumn("block", block).select("id", "key", "band", "label", "block").join(held.select("id", "bands", "signature", "shingles"), "id")
-    item = F.struct("id", "label", "bands", "signature", "shingles")
-    blocks = keep(rows.groupBy("key", "band", "block").agg(F.collect_list(item).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")))
-    other = blocks.select("key", *[F.col(c).alias(f"{c}2") for c in ("block", "rows", "lo", "hi")])
-    met = blocks.join(other, "key").where("block <= block2 and not (lo = hi and lo2 = hi2 and lo = lo2)")
+    sets = _set_rows(texts.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")).withColumnRenamed("doc_id", "id")
+    held = keep(reps.join(wanted, "id").select("id", "bands", "signature").join(sets, "id"))
+    rows = m.join(held, "id")
+    keys = ["key", "band"]
+    blocks = in_blocks(rows, keys, BLOCK, "id", "label", "bands", "signature", "shingles", weight=F.octet_length("shingles") + F.octet_length("signature"))
+    labels_of = F.transform("rows", lambda x: x["label"])
+    blocks = keep(blocks.withColumns({"lo": F.array_min(labels_of), "hi": F.array_max(labels_of)}))
+    met = block_pairs(blocks, keys, "band", where="not (lo = hi and lo2 = hi2 and lo = lo2)")
 
     def run(batches):
         for batch in batches:
             out_a, out_b = [], []
             for band, left, right in zip(batch.column("band").to_pylist(), batch.column("rows"), batch.column("rows2")):
                 a, b = _Block(left.values), _Block(right.values)
+                known = _Joined()
                 for i in range(len(a.ids)):
                     # an earlier band in common has seen the pair
                     go = (b.labels != a.labels[i]) & (b.ids != a.ids[i]) & ~(b.bands[:, :band] == a.bands[i, :band]).any(axis=1)
                     go &= 100 * np.minimum(b.sizes, a.sizes[i]) >= percent * np.maximum(b.sizes, a.sizes[i])
                     at = np.flatnonzero(go)
                     for j in at[(b.signatures[at] == a.signatures[i]).sum(axis=1) >= agree].tolist() if len(at) else ():
-                        common = len(a.set(i).intersection(b.list(j)))
-                        if 100 * common >= percent * int(a.sizes[i] + b.sizes[j] - common):
+                        if known.apart(a.labels[i], b.labels[j]) and similar(a.set(i), b.set(j), percent):
+                            known.join(a.labels[i], b.labels[j])
                             out_a.append(max(a.ids[i], b.ids[j]))
                             out_b.append(min(a.ids[i], b.ids[j]))
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    return met.select("band", "rows", "rows2").mapInArrow(run, "a long, b long").distinct()
+    return met.mapInArrow(run, "a long, b long").distinct()
+
+
+class _Joined:
+    """Labels that links have connected within one pair of blocks."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        while (up := self.above.get(x, x)) != x:
+            x = up
+        return x
+
+    def apart(self, x: int, y: int) -> bool:
+        return self.top(x) != self.top(y)
+
+    def join(self, x: int, y: int) -> None:
+        self.above[self.top(x)] = self.top(y)
 
 
 class _Block:
-    """Members of a bucket as arrays; their shingles become Python sets only where a pair asks for them."""
+    """Members of a bucket as arrays."""
 
     def __init__(self, rows: pa.StructArray):
         self.ids, self.labels = rows.field("id").to_numpy(), rows.field("label").to_numpy()
         self.bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), -1)
         self.signatures = np.frombuffer(b"".join(rows.field("signature").to_pylist()), dtype=np.uint16).reshape(len(rows), 2 * PERMUTATIONS)
         self._raw = rows.field("shingles").to_pylist()
-        self.sizes = np.array([len(r) // 8 for r in self._raw])
-        self._lists: dict[int, list[int]] = {}
-        self._sets: dict[int, set[int]] = {}
+        self.sizes = np.array([len(r) // 16 for r in self._raw])
 
-    def list(self, i: int) -> list[int]:
-        if i not in self._lists:
-            self._lists[i] = np.frombuffer(self._raw[i], dtype=np.uint64).tolist()
-        return self._lists[i]
-
-    def set(self, i: int) -> set[int]:
-        if i not in self._sets:
-            self._sets[i] = set(self.list(i))
-        return self._sets[i]
+    def set(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        both = np.frombuffer(self._raw[i], dtype=np.uint64)
+        return both[: len(both) // 2], both[len(both) // 2 :]
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -254,7 +291,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     reps = named.where("rep = doc_id").select(F.col("doc_id").alias("id"), "n_shingles", "bands", "signature").dropDuplicates(["id", "bands"])
 
     banded = reps.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
-    hubs = banded.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("h"), F.count("*").alias("n")).where("n > 1").select("key", F.col("h.id").alias("hub"), F.col("h.n_shingles").alias("hub_size"))
+    # a table of its own, so that the join below may split a hot key's rows
+    hubs = keep(banded.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("h"), F.count("*").alias("n")).where("n > 1").select("key", F.col("h.id").alias("hub"), F.col("h.n_shingles").alias("hub_size")))
     members = keep(banded.join(hubs, "key"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = keep(texts.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"))
@@ -266,3 +304,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     out = signed.select("doc_id", "n_shingles").join(found.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """docs with one row of each group of linked rows: the one with the least doc_id, null last.
+
+    Rows count by themselves even where they share a doc_id or have none; only then are they numbered first.
+    """
+    found, number = free_names(docs, "_found", "_row")
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("doc_id is null or n > 1").isEmpty():
+        gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias(found))
+        return docs.join(gone, F.col("doc_id").cast("long") == F.col(found), "left_anti")
+    rows = keep(docs.withColumn(number, F.monotonically_increasing_id()))
+    groups = near_duplicates(rows.select(F.col(number).alias("doc_id"), "text"), percent).select(F.col("doc_id").alias(number), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", number))
+    kept = rows.select(number, "doc_id").join(groups, number).groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{number}").alias(found))
+    return rows.join(kept, F.col(number) == F.col(found), "left_semi").drop(number)

@@ -53,7 +53,7 @@ def statistics(words: Words) -> np.ndarray:
             counts.append(np.where(n > 0, sums[words.ends[last]] - sums[words.starts[first]], 0).astype(np.float64))
         else:
             counts.append(np.zeros(len(n)))
-    hashes = words.hashes()
+    (hashes,) = words.hashes()
     text_of = np.repeat(np.arange(len(n)), words.counts)
     order = np.lexsort((hashes, text_of))
     sorted_hashes, sorted_text = hashes[order], text_of[order]

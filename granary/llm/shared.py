@@ -1,4 +1,4 @@
-"""What the operators share: kept tables, label folds and bounded labelled samples."""
+"""What the operators share: kept tables, label folds, bounded labelled samples and small Arrow batches."""
 
 from __future__ import annotations
 
@@ -7,7 +7,30 @@ from pyspark.sql import functions as F
 
 from ..plans.storage import keep
 
-__all__ = ["fold_of", "held_out", "keep", "labelled_sample"]
+__all__ = ["by_bytes", "fold_of", "free_names", "held_out", "keep", "labelled_sample"]
+
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def by_bytes(df: DataFrame, most: str = "64m") -> DataFrame:
+    """df, in a session whose Arrow batches end at about `most` bytes, however many rows that is.
+
+    Rows are whole texts or blocks here, so a bound on rows alone lets batches grow with the texts.
+    """
+    df.sparkSession.conf.set(_BATCH_BYTES, most)
+    return df
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns: those wanted, with underscores before them where df has such a column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def fold_of(doc_id: Column) -> Column:
@@ -29,4 +52,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     known = labels.where(F.col(label).isNotNull() & (fold_of(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     picked = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     ids = picked[0].unionByName(picked[1])
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return by_bytes(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"))

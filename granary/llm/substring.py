@@ -7,29 +7,34 @@ every repeated window passes; the few others that pass are harmless. A second pa
 those windows exactly, by 96-bit hashes: the first of a group stays, words under the others go.
 
 Within a block all occurrences but the first are settled on the spot, so a window that stands in a third of all
-documents brings one row a block to the exact grouping, however often it stands there.
+documents brings one row a block to the exact grouping, however often it stands there. Rows that share a doc_id
+and hold more text than a block are dealt over several, by ranges of their texts' hashes.
 
-Defined results: null and empty texts have no words; documents of fewer than 20 words keep all; order is by
-doc_id, null first, then by the text itself among rows that share a doc_id, then by start; repeated rows are
-passages of each other; an empty table gives an empty result; other columns pass through.
+Defined results: null and empty texts have no words; documents of fewer than 20 words keep all; a very long text
+counts whole and is a block of its own; order is by doc_id, null first, then by a hash of the text among rows that
+share a doc_id, then by start; repeated rows are passages of each other; an empty table gives an empty result;
+other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 from itertools import compress
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import by_bytes, free_names, keep
 from .words import find_words, mix, text_slices, windows
 
 WINDOW = 20
 DEPTH = 2
 BLOCK_BYTES = 4 << 20  # of text a block
+TASK_BYTES = 64 << 20  # of text a task
 CELLS_A_WINDOW = 4  # cells of each row for each window
 SHARD_WINDOWS = 1 << 21  # windows a merged range of cells stands for; 2 * CELLS_A_WINDOW bytes each at most
 
@@ -57,7 +62,7 @@ def block_windows(texts: pa.Array) -> tuple[np.ndarray, ...]:
     ptr, firsts, h1, h2 = [np.zeros(1, dtype=np.int64)], [], [], []
     for part in text_slices(batch, "text"):
         words = find_words(part.column(0))
-        f, a, b = windows(words.hashes(), words.ptr, WINDOW, lanes=2)
+        f, a, b = windows(words.hashes(2), words.ptr, WINDOW)
         base = ptr[-1][-1]
         firsts.append(f + base)
         h1.append(a)
@@ -79,9 +84,17 @@ def _covered(n_words: int, firsts: np.ndarray) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def _ordered(block: pa.Table) -> pa.Table:
-    """A block's rows by document; the hash of the text parts rows that share a doc_id."""
-    return block.sort_by([("_doc", "ascending"), ("_hash", "ascending")])
+class _Names(NamedTuple):
+    """Helper columns of a block: place in the order of documents, hash of the text, block and salt."""
+
+    doc: str
+    hash: str
+    block: str
+    salt: str
+
+    def ordered(self, block: pa.Table) -> pa.Table:
+        """A block's rows by document; the hash of the text parts rows that share a doc_id."""
+        return block.sort_by([(self.doc, "ascending"), (self.hash, "ascending")])
 
 
 def _settle(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
@@ -98,14 +111,14 @@ def _settle(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     return first
 
 
-def later_windows(blocks: DataFrame, expected: int) -> DataFrame:
-    """(_block, place): windows, by their place in their block's order, that start earlier in another block."""
+def later_windows(blocks: DataFrame, expected: int, names: _Names) -> DataFrame:
+    """(doc, salt, place): windows, by their place in their block's order, that start earlier in another block."""
     bits = min(40, max(16, int(CELLS_A_WINDOW * expected - 1).bit_length()))
     shard_bits = max(0, int(expected // SHARD_WINDOWS).bit_length())
     inner_bits = bits - shard_bits
 
     def sketch(block):
-        _, _, h1, h2 = block_windows(_ordered(block).column("text").combine_chunks())
+        _, _, h1, h2 = block_windows(names.ordered(block).column("text").combine_chunks())
         shards, packed = [], []
         for row in range(DEPTH):
             cells = np.unique(_cells(h1, h2, row, bits))
@@ -114,7 +127,7 @@ def later_windows(blocks: DataFrame, expected: int) -> DataFrame:
                 if len(part):
                     shards.append(row << shard_bits | shard)
                     packed.append(_pack(part - (np.uint64(shard) << np.uint64(inner_bits))))
-        number = block.column("_block")[0].as_py()
+        number = block.column(names.block)[0].as_py()
         return pa.table({"shard": pa.array(shards, pa.int32()), "_block": pa.array([number] * len(shards), pa.int64()), "cells": pa.array(packed, pa.binary())})
 
     def merge(parts):
@@ -128,12 +141,12 @@ def later_windows(blocks: DataFrame, expected: int) -> DataFrame:
         shard = parts.column("shard")[0].as_py()
         return pa.table({"_block": pa.array([n for n, _ in found], pa.int64()), "shard": pa.array([shard] * len(found), pa.int32()), "cells": pa.array([c for _, c in found], pa.binary())})
 
-    asked = pa.schema([("h1", pa.int64()), ("h2_place", pa.int64()), ("doc", pa.int64())])
+    asked = pa.schema([("h1", pa.int64()), ("h2_place", pa.int64()), ("doc", pa.int64()), ("salt", pa.int32())])
 
     def suspects(block, shared):
         if not block.num_rows or not shared.num_rows:
             return asked.empty_table()
-        block = _ordered(block)
+        block = names.ordered(block)
         ptr, firsts, h1, h2 = block_windows(block.column("text").combine_chunks())
         there: list[list[np.ndarray]] = [[] for _ in range(DEPTH)]
         for shard, raw in sorted(zip(shared.column("shard").to_pylist(), shared.column("cells").to_pylist())):
@@ -145,46 +158,57 @@ def later_windows(blocks: DataFrame, expected: int) -> DataFrame:
             merged = np.concatenate(there[row])
             own = _cells(h1[places], h2[places], row, bits)
             places = places[merged[np.minimum(np.searchsorted(merged, own), len(merged) - 1)] == own]
-        docs = block.column("_doc").to_numpy()[np.searchsorted(ptr, firsts[places], side="right") - 1]
+        text_of = np.searchsorted(ptr, firsts[places], side="right") - 1
+        docs, salts = block.column(names.doc).to_numpy()[text_of], block.column(names.salt).to_numpy()[text_of]
         both = (h2[places] >> np.uint64(32) << np.uint64(32)) | places.astype(np.uint64)  # a block has fewer than 2**32 windows
-        return pa.Table.from_arrays([pa.array(h1[places].view(np.int64)), pa.array(both.view(np.int64)), pa.array(docs)], schema=asked)
+        return pa.Table.from_arrays([pa.array(h1[places].view(np.int64)), pa.array(both.view(np.int64)), pa.array(docs), pa.array(salts, pa.int32())], schema=asked)
 
-    sketches = blocks.groupBy("_block").applyInArrow(sketch, "shard int, _block long, cells binary")
+    sketches = blocks.groupBy(names.block).applyInArrow(sketch, "shard int, _block long, cells binary")
     shared = sketches.groupBy("shard").applyInArrow(merge, "_block long, shard int, cells binary")
-    rows = blocks.groupBy("_block").cogroup(shared.groupBy("_block")).applyInArrow(suspects, "h1 long, h2_place long, doc long")
+    rows = blocks.groupBy(names.block).cogroup(shared.groupBy("_block")).applyInArrow(suspects, "h1 long, h2_place long, doc long, salt int")
     rows = rows.repartition("h1")  # else the window's keys would travel beside the packed column
     place = F.col("h2_place").bitwiseAND(F.lit(0xFFFFFFFF))
-    order = F.row_number().over(Window.partitionBy("h1", F.shiftright("h2_place", 32)).orderBy("doc", place))
-    return rows.withColumn("n", order).where("n > 1").select("doc", place.alias("place"))
+    order = F.row_number().over(Window.partitionBy("h1", F.shiftright("h2_place", 32)).orderBy("doc", "salt", place))
+    return rows.withColumn("n", order).where("n > 1").select("doc", "salt", place.alias("place"))
+
 
+def _kept_words(text: bytes | None, covered: np.ndarray) -> bytes:
+    words = (text or b"").split()  # ASCII white space, as the word pattern has it
+    return b" ".join(compress(words, (~covered).tolist()) if covered.any() else words)
 
-def _finish(blocks: DataFrame, expected: int, block_of, outputs, schema: str) -> DataFrame:
+
+def _salts(docs: DataFrame, doc: Column) -> DataFrame:
+    """(doc, salts) of the ids whose rows together hold more text than a block; most tables have none."""
+    sizes = docs.groupBy(doc.alias("doc")).agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n"))
+    return keep(sizes.where((F.col("n") > 1) & (F.col("bytes") > BLOCK_BYTES)).select("doc", F.ceil(F.col("bytes") / BLOCK_BYTES).cast("long").alias("salts")))
+
+
+def _run(docs: DataFrame, outputs, schema: str) -> DataFrame:
     """Applies `outputs(block in order, word bounds, covered flags)` to each block."""
+    names = _Names(*free_names(docs, "_doc", "_hash", "_block", "_salt"))
+    id_, salts = free_names(docs, "_id", "_salts")
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    of = lambda doc, salt: F.pmod(F.xxhash64(doc, salt), F.lit(n_bytes // BLOCK_BYTES + 1))
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_bytes // TASK_BYTES)
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))  # null comes first
+    heavy = _salts(docs, doc).select(F.col("doc").alias(id_), F.col("salts").alias(salts))
+    # ranges of the hash, so that salts follow its order
+    salt = F.shiftright((F.shiftright(names.hash, 33) + F.lit(1 << 30)) * F.coalesce(F.col(salts), F.lit(1)), 31).cast("int")
+    known = docs.withColumns({names.doc: doc, names.hash: F.xxhash64("text")}).join(heavy, F.col(names.doc) == F.col(id_), "left")
+    blocks = known.withColumn(names.salt, salt).withColumn(names.block, of(F.col(names.doc), F.col(names.salt))).drop(id_, salts)
+    blocks = by_bytes(blocks).repartition(tasks, names.block)
 
     def finish(block, later):
         if not block.num_rows:
             return outputs(block, np.zeros(1, dtype=np.int64), np.zeros(0, dtype=bool))
-        block = _ordered(block)
+        block = names.ordered(block)
         ptr, firsts, h1, h2 = block_windows(block.column("text").combine_chunks())
         gone = ~_settle(h1, h2)
         gone[later.column("place").to_numpy()] = True
         return outputs(block, ptr, _covered(int(ptr[-1]), firsts[gone]))
 
-    later = later_windows(blocks, expected).select(block_of(F.col("doc")).alias("_block"), "place")
-    return blocks.groupBy("_block").cogroup(later.groupBy("_block")).applyInArrow(finish, schema)
-
-
-def _kept_words(text: bytes | None, covered: np.ndarray) -> bytes:
-    words = (text or b"").split()  # ASCII white space, as the word pattern has it
-    return b" ".join(compress(words, (~covered).tolist()) if covered.any() else words)
-
-
-def _run(docs: DataFrame, outputs, schema: str) -> DataFrame:
-    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    of_doc = lambda doc: F.pmod(F.xxhash64(doc), F.lit(n_bytes // BLOCK_BYTES + 1))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))  # null comes first
-    blocks = docs.withColumns({"_doc": doc, "_hash": F.xxhash64("text"), "_block": of_doc(doc)})
-    return _finish(blocks, n_bytes // 6 + 1, of_doc, outputs, schema)
+    later = later_windows(blocks, n_bytes // 6 + 1, names).select(of(F.col("doc"), F.col("salt")).alias("_block"), "place")
+    return blocks.groupBy(names.block).cogroup(later.groupBy("_block")).applyInArrow(finish, schema)
 
 
 def removed(docs: DataFrame) -> DataFrame:

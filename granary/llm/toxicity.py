@@ -1,14 +1,16 @@
 """Toxicity by maximum-scoring segments.
 
-Each token has a log-odds of standing in a toxic text, by the labelled texts that hold it, with an informative
-Dirichlet prior, lowered by its standard errors. Inflected words share their first letters, so a word scores as
-the best of itself and its first five and four letters. A linear-time scan finds every maximal scoring segment of a text; a segment is significant
-when its extreme-value (Karlin-Altschul) tail under clean texts is small. The document's score is a
-calibrated function of that tail.
-
-Defined results: null and empty texts have no segment and the lowest score; repeated rows are scored alike;
-an empty table gives an empty result; columns of the input besides doc_id and text are ignored. Without
-labelled rows of both classes every score is 0.
+Each token scores its log-odds of standing in a toxic text, by the labelled texts that hold it, with an informative
+Dirichlet prior, drawn towards zero by its standard errors; a token that this leaves nothing scores the same small
+amount below zero as an unknown one. Inflected words share their first letters, so a word scores as the best of
+itself and its first five and four letters. A linear-time scan finds every maximal scoring segment of a text; a
+segment is significant when its extreme-value (Karlin-Altschul) tail under clean texts is small. The document's
+score is a calibrated function of that tail.
+
+Defined results: null and empty texts have no segment and the lowest score; very long texts are scanned whole, in
+linear time; repeated rows are scored alike; of segments with equal scores all are kept, and of equal weights of a
+word's forms it matters not which counts; an empty table gives an empty result; columns of the input besides doc_id
+and text are ignored (drop_toxic() hands them on). Without labelled rows of both classes every score is 0.
 """
 
 from __future__ import annotations
@@ -22,26 +24,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import held_out, keep, labelled_sample
+from .shared import by_bytes, held_out, keep, labelled_sample
 from .words import find_words, mix, text_slices, windows
 
 TOKEN = re.compile(r"[^\W_]+")
+REMEMBERED = 300_000  # words whose scores a worker keeps
 SCORE_SCHEMA = "doc_id long, score double, n_passages int, passages array<struct<start:int,end:int,score:double,p_value:double>>"
 
 
 @dataclass
 class ToxicModel:
-    weights: dict[str, float] = field(default_factory=dict)  # tokens that speak for toxicity; at most `max_tokens`
-    drift: float = 0.25  # what every other token takes off a segment
+    weights: dict[str, float] = field(default_factory=dict)  # what tokens and beginnings score, for toxicity or against it
+    drift: float = 0.1  # what every other token takes off a segment
     lam: float = 1.0  # Gumbel scale and size under clean texts
     k: float = 1.0
     slope: float = 0.0
     bias: float = -50.0
 
-    def __post_init__(self):
-        for w in list(self.weights):  # the first four letters alone tell that a word may have a weight
-            self.weights.setdefault(w[:4], 0.0)
-
     def evidence(self, segments: list[float], n: int) -> float:
         """The extreme-value sum statistic of segment scores in a text of n tokens.
 
@@ -54,6 +53,10 @@ class ToxicModel:
         each = [self.lam * s - size for s in segments]
         return max(-8.0, max(each), sum(x for x in each if x > 0))
 
+    def tail(self, s: float, n: int) -> float:
+        """Probability that a clean text of n tokens has a segment of that score or more."""
+        return -math.expm1(-self.k * n * math.exp(-self.lam * s))
+
     def score(self, segments: list[float], n: int) -> float:
         """0 for a text without any segment, else the calibrated probability."""
         if not segments:
@@ -73,39 +76,56 @@ def forms(word: str) -> tuple[str, ...]:
 def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first token, last token + 1, score) in one pass.
 
-    Tokens outside `hits` score -drift, so a segment begins and ends at hits. Kept candidates form a stack
-    with their prefix sums on the left and right; a new candidate joins those whose left sum is lower.
+    Tokens outside `hits` score -drift. Kept candidates form a stack with their prefix sums on the left and right.
+    A new candidate joins the nearest one whose left sum is lower than its own, if its right sum is higher; each
+    candidate points at the nearest one before it with a lower left sum, so the search skips all between.
     """
-    stack: list[tuple[int, int, float, float]] = []  # first, last + 1, sum before, sum after
+    first, last, left, right, lower = [], [], [], [], []  # of each candidate on the stack
     total, at = 0.0, 0
     for i, s in hits:
         total -= drift * (i - at)
-        first, before = i, total
+        start, before = i, total
         total += s
         at = i + 1
         if s <= 0:
             continue
         while True:
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= before:
-                j -= 1
-            if j < 0 or stack[j][3] >= total:
+            j = len(first) - 1
+            while j >= 0 and left[j] >= before:
+                j = lower[j]
+            if j < 0 or right[j] >= total:
                 break
-            first, before = stack[j][0], stack[j][2]
-            del stack[j:]
-        stack.append((first, at, before, total))
-    return [(a, b, r - l) for a, b, l, r in stack]
-
-
-def _hits(text: str | None, weights: dict[str, float]) -> tuple[int, list[tuple[int, float]]]:
-    words = tokens(text)
-    hits = []
-    for i, w in enumerate(words):
-        if w[:4] in weights:  # a gate: the first four letters of every form with a weight
-            s = max((weights[x] for x in forms(w) if x in weights), default=0.0)
-            if s > 0:
-                hits.append((i, s))
-    return len(words), hits
+            start, before = first[j], left[j]
+            del first[j:], last[j:], left[j:], right[j:], lower[j:]
+        first.append(start)
+        last.append(at)
+        left.append(before)
+        right.append(total)
+        lower.append(j)
+    return [(a, b, r - l) for a, b, l, r in zip(first, last, left, right)]
+
+
+class Scorer(dict):
+    """Scores of words by a model's weights, remembered up to a bound; unknown words score nothing here."""
+
+    def __init__(self, model: ToxicModel):
+        self.model = model
+
+    def __missing__(self, word: str) -> float:
+        weights = self.model.weights
+        self[word] = score = max((weights[x] for x in forms(word) if x in weights), default=0.0)
+        return score
+
+    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
+        """(number of tokens, maximal segments) of a whole text."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        words = tokens(text)
+        own = np.fromiter(map(self.__getitem__, words), dtype=np.float64, count=len(words))
+        if not (own > 0).any():
+            return len(words), []
+        at = np.flatnonzero(own)
+        return len(words), maximal_segments(list(zip(at.tolist(), own[at].tolist())), self.model.drift)
 
 
 def one_of_a_family(sample: DataFrame) -> DataFrame:
@@ -119,8 +139,8 @@ def one_of_a_family(sample: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in text_slices(whole, "text"):
                 words = find_words(batch.column("text"), lower=True)
-                hashes = words.hashes()
-                first, h = windows(hashes, words.ptr, 3)
+                (hashes,) = words.hashes()
+                first, h = windows([hashes], words.ptr, 3)
                 ends = np.searchsorted(first, words.ptr)
                 lo, hi = [], []
                 for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
@@ -135,54 +155,72 @@ def one_of_a_family(sample: DataFrame) -> DataFrame:
     return keep(out.select("doc_id", "text", "y"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 8000, max_tokens: int = 20000,
-        prior: float = 20.0, errors: float = 3.0, drift: float = 0.1, least: float = 0.7) -> ToxicModel:
-    """Learn from at most `per_class` labelled documents a class; the driver sees `max_tokens` tokens and the sample's best segments."""
-    sample = one_of_a_family(labelled_sample(docs, labels, label, per_class))
+def token_counts(sample: DataFrame) -> DataFrame:
+    """(token, c0, c1): texts of each class that hold a token or beginning; the token '' counts all texts."""
 
     def count(batches):
         for batch in batches:
             seen: dict[str, list[int]] = {}
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
-                for w in {x for w in set(tokens(text)) for x in forms(w)} | {""}:  # "" counts the texts
+            for text, y in zip(batch.column("text"), batch.column("y").to_pylist()):
+                for w in {x for w in set(tokens(text.as_py())) for x in forms(w)} | {""}:
                     seen.setdefault(w, [0, 0])[y] += 1
             yield pa.RecordBatch.from_pydict({"token": list(seen), "c0": [c[0] for c in seen.values()], "c1": [c[1] for c in seen.values()]},
                                              schema=pa.schema([("token", pa.string()), ("c0", pa.int64()), ("c1", pa.int64())]))
 
-    counts = sample.mapInArrow(count, "token string, c0 long, c1 long").groupBy("token").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
-    total = counts.where(F.col("token") == "").first()
-    if total is None or not total.c0 or not total.c1:
-        return ToxicModel()
-    n0, n1 = total.c0, total.c1
+    return sample.select("text", "y").mapInArrow(count, "token string, c0 long, c1 long").groupBy("token").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+
+
+def token_weights(counts: DataFrame, n0: int, n1: int, prior: float, errors: float) -> DataFrame:
+    """(token, w): log-odds of a token in toxic against clean texts, less `errors` standard errors, without those left at zero.
+
+    `prior` texts of either class are spread over the tokens as the whole sample is.
+    """
     a = F.lit(prior) * (F.col("c0") + F.col("c1")) / F.lit(n0 + n1)
     y1, y0 = F.col("c1") + a, F.col("c0") + a
     delta = F.log(y1 / (F.lit(n1 + prior) - y1)) - F.log(y0 / (F.lit(n0 + prior) - y0))
-    weighed = counts.select("token", (delta - errors * F.sqrt(1 / y1 + 1 / y0)).alias("w")).where((F.col("w") >= least) & (F.col("token") != ""))
-    weights = {r.token: r.w for r in weighed.orderBy(F.desc("w"), "token").limit(max_tokens).collect()}
-    model = ToxicModel(weights, drift)
+    left = F.greatest(F.abs(delta) - errors * F.sqrt(1 / y1 + 1 / y0), F.lit(0.0))
+    return counts.where(F.col("token") != "").select("token", (F.signum(delta) * left).alias("w")).where((F.col("w") != 0) & ~F.isnan("w"))
 
-    def scan(batches):
-        for batch in batches:
-            rows = [_hits(t, weights) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"y": batch.column("y").to_pylist(), "n": [n for n, _ in rows], "s": [[x[2] for x in maximal_segments(h, drift)] for _, h in rows]},
-                                             schema=pa.schema([("y", pa.int32()), ("n", pa.int64()), ("s", pa.list_(pa.float64()))]))
 
-    seen = sample.mapInArrow(scan, "y int, n long, s array<double>").toPandas()  # at most 2 * per_class rows of segment scores
-    _calibrate(model, seen["y"].to_numpy(), seen["n"].to_numpy(), [list(x) for x in seen["s"]])
-    return model
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 8000, prior: float = 20.0, errors: float = 3.0, drift: float = 0.1) -> ToxicModel:
+    """Learn from at most `per_class` labelled documents a class.
+
+    The driver sees the tokens of that sample whose log-odds outweigh their standard errors, which takes several
+    texts each, and three numbers a text.
+    """
+    sample = one_of_a_family(labelled_sample(docs, labels, label, per_class))
+    counts = keep(token_counts(sample))
+    total = counts.where(F.col("token") == "").first()
+    if total is None or not total.c0 or not total.c1:
+        return ToxicModel()
+    model = ToxicModel({r.token: r.w for r in token_weights(counts, total.c0, total.c1, prior, errors).collect()}, drift)
 
+    def scanned(value) -> DataFrame:
+        packed = docs.sparkSession.sparkContext.broadcast(model)
 
-def _calibrate(model: ToxicModel, y: np.ndarray, n: np.ndarray, segments: list[list[float]]) -> None:
-    """Gumbel scale and size from the clean texts' best segments, then a logistic curve on the evidence."""
-    best = np.array([max(x, default=0.0) for x in segments])
-    clean = (y == 0) & (n > 0)
-    some = clean & (best > 0)
-    if some.sum() >= 20:
-        model.lam = min(2.0, 1 / max(float(best[some].std()) * math.sqrt(6) / math.pi, 1e-3))
-    model.k = max(float(clean.sum()), 1.0) / max(float((n[clean] * np.exp(-model.lam * best[clean])).sum()), 1e-9)
-    x = np.array([model.evidence(s, m) for s, m in zip(segments, n)])
-    model.slope, model.bias = logistic_1d(x, y)
+        def scan(batches):
+            scorer = Scorer(packed.value)
+            for batch in batches:
+                rows = [scorer.segments(t.as_py()) for t in batch.column("text")]
+                yield pa.RecordBatch.from_pydict({"y": batch.column("y").to_pylist(), "n": [n for n, _ in rows], "x": [value(packed.value, [s for *_, s in found], n) for n, found in rows]},
+                                                 schema=pa.schema([("y", pa.int32()), ("n", pa.int64()), ("x", pa.float64())]))
+
+        return sample.select("text", "y").mapInArrow(scan, "y int, n long, x double").toPandas()  # at most 2 * per_class rows
+
+    best = scanned(lambda m, segments, n: max(segments, default=0.0))
+    model.lam, model.k = gumbel(best["x"].to_numpy()[best["y"] == 0], best["n"].to_numpy()[best["y"] == 0])
+    evidence = scanned(lambda m, segments, n: m.evidence(segments, n))
+    model.slope, model.bias = logistic_1d(evidence["x"].to_numpy(), evidence["y"].to_numpy())
     model.slope = max(model.slope, 1e-3)
+    return model
+
+
+def gumbel(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """(lambda, K) of clean texts' best segment scores: P(best > s) = 1 - exp(-K n exp(-lambda s)) in a text of n tokens."""
+    best, n = best[n > 0], n[n > 0]
+    some = best[best > 0]
+    lam = min(2.0, 1 / max(float(some.std()) * math.sqrt(6) / math.pi, 1e-3)) if len(some) >= 20 else 1.0
+    return lam, max(float(len(best)), 1.0) / max(float((n * np.exp(-lam * best)).sum()), 1e-9)
 
 
 def logistic_1d(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
@@ -200,46 +238,48 @@ def logistic_1d(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[floa
     return float(w[0] / scale), float(w[1] - w[0] * middle / scale)
 
 
-def score(docs: DataFrame, model: ToxicModel, significance: float = 1e-3, columns: tuple[str, ...] = ()) -> DataFrame:
+def score(docs: DataFrame, model: ToxicModel, significance: float = 1e-3) -> DataFrame:
     """doc_id, score and the significant passages (token range, segment score, tail probability) of every whole text."""
-    packed = docs.sparkSession.sparkContext.broadcast(model)  # at most max_tokens weights
+    packed = docs.sparkSession.sparkContext.broadcast(model)  # the labelled sample bounds its weights
 
     def run(batches):
         m = packed.value
+        scorer = Scorer(m)
         schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("n_passages", pa.int32()),
                             ("passages", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("p_value", pa.float64())])))])
-        for batch in batches:
-            scores, found = [], []
-            for text in batch.column("text"):
-                n, hits = _hits(text.as_py(), m.weights)
-                segments = maximal_segments(hits, m.drift) if hits else []
-                passages = []
-                for a, b, s in segments:
-                    p = -math.expm1(-m.k * n * math.exp(-m.lam * s))
-                    if p <= significance:
-                        passages.append({"start": a, "end": b, "score": s, "p_value": p})
-                scores.append(m.score([s for _, _, s in segments], n))
-                found.append(passages)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").cast(pa.int64()), "score": scores, "n_passages": [len(p) for p in found], "passages": found}, schema=schema)
-
-    return docs.select("doc_id", "text").mapInArrow(run, SCORE_SCHEMA)
+        for whole in batches:
+            for batch in text_slices(whole, "text"):
+                scores, found = [], []
+                for text in batch.column("text"):
+                    n, segments = scorer.segments(text.as_py())
+                    passages = []
+                    for a, b, s in segments:
+                        p = m.tail(s, n)
+                        if p <= significance:
+                            passages.append({"start": a, "end": b, "score": s, "p_value": p})
+                    scores.append(m.score([s for _, _, s in segments], n))
+                    found.append(passages)
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").cast(pa.int64()), "score": scores, "n_passages": [len(p) for p in found], "passages": found}, schema=schema)
+
+    return by_bytes(docs).select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, SCORE_SCHEMA)
 
 
 def drop_toxic(docs: DataFrame, model: ToxicModel, threshold: float = 0.5) -> DataFrame:
     """The documents, with all their columns, that score below the threshold."""
     packed = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
 
     def run(batches):
         m = packed.value
-        for batch in batches:
-            kept = []
-            for text in batch.column(at):
-                n, hits = _hits(text.as_py(), m.weights)
-                kept.append(m.score([s for _, _, s in maximal_segments(hits, m.drift)], n) < threshold)
-            yield batch.filter(pa.array(kept, pa.bool_()))
+        scorer = Scorer(m)
+        for whole in batches:
+            for batch in text_slices(whole, "text"):
+                kept = []
+                for text in batch.column("text"):
+                    n, segments = scorer.segments(text.as_py())
+                    kept.append(m.score([s for *_, s in segments], n) < threshold)
+                yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return by_bytes(docs).mapInArrow(run, docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,11 +1,13 @@
 """Words and word windows of Arrow text columns as numpy arrays.
 
 A word is a maximal run of bytes outside space and 0x09-0x0D, as in the pattern ``[^\\x20\\x09-\\x0D]+``
-on UTF-8. Null texts hold no words. Hashes depend only on the bytes, so every executor agrees on them.
+on UTF-8. Null texts hold no words. Hashes depend only on the bytes, so every executor agrees on them; two lanes
+make 128 bits.
 """
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
@@ -17,45 +19,43 @@ _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_rng = np.random.default_rng(20240611)
-_BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
-_BASES = [int(x) | 1 for x in _rng.integers(2**62, 2**63, 8, dtype=np.uint64)]
-_CUT = 1 << 20
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i up to n at least."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) <= n:
-        size = max(1 << 16, 1 << int(n).bit_length())
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            table = np.ones(size, dtype=np.uint64)
-            filled = 1
-            while filled < size:  # doubling: the second half is the first times base**filled
-                table[filled : 2 * filled] = table[:filled] * np.uint64(pow(b, filled, 1 << 64))
-                filled *= 2
-            out.append(table)
-        have = _powers[base] = (out[0], out[1])
-    return have
+_CUT = 1 << 16  # words worked on at a time
+_LONG = 64  # bytes; longer words are hashed by BLAKE2
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x + np.uint64((salt * 0x9E3779B97F4A7C15 + 0x9E3779B97F4A7C15) % 2**64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _rolled(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """sum(values[s + j] * base**j) of each range s..e, from prefix sums modulo 2**64."""
-    power, inverse = _power_tables(base, len(values))
-    sums = np.empty(len(values) + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum(values * power[: len(values)], out=sums[1:])
-    return (sums[ends] - sums[starts]) * inverse[starts]
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of pairs; the order counts."""
+    x = a * np.uint64(0xD6E8FEB86659FD93)
+    x += b
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def _spans(v: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each k neighbours, from those of 1, 2, 4, ... by the binary digits of k."""
+    out, done, width = None, 0, 1
+    while True:
+        if k & width:
+            out = v if out is None else _joined(out[: len(v) - done], v[done:])
+            done += width
+        width *= 2
+        if width > k:
+            return out
+        v = _joined(v[: -(width // 2)], v[width // 2 :])
 
 
 class Words(NamedTuple):
@@ -68,17 +68,32 @@ class Words(NamedTuple):
     def counts(self) -> np.ndarray:
         return np.diff(self.ptr)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word; works through the bytes in cuts of about 1 MB."""
-        out = np.empty(len(self.starts), dtype=np.uint64)
-        at = 0
-        while at < len(out):
-            first = int(self.starts[at])
-            to = max(at + 1, int(np.searchsorted(self.ends, first + _CUT, side="right")))
-            last = int(self.ends[to - 1])
-            s, e = self.starts[at:to] - first, self.ends[at:to] - first
-            out[at:to] = mix(_rolled(_BYTE[self.data[first:last]], s, e, _BASES[0]) + (e - s).astype(np.uint64))
-            at = to
+    def hashes(self, lanes: int = 1) -> list[np.ndarray]:
+        """`lanes` independent 64-bit hashes of each word: every eight bytes pass through a finaliser, so that no
+        pattern of letters makes two words alike."""
+        out = [np.empty(len(self.starts), dtype=np.uint64) for _ in range(lanes)]
+        for at in range(0, len(self.starts), _CUT):
+            starts, ends = self.starts[at : at + _CUT], self.ends[at : at + _CUT]
+            first = int(starts[0])
+            padded = np.zeros(int(ends[-1]) - first + 8, dtype=np.uint8)
+            padded[:-8] = self.data[first : int(ends[-1])]
+            eight = np.ndarray(len(padded) - 7, dtype="<u8", buffer=padded, strides=(1,))
+            lengths = ends - starts
+            own = [mix(lengths.astype(np.uint64), 31 + lane) for lane in range(lanes)]
+            live, done = np.flatnonzero(lengths <= _LONG), 0
+            while len(live):
+                left = lengths[live] - done
+                piece = eight[starts[live] - first + done] & _FIRST_BYTES[np.minimum(left, 8)]
+                for lane in range(lanes):
+                    own[lane][live] = mix(own[lane][live] ^ piece, lane)
+                done += 8
+                live = live[left > 8]
+            for i in np.flatnonzero(lengths > _LONG).tolist():
+                digest = hashlib.blake2b(self.data[starts[i] : ends[i]], digest_size=8 * lanes).digest()
+                for lane, value in enumerate(np.frombuffer(digest, dtype="<u8")):
+                    own[lane][i] = value
+            for lane in range(lanes):
+                out[lane][at : at + _CUT] = own[lane]
         return out
 
 
@@ -102,20 +117,32 @@ def find_words(texts: pa.Array, lower: bool = False) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, offsets))
 
 
-def windows(hashes: np.ndarray, ptr: np.ndarray, k: int, lanes: int = 1) -> tuple[np.ndarray, ...]:
-    """(first word of each window of k words within one text, then one hash array a lane)."""
+def windows(hashes: list[np.ndarray], ptr: np.ndarray, k: int) -> list[np.ndarray]:
+    """[first word of each window of k words within one text, then one hash array a lane of `hashes`]."""
     counts = np.maximum(np.diff(ptr) - (k - 1), 0)
-    total = int(counts.sum())
     before = np.cumsum(counts) - counts
-    firsts = np.arange(total) + np.repeat(ptr[:-1] - before, counts)
-    out = [np.empty(total, dtype=np.uint64) for _ in range(lanes)]
-    for at in range(0, total, _CUT // 4):
-        part = firsts[at : at + _CUT // 4]
-        low = int(part[0])
-        values = hashes[low : int(part[-1]) + k]
-        for lane in range(lanes):
-            out[lane][at : at + len(part)] = mix(_rolled(values, part - low, part - low + k, _BASES[1 + lane]))
-    return (firsts, *out)
+    firsts = np.arange(int(counts.sum())) + np.repeat(ptr[:-1] - before, counts)
+    out = [firsts]
+    for lane in hashes:
+        spans = np.empty(max(0, len(lane) - k + 1), dtype=np.uint64)
+        for at in range(0, len(spans), _CUT):
+            part = mix(_spans(lane[at : at + _CUT + k - 1], k))
+            spans[at : at + len(part)] = part
+        out.append(spans[firsts])
+    return out
+
+
+def short_texts(hashes: list[np.ndarray], ptr: np.ndarray, which: np.ndarray, k: int) -> list[np.ndarray]:
+    """A hash array a lane of the whole word sequence of the texts `which`, of fewer than k words each."""
+    counts = np.diff(ptr)[which]
+    out = []
+    for lane in hashes:
+        own = counts.astype(np.uint64)
+        for i in range(k - 1):
+            more = np.flatnonzero(counts > i)
+            own[more] = _joined(own[more], lane[ptr[which[more]] + i])
+        out.append(mix(own, 7))
+    return out
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
