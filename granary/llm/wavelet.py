@@ -1,15 +1,17 @@
 """Token ids as a wavelet matrix per shard.
 
 A shard is one self-contained blob: a header, document ids and lengths, and one bit plane a bit of the
-vocabulary, each compressed on its own. Every plane holds that bit of all tokens, in the order that a stable
-partition by the planes before it leaves. With running popcounts the planes answer token access, the number of
-times a token occurs before a place (rank) and the place of its n-th occurrence (select).
+vocabulary. Every plane holds that bit of all tokens, in the order that a stable partition by the planes before it
+leaves. Planes lie in chunks that are compressed each on its own, with the number of ones before each chunk, so
+token access, the number of times a token occurs before a place (rank) and the place of its n-th occurrence
+(select) inflate only the chunks that they touch.
 
 Shards are rows of a Parquet table in ascending document order, written with Spark's commit protocol, so a lost
 executor's task is simply run again.
 
-Defined results: null and empty texts have the end id alone; a null doc_id comes first and is read back as null; rows with the same doc_id stay apart, ordered by
-their text's hash; an empty table gives an empty result; other columns are ignored; a document longer than a
+Defined results: null and empty texts have the end id alone; a null doc_id comes first and is read back as null;
+rows with the same doc_id stay apart, ordered by their text's hash; repeated rows are encoded alike; an empty table
+gives an empty result; other columns are ignored; a very long text is encoded whole, and a document longer than a
 shard gets a shard of its own.
 """
 
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _LATIN, _SPACE, LETTER, NUMBER
-from .shared import keep
+from .shared import by_bytes, keep
 from .words import text_slices
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -38,79 +40,104 @@ END_ID = 2
 PLANES = 16
 _NULL_ID = -(2**63)  # stands for a null doc_id in a shard
 SHARD_TOKENS = 1 << 20
-_MAGIC = b"GWM1"
+TASK_BYTES = 128 << 20  # of text a task
+_MAGIC = b"GWM2"
 _HEAD = struct.Struct("<4sIQI")
 _LIBRARY_ONLY = re.compile(f"[\\x1c-\\x1f{chr(_LATIN)}-{chr(0x10FFFF)}]")
 _JOINED = 512
-_STEP = 512  # bits between stored popcounts
+_CHUNK = 1 << 13  # bytes of a plane that are compressed together
 _PIECES = re.compile(f"[{LETTER}]+|[{NUMBER}]|'s|'t|'re|'ve|'m|'ll|'d|[^{_SPACE}{LETTER}{NUMBER}]+")
 
 
 class WaveletMatrix:
-    """Rank and select over the bit planes of one shard."""
+    """Access, rank and select over the bit planes of one shard, as they lie in its blob."""
 
-    def __init__(self, planes: list[np.ndarray], zeros: list[int], n: int, doc_ids: np.ndarray, lengths: np.ndarray):
-        self.planes, self.zeros, self.n, self.doc_ids, self.lengths = planes, zeros, n, doc_ids, lengths
-        self._ones: list[np.ndarray | None] = [None] * len(planes)
+    def __init__(self, raw: bytes):
+        magic, planes, self.n, documents = _HEAD.unpack_from(raw)
+        if magic != _MAGIC:
+            raise ValueError("not a wavelet shard")
+        self._raw, self._inflate, at = raw, zstandard.ZstdDecompressor().decompress, _HEAD.size
+        chunks = -(-self.n // (8 * _CHUNK))
+        self.zeros = struct.unpack_from(f"<{planes}Q", raw, at)
+        at += 8 * planes
+        # where each chunk ends, and the ones before it in its plane
+        self._ends, self._ones = np.frombuffer(raw, dtype="<i8", count=2 * planes * chunks, offset=at).reshape(2, planes, chunks)
+        at += 16 * planes * chunks
+        sizes = struct.unpack_from("<2Q", raw, at)
+        at += 16
+        self.doc_ids = np.frombuffer(self._inflate(raw[at : at + sizes[0]]), dtype="<i8", count=documents)
+        at += sizes[0]
+        self.lengths = np.frombuffer(self._inflate(raw[at : at + sizes[1]]), dtype="<i8", count=documents)
+        self._base = at + sizes[1]
+        self._starts = np.concatenate([[0], self._ends.ravel()[:-1]]).reshape(planes, chunks) if chunks else self._ends
+        self._chunk = lru_cache(maxsize=4 * planes)(self._inflated)
+
+    @classmethod
+    def from_bytes(cls, raw: bytes) -> WaveletMatrix:
+        return cls(raw)
+
+    def to_bytes(self) -> bytes:
+        return self._raw
 
     @classmethod
     def build(cls, tokens: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, planes: int = PLANES) -> WaveletMatrix:
-        out, zeros = [], []
+        pack = zstandard.ZstdCompressor(level=1).compress
+        zeros, chunks, ones = [], [], []
         current = tokens.astype(np.uint16)
         for b in range(planes - 1, -1, -1):
             bit = (current & np.uint16(1 << b)) != 0
-            out.append(np.packbits(bit, bitorder="little"))
+            plane = np.packbits(bit, bitorder="little")
+            parts = [plane[i : i + _CHUNK] for i in range(0, len(plane), _CHUNK)]
+            counts = [int(np.bitwise_count(p).sum()) for p in parts]
+            ones.append(np.cumsum(counts, dtype=np.int64) - counts)
+            chunks += [pack(p.tobytes()) for p in parts]
             low = current[~bit]
             zeros.append(len(low))
             current = np.concatenate([low, current[bit]])
-        return cls(out, zeros, len(tokens), np.asarray(doc_ids, dtype=np.int64), np.asarray(lengths, dtype=np.int64))
+        ends = np.cumsum([len(c) for c in chunks], dtype="<i8")
+        ids, sizes = (pack(np.asarray(x, dtype="<i8").tobytes()) for x in (doc_ids, lengths))
+        head = _HEAD.pack(_MAGIC, planes, len(tokens), len(doc_ids)) + struct.pack(f"<{planes}Q", *zeros)
+        return cls(b"".join([head, ends.tobytes(), np.concatenate(ones).astype("<i8").tobytes(), struct.pack("<2Q", len(ids), len(sizes)), ids, sizes, *chunks]))
 
-    def to_bytes(self) -> bytes:
-        pack = zstandard.ZstdCompressor(level=1).compress
-        parts = [pack(self.doc_ids.astype("<i8").tobytes()), pack(self.lengths.astype("<i8").tobytes()), *(pack(p.tobytes()) for p in self.planes)]
-        head = _HEAD.pack(_MAGIC, len(self.planes), self.n, len(self.doc_ids))
-        return b"".join([head, struct.pack(f"<{len(self.zeros)}Q{len(parts)}Q", *self.zeros, *map(len, parts)), *parts])
-
-    @classmethod
-    def from_bytes(cls, raw: bytes) -> WaveletMatrix:
-        magic, planes, n, _ = _HEAD.unpack_from(raw)
-        if magic != _MAGIC:
-            raise ValueError("not a wavelet shard")
-        numbers = struct.unpack_from(f"<{2 * planes + 2}Q", raw, _HEAD.size)
-        at, parts = _HEAD.size + 8 * len(numbers), []
-        unpack = zstandard.ZstdDecompressor().decompress
-        for size in numbers[planes:]:
-            parts.append(unpack(raw[at : at + size]))
-            at += size
-        return cls([np.frombuffer(p, dtype=np.uint8) for p in parts[2:]], list(numbers[:planes]), n, np.frombuffer(parts[0], dtype="<i8"), np.frombuffer(parts[1], dtype="<i8"))
+    def _inflated(self, level: int, chunk: int) -> np.ndarray:
+        start, end = self._starts[level, chunk], self._ends[level, chunk]
+        return np.frombuffer(self._inflate(self._raw[self._base + start : self._base + end]), dtype=np.uint8)
 
     def tokens(self) -> np.ndarray:
         """All tokens: the stable partitions undone from the last plane to the first."""
+        planes, chunks = self._ends.shape
         current = np.zeros(self.n, dtype=np.uint16)
-        for level in range(len(self.planes) - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+        for level in range(planes - 1, -1, -1):
+            plane = np.concatenate([self._inflated(level, c) for c in range(chunks)]) if chunks else np.zeros(0, dtype=np.uint8)
+            bit = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
             above = np.empty_like(current)
             above[~bit] = current[: self.zeros[level]]
-            above[bit] = current[self.zeros[level] :] | np.uint16(1 << (len(self.planes) - 1 - level))
+            above[bit] = current[self.zeros[level] :] | np.uint16(1 << (planes - 1 - level))
             current = above
         return current
 
     def _rank1(self, level: int, i: int) -> int:
-        """Ones before place i: a stored popcount and at most _STEP further bits."""
-        ones = self._ones[level]
-        if ones is None:
-            bits = np.bitwise_count(np.pad(self.planes[level], (0, -len(self.planes[level]) % (_STEP // 8)))).reshape(-1, _STEP // 8).sum(axis=1, dtype=np.int64)
-            ones = self._ones[level] = np.concatenate([[0], np.cumsum(bits)])
-        block = i // _STEP
-        rest = np.unpackbits(self.planes[level][block * (_STEP // 8) : (i + 7) // 8], bitorder="little")[: i - block * _STEP]
-        return int(ones[block]) + int(rest.sum())
+        """Ones before place i: those before its chunk, and those of one chunk."""
+        chunk, rest = divmod(i, 8 * _CHUNK)
+        if not rest:
+            if i == 0:
+                return 0
+            if chunk == self._ones.shape[1]:
+                return self.n - self.zeros[level]
+            return int(self._ones[level, chunk])
+        own = self._chunk(level, chunk)
+        whole = int(np.bitwise_count(own[: rest >> 3]).sum())
+        if rest & 7:
+            whole += int(own[rest >> 3] & ((1 << (rest & 7)) - 1)).bit_count()
+        return int(self._ones[level, chunk]) + whole
 
     def _bit(self, level: int, i: int) -> int:
-        return (int(self.planes[level][i >> 3]) >> (i & 7)) & 1
+        chunk, rest = divmod(i, 8 * _CHUNK)
+        return (int(self._chunk(level, chunk)[rest >> 3]) >> (rest & 7)) & 1
 
     def access(self, i: int) -> int:
         value = 0
-        for level in range(len(self.planes)):
+        for level in range(len(self.zeros)):
             bit = self._bit(level, i)
             value = value << 1 | bit
             ones = self._rank1(level, i)
@@ -119,9 +146,9 @@ class WaveletMatrix:
 
     def _range(self, token: int, end: int) -> tuple[int, int]:
         first, last = 0, end
-        for level in range(len(self.planes)):
+        for level in range(len(self.zeros)):
             a, b = self._rank1(level, first), self._rank1(level, last)
-            if token >> (len(self.planes) - 1 - level) & 1:
+            if token >> (len(self.zeros) - 1 - level) & 1:
                 first, last = self.zeros[level] + a, self.zeros[level] + b
             else:
                 first, last = first - a, last - b
@@ -133,16 +160,12 @@ class WaveletMatrix:
         return last - first
 
     def _select_bit(self, level: int, bit: int, k: int) -> int:
-        """Place of the k-th (from 0) bit of that value: bisection over rank."""
-        low, high = 0, self.n
-        while low < high:
-            middle = (low + high) // 2
-            ones = self._rank1(level, middle + 1)
-            if (ones if bit else middle + 1 - ones) > k:
-                high = middle
-            else:
-                low = middle + 1
-        return low
+        """Place of the k-th (from 0) bit of that value: the chunk by its count before, then the place in it."""
+        before = self._ones[level] if bit else np.arange(self._ones.shape[1]) * (8 * _CHUNK) - self._ones[level]
+        chunk = int(np.searchsorted(before, k, side="right")) - 1
+        start = chunk * 8 * _CHUNK
+        bits = np.unpackbits(self._chunk(level, chunk), count=min(8 * _CHUNK, self.n - start), bitorder="little")
+        return start + int(np.flatnonzero(bits == bit)[k - int(before[chunk])])
 
     def select(self, token: int, k: int) -> int:
         """Place of the k-th (from 0) occurrence; IndexError if there are fewer."""
@@ -150,11 +173,15 @@ class WaveletMatrix:
         if not 0 <= k < last - first:
             raise IndexError(k)
         i = first + k
-        for level in range(len(self.planes) - 1, -1, -1):
-            bit = token >> (len(self.planes) - 1 - level) & 1
+        for level in range(len(self.zeros) - 1, -1, -1):
+            bit = token >> (len(self.zeros) - 1 - level) & 1
             i = self._select_bit(level, bit, i - self.zeros[level] if bit else i)
         return i
 
+    def places(self, token: int) -> list[int]:
+        """Every place of a token, in order."""
+        return [self.select(token, k) for k in range(self.rank(token))]
+
 
 class _Numbered(dict):
     """Numbers strings as they come up; those that are new since the last call to fresh() are kept apart."""
@@ -204,8 +231,8 @@ class _Spans:
 class WordBpe:
     """The library's encoding with a bounded memory of words and pieces; the library encodes each new piece.
 
-    No piece crosses white space. Texts with characters from U+0250 on, or with control characters on whose
-    class str.split() and the library differ, go to the library whole.
+    No piece crosses white space. Texts that have characters from U+0250 on once they are in lower case, or
+    control characters on whose class str.split() and the library differ, go to the library whole.
     """
 
     def __init__(self, path: str, words: int = 700_000, pieces: int = 900_000):
@@ -233,9 +260,11 @@ class WordBpe:
             some = new[at : at + _JOINED]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids)
             ends = np.flatnonzero(self.last[ids])
-            if len(ends) != len(some):
-                raise ValueError("the vocabulary does not mark the ends of pieces")
-            self.piece_ids.append(ids, np.diff(ends, prepend=-1))
+            if len(ends) == len(some):
+                self.piece_ids.append(ids, np.diff(ends, prepend=-1))
+            else:  # a piece that is more than one to the library, or none
+                each = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                self.piece_ids.append(np.array(list(chain.from_iterable(each)), dtype=np.uint16), np.fromiter(map(len, each), dtype=np.int64, count=len(each)))
         ids, counts = self.piece_ids.take(numbers)
         per_word = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         sums = np.concatenate([[0], np.cumsum(counts)])
@@ -246,11 +275,12 @@ class WordBpe:
             self.words, self.word_ids = _Numbered(), _Spans()
         whole, sizes, numbers = [], [], []
         for i, text in enumerate(texts):
-            if text and ((not text.isascii() or not text.isprintable()) and _LIBRARY_ONLY.search(text) or any(s in text for s in self.special)):
+            low = text.lower() if text else ""
+            if low and ((not low.isascii() or not low.isprintable()) and _LIBRARY_ONLY.search(low) or any(s in text for s in self.special)):
                 whole.append(i)
                 found = []
             else:
-                found = text.lower().split() if text else []
+                found = low.split()
             sizes.append(len(found))
             numbers.append(self.words.number(found))
         if new := self.words.fresh():
@@ -299,8 +329,9 @@ def write_shards(docs: DataFrame, path: str = VOCABULARY, end_id: int = END_ID,
         if size:
             yield flush()
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h"))
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_bytes // TASK_BYTES)
+    rows = by_bytes(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h"))
     ordered = rows.repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     return keep(ordered.mapInArrow(run, "part int, first long, n_tokens long, shard binary"))
 
@@ -347,7 +378,7 @@ def occurrences(shards: DataFrame, token: int) -> DataFrame:
         for batch in batches:
             for part, first, blob in zip(batch.column("part").to_pylist(), batch.column("first").to_pylist(), batch.column("shard")):
                 matrix = WaveletMatrix.from_bytes(blob.as_py())
-                places = [matrix.select(token, k) for k in range(matrix.rank(token))]
+                places = matrix.places(token)
                 yield pa.RecordBatch.from_arrays([pa.array([part] * len(places), pa.int32()), pa.array([first] * len(places), pa.int64()), pa.array(places, pa.int64())], ["part", "first", "place"])
 
     return shards.select("part", "first", "shard").mapInArrow(run, "part int, first long, place long")
