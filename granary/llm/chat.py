@@ -6,11 +6,12 @@ get a backslash after their first character (one more where there are some), whi
 The loss mask of a conversation comes from prefix sums over segment lengths and covers assistant texts.
 
 Turns are encoded where they are read; only then are conversations brought together, by id and in turn order,
-and streamed turn by turn, so that a conversation of any length needs the memory of one turn.
+and streamed turn by turn, so that a conversation of any length needs the memory of one turn. The formatted turns
+are written as a table, from which the digests are read back.
 
-Defined results: null role and null text are empty; turns with the same number are ordered by role and text;
-null turns come first; rows with a null conv_id form one conversation; repeated rows are turns of their own; an
-empty table gives an empty result; other columns are ignored.
+Defined results: null role and null text are empty; a very long text is encoded as by one call; turns with the same
+number are ordered by role and text; null turns come first; rows with a null conv_id form one conversation; repeated
+rows are turns of their own; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,13 +28,16 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import by_bytes, keep
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TURN, TEXT, END = 50257, 50258, 50259
 MARKERS = {TURN: "<|turn|>", TEXT: "<|text|>", END: "<|end|>"}
 CONTROLS = (*MARKERS.values(), "<|endoftext|>", "<|im_start|>", "<|im_end|>", "<|system|>", "<|user|>", "<|assistant|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 _PLAIN = re.compile("|".join(f"(?<={re.escape(c[0])})(?=\\\\*{re.escape(c[1:])})" for c in CONTROLS))
 _ESCAPED = re.compile("|".join(f"(?<={re.escape(c[0])})\\\\(?=\\\\*{re.escape(c[1:])})" for c in CONTROLS))
-_PIECE = 50_000  # characters encoded at a time
+# white space as the splitting pattern has it; longer runs exceed the depth to which the library can go back
+_BLANKS = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{1000,}")
 
 
 def escape(text: str) -> str:
@@ -51,22 +55,35 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("chat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode_text(enc: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids of a whole text.
+
+    A long run of white space is one piece up to its last character, which goes with what follows; so the pattern
+    always cuts before the run and before that character.
+    """
+    ids, at = [], 0
+    for run in _BLANKS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        ids += enc.encode_ordinary(text[at : run.start()]) + enc._encode_single_piece(text[run.start() : end])
+        at = end
+    return ids + enc.encode_ordinary(text[at:])
+
+
 def encode_turns(turns: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """(conv_id, turn, role, text, head, body, loss): little-endian int32 ids of TURN role TEXT and of the text."""
 
     def run(batches):
         enc = encoding(path)
-        ids = lambda text: [i for at in range(0, len(text), _PIECE) for i in enc.encode_ordinary(text[at : at + _PIECE])]
         for batch in batches:
             heads, bodies, loss = [], [], []
             for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist()):
-                heads.append(np.array([TURN, *ids(escape(role or "")), TEXT], dtype="<i4").tobytes())
-                bodies.append(np.array(ids(escape(text or "")), dtype="<i4").tobytes())
+                heads.append(np.array([TURN, *encode_text(enc, escape(role or "")), TEXT], dtype="<i4").tobytes())
+                bodies.append(np.array(encode_text(enc, escape(text or "")), dtype="<i4").tobytes())
                 loss.append(role == "assistant")
             yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("turn"), batch.column("role"), batch.column("text"), pa.array(heads, pa.binary()), pa.array(bodies, pa.binary()), pa.array(loss, pa.bool_())],
                                              ["conv_id", "turn", "role", "text", "head", "body", "loss"])
 
-    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    rows = by_bytes(turns).select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "conv_id long, turn long, role string, text string, head binary, body binary, loss boolean")
 
 
@@ -108,7 +125,7 @@ def assemble(turns: DataFrame, path: str = VOCABULARY) -> DataFrame:
 
 
 def read_back(formatted: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """One row a conversation, from ids and mask alone; expects the order that assemble() leaves."""
+    """One row a conversation, from ids and mask alone, brought into the order of `start`."""
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches):
@@ -139,7 +156,8 @@ def read_back(formatted: DataFrame, path: str = VOCABULARY) -> DataFrame:
             finish()
         yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in done], schema=schema)
 
-    return formatted.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long")
+    in_order = by_bytes(formatted).repartition("conv_id").sortWithinPartitions("conv_id", "start").select("conv_id", "ids", "mask")
+    return in_order.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long")
 
 
 def chat_format(conversations: DataFrame) -> DataFrame:
@@ -148,4 +166,4 @@ def chat_format(conversations: DataFrame) -> DataFrame:
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
-    return read_back(assemble(rows.unionByName(extra))).drop("n_tokens")
+    return read_back(keep(assemble(rows.unionByName(extra)))).drop("n_tokens")
