@@ -19,7 +19,7 @@ def shingles(text):
     return {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())
 
 
-def brute_components(rows):
+def brute_components(rows, percent=85):
     sets = {i: shingles(t) for i, t in rows}
     parent = {i: i for i in sets}
 
@@ -34,7 +34,7 @@ def brute_components(rows):
         for s in sets[i]:
             inverted[s].append(i)
         for j, k in common.items():
-            if 100 * k >= 85 * (len(sets[i]) + len(sets[j]) - k):
+            if 100 * k >= percent * (len(sets[i]) + len(sets[j]) - k):
                 a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
     return {i: (len(sets[i]), find(i)) for i in sets}

@@ -49,7 +49,7 @@ def test_stages(spark, folder):
             kept = {r.doc_id for r in rows}
             assert not kept & {i for i in range(0, 400, 5)} and kept >= {i for i in range(400) if i % 5} and {2000, 2001} <= kept
         if name == "near_dedup":
-            want = brute_components([(i, r.text) for i, r in before.items()])
+            want = brute_components([(i, r.text) for i, r in before.items()], 80)
             assert {r.doc_id for r in rows} == {i for i, (_, c) in want.items() if i == c}
         if name == "substring_dedup":
             want = {i: (n, gone) for i, n, gone, _ in brute_repeats([(i, r.text) for i, r in before.items()])}
