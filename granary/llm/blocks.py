@@ -41,3 +41,10 @@ def block_pairs(blocks: DataFrame, keys: list[str], *also: str, where: str = "tr
         alone = alone.withColumn(f"{c}2", F.col(c)) if c not in keys else alone
     alone = alone.where(where)
     return alone.select(*also, "rows", F.col("rows").alias("rows2")).unionByName(apart.select(*also, "rows", "rows2"))
+
+
+def meet(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """(rows, rows2): every block of `left` with every block of `right` under one key, dealt like block_pairs()."""
+    numbers = left.select(*keys, "block").join(right.select(*keys, F.col("block").alias("block2")), keys)
+    first = numbers.join(left.select(*keys, "block", "rows"), [*keys, "block"])
+    return first.join(right.select(*keys, F.col("block").alias("block2"), F.col("rows").alias("rows2")), [*keys, "block2"]).select("rows", "rows2")

@@ -1,10 +1,10 @@
-"""Vector columns as numpy matrices, and blocks of rows that meet in pairs."""
+"""Vector columns as numpy matrices."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -21,8 +21,7 @@ def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def in_blocks(rows: DataFrame, keys: list[str], size: int, order: str, *columns: str) -> DataFrame:
-    """(keys, block, rows): arrays of about `size` rows of one key, whatever the number of its rows."""
-    counts = rows.groupBy(*keys).agg(F.ceil(F.count("*") / size).alias("_blocks"))
-    dealt = rows.join(counts, keys).withColumn("block", F.pmod(F.xxhash64(order, F.lit(7)), F.col("_blocks")))
-    return dealt.groupBy(*keys, "block").agg(F.collect_list(F.struct(order, *columns)).alias("rows"))
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length one; scaled by their largest component first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
