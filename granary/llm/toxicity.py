@@ -1,8 +1,8 @@
 """Toxicity by maximum-scoring segments.
 
 Each token scores its log-odds of standing in a toxic text, by the labelled texts that hold it, with an informative
-Dirichlet prior, drawn towards zero by its standard errors; a token that this leaves nothing scores the same small
-amount below zero as an unknown one. Inflected words share their first letters, so a word scores as the best of
+Dirichlet prior, drawn towards zero by its standard errors; every token, known or not, then pays the same drift, so
+that ordinary words score below zero and a segment does not grow across them. Inflected words share their first letters, so a word scores as the best of
 itself and its first five and four letters. A linear-time scan finds every maximal scoring segment of a text; a
 segment is significant when its extreme-value (Karlin-Altschul) tail under clean texts is small. The document's
 score is a calibrated function of that tail.
@@ -35,7 +35,7 @@ SCORE_SCHEMA = "doc_id long, score double, n_passages int, passages array<struct
 @dataclass
 class ToxicModel:
     weights: dict[str, float] = field(default_factory=dict)  # what tokens and beginnings score, for toxicity or against it
-    drift: float = 0.1  # what every other token takes off a segment
+    drift: float = 0.7  # what every token pays
     lam: float = 1.0  # Gumbel scale and size under clean texts
     k: float = 1.0
     slope: float = 0.0
@@ -106,7 +106,7 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[
 
 
 class Scorer(dict):
-    """Scores of words by a model's weights, remembered up to a bound; unknown words score nothing here."""
+    """Weights of words by a model, remembered up to a bound; 0 for those without any."""
 
     def __init__(self, model: ToxicModel):
         self.model = model
@@ -122,10 +122,11 @@ class Scorer(dict):
             self.clear()
         words = tokens(text)
         own = np.fromiter(map(self.__getitem__, words), dtype=np.float64, count=len(words))
-        if not (own > 0).any():
+        drift = self.model.drift
+        if not (own > drift).any():
             return len(words), []
         at = np.flatnonzero(own)
-        return len(words), maximal_segments(list(zip(at.tolist(), own[at].tolist())), self.model.drift)
+        return len(words), maximal_segments(list(zip(at.tolist(), (own[at] - drift).tolist())), drift)
 
 
 def one_of_a_family(sample: DataFrame) -> DataFrame:
@@ -182,7 +183,7 @@ def token_weights(counts: DataFrame, n0: int, n1: int, prior: float, errors: flo
     return counts.where(F.col("token") != "").select("token", (F.signum(delta) * left).alias("w")).where((F.col("w") != 0) & ~F.isnan("w"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 8000, prior: float = 20.0, errors: float = 3.0, drift: float = 0.1) -> ToxicModel:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 8000, prior: float = 20.0, errors: float = 3.0, drift: float = 0.7) -> ToxicModel:
     """Learn from at most `per_class` labelled documents a class.
 
     The driver sees the tokens of that sample whose log-odds outweigh their standard errors, which takes several
