@@ -8,8 +8,9 @@ of 1e-6 at most (25 bands of five values and 4e-7 at 0.85, 31 of four and 8e-8 a
 on full sets.
 
 Copies of one set are one node throughout. In every bucket the members are compared with the bucket's least
-document; members that are then not known to be connected meet in blocks of bounded size, by rows and by bytes,
-each pair of blocks by itself. Only links that connect what its task has not yet connected come out, so no link
+document, and, as long as too many are not known to be connected, with further hubs, one a round, which are the same
+in buckets with the same members. The members that are left over then meet in blocks of bounded size, by rows and by
+bytes, each pair of blocks by itself. Only links that connect what its task has not yet connected come out, so no link
 that matters is lost to a bucket's size, and a bucket's pairs are never listed.
 
 Defined results: documents without words or text have 0 shingles and are their own component; very long texts
@@ -36,6 +37,7 @@ from .words import find_words, mix, short_texts, text_slices, windows
 SHINGLE = 5
 PERMUTATIONS = 63
 BLOCK = 256  # members of a bucket that are compared at a time, and of a hub's salt
+ROUNDS, MEETINGS = 8, 64  # further hubs, as long as members would meet more others than that in blocks
 UNSHARED, UNDER = 1e-6, 1e-7  # chances that a pair at the asked similarity shares no band, or has fewer agreeing values than asked
 _rng = np.random.default_rng(85)
 _FACTORS = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -206,20 +208,45 @@ def _set_rows(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles binary")
 
 
-def _across_labels(members: DataFrame, links: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, agree: int) -> DataFrame:
-    """Confirmed (a, b) links that connect a bucket's members under different labels, neither being its hub.
+def _open_members(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
+    """((key, band, id, n_shingles, label, lo) of buckets that hold several labels, their rows, pairs in their buckets).
+
+    The bucket's first hub is left out: it has met all others. lo is the bucket's least label.
+    """
+    m = members.where("id != hub").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    open_ = keep(m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("key", "lo", "n"))
+    size = open_.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2), F.lit(0.0))).first()
+    return keep(m.join(open_, "key").select("key", "band", "id", "n_shingles", "label", "lo")), size[0], size[1]
+
+
+def _connect(members: DataFrame, links: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, members of buckets that are still open) after as many further hubs as it takes to leave few meetings.
+
+    A round's hub of a bucket is the member with the least hash that is not under the bucket's least label. Where
+    most pairs of a group are similar, each round connects a large part of what the rounds before have left.
+    """
+    m, rows, pairs = _open_members(members, _labels(links))
+    for number in range(ROUNDS):
+        if pairs <= MEETINGS * rows:
+            break
+        order = F.xxhash64("id", F.lit(number))
+        hubs = keep(m.where("label != lo").groupBy("key").agg(F.min_by(F.struct("id", "label", "n_shingles"), order).alias("h")).select("key", F.col("h.id").alias("b"), F.col("h.label").alias("of"), F.col("h.n_shingles").alias("size")))
+        asked = m.join(hubs, "key").where("id != b and label != of").where(_sizes_allow("n_shingles", "size", percent)).select(F.col("id").alias("a"), "b").distinct()
+        links = keep(links.unionByName(confirm(asked, texts, percent)))
+        m, rows, pairs = _open_members(members, components(links).withColumnRenamed("component", "label"))
+    return links, m
+
+
+def _across_labels(m: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, agree: int) -> DataFrame:
+    """Confirmed (a, b) links that connect a bucket's members under different labels.
 
     Blocks of a bucket meet two at a time and hold their members' sets. A pair is looked at in the first band
     that it shares, unless links found before in the same task have connected it.
     """
-    labels = _labels(links)
-    m = members.where("id != hub").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    open_ = keep(m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key"))
-    m = keep(m.join(open_, "key").select("key", "band", "id", "label"))
     wanted = m.select("id").distinct()
     sets = _set_rows(texts.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")).withColumnRenamed("doc_id", "id")
     held = keep(reps.join(wanted, "id").select("id", "bands", "signature").join(sets, "id"))
-    rows = m.join(held, "id")
+    rows = m.select("key", "band", "id", "label").join(held, "id")
     keys = ["key", "band"]
     blocks = in_blocks(rows, keys, BLOCK, "id", "label", "bands", "signature", "shingles", weight=F.octet_length("shingles") + F.octet_length("signature"))
     labels_of = F.transform("rows", lambda x: x["label"])
@@ -299,7 +326,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     first = members.where(F.col("id") != F.col("hub")).where(_sizes_allow("n_shingles", "hub_size", percent)).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     links = keep(confirm(first, texts, percent))
-    second = _across_labels(members, links, reps, texts, percent, how.agree)
+    links, left = _connect(members, links, texts, percent)
+    second = _across_labels(left, reps, texts, percent, how.agree)
     found = components(links.unionByName(second).unionByName(same_set))
     out = signed.select("doc_id", "n_shingles").join(found.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")

@@ -170,3 +170,60 @@ def test_plan_holds_at_every_similarity():
     for percent in (0, 10, 101):
         with pytest.raises(ValueError):
             minhash.plan(percent)
+
+
+def complements(n):
+    """A word of n letters over a and b in which every block is followed by its opposite, and the opposite word."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [64, 1024, 4096])
+def test_structured_long_words_differ(spark, n):
+    a, b = complements(n)
+    rest = " ".join(f"w{i}" for i in range(24))
+    rows = [(1, f"{a} x y"), (2, f"{b} x y"), (3, f"{a} {rest}"), (4, f"{b} {rest}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()} == brute_components(rows)
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substring.removed(docs).collect()) == brute_repeats(rows)
+
+
+def test_further_hubs_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "MEETINGS", 1)
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(150)]
+    texts = []
+    for _ in range(150):  # about as many pairs above the similarity as below
+        words = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            words[rng.randrange(150)] = f"e{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts + [t for s in range(4) for t in family(s, 25)]))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 85).collect()}
+    assert got == brute_components(rows)
+
+
+def test_one_of_each_counts_rows(spark):
+    text = " ".join(f"t{i}" for i in range(40))
+    other = " ".join(f"o{i}" for i in range(40))
+    rows = [(5, text, 1), (5, text, 2), (None, text, 3), (7, text + " more", 4), (7, other, 5), (None, None, 6), (None, "", 7), (3, other, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int").withColumn("_found", F.lit(1))
+    out = minhash.one_of_each(docs)
+    assert out.columns == docs.columns
+    kept = out.collect()
+    assert sorted(r._row for r in kept if r._row > 2) == [6, 7, 8] and sum(r._row in (1, 2) for r in kept) == 1
+    assert minhash.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_repeats_under_one_id_spread_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 300)
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(7 if i % 3 else i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(20)) + " " + passage) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("_hash", "_doc", "_block", "_salt")})
+    out = substring.removed(docs).toPandas()
+    assert (out.n_removed == 0).sum() == 1 and (out.n_removed >= 30).sum() == 59 and out.n_removed[out.doc_id == 0].tolist() == [0]
+    assert sorted(substring.without_repeats(docs).columns) == sorted(docs.columns)

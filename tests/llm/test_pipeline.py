@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from granary.llm import bpe, mixing
@@ -62,3 +63,15 @@ def test_stages(spark, folder):
             assert len(rows) == sum(taken.values())
     assert seen == ["toxicity", "near_dedup", "substring_dedup", "mixing", "bpe"]
     assert corpus_pipeline.run(spark, folder).count() == len(rows)
+
+
+def test_extra_columns_and_nothing(spark, folder, tmp_path):
+    names = ("size", "target", "source_size", "source_rows", "times", "_hash", "_doc", "_block", "component_id", "kept", "score", "key", "label")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns({c: F.lit(-3) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        columns, docs = docs.columns, keep(stage(spark, docs, folder))
+        assert docs.columns == columns and docs.where("size = -3 and _hash = -3 and times = -3 and kept = -3").count() == docs.count() > 0
+    empty = tmp_path / "none"
+    spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{empty}/documents.parquet")
+    spark.read.parquet(f"{folder}/labels.parquet").limit(0).write.parquet(f"{empty}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0

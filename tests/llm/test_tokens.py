@@ -150,3 +150,42 @@ def test_mixing(spark):
     assert sorted(zip(out.doc_id, out.times)) == sorted(zip(again.doc_id, again.times))
     assert mixing.repeated(mixing.mix(docs), docs.columns).count() == out.times.sum()
     assert mixing.mixing(docs.limit(0)).count() == 0
+
+
+def test_every_low_code_point_encodes_as_the_library(spark):
+    library, ours = Tokenizer.from_file(wavelet.VOCABULARY), wavelet.load(wavelet.VOCABULARY)
+    letters = [chr(c) for c in range(0x250)]
+    rng = random.Random(6)
+    texts = [p.format(c) for c in letters for p in ("{0}", "a{0}b", "{0}®", "{0}&", "¤{0}", "1{0}2", "'{0}s", " {0} ", "{0}{0}")]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 12))) for _ in range(20_000)]
+    for at in range(0, len(texts), 5000):
+        want = library.encode_batch(texts[at : at + 5000], add_special_tokens=False)
+        assert all(list(g) == w.ids for g, w in zip(ours.encode_batch(texts[at : at + 5000]), want))
+
+
+def test_shards_inflate_only_what_they_touch():
+    tokens = np.random.default_rng(4).integers(0, 49_408, 300_000).astype(np.uint16)
+    m = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(tokens, np.array([1]), np.array([len(tokens)])).to_bytes())
+    assert m.access(123_456) == tokens[123_456] and m._chunk.cache_info().currsize <= wavelet.PLANES * 2
+    probe = int(tokens[7])
+    at = np.flatnonzero(tokens == probe)
+    assert m.places(probe) == at.tolist() and m.rank(probe, 150_000) == (at < 150_000).sum()
+
+
+def test_long_chat_texts_are_encoded_as_one():
+    enc = chat.encoding(chat.VOCABULARY)
+    for text in ("hello " * 20_000, "a" + " " * 30_000 + "b", "x" * 120_000, "\n" * 5000, "a" + "\t" * 1500 + "\nb", " " * 999 + "x"):
+        assert chat.encode_text(enc, text) == enc.encode_ordinary(text)
+    far = "a" + " " * 400_000 + "b"
+    assert enc.decode(chat.encode_text(enc, far)) == far
+
+
+def test_mixing_leaves_the_input_s_columns(spark):
+    names = ("size", "source_size", "target", "source_rows", "times", "_hash", "_stratum", "_source", "_rows", "_copy")
+    rows = [(i, "w " * (i % 50), f"s{i % 3}") for i in range(300)] + [(None, "n " * 9, "s0"), (None, "n " * 8, None), (0, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit(-7) for c in names})
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns and all(r[c] == -7 for r in out.collect() for c in names)
+    plain = mixing.mix(docs.select("doc_id", "text", "source"))
+    assert out.count() == plain.agg(F.sum("times")).first()[0]
+    assert mixing.mixed_documents(docs.limit(0)).count() == 0

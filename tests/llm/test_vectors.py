@@ -65,3 +65,45 @@ def test_near_vectors(spark, monkeypatch):
     assert [got[i].component_id for i in range(len(v))] == component.tolist()
     assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in (9001, 9002, 9003, 9004, 9005, 9006, 9100))
     assert forest.near_vectors(df.limit(0)).count() == 0
+
+
+def test_a_group_of_near_copies_meets_once(spark, monkeypatch):
+    monkeypatch.setattr(forest, "LEAF", 32)
+    monkeypatch.setattr(forest, "BLOCK", 64)
+    rng = np.random.default_rng(5)
+    n, d = 3000, 24
+    v = rng.standard_normal((n, d))
+    v[::2] = v[0] / np.linalg.norm(v[0]) + rng.standard_normal((n // 2, d)) * 0.02
+    v = v.astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in row], 1) for i, row in enumerate(v)], SCHEMA)
+    nodes = df.select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("label"), F.col("embedding").alias("v"), F.lit(1).alias("copies"), F.lit(d).alias("d"))
+    leaves = forest._leaves(nodes, np.sqrt(2 - 2 * 0.98))
+    assert leaves.count() < 6 * 4 * n  # the group's rows are not dealt to both sides of every border
+    assert leaves.where("home").groupBy("id", (F.col("leaf") / forest._TREE).cast("int")).count().where("count != 1").isEmpty()
+    got = {r.vec_id: r for r in forest.near_vectors(df).collect()}
+    u = v.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    c = u @ u.T >= 0.98
+    np.fill_diagonal(c, False)
+    assert [got[i].n_links for i in range(n)] == c.sum(axis=1).tolist()
+    assert sum(r.kept for r in got.values()) == n // 2 + 1 or all(got[i].component_id == 0 for i in range(0, n, 2) if c[i].any())
+
+
+def test_vectors_that_share_an_id(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.001], 1), (0, [0.001, 1.0], 1), (None, [1.0, 0.0], 1)]
+    got = sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in forest.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [("0", 1, "0"), ("1", 1, "0"), ("1", 1, "1"), ("2", 1, "1"), ("None", 0, "None")]
+
+
+def test_top_k_of_mixed_lengths_and_large_numbers(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.standard_normal(d)], 1) for i, d in enumerate([2] * 60 + [3] * 40 + [5] * 2)]
+    rows += [(200, [1e20, -1e20], 1), (201, [1e20, 3e20], 1), (202, [4e16 / 256, 1.0], 1)]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in pivots.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), lambda i: i % 20 == 0).collect())
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v, _ in rows}
+    want = []
+    for q in whole:
+        if q % 20 == 0:
+            scores = [(min(max(sum(a * b for a, b in zip(whole[q], v)), -(2**63) + 1), 2**63 - 1), i) for i, v in whole.items() if i != q and len(v) == len(whole[q])]
+            want += [(q, n + 1, i, s) for n, (s, i) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:5])]
+    assert got == sorted(want)
