@@ -15,17 +15,24 @@ def evolve_schema(leads: DataFrame, like: DataFrame) -> DataFrame:
     return leads.unionByName(like.limit(0), allowMissingColumns=True)
 
 
-def upsert_leads(existing: DataFrame, incoming: DataFrame, key: str = "org_nr", seq: str = "seq", preserve: tuple[str, ...] = OWN) -> DataFrame:
+def defaults(now: Column) -> dict[str, Column]:
+    """What the table gives a new row by itself."""
+    return {"resolved": F.lit(False), "created_at": now, "updated_at": now}
+
+
+def upsert_leads(existing: DataFrame, incoming: DataFrame, key: str = "org_nr", seq: str = "seq", preserve: tuple[str, ...] = OWN, new_rows: dict[str, Column] | None = None) -> DataFrame:
     """existing with incoming's columns laid over it, nulls too; of a key's incoming rows the last by `seq` counts.
 
-    Columns in `preserve` and columns that incoming lacks stay; rows without a key go. Applying it again changes nothing.
+    Columns in `preserve` and columns that incoming lacks stay; rows without a key go. Keys that were not there get
+    `new_rows` in those of its columns that the table has. Applying it again changes nothing.
     """
     data = [c for c in incoming.columns if c not in (key, seq, *preserve)]
     last = incoming.where(F.coalesce(F.col(key), F.lit("")) != "").groupBy(key).agg(F.max_by(F.struct(*data), seq).alias("_in"))
-    joined = existing.join(last, key, "full")
+    joined = existing.withColumn("_there", F.lit(True)).join(last, key, "full")
     new = F.col("_in").isNotNull()
     columns = [F.when(new, F.col("_in")[c]).otherwise(F.col(c) if c in existing.columns else F.lit(None)).alias(c) for c in data]
-    kept = [c for c in existing.columns if c not in data and c != key]
+    fresh = lambda c: F.when(F.col("_there").isNull(), new_rows[c]).otherwise(F.col(c)).alias(c)
+    kept = [fresh(c) if new_rows and c in new_rows else F.col(c) for c in existing.columns if c not in data and c != key]
     return joined.select(key, *columns, *kept)
 
 
@@ -85,8 +92,11 @@ def page_leads(leads: DataFrame, page: int, size: int = 100, column: str = "name
 
 
 def page_after(leads: DataFrame, last_value, last_key: str, size: int = 100, column: str = "name", key: str = "org_nr") -> DataFrame:
-    """The page behind a known last row, at the cost of a filter however deep it is."""
-    return leads.where((F.col(column) > F.lit(last_value)) | ((F.col(column) == F.lit(last_value)) & (F.col(key) > F.lit(last_key)))).orderBy(column, key).limit(size)
+    """The page behind a known last row, at the cost of a filter however deep it is; null values come first."""
+    value = F.col(column)
+    later = F.col(key) > F.lit(last_key)
+    behind = value.isNotNull() | (value.isNull() & later) if last_value is None else (value > F.lit(last_value)) | ((value == F.lit(last_value)) & later)
+    return leads.where(behind).orderBy(value.asc_nulls_first(), key).limit(size)
 
 
 def lead_counts(leads: DataFrame, condition: Column, size: int = 100) -> DataFrame:
@@ -94,8 +104,9 @@ def lead_counts(leads: DataFrame, condition: Column, size: int = 100) -> DataFra
     return leads.agg(n.alias("filtered"), F.count("*").alias("total"), F.count_if("resolved").alias("resolved"), F.ceil(n / size).alias("pages"))
 
 
-def lead_display(leads: DataFrame) -> DataFrame:
-    return leads.withColumns({"revenue_text": format_revenue(F.col("revenue")), "debt_text": format_debt(F.col("short_debt").cast("string")), "debt_label": shorten_debt_label(F.col("branch")), "badge": icp_badge(F.col("icp_score"))})
+def lead_display(leads: DataFrame, line: str = "keyword_line_1") -> DataFrame:
+    """leads with the texts that are shown; `line` holds the first debt line."""
+    return leads.withColumns({"revenue_text": format_revenue(F.col("revenue")), "debt_text": format_debt(F.col("short_debt").cast("string")), "debt_label": shorten_debt_label(F.col(line)), "badge": icp_badge(F.col("icp_score"))})
 
 
 def badge_counts(leads: DataFrame) -> DataFrame:

@@ -39,17 +39,23 @@ def atomic_facts(rows: DataFrame, rules: Rules = RULES) -> DataFrame:
 
 def line_facts(lines: DataFrame, rules: Rules = RULES) -> DataFrame:
     """Facts of matched lines (org, seq, line_idx, line, values): no year, and the line itself where no label is known."""
-    value = parse_money(F.element_at(F.filter("values", lambda v: parse_money(v, rules).isNotNull()), 1), rules)
-    return lines.withColumn("value", value).where("value is not null").select(
-        "org", "seq", F.col("line_idx").alias("tbl_idx"), F.coalesce(normalize_label(F.col("line"), rules), F.col("line")).alias("label"), F.lit(None).cast("int").alias("year"),
-        (F.col("value") * rules.multiplier).alias("value"), F.col("line").alias("raw_line"), F.lit("PDF_TEXT").alias("source_type"), F.lit(SOURCE_WEIGHTS["PDF_TEXT"]).alias("score"))
+    value = F.get(F.filter(F.transform("values", lambda v: parse_money(v, rules)), lambda v: v.isNotNull()), F.lit(0))
+    said = F.array_join(F.concat(F.array("line"), F.transform("values", lambda v: F.coalesce(v, F.lit("")))), " | ")
+    return lines.where(F.trim("line") != "").withColumn("value", value).where("value is not null").select(
+        "org", "seq", F.col("line_idx").alias("tbl_idx"), F.coalesce(normalize_label(F.col("line"), rules), F.trim("line")).alias("label"), F.lit(None).cast("int").alias("year"),
+        (F.col("value") * rules.multiplier).alias("value"), said.alias("raw_line"), F.lit("PDF_TEXT").alias("source_type"), F.lit(SOURCE_WEIGHTS["PDF_TEXT"]).alias("score"))
 
 
-def best_facts(facts: DataFrame) -> DataFrame:
-    """The winner of each org and label: score, then year, then first seen. A minimum by key combines before the shuffle."""
+def best_facts(facts: DataFrame, people: DataFrame | None = None) -> DataFrame:
+    """The winner of each org and label: score, then year, then first seen. A minimum by key combines before the shuffle.
+
+    people: an org's name, email, phone and keywords, each the first that any of its observations has; they fill the
+    winner's, whichever observation it comes from.
+    """
     order = F.struct((-F.col("score")).alias("s"), (-F.coalesce(F.col("year"), F.lit(-1))).alias("y"), "seq", "tbl_idx")
     winner = F.min_by(F.struct("year", "value", "raw_line", "source_type", "score", "seq", "tbl_idx"), order).alias("w")
-    return facts.groupBy("org", "label").agg(winner).select("org", "label", "w.*")
+    best = facts.groupBy("org", "label").agg(winner).select("org", "label", "w.*")
+    return best if people is None else best.join(people.select("org", "name", "email", "phone", "lender_keywords"), "org", "left")
 
 
 def pivot_facts(best: DataFrame, labels: list[str]) -> DataFrame:
@@ -64,6 +70,20 @@ def debt_ceiling(short: Column, long: Column, rules: Rules = RULES) -> Column:
     return F.when(total > 0, F.least(total * 1.05, F.lit(float(rules.debt_cap)))).otherwise(F.lit(float(rules.debt_cap)))
 
 
+def repaired_ceiling(short: Column, long: Column, rules: Rules = RULES) -> Column:
+    """The ceiling for sheets already written: debts count by their size, without leading zeros."""
+    size = lambda c: F.abs(F.coalesce(F.regexp_replace(F.trim(c.cast("string")), "^0+", "").try_cast("double"), F.lit(0.0)))
+    return debt_ceiling(size(short), size(long), rules)
+
+
+def repair_sheet(sheet: DataFrame, cells: tuple[str, ...], short: str, long: str, rules: Rules = RULES) -> tuple[DataFrame, DataFrame]:
+    """(sheet whose `cells` beyond the ceiling are blank, one row with the number of cells cleared); zeros stay."""
+    ceiling = repaired_ceiling(F.col(short), F.col(long), rules)
+    beyond = lambda c: F.coalesce(F.abs(F.regexp_replace(F.col(c), "[\\s\u00A0]", "").try_cast("double")) > ceiling, F.lit(False))
+    counted = sheet.agg(sum((F.count_if(beyond(c)) for c in cells), F.lit(0)).alias("cleared"), F.count("*").alias("total"))
+    return sheet.withColumns({c: F.when(~beyond(c), F.col(c)) for c in cells}), counted
+
+
 def clamp(value: Column, ceiling: Column) -> Column:
     return F.when(F.abs(value) <= ceiling, value)
 
@@ -84,6 +104,11 @@ def label_scan_report(tables: DataFrame) -> DataFrame:
     return tables.agg(F.countDistinct("org").alias("orgs"), F.count("*").alias("tables"), F.count_if(is_financing_label(label)).alias("matches"), F.count_if(excluded_label(label)).alias("excluded"))
 
 
+def label_samples(tables: DataFrame, n: int = 20) -> DataFrame:
+    """The first n financing rows, as the report shows them."""
+    return tables.where(is_financing_label(F.col("raw_label"))).orderBy("seq", "tbl_idx").select("org", "seq", "tbl_idx", "raw_label").limit(n)
+
+
 def top_labels(tables: DataFrame, condition: Column, n: int = 10) -> DataFrame:
     return tables.where(condition).groupBy("raw_label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "raw_label").limit(n)
 

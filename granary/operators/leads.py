@@ -2,44 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import FIGURE_RULES, RULES, Rules
-from ..functions.text import classify_branch, join_keywords
-from .facts import latest_figures
+from ..functions.text import canonical_key, classify_branch, join_keywords, numeric_tokens, parse_money
 
 
-def _first(column: str | Column, when: Column, alias: str) -> Column:
-    """The value of the first observation, by seq, for which `when` holds."""
-    return F.min_by(column, F.when(when, F.col("seq"))).alias(alias)
+def _finance_marks(finance: DataFrame, rules: Rules) -> DataFrame:
+    """Finance rows with a value, their place among an org's, and the figure that each is for."""
+    priced = finance.withColumn("_value", parse_money(F.col("raw_value"), rules)).where(F.col("_value").isNotNull())
+    kinds = F.array(*[F.when(F.col("raw_label").rlike(f"(?iu){pattern}"), F.lit(name)) for name, pattern in FIGURE_RULES.items()])
+    figure = F.struct((F.col("_value") * rules.multiplier).cast("bigint").alias("value"), F.col("year").cast("int").alias("year"))
+    return priced.select("org", F.filter(kinds, lambda k: k.isNotNull()).alias("_kinds"), figure.alias("_figure"), F.struct("seq", "tbl_idx", "pos").alias("_place")).where(F.size("_kinds") > 0)
 
 
-def merge_observations(observations: DataFrame, figures: DataFrame | None = None, keywords: DataFrame | None = None, rules: Rules = RULES, compat: bool = False) -> DataFrame:
+def merge_observations(observations: DataFrame, finance: DataFrame | None = None, keywords: DataFrame | None = None, rules: Rules = RULES, compat: bool = False, scanned: DataFrame | None = None) -> DataFrame:
     """One row an org; each field is the first that says something.
 
-    observations: org, seq, name, email, phone, is_ab, reg_year, employees, branch, perhaps sni_code. figures: latest_figures().
-    keywords: union_keywords(). With `compat`, missing employees count as 0 and so block later ones.
+    observations: org, seq, name, email, phone, is_ab, reg_year, employees, branch, perhaps sni_code. finance:
+    finance_rows(). keywords: (org, seq, keyword). scanned: (org, keyword) from report files, which count where the
+    first observation has no keyword of its own. The inputs go through one aggregate by org, so they meet in one
+    shuffle. With `compat`, missing employees count as 0 and so block later ones.
     """
     said = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    staff = F.coalesce("employees", F.lit(0)) if compat else F.col("employees")
-    merged = observations.groupBy("org").agg(
-        F.min("seq").alias("first_seq"),
-        F.coalesce(F.min_by("name", F.when(said("name") & (F.col("name") != "Unknown"), F.col("seq"))), F.lit("Unknown")).alias("name"),
-        _first("email", said("email"), "email"), _first("phone", said("phone"), "phone"),
+    sni = "sni_code" in observations.columns
+    fields = ["name", "email", "phone", "is_ab", "reg_year", "employees", "branch", *(["sni_code"] if sni else [])]
+    rows = observations.select("org", F.col("seq").alias("_at"), *fields)
+    if finance is not None:
+        rows = rows.unionByName(_finance_marks(finance, rules), allowMissingColumns=True)
+    if keywords is not None:
+        rows = rows.unionByName(keywords.select("org", F.col("seq").alias("_word_at"), F.col("keyword").alias("_word")), allowMissingColumns=True)
+        if scanned is not None:
+            rows = rows.unionByName(scanned.select("org", F.col("keyword").alias("_scanned")), allowMissingColumns=True)
+    own = F.col("_at").isNotNull()
+    staff = F.when(own, F.coalesce("employees", F.lit(0))) if compat else F.col("employees")
+    first = lambda value, when, alias: F.min_by(value, F.when(own & when, F.col("_at"))).alias(alias)
+    parts = [
+        F.min("_at").alias("first_seq"),
+        F.coalesce(F.min_by("name", F.when(own & said("name") & (F.col("name") != "Unknown"), F.col("_at"))), F.lit("Unknown")).alias("name"),
+        first("email", said("email"), "email"), first("phone", said("phone"), "phone"),
         F.coalesce(F.bool_or("is_ab"), F.lit(False)).alias("is_ab"),
-        _first("reg_year", F.coalesce(F.col("reg_year"), F.lit(0)) != 0, "reg_year"),
-        F.min_by(staff, F.when(staff.isNotNull(), F.col("seq"))).alias("employees"),
-        _first("branch", said("branch"), "branch"),
-        *([_first("sni_code", said("sni_code"), "sni_code")] if "sni_code" in observations.columns else []),
-    )
+        first("reg_year", F.coalesce(F.col("reg_year"), F.lit(0)) != 0, "reg_year"),
+        first(staff, staff.isNotNull(), "employees"), first("branch", said("branch"), "branch"),
+        *([first("sni_code", said("sni_code"), "sni_code")] if sni else []),
+    ]
+    if finance is not None:
+        parts += [F.min_by("_figure", F.when(F.array_contains("_kinds", F.lit(n)), F.col("_place"))).alias(n) for n in FIGURE_RULES]
+    if keywords is not None:
+        parts += [F.collect_set("_word").alias("_words"), F.min("_word_at").alias("_first_word")]
+        if scanned is not None:
+            parts.append(F.collect_set("_scanned").alias("_scans"))
+    merged = rows.groupBy("org").agg(*parts).where(F.col("first_seq").isNotNull())
     merged = merged.withColumns({"company_age": F.lit(rules.as_of_year) - F.col("reg_year"), "branch_segment": classify_branch(F.col("branch"))})
-    if figures is not None:
-        picks = figures.groupBy("org").agg(*[F.min_by(n, F.when(F.col(n).isNotNull(), F.col("seq"))).alias(n) for n in FIGURE_RULES])
-        flat = [F.col(f"{n}.value").alias(n) for n in FIGURE_RULES]
-        merged = merged.join(picks.select("org", *flat, F.col("revenue.year").alias("revenue_year")), "org", "left")
+    if finance is not None:
+        merged = merged.withColumn("revenue_year", F.col("revenue.year")).withColumns({n: F.col(f"{n}.value") for n in FIGURE_RULES})
     if keywords is not None:
-        merged = merged.join(keywords, "org", "left").withColumn("lender_keywords", F.coalesce("lender_keywords", F.lit("")))
+        words = F.col("_words")
+        if scanned is not None:
+            words = F.when(F.col("_first_word").eqNullSafe(F.col("first_seq")), words).otherwise(F.concat(words, "_scans"))
+        merged = merged.withColumn("lender_keywords", F.coalesce(join_keywords(words), F.lit(""))).drop("_words", "_first_word", "_scans")
     return merged
 
 
@@ -89,24 +111,66 @@ def rank_leads(scored: DataFrame) -> DataFrame:
     return scored.orderBy(F.desc("icp_score"), "first_seq")
 
 
-def score_leads(observations: DataFrame, finance: DataFrame, keywords: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """The whole fold: figures, merge, keywords, score."""
-    return icp_score(merge_observations(observations, latest_figures(finance, rules), union_keywords(keywords), rules), rules)
+def score_leads(observations: DataFrame, finance: DataFrame, keywords: DataFrame, rules: Rules = RULES, scanned: DataFrame | None = None) -> DataFrame:
+    """The whole fold: one aggregate by org, then the score."""
+    return icp_score(merge_observations(observations, finance, keywords, rules, scanned=scanned), rules)
+
 
+MOST_LINES, MOST_NUMBERS = 10, 10  # of a key and of a line
 
-def wide_1year(lines: DataFrame) -> DataFrame:
-    """Seven columns of an org's first two credit institution lines.
 
-    lines: (org, seq, line_idx, key, line, values). The lines are those of the first observation that has any.
+def structured_lines(items: DataFrame, ceilings: DataFrame | None = None, separators: bool = False) -> DataFrame:
+    """(org, key, n, line, idx, numbers): the n-th line of each key, cell by cell the first that says something.
+
+    items: (org, seq, pos, key, line, idx, values), as files.matched_items() gives them. Keys are canonical; of an
+    observation the first ten lines of a key count, with the ten first of the values given, or else of the numbers
+    in the line. Given values lose their separators unless they are asked for. ceilings: (org, ceiling); greater
+    numbers leave their cell to a later observation.
     """
-    debts = lines.where((F.lower("key") == "kreditinstitut") & F.lower("line").contains("skuld"))
-    first = debts.groupBy("org").agg(F.min("seq").alias("seq"))
-    own = debts.join(first, ["org", "seq"])
-    # at most two lines an org are published, so the aggregate keeps the least two
-    items = F.slice(F.array_sort(F.collect_list(F.struct("line_idx", "line", "values"))), 1, 2)
-    out = own.groupBy("org").agg(items.alias("i"))
-    cell = lambda n, name: F.try_element_at("i", F.lit(n))[name]
+    key = canonical_key(F.coalesce(F.nullif("key", F.lit("")), F.lit("Unknown")))
+    kept = items.where(F.trim(F.coalesce("line", F.lit(""))) != "").withColumn("_key", key).where("_key != ''")
+    order = F.row_number().over(Window.partitionBy("org", "seq", "_key").orderBy("pos"))
+    kept = kept.withColumn("n", order).where(F.col("n") <= MOST_LINES)
+    bare = lambda v: F.regexp_replace(F.trim(F.regexp_replace(F.coalesce(v, F.lit("")), "\u00A0", " ")), "(?!)" if separators else "[\\s.,]", "")
+    numbers = F.when(F.size("values") > 0, F.slice(F.transform("values", bare), 1, MOST_NUMBERS)).otherwise(numeric_tokens(F.col("line"), MOST_NUMBERS))
+    kept = kept.withColumn("_numbers", numbers)
+    if ceilings is not None:
+        size = lambda v: F.abs(F.regexp_extract(F.regexp_replace(v, "\\s", ""), "^[+-]?[0-9]+", 0).try_cast("double"))
+        fits = lambda v: F.when(~F.coalesce(size(v) > F.col("ceiling"), F.lit(False)), v)
+        kept = kept.join(ceilings.select("org", "ceiling"), "org", "left").withColumn("_numbers", F.transform("_numbers", fits))
+    first = lambda value, alias: F.min_by(value, F.when(F.coalesce(value.cast("string"), F.lit("")) != "", F.col("seq"))).alias(alias)
+    cells = [first(F.get("_numbers", F.lit(k)), f"_n{k}") for k in range(MOST_NUMBERS)]
+    out = kept.groupBy("org", "_key", "n").agg(first(F.col("line"), "line"), first(F.when(F.col("idx") != 0, F.col("idx")), "idx"), *cells)
+    return out.select("org", F.col("_key").alias("key"), "n", "line", F.col("idx").cast("long").alias("idx"), F.array(*[f"_n{k}" for k in range(MOST_NUMBERS)]).alias("numbers"))
+
+
+def line_columns(structured: DataFrame, key: str = "Kreditinstitut", lines: int = 2, numbers: int = 2) -> DataFrame:
+    """(org, l1, l1_idx, l1_n1, ...): a key's first lines and numbers side by side."""
+    at = lambda n, value: F.max(F.when(F.col("n") == n, value))
     columns = []
-    for n in (1, 2):
-        columns += [cell(n, "line").alias(f"l{n}"), cell(n, "line_idx").cast("bigint").alias(f"l{n}_idx"), *[F.try_element_at(cell(n, "values"), F.lit(k)).alias(f"l{n}_n{k}") for k in (1, 2)]]
-    return out.select("org", *columns)
+    for n in range(1, lines + 1):
+        columns += [at(n, F.col("line")).alias(f"l{n}"), at(n, F.col("idx")).alias(f"l{n}_idx"), *[at(n, F.get("numbers", F.lit(k - 1))).alias(f"l{n}_n{k}") for k in range(1, numbers + 1)]]
+    return structured.where(F.col("key") == key).groupBy("org").agg(*columns)
+
+
+def wide_1year(items: DataFrame) -> DataFrame:
+    """An org's first two credit institution lines with their first two numbers, as the one-year report has them."""
+    return line_columns(structured_lines(items, separators=True))
+
+
+def _said(key: Column, line: Column) -> Column:
+    return F.when(F.coalesce(key, F.lit("")) != "", F.concat(F.trim(key), F.lit(": "), F.trim(line))).otherwise(F.trim(line))
+
+
+def joined_lines(items: DataFrame, alias: str) -> DataFrame:
+    """(org, alias): `key: line` of every line of an org once, in order; repeats go before anything is gathered."""
+    each = items.where(F.trim(F.coalesce("line", F.lit(""))) != "").select("org", _said(F.when(F.col("key") != "Unknown", F.col("key")), F.col("line")).alias("said"), F.struct("seq", "pos").alias("place"))
+    once = each.groupBy("org", "said").agg(F.min("place").alias("place"))
+    return once.groupBy("org").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "said"))), lambda x: x["said"]), " || ").alias(alias))
+
+
+def first_lines(items: DataFrame, alias: str) -> DataFrame:
+    """(org, alias): all lines, repeats too, of an org's first observation that has any."""
+    said = F.when(F.col("key") != "Unknown", F.concat("key", F.lit(": "), "line")).otherwise(F.col("line"))
+    own = items.groupBy("org", "seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", said.alias("said")))), lambda x: x["said"]), " || ").alias("said"))
+    return own.groupBy("org").agg(F.min_by("said", F.when(F.col("said") != "", F.col("seq"))).alias(alias))

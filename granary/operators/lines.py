@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE, literal_pattern, normalize_label
-from .numbers import split_text_and_numbers, strip_numbers
+from .numbers import let, numbers_in, strip_numbers
 
 
 def text_lines(texts: DataFrame, *keys: str) -> DataFrame:
@@ -25,14 +25,14 @@ def scan_keywords(texts: DataFrame, words: tuple[str, ...], *keys: str) -> DataF
     return texts.select(*keys, F.explode(hits).alias("keyword")).distinct()
 
 
-def matched_lines(lines: DataFrame, words: tuple[str, ...], per_key: int = 10, total: int = 60, key: str = "doc_id", extra: tuple[str, ...] = ()) -> DataFrame:
+def matched_lines(lines: DataFrame, words: tuple[str, ...], per_key: int = 10, total: int = 60, key: str = "doc_id", extra: tuple[str, ...] = (), within: str = "line") -> DataFrame:
     """(key, keyword, line, line_idx): at most `per_key` different lines a word and `total` a document.
 
-    An alternation drops most lines first; caps are windows, by line and then by the order of the words.
-    `extra` columns take part in what makes lines different.
+    Words are looked for in the column `within`. An alternation drops most lines first; caps are windows, by line
+    and then by the order of the words. `extra` columns take part in what makes lines different.
     """
-    wanted = lines.where(F.col("line").rlike(literal_pattern(words)))
-    low = F.lower("line")
+    wanted = lines.where(F.col(within).rlike(literal_pattern(words)))
+    low = F.lower(within)
     each = F.filter(F.array(*[F.when(F.contains(low, F.lit(w.lower())), F.struct(F.lit(i).alias("n"), F.lit(w).alias("keyword"))) for i, w in enumerate(words)]), lambda x: x.isNotNull())
     hits = wanted.select(key, "line_idx", "line", *extra, F.explode(each).alias("m")).select(key, "line_idx", "line", *extra, "m.n", "m.keyword")
     once = hits.withColumn("_r", F.row_number().over(Window.partitionBy(key, "keyword", "line", *extra).orderBy("line_idx"))).where("_r = 1")
@@ -81,38 +81,75 @@ def line_year_values(lines: DataFrame) -> DataFrame:
         *other, "label", F.col("z.year").cast("int").alias("year"), F.regexp_replace("z.value", "\\s", "").cast("bigint").alias("value"))
 
 
-def normalize_matched_lines(lines: DataFrame, keys: list[str], credit_rule: bool = True) -> DataFrame:
-    """lines (keys, key, line, values) with clean values and the label as line.
+def clean_line(item: Column, credit_rule: bool = True) -> Column:
+    """(line, values) of an item with key, line and values, put right.
 
     Values come from a line with digits; else a clean pair stays and other values are repaired together.
     Credit institution debts keep their last two values, without note numbers.
     """
-    clean = F.filter(F.transform(F.coalesce("values", F.array().cast("array<string>")), lambda v: F.trim(F.regexp_replace(v, "\\s+", " "))), lambda v: v != "")
-    prepared = lines.withColumn("_given", clean)
-    pair = (F.size("_given") == 2) & F.forall("_given", lambda v: v.rlike("^[-+]?[0-9]+(?: [0-9]{3})*$"))
-    prepared = prepared.drop("values").withColumns({"_digits": F.col("line").rlike("[0-9]"), "_pair": pair})
-    prepared = prepared.withColumn("_read", F.when(F.col("_digits"), F.col("line")).otherwise(F.array_join("_given", " ")))
-    split = split_text_and_numbers(prepared, keys, 2, "_read")
-    values = F.when(F.col("_digits"), F.col("values")).when(F.col("_pair") | (F.size("values") != 2), F.col("_given")).otherwise(F.col("values"))
-    split = split.withColumns({"values": values, "_text": F.col("line")})
-    if credit_rule:
-        large = F.filter("values", lambda v: v.isin("0", "+0", "-0") | (F.length(F.regexp_replace(v, "[^0-9]", "")) > 2))
-        debt = (F.lower("key") == "kreditinstitut") & F.lower("line").contains("skuld") & (F.size("values") > 2) & (F.size(large) >= 2)
-        split = split.withColumn("values", F.when(debt, F.slice(large, -2, 2)).otherwise(F.col("values")))
-    label = strip_numbers(F.col("_text"))
-    return split.withColumn("line", F.when(label != "", label).otherwise(F.col("_text"))).drop("_given", "_digits", "_pair", "_read", "_text", "label")
-
-
-def backfill_matched_lines(lines: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(lines put right without the credit rule, one row with the number of lines that changed)."""
-    new = normalize_matched_lines(lines, keys, credit_rule=False)
-    old = lines.select(*keys, F.col("line").alias("_line"), F.col("values").alias("_values"))
-    changed = new.join(old, keys).agg(F.count_if(~(F.col("line").eqNullSafe(F.col("_line")) & F.col("values").eqNullSafe(F.col("_values")))).alias("changed"))
-    return new, changed
-
-
-def credit_institution_lines(lines: DataFrame) -> DataFrame:
-    return lines.where((F.lower("key") == "kreditinstitut") & F.lower("line").contains("skuld"))
+    none = F.array().cast("array<string>")
+    line = item["line"]
+    given = F.filter(F.transform(F.coalesce(item["values"], none), lambda v: F.trim(F.regexp_replace(v, "\\s+", " "))), lambda v: v != "")
+
+    def chosen(given: Column) -> Column:
+        pair = (F.size(given) == 2) & F.forall(given, lambda v: v.rlike("^[-+]?[0-9]+(?: [0-9]{3})*$"))
+        again = lambda v: F.when(pair | (F.size(v) != 2), given).otherwise(v)
+        return F.when(line.rlike("[0-9]"), numbers_in(line)).otherwise(let(numbers_in(F.array_join(given, " ")), again))
+
+    def credited(values: Column) -> Column:
+        large = F.filter(values, lambda v: v.isin("0", "+0", "-0") | (F.length(F.regexp_replace(v, "[^0-9]", "")) > 2))
+        debt = is_credit_debt(item["key"], line) & (F.size(values) > 2)
+        return let(large, lambda l: F.when(debt & (F.size(l) >= 2), F.slice(l, -2, 2)).otherwise(values))
+
+    values = let(given, chosen)
+    values = let(values, credited) if credit_rule else values
+    label = let(F.coalesce(strip_numbers(line), F.lit("")), lambda x: F.when(x != "", x).otherwise(line))
+    return F.struct(label.alias("line"), values.alias("values"))
+
+
+def normalize_matched_lines(lines: DataFrame, credit_rule: bool = True) -> DataFrame:
+    """lines (key, line, values and others) with clean values and the label as line, in one projection."""
+    clean = clean_line(F.struct("key", "line", "values"), credit_rule)
+    return lines.withColumn("_clean", clean).withColumns({"line": F.col("_clean.line"), "values": F.col("_clean.values")}).drop("_clean")
+
+
+def backfill_matched_lines(observations: DataFrame, columns: tuple[str, ...] = ("lenderKeywordLines", "loanLines")) -> tuple[DataFrame, DataFrame]:
+    """(observations whose stored lines are put right without the credit rule, one row with the number of observations that changed).
+
+    Each of `columns` that is there is an array of items (variants): those with a line are rewritten in it, with
+    their other fields; bare strings and what else has no line stay as they are.
+    """
+    there = [c for c in columns if c in observations.columns]
+
+    def mended(item: Column) -> Column:
+        text = lambda path, kind="string": F.try_variant_get(item, path, kind)
+        old = F.struct(F.coalesce(text("$.key"), text("$.keyword")).alias("key"), text("$.line").alias("line"), text("$.values", "array<string>").alias("values"))
+
+        def rewritten(clean: Column) -> Column:
+            kept = F.coalesce(F.try_variant_get(item, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+            others = F.map_filter(kept, lambda k, _: ~k.isin("line", "values"))
+            own = F.map_from_arrays(F.array(F.lit("line"), F.lit("values")), F.array(clean["line"].cast("variant"), clean["values"].cast("variant")))
+            return F.to_variant_object(F.map_concat(others, own))
+
+        return F.when(text("$.line").isNull(), item).otherwise(let(clean_line(old, credit_rule=False), rewritten))
+
+    said = lambda c: F.array_join(F.transform(c, lambda x: F.to_json(x)), ",")
+    new = observations.withColumns({f"_new_{c}": F.transform(c, mended) for c in there})
+    changed = reduce(lambda a, b: a | b, [~said(c).eqNullSafe(said(f"_new_{c}")) for c in there], F.lit(False))
+    counted = new.agg(F.count_if(changed).alias("changed"), F.count("*").alias("total"))
+    return new.withColumns({c: F.col(f"_new_{c}") for c in there}).drop(*[f"_new_{c}" for c in there]), counted
+
+
+def is_credit_debt(key: Column, line: Column) -> Column:
+    return (F.lower(key) == "kreditinstitut") & F.lower(line).contains("skuld")
+
+
+def credit_institution_lines(lines: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Lines of credit institution debts (org, seq, key, line and others): those stored for an observation if there are any, else derived from `lines`."""
+    derived = lines.where(is_credit_debt(F.col("key"), F.col("line")))
+    if stored is None:
+        return derived
+    return derived.join(stored.select("org", "seq").distinct(), ["org", "seq"], "left_anti").unionByName(stored.select(*derived.columns))
 
 
 def has_any_data(columns: list[str], source: Column) -> Column:

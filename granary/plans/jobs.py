@@ -2,28 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import RULES, Rules
-from ..operators import crm, extract, facts, leads, lines, targets
+from ..operators import crm, extract, facts, layout, leads, lines, targets
+from ..sources import files
+from .storage import keep
 
 
-def build_leads(observations: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """Observations as read from their files (see sources.files) to scored leads."""
-    named = observations.select("org", "seq", "name", "email", "phone", F.col("isAB").alias("is_ab"), F.col("regYear").alias("reg_year"), "employees", "branch", F.col("sniCode").alias("sni_code"))
-    words = observations.select("org", "seq", F.explode("lenderKeywords").alias("keyword"))
-    return leads.score_leads(named, facts.finance_rows(observations), words, rules)
+CREDIT = "Kreditinstitut"
 
 
-def build_observations(target_list: DataFrame, pages: DataFrame, texts: DataFrame, done: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """One observation for each pending target from its pages (org, html, perhaps seq) and report texts (org, text).
+def build_leads(observations: DataFrame, rules: Rules = RULES, scanned: DataFrame | None = None) -> DataFrame:
+    """Observations as read from their files (see sources.files) to scored leads.
 
-    Of an org's pages, by seq and then by a hash of html, the first that says a thing counts; the finance tables of all join.
+    scanned: (org, keyword) found in report files. Where observations hold matched lines, leads also have the first
+    two credit institution lines with their numbers below the org's debt ceiling, and all lines in one text.
     """
-    pending = targets.pending_targets(target_list, done).select("org", "name")
-    own = pages.join(pending.select("org"), "org", "left_semi")
-    own = own.withColumn("_at", F.struct(*[c for c in ("seq",) if c in pages.columns], F.xxhash64("html")))
+    named = observations.select("org", "seq", "name", "email", "phone", F.col("isAB").alias("is_ab"), F.col("regYear").alias("reg_year"), "employees", "branch", F.col("sniCode").alias("sni_code"))
+    words = observations.select("org", "seq", F.explode("lenderKeywords").alias("keyword"))
+    scored = leads.score_leads(named, facts.finance_rows(observations), words, rules, scanned)
+    if "lenderKeywordLines" not in observations.columns:
+        return scored
+    items = files.matched_items(observations, "lenderKeywordLines")
+    stored = files.matched_items(observations, "kreditinstitutSkulderLines") if "kreditinstitutSkulderLines" in observations.columns else None
+    ceilings = scored.select("org", facts.debt_ceiling(F.col("short_debt"), F.col("long_debt"), rules).alias("ceiling"))
+    cells = leads.line_columns(leads.structured_lines(items, ceilings), CREDIT)
+    joined = scored.join(cells, "org", "left").join(leads.joined_lines(items, "every_line"), "org", "left")
+    return joined.join(leads.joined_lines(lines.credit_institution_lines(items, stored), "debt_lines"), "org", "left")
+
+
+def _page_facts(pages: DataFrame, rules: Rules) -> DataFrame:
+    """(org, email, phone, is_ab, regYear, employees, branch, sniCode, tables): of an org's pages, by seq and then by a
+    hash of html, the first that says a thing; the finance tables of all, or else the debts that a table names."""
+    own = pages.withColumn("_at", F.struct(*[c for c in ("seq",) if c in pages.columns], F.xxhash64("html")))
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_at"))).alias(c)
     contacts = extract.extract_contacts(own, "org", "_at").groupBy("org").agg(*map(first, ("email", "phone")))
     plain = own.select("org", "_at", targets.flatten_html(F.col("html")).alias("text"))
@@ -31,21 +44,90 @@ def build_observations(target_list: DataFrame, pages: DataFrame, texts: DataFram
     about = said.groupBy("org").agg(F.bool_or("is_ab").alias("is_ab"), *map(first, ("reg_year", "employees", "branch", "sni_code")))
     each = extract.finance_tables(own, "org", "_at")
     tables = each.groupBy("org").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_at", "tables"))), lambda x: x["tables"])).alias("tables"))
-    words = lines.scan_keywords(texts.join(pending.select("org"), "org", "left_semi"), rules.lenders, "org").groupBy("org").agg(F.array_sort(F.collect_set("keyword")).alias("lenderKeywords"))
+    label = F.when(F.col("kind") == "short", "Kortfristiga skulder").otherwise("Långfristiga skulder")
+    debts = extract.debt_fallback(own, "org", "_at").groupBy("org", "_at", label.alias("rawLabel")).agg(F.sort_array(F.collect_list(F.struct("year", F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))), asc=False).alias("c"))
+    row = F.struct(F.transform("c", lambda x: x["year"]).alias("years"), "rawLabel", F.transform("c", lambda x: x["value"]).alias("values"))
+    fallback = debts.groupBy("org", "_at").agg(F.array_sort(F.collect_list(row)).alias("rows")).groupBy("org").agg(F.min_by("rows", "_at").alias("debts"))
+    out = contacts
+    for part in (about, tables, fallback):
+        out = out.join(part, "org", "full")
+    return out.select("org", "email", "phone", F.col("reg_year").alias("regYear"), "employees", F.coalesce("is_ab", F.lit(False)).alias("isAB"), "branch", F.col("sni_code").alias("sniCode"), F.coalesce("tables", "debts").alias("tables"))
+
+
+def _first_report(texts: DataFrame, rules: Rules) -> DataFrame:
+    """(org, text): of an org's report texts, by seq and then by a hash, the first that holds a lender's name."""
+    low = F.lower("text")
+    holds = F.exists(F.array(*map(F.lit, rules.lenders)), lambda w: F.contains(low, F.lower(w)))
+    at = F.struct(*[c for c in ("seq",) if c in texts.columns], F.xxhash64("text"))
+    return texts.where(holds).groupBy("org").agg(F.min_by("text", at).alias("text"))
+
+
+def _kind() -> Column:
+    """Blended lines are the report's, wherever they were read."""
+    return F.when(F.col("source") == "PDF_XY", "PDF").otherwise(F.col("source"))
+
+
+def lender_lines(texts: DataFrame, pages: DataFrame, tokens: DataFrame | None = None, rules: Rules = RULES) -> tuple[DataFrame, DataFrame]:
+    """((org, source, keywords), (org, key, line_idx, line, values, source)) of the first source that names a lender.
+
+    Report texts come first, blended with positioned tokens where an org has them: (org, page, text, x, y, w, h).
+    Then the org's pages. Values are put right, and doubled variants of one value go.
+    """
+    broken = F.regexp_replace("html", "(?i)<br[^>]*>|</(p|div|li|tr|h[1-6])>", "\n")
+    of_pages = pages.select("org", *[c for c in ("seq",) if c in pages.columns], F.regexp_replace(broken, "<[^>]*>", " ").alias("text"))
+    texts_of = lambda source, df: _first_report(df, rules).select(F.concat(F.lit(f"{source}:"), "org").alias("doc"), "text")
+    documents = texts_of("PDF", texts).unionByName(texts_of("HTML", of_pages))
+    parted = [F.substring_index("doc", ":", 1).alias("source"), F.substring_index("doc", ":", -1).alias("org")]
+    # tables of their own: the texts are read once for each, whatever follows
+    named = keep(lines.scan_keywords(documents, rules.lenders, "doc").select(*parted, "keyword"))
+    found = lines.matched_lines(lines.text_lines(documents, "doc"), rules.lenders, key="doc")
+    found = keep(found.select(*parted, F.col("keyword").alias("key"), "line_idx", "line", F.array().cast("array<string>").alias("values")))
+    if tokens is not None:
+        numbered = tokens.withColumn("doc_id", F.col("org").cast("long")).drop("org")
+        placed = layout.matched_token_lines(numbered, rules.lenders).select(F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("org"), F.col("keyword").alias("key"), "line_idx", "line", "values")
+        blended = lines.blend_lines(placed, found.where("source = 'PDF'").drop("source"), ["org", "key"])
+        blended = keep(blended.select(F.when(F.col("from_first"), "PDF_XY").otherwise("PDF").alias("source"), "org", "key", "line_idx", "line", "values"))
+        found = found.where("source = 'HTML'").unionByName(blended)
+        named = named.unionByName(blended.where("source = 'PDF_XY'").select("source", "org", F.col("key").alias("keyword")))
+    chosen = keep(lines.choose_source(named.select("org", "source", F.lit(True).alias("ok"))).withColumn("kind", _kind()))
+    of_chosen = lambda df: df.withColumn("kind", _kind()).join(chosen.select("org", "kind"), ["org", "kind"], "left_semi").drop("kind")
+    keywords = of_chosen(named).groupBy("org").agg(F.array_sort(F.collect_set("keyword")).alias("keywords")).join(chosen.select("org", "source"), "org")
+    return keywords, lines.normalize_matched_lines(of_chosen(found))
+
+
+def build_observations(target_list: DataFrame, pages: DataFrame, texts: DataFrame, done: DataFrame, rules: Rules = RULES, tokens: DataFrame | None = None) -> DataFrame:
+    """One observation for each pending target from its pages (org, html, perhaps seq), report texts (org, text, perhaps
+    seq) and positioned tokens."""
+    pending = targets.pending_targets(target_list, done).select("org", "name")
+    of_pending = lambda df: df.join(pending.select("org"), "org", "left_semi")
+    own = of_pending(pages)
+    keywords, found = lender_lines(of_pending(texts), own, None if tokens is None else of_pending(tokens), rules)
+    debts = facts.dedupe_value_variants(lines.credit_institution_lines(found))
+    item = F.struct("key", "line", F.col("line_idx").cast("int").alias("lineIndex"), "values", "source")
+    gathered = lambda df, alias: df.groupBy("org").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_idx", "key", item.alias("item")))), lambda x: x["item"]).alias(alias))
     out = pending
-    for part in (contacts, about, tables, words):
+    for part in (_page_facts(own, rules), keywords, gathered(found, "lenderKeywordLines"), gathered(debts, "kreditinstitutSkulderLines")):
         out = out.join(part, "org", "left")
-    shaped = out.select("org", "name", "email", "phone", F.col("reg_year").alias("regYear"), "employees", F.col("is_ab").alias("isAB"), "branch", F.col("sni_code").alias("sniCode"), "lenderKeywords", F.when(F.size("lenderKeywords") > 0, "PDF").otherwise("NONE").alias("lenderKeywordsSource"), "tables")
-    return shaped.where(lines.has_any_data(["email", "phone", "employees", "regYear", "branch"], F.col("lenderKeywordsSource")) | (F.size("lenderKeywords") > 0) | (F.size("tables") > 0))
+    shaped = out.select(
+        "org", "name", "email", "phone", "regYear", "employees", F.coalesce("isAB", F.lit(False)).alias("isAB"), "branch", "sniCode", F.col("keywords").alias("lenderKeywords"),
+        "lenderKeywordLines", "kreditinstitutSkulderLines", F.coalesce("source", F.lit("NONE")).alias("lenderKeywordsSource"), "tables")
+    some = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0
+    return shaped.where(lines.has_any_data(["email", "phone", "employees", "regYear", "branch"], F.col("lenderKeywordsSource")) | some("lenderKeywords") | some("tables"))
 
 
 def import_leads(existing: DataFrame, sheet: DataFrame, now) -> DataFrame:
     """A lead sheet over the table: missing columns, upsert, stamps."""
     table = crm.evolve_schema(existing, sheet.drop("seq"))
-    return crm.stamp_changes(crm.upsert_leads(table, sheet), table, now)
+    return crm.stamp_changes(crm.upsert_leads(table, sheet, new_rows=crm.defaults(now)), table, now)
 
 
 def rescan_cycle(observations: DataFrame, keywords: DataFrame, all_targets: DataFrame) -> DataFrame:
     """Targets with lender keywords, flagged for another visit."""
     wanted = targets.lender_targets(observations, keywords).select(F.col("orgnr").alias("org")).distinct()
     return targets.pending_targets(all_targets.join(wanted, "org", "left_semi"), observations, rescan=True)
+
+
+def rescan(observations: DataFrame, keywords: DataFrame, all_targets: DataFrame, pages: DataFrame, texts: DataFrame, rules: Rules = RULES) -> DataFrame:
+    """New observations of the targets that rescan_cycle() flags, from their pages and texts as they are now."""
+    wanted = rescan_cycle(observations, keywords, all_targets)
+    return build_observations(wanted, pages, texts, wanted.limit(0), rules)

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import RULES, Rules
-from ..functions.text import join_lines, parse_money
-from ..operators.facts import clamp, debt_ceiling, pivot_facts
-from ..operators.leads import wide_1year
+from ..operators.facts import debt_ceiling, pivot_facts
+from ..operators.leads import first_lines, line_columns, structured_lines, wide_1year
+from ..operators.lines import credit_institution_lines
 
 # fixed values: the columns of the published sheets, in their order
 CONTACTS = {
@@ -26,25 +26,28 @@ def _of(df: DataFrame, columns) -> DataFrame:
     return df.select(*[(F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(f"c{i}") for i, c in enumerate(columns)])
 
 
+def _items(lines: DataFrame) -> DataFrame:
+    """lines (org, seq, key, line, values, and pos or line_idx) as structured_lines() takes them."""
+    place = F.col("line_idx") if "line_idx" in lines.columns else F.col("pos")
+    return lines.withColumns({"pos": F.col("pos") if "pos" in lines.columns else place, "idx": F.col("idx") if "idx" in lines.columns else place})
+
+
 def contacts(leads: DataFrame, lines: DataFrame, rules: Rules = RULES) -> tuple[DataFrame, tuple[str, ...]]:
-    """(26 columns, best leads first; their titles). Values of lines beyond the org's debt ceiling are blank.
-
-    lines: (org, seq, line_idx, key, line, values), as wide_1year() takes them.
-    """
-    joined = leads.join(wide_1year(lines), "org", "left")
-    ceiling = debt_ceiling(F.col("short_debt"), F.col("long_debt"), rules)
-    cells = {c: F.when(clamp(parse_money(F.col(c), rules), ceiling).isNotNull(), F.col(c)) for c in ("l1_n1", "l1_n2", "l2_n1", "l2_n2")}
-    ranked = joined.withColumns(cells).orderBy(F.desc("icp_score"), "first_seq")
+    """(26 columns, best leads first; their titles). Values of lines beyond the org's debt ceiling are blank."""
+    ceilings = leads.select("org", debt_ceiling(F.col("short_debt"), F.col("long_debt"), rules).alias("ceiling"))
+    cells = line_columns(structured_lines(_items(lines), ceilings))
+    ranked = leads.drop(*[c for c in cells.columns if c != "org"]).join(cells, "org", "left").orderBy(F.desc("icp_score"), "first_seq")
     return _of(ranked, [*CONTACTS.values(), *[c for _, c in CONTACT_LINES]]), (*CONTACTS, *[t for t, _ in CONTACT_LINES])
 
 
-def wide(leads: DataFrame, lines: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
-    """(15 columns; their titles): who, all keyword lines, all credit institution lines, and the first two in parts."""
-    item = F.struct("seq", "line_idx", "key", "line")
-    debt = (F.lower("key") == "kreditinstitut") & F.lower("line").contains("skuld")
-    said = lambda condition: join_lines(F.array_sort(F.collect_list(F.when(condition, item))))
-    every = lines.groupBy("org").agg(said(F.lit(True)).alias("every_line"), said(debt).alias("debt_lines"))
-    joined = leads.join(every, "org", "left").join(wide_1year(lines), "org", "left")
+def wide(leads: DataFrame, lines: DataFrame, stored: DataFrame | None = None) -> tuple[DataFrame, tuple[str, ...]]:
+    """(15 columns; their titles): who, all keyword lines and all credit institution lines of the first observation
+    that has some, and the first two in parts. stored: credit lines that observations already hold."""
+    items = _items(lines)
+    debts = credit_institution_lines(items, None if stored is None else _items(stored))
+    joined = leads.drop("every_line", "debt_lines").join(first_lines(items, "every_line"), "org", "left").join(first_lines(debts, "debt_lines"), "org", "left")
+    cells = wide_1year(items)
+    joined = joined.drop(*[c for c in cells.columns if c != "org"]).join(cells, "org", "left")
     return _of(joined, [*PERSON.values(), "every_line", "debt_lines", *[c for _, c in WIDE_LINES]]), (*PERSON, "Pdf_Lender_Keyword_Lines", "Kreditinstitut_Skulder_Lines", *[t for t, _ in WIDE_LINES])
 
 

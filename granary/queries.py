@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .operators import crm, extract, facts, layout, leads, lines, numbers, targets
 from .functions import text
 from .plans import adapters as a
-from .plans import jobs
+from .plans import jobs, reports
 from .plans.adapters import table
 from .plans.storage import global_rank
 
@@ -172,7 +172,7 @@ _CLAMP = "CASE WHEN coalesce(short_debt,0) + coalesce(long_debt,0) > 0 THEN leas
 
 
 def _clamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = leads.merge_observations(a.obs(spark, sf_dir), facts.latest_figures(a.finance(spark, sf_dir)))
+    merged = leads.merge_observations(a.obs(spark, sf_dir), a.finance(spark, sf_dir))
     return merged.select("org", "revenue", facts.clamp(F.col("revenue"), facts.debt_ceiling(F.col("short_debt"), F.col("long_debt"))).alias("clamped"))
 
 
@@ -270,12 +270,13 @@ def hostnames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.hostname(F.col("url")).alias("host"))
 
 
-@query("SELECT doc_id, page AS org FROM (SELECT page_id AS doc_id, CASE WHEN page_id % 2 = 0 THEN lpad(CAST(page_id AS STRING), 6, '5') || '4731' ELSE NULL END AS page FROM pages)")
+@query("""SELECT page_id AS doc_id, coalesce(nullif(regexp_extract(html, '(?i)f(?:ö|%C3%B6|o)retagsinformation/(?:[^/"''\\s]+/)?([0-9]{6}-?[0-9]{4})', 1), ''), nullif(regexp_extract(t, '(?:^|[^0-9])([0-9]{6}-[0-9]{4})(?:[^0-9]|$)', 1), ''), nullif(regexp_extract(t, '(?:^|[^0-9])([0-9]{10})(?:[^0-9]|$)', 1), '')).replace('-', '') AS org
+ FROM (SELECT page_id, html, regexp_replace(html, '<[^>]*>', ' ', 'g') AS t FROM (SELECT page_id, html || CASE page_id % 3 WHEN 0 THEN ' Org.nr ' || lpad(CAST(page_id AS STRING), 6, '5') || '-4731' WHEN 1 THEN ' <i>' || lpad(CAST(page_id AS STRING), 10, '5') || '</i>' ELSE '' END AS html FROM pages))""")
 def orgs_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    org = F.concat(F.lpad(F.col("page_id").cast("string"), 6, "5"), F.lit("-4731"))
-    linked = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('<a href="/företagsinformation/bolaget/'), org, F.lit('">x</a>'))).otherwise("<p>none</p>")
-    return pages.select(F.col("page_id").alias("doc_id"), targets.org_from_page(F.lit("https://example.org/x"), linked).alias("org"))
+    """The org that a page names; most pages of the table name none, so two in three get a line that does."""
+    n = F.col("page_id")
+    named = F.when(n % 3 == 0, F.concat(F.lit(" Org.nr "), F.lpad(n.cast("string"), 6, "5"), F.lit("-4731"))).when(n % 3 == 1, F.concat(F.lit(" <i>"), F.lpad(n.cast("string"), 10, "5"), F.lit("</i>"))).otherwise("")
+    return table(spark, sf_dir, "pages").select(n.alias("doc_id"), targets.org_from_page(F.col("url"), F.concat("html", named)).alias("org"))
 
 
 _TOKENS = "list_distinct(list_filter(list_transform(string_split(lower(trim(regexp_replace({0}, '\\s+', ' ', 'g'))), ' '), lambda x: regexp_replace(x, '[^0-9a-zåäö]', '', 'g')), lambda x: len(x) >= 3))"
@@ -341,6 +342,8 @@ _MATCH = ("tion", "elle", "heit")
 _MATCHED = """SELECT doc_id, keyword, line, line_idx FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_idx, n) AS r2 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, keyword ORDER BY line_idx) AS r1 FROM (
  SELECT doc_id, keyword, n, line, min(line_idx) AS line_idx FROM (SELECT doc_id, line, line_idx, unnest(['tion','elle','heit']) AS keyword, unnest([0,1,2]) AS n FROM doc_lines) WHERE contains(lower(line), keyword) GROUP BY 1, 2, 3, 4)) WHERE r1 <= 10) WHERE r2 <= 60"""
 
+_CTE["m"], _NEEDS["m"] = _MATCHED, ("doc_lines",)
+
 
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.matched_lines(lines.text_lines(table(spark, sf_dir, "documents"), "doc_id"), _MATCH)
@@ -361,15 +364,12 @@ _TOK = "list_transform(regexp_extract_all(line, '-?[0-9]{1,4}(?:[ .][0-9]{3})+(?
 @query(f"""SELECT doc_id, keyword, n, coalesce(f.line_idx, 0) IS NOT NULL AND (s.line IS NULL OR (f.line IS NOT NULL AND f.k >= s.k)) AS from_first,
  CASE WHEN s.line IS NULL OR (f.line IS NOT NULL AND f.k >= s.k) THEN f.line ELSE s.line END AS line FROM
  (SELECT doc_id, keyword, line, line_idx, least(len({_TOK}), 2) AS k, CAST(row_number() OVER (PARTITION BY doc_id, keyword ORDER BY line_idx) AS INT) AS n FROM m WHERE line_idx % 2 = 0) f FULL JOIN
- (SELECT doc_id, keyword, line, line_idx, least(len({_TOK}), 2) AS k, CAST(row_number() OVER (PARTITION BY doc_id, keyword ORDER BY line_idx) AS INT) AS n FROM m WHERE line_idx % 3 = 0) s USING (doc_id, keyword, n)""", "doc_lines")
+ (SELECT doc_id, keyword, line, line_idx, least(len({_TOK}), 2) AS k, CAST(row_number() OVER (PARTITION BY doc_id, keyword ORDER BY line_idx) AS INT) AS n FROM m WHERE line_idx % 3 = 0) s USING (doc_id, keyword, n)""", "m")
 def blended_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _valued(_matched(spark, sf_dir))
     return lines.blend_lines(m.where("line_idx % 2 = 0"), m.where("line_idx % 3 = 0"), ["doc_id", "keyword"]).select("doc_id", "keyword", "n", "from_first", "line")
 
 
-ORACLES["blended_lines"] = ORACLES["blended_lines"].replace("WITH doc_lines AS", "WITH doc_lines AS", 1).replace(" SELECT doc_id, keyword, n, coalesce", f", m AS ({_MATCHED}) SELECT doc_id, keyword, n, coalesce", 1)
-
-
 @query("""SELECT org, coalesce(['PDF','PDF_XY','HTML'][min(CASE WHEN ok THEN list_position(['PDF','PDF_XY','HTML'], source) END)], 'NONE') AS source FROM (
  SELECT org, unnest(['PDF','PDF_XY','HTML']) AS source, unnest([seq % 4 = 1, seq % 6 = 2, seq % 5 = 3]) AS ok FROM obs) GROUP BY org""", "obs")
 def scan_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,11 +393,80 @@ def observations_with_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.obs(spark, sf_dir).where(lines.has_any_data(["email", "phone", "employees"], source)).select("org", "seq")
 
 
-@query("""SELECT org, CAST(l[1].line_idx AS BIGINT) AS l1_idx, l[1].line AS l1, l[1].v[1] AS l1_n1, l[1].v[2] AS l1_n2, CAST(l[2].line_idx AS BIGINT) AS l2_idx, l[2].line AS l2, l[2].v[1] AS l2_n1, l[2].v[2] AS l2_n2 FROM (
- SELECT org, list({'line_idx': tbl_idx, 'line': raw_label, 'v': [v1, v2]} ORDER BY tbl_idx) AS l FROM (SELECT *, min(seq) OVER (PARTITION BY org) AS s FROM obs_tables WHERE contains(lower(raw_label), 'skuld')) WHERE seq = s GROUP BY org)""", "obs_tables")
+_ITEMS = """SELECT org, seq, tbl_idx - 1 AS pos, CASE tbl_idx % 4 WHEN 1 THEN 'Capital Box' WHEN 2 THEN '' ELSE 'Kreditinstitut' END AS key, 'Övriga skulder till kreditinstitut ' || raw_label || CASE WHEN tbl_idx % 2 = 0 THEN ' ' || v1 ELSE '' END AS line,
+ CASE WHEN tbl_idx % 5 > 0 THEN tbl_idx END AS idx, CASE WHEN tbl_idx % 2 = 0 THEN []::VARCHAR[] ELSE [v1, v2] END AS values FROM obs_tables"""
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table rows as matched lines: some with their values, some with numbers in the line."""
+    n = F.col("tbl_idx")
+    key = F.when(n % 4 == 1, "Capital Box").when(n % 4 == 2, "").otherwise("Kreditinstitut")
+    line = F.concat(F.lit("Övriga skulder till kreditinstitut "), "raw_label", F.when(n % 2 == 0, F.concat(F.lit(" "), "v1")).otherwise(""))
+    values = F.when(n % 2 == 0, F.array().cast("array<string>")).otherwise(F.array("v1", "v2"))
+    return a.obs_tables(spark, sf_dir).select("org", "seq", (n - 1).alias("pos"), key.alias("key"), line.alias("line"), F.when(n % 5 > 0, n).alias("idx"), values.alias("values"))
+
+
+def _cells(separators: bool, ceilings: bool) -> str:
+    """SQL of structured lines: (org, key, n, line, idx, n1, n2)."""
+    numbers = "list_transform(regexp_extract_all(line, '-?[0-9]{1,4}(?:[ .][0-9]{3})+(?:[.,][0-9]+)?|-?[0-9]+(?:[.,][0-9]+)?'), lambda x: regexp_replace(x, '[ .,]', '', 'g'))"
+    given = "values" if separators else "list_transform(values, lambda x: regexp_replace(x, '[\\s.,]', '', 'g'))"
+    fits = lambda k: f"CASE WHEN coalesce(abs(TRY_CAST(regexp_extract(regexp_replace(nums[{k}], '\\s', '', 'g'), '^[+-]?[0-9]+') AS DOUBLE)) > ceiling, false) THEN NULL ELSE nums[{k}] END" if ceilings else f"nums[{k}]"
+    first = lambda x, name: f"arg_min({x}, seq) FILTER (WHERE coalesce(CAST({x} AS VARCHAR), '') <> '') AS {name}"
+    joined = "JOIN ceilings USING (org)" if ceilings else ""
+    return f"""SELECT org, ck AS key, n, {first('line', 'line')}, {first('idx', 'idx')}, {first('n1', 'n1')}, {first('n2', 'n2')} FROM (SELECT *, {fits(1)} AS n1, {fits(2)} AS n2 FROM (
+ SELECT *, CASE WHEN len(values) > 0 THEN {given} ELSE {numbers} END AS nums, row_number() OVER (PARTITION BY org, seq, ck ORDER BY pos) AS n FROM (
+ SELECT *, regexp_replace(CASE WHEN key = '' THEN 'Unknown' ELSE key END, '[^0-9A-Za-zÅÄÖåäö]', '', 'g') AS ck FROM items)) {joined} WHERE n <= 10) GROUP BY org, ck, n"""
+
+
+def _side_by_side(cells: str) -> str:
+    at = lambda n, c: f"max({c}) FILTER (WHERE n = {n})"
+    columns = ", ".join(f"{at(n, 'line')} AS l{n}, CAST({at(n, 'idx')} AS BIGINT) AS l{n}_idx, {at(n, 'n1')} AS l{n}_n1, {at(n, 'n2')} AS l{n}_n2" for n in (1, 2))
+    return f"SELECT org, {columns} FROM ({cells}) WHERE key = 'Kreditinstitut' GROUP BY org"
+
+
+_CTE["items"], _NEEDS["items"] = _ITEMS, ("obs_tables",)
+_CTE["ceilings"], _NEEDS["ceilings"] = f"SELECT org, {_CLAMP} AS ceiling FROM merged", ("merged",)
+
+
+@query(_side_by_side(_cells(True, False)), "items")
 def wide_1year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shaped = a.obs_tables(spark, sf_dir).select("org", "seq", F.col("tbl_idx").alias("line_idx"), F.lit("Kreditinstitut").alias("key"), F.col("raw_label").alias("line"), F.array("v1", "v2").alias("values"))
-    return leads.wide_1year(shaped)
+    return leads.wide_1year(_items(spark, sf_dir))
+
+
+@query(f"SELECT org, key, CAST(n AS INT) AS n, line, CAST(idx AS BIGINT) AS idx, n1, n2 FROM ({_cells(False, False)})", "items")
+def line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key's lines with their first two numbers."""
+    return leads.structured_lines(_items(spark, sf_dir)).select("org", "key", F.col("n").cast("int").alias("n"), "line", "idx", F.get("numbers", F.lit(0)).alias("n1"), F.get("numbers", F.lit(1)).alias("n2"))
+
+
+_SHEET = [c if c != "sni_code" else "CAST(NULL AS VARCHAR)" for c in reports.CONTACTS.values()] + [c for _, c in reports.CONTACT_LINES]
+
+
+@query("SELECT " + ", ".join(f"{c} AS c{i}" for i, c in enumerate(_SHEET)) + f" FROM (SELECT s.*, l.* EXCLUDE (org) FROM scored s LEFT JOIN ({_side_by_side(_cells(False, True))}) l ON l.org = s.org)", "scored", "items", "ceilings")
+def contacts_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 26 columns of the contacts sheet before they are written."""
+    return reports.contacts(_scored(spark, sf_dir), _items(spark, sf_dir))[0]
+
+
+_SAID = "CASE WHEN key <> 'Unknown' THEN key || ': ' || line ELSE line END"
+_DEBT_ITEMS = "SELECT * FROM items WHERE lower(key) = 'kreditinstitut' AND contains(lower(line), 'skuld')"
+
+
+def _first_said(items: str) -> str:
+    return f"SELECT org, arg_min(said, seq) AS said FROM (SELECT org, seq, string_agg({_SAID}, ' || ' ORDER BY pos) AS said FROM ({items}) GROUP BY org, seq) WHERE said <> '' GROUP BY org"
+
+
+@query(f"""SELECT s.org AS c0, s.name AS c1, s.email AS c2, s.phone AS c3, s.lender_keywords AS c4, e.said AS c5, d.said AS c6, l1 AS c7, l1_idx AS c8, l1_n1 AS c9, l1_n2 AS c10, l2 AS c11, l2_idx AS c12, l2_n1 AS c13, l2_n2 AS c14
+ FROM scored s LEFT JOIN ({_first_said('SELECT * FROM items')}) e ON e.org = s.org LEFT JOIN ({_first_said(_DEBT_ITEMS)}) d ON d.org = s.org LEFT JOIN ({_side_by_side(_cells(True, False))}) l ON l.org = s.org""", "scored", "items")
+def wide_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 15 columns of the one-year sheet before they are written."""
+    return reports.wide(_scored(spark, sf_dir), _items(spark, sf_dir))[0]
+
+
+@query(f"SELECT org, string_agg(said, ' || ' ORDER BY seq, pos) AS every_line FROM (SELECT org, trim(said) AS said, min((seq, pos)) AS at, at[1] AS seq, at[2] AS pos FROM (SELECT org, seq, pos, CASE WHEN key NOT IN ('', 'Unknown') THEN key || ': ' || trim(line) ELSE trim(line) END AS said FROM items) GROUP BY org, trim(said)) GROUP BY org".replace("at[1]", "struct_extract(min((seq, pos)), 1)").replace("at[2]", "struct_extract(min((seq, pos)), 2)").replace("min((seq, pos)) AS at, ", ""), "items")
+def keyword_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of an org once, in the order of its observations."""
+    return leads.joined_lines(_items(spark, sf_dir), "every_line")
 
 
 @query("SELECT org, seq, tbl_idx AS line_idx, raw_label AS line FROM obs_tables WHERE tbl_idx % 2 = 0 AND contains(lower(raw_label), 'skuld')", "obs_tables")
@@ -492,32 +561,96 @@ def badge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crm.badge_counts(_scored(spark, sf_dir))
 
 
+_RUNS = "list_filter(list_transform(regexp_extract_all({0}, '[+-]?[0-9][0-9 ]*'), lambda x: trim(regexp_replace(x, ' +', ' ', 'g'))), lambda x: x <> '')"
+_SIZE = "len(ltrim({0}, '+-'))"
+
+
+def _repaired(lines: str, line: str, keys: str, n: int, pairs: bool = True) -> dict[str, str]:
+    """CTEs that end in `mended` (keys, v): the repaired numbers of `line` in the rows of `lines`, whose values keys name.
+
+    A cut of each run is grown group by group: `best` holds cost and values of the best cut before each place.
+    """
+    size, three = _SIZE.format, "regexp_matches(g[{0}], '^[0-9]{{3}}$')".format
+    halves = f"CASE WHEN {size('x')} = 4 AND ltrim(x, '+-') NOT LIKE '20%' OR {size('x')} = 6 THEN [left(x, len(x) - {size('x')} + 3), right(x, {size('x')} - 3)] WHEN {size('x')} = 5 THEN [left(x, len(x) - 3), right(x, 3)] ELSE [x] END"
+    torn = f"len(t) = 2 AND {size('t[1]')} <= 3 AND {size('t[2]')} BETWEEN 4 AND 6"
+    tail = f"{three('len(g)')} AND {three('len(g) - 1')}"
+    d1 = "ltrim(g[1], '+-')"
+    rules = [  # the two-column rules, in their order
+        (f"len(g) = 4 AND len({d1}) = 1 AND {d1} = ltrim(g[2], '+-') AND {tail}", "[array_to_string(g[2:4], ' ')]"),
+        (f"len(g) = 3 AND regexp_matches({d1}, '^0[0-9]$') AND {tail}", f"['0', right({d1}, 1) || ' ' || g[2] || ' ' || g[3]]"),
+        (f"len(g) = 3 AND regexp_matches({d1}, '^[1-9]0[0-9]$') AND {tail}", f"['0', right({d1}, 1) || ' ' || g[2] || ' ' || g[3]]"),
+        (f"len(g) = 3 AND len({d1}) = 2 AND left({d1}, 1) = right({d1}, 1) AND {tail}", f"[right({d1}, 1) || ' ' || g[2] || ' ' || g[3]]"),
+        (f"len(g) = 5 AND {three(2)} AND {three(3)} AND {tail}", "[array_to_string(g[1:3], ' '), array_to_string(g[4:5], ' ')]"),
+        (f"len(g) >= 4 AND list_contains(list_transform(g, lambda x: ltrim(x, '+-')), '0') AND {tail}", "['0', array_to_string(g[len(g) - 2:], ' ')]"),
+    ]
+    ruled = "CASE WHEN len(t) < 2 THEN t " + (f"WHEN {torn} THEN [ltrim(t[1], '+-') || left(ltrim(t[2], '+-'), 3), right(ltrim(t[2], '+-'), {size('t[2]')} - 3)] " if n == 2 else "")
+    ruled += f"WHEN len(list_filter(g, lambda x: {size('x')} > 3)) > 0 THEN g " + ("".join(f"WHEN {c} THEN {v} " for c, v in rules) if n == 2 and pairs else "") + "END"
+    group = lambda i: f"ltrim(g[{i}], '+-')"
+
+    def choice(rank: int, length: int, cost: float) -> str:
+        own = f"{cost}::DOUBLE + CASE WHEN {group(f'j + 2 - {length}')} = '000' OR regexp_matches({group(f'j + 2 - {length}')}, '^0[0-9]+$') THEN 2 ELSE 0 END"
+        for later in range(1, length):
+            own += f" + CASE WHEN len({group(f'j + 2 - {length} + {later}')}) <> 3 THEN 4 ELSE 0 END"
+        before = f"best[j + 2 - {length}]"
+        total = f"({before}.cost + ({own}))" + (f" + abs(len({before}.v) + 1 - {n}) * 0.15::DOUBLE" if n else "")
+        return f"CASE WHEN j + 1 >= {length} THEN {{'cost': {total}, 'rank': {rank}, 'v': list_append({before}.v, array_to_string(g[j + 2 - {length}:j + 1], ' '))}} END"
+
+    choices = ", ".join(choice(r, length, cost) for r, (length, cost) in enumerate(((4, 0.6), (3, 0.1), (2, 0.0), (1, 1.2))))
+    return {
+        "said": f"SELECT {keys}, {_RUNS.format(line)} AS runs FROM ({lines})",
+        "tokens": "SELECT run, string_split(run, ' ') AS t FROM (SELECT DISTINCT unnest(runs) AS run FROM said)",
+        "groups": f"SELECT run, t, g, {ruled} AS by_rule FROM (SELECT *, " + (f"flatten(list_transform(t, lambda x: {halves}))" if n else "t") + " AS g FROM tokens)",
+        "cuts": f"SELECT run, g, 0 AS j, [{{'cost': 0::DOUBLE, 'rank': 0, 'v': []::VARCHAR[]}}] AS best FROM groups WHERE by_rule IS NULL UNION ALL SELECT run, g, j + 1, list_append(best, list_sort(list_filter([{choices}], lambda c: c IS NOT NULL))[1]) FROM cuts WHERE j < len(g)",
+        "parts": "SELECT run, by_rule AS v FROM groups WHERE by_rule IS NOT NULL UNION ALL SELECT run, best[len(best)].v FROM cuts WHERE j = len(g)",
+        "mended": f"SELECT {keys}, flatten(list(coalesce(v, []) ORDER BY i)) AS v FROM (SELECT {keys}, unnest(CASE WHEN len(runs) > 0 THEN runs ELSE [''] END) AS run, unnest(range(1, greatest(len(runs), 1) + 1)) AS i FROM said) LEFT JOIN parts USING (run) GROUP BY {keys}",
+    }
+
+
+def _recursive(sql: str, needs: tuple[str, ...], ctes: dict[str, str]) -> str:
+    """sql after the named CTEs and `ctes`."""
+    named = _with("", *needs)
+    return "WITH RECURSIVE " + named.removeprefix("WITH ").rstrip() + ", " + ", ".join(f"{n} AS ({c})" for n, c in ctes.items()) + " " + sql
+
+
 def _number_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = a.obs_tables(spark, sf_dir)
     return t.select("seq", F.col("tbl_idx").alias("line_idx"), F.lit("Kreditinstitut").alias("key"), F.concat_ws(" ", "raw_label", "v1", F.regexp_replace("v2", "^-", "")).alias("line"), F.array("v1", "v2").alias("values"))
 
 
-@query()
+_NUMBER_LINES = "SELECT seq, tbl_idx AS line_idx, 'Kreditinstitut' AS key, raw_label || ' ' || v1 || ' ' || regexp_replace(v2, '^-', '') AS line, v1, v2, raw_label FROM obs_tables"
+# of these lines a label is what stands before the numbers; a dash in place of a number goes with them
+_BARE_LABEL = "trim(regexp_replace(trim(regexp_replace(regexp_replace(line, '[+-]?[0-9][0-9 ]*', ' ', 'g'), '\\s+', ' ', 'g')), '[,:;\\-]+$', ''))"
+
+
+@query(_recursive(f"SELECT seq, line_idx, key, line, array_to_string(m.v, '|') AS values, {_BARE_LABEL} AS label FROM ({_NUMBER_LINES}) JOIN mended m USING (seq, line_idx)", ("obs_tables",), _repaired(_NUMBER_LINES, "line", "seq, line_idx", 2)))
 def repaired_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbers.split_text_and_numbers(_number_lines(spark, sf_dir).drop("values"), ["seq", "line_idx"])
+    return numbers.split_text_and_numbers(_number_lines(spark, sf_dir).drop("values")).withColumn("values", F.array_join("values", "|"))
+
 
+_LARGE = "list_filter(m.v, lambda x: x IN ('0', '+0', '-0') OR len(regexp_replace(x, '[^0-9]', '', 'g')) > 2)"
 
-@query()
+
+@query(_recursive(f"SELECT seq, line_idx, key, {_BARE_LABEL} AS line, array_to_string(CASE WHEN contains(lower(line), 'skuld') AND len(m.v) > 2 AND len({_LARGE}) >= 2 THEN {_LARGE}[-2:] ELSE m.v END, '|') AS values FROM ({_NUMBER_LINES}) JOIN mended m USING (seq, line_idx)", ("obs_tables",), _repaired(_NUMBER_LINES, "line", "seq, line_idx", 2)))
 def normalized_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.normalize_matched_lines(_number_lines(spark, sf_dir), ["seq", "line_idx"])
+    return lines.normalize_matched_lines(_number_lines(spark, sf_dir)).withColumn("values", F.array_join("values", "|"))
 
 
-@query()
+@query(_recursive("SELECT seq, line_idx, array_to_string(CASE WHEN len(m.v) = 2 THEN m.v ELSE [v1 || ' ' || v2] END, '|') AS values FROM (SELECT seq, tbl_idx AS line_idx, v1, v2 FROM obs_tables) JOIN mended m USING (seq, line_idx)", ("obs_tables",), _repaired("SELECT seq, tbl_idx AS line_idx, v1 || ' ' || v2 AS line FROM obs_tables", "line", "seq, line_idx", 2)))
 def split_table_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = _number_lines(spark, sf_dir).withColumn("values", F.array(F.array_join("values", " ")))
-    return numbers.normalize_table_values(merged.select("seq", "line_idx", "values"), ["seq", "line_idx"], 2)
+    return numbers.normalize_table_values(merged.select("seq", "line_idx", "values"), 2).withColumn("values", F.array_join("values", "|"))
+
 
+_VARIANTS = """SELECT org, seq * 100 + tbl_idx AS line_idx, raw_label AS line, CASE WHEN seq % 3 = 0 THEN '4 990 42' || tbl_idx WHEN seq % 3 = 1 THEN '44 990 42' || tbl_idx ELSE v1 END AS v1, CASE WHEN seq % 3 < 2 THEN '5' ELSE v2 END AS v2 FROM obs_tables"""
 
-@query("SELECT DISTINCT org, raw_label AS line, v1, v2 FROM obs_tables", "obs_tables")
+
+@query(f"""WITH v AS ({_VARIANTS}) SELECT DISTINCT org, line, v1, v2 FROM v x WHERE NOT (regexp_matches(v1, '^44 [0-9]{{3}} [0-9]{{3}}$') AND EXISTS (SELECT 1 FROM v y WHERE y.org = x.org AND y.v1 = x.v1[2:] AND y.v2 = x.v2))""".replace("WITH v AS", "SELECT * FROM (WITH v AS") + ")", "obs_tables")
 def deduped_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = a.obs_tables(spark, sf_dir)
-    order = F.col("seq") * 100 + F.col("tbl_idx")
-    shaped = t.select("org", order.alias("line_idx"), F.lit("Kreditinstitut").alias("key"), F.col("raw_label").alias("line"), F.array("v1", "v2").alias("values"))
+    """Two thirds of the observations hold a value, half of them with its first digit doubled."""
+    t, third = a.obs_tables(spark, sf_dir), F.col("seq") % 3
+    v1 = F.when(third == 0, F.concat(F.lit("4 990 42"), "tbl_idx")).when(third == 1, F.concat(F.lit("44 990 42"), "tbl_idx")).otherwise(F.col("v1"))
+    values = F.array(v1, F.when(third < 2, "5").otherwise(F.col("v2")))
+    shaped = t.select("org", (F.col("seq") * 100 + F.col("tbl_idx")).alias("line_idx"), F.lit("Kreditinstitut").alias("key"), F.col("raw_label").alias("line"), values.alias("values"))
     return facts.dedupe_value_variants(shaped).select("org", "line", F.col("values")[0].alias("v1"), F.col("values")[1].alias("v2"))
 
 
@@ -552,12 +685,24 @@ def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT seq AS doc_id, 1 AS page, tbl_idx AS row, raw_label AS label FROM obs_tables", "obs_tables")
 def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.token_rows(_tokens(spark, sf_dir)).select("doc_id", "page", "row", F.when(F.col("label").endswith(" -"), F.expr("left(label, length(label) - 2)")).otherwise(F.col("label")).alias("label"))
+    return layout.token_rows(_tokens(spark, sf_dir), values=False).select("doc_id", "page", "row", F.when(F.col("label").endswith(" -"), F.expr("left(label, length(label) - 2)")).otherwise(F.col("label")).alias("label"))
+
+
+# laid out so, the first value's numbers stand apart from the second, which is one token
+_LAID = """SELECT seq AS doc_id, 1 AS page, tbl_idx AS row, raw_label || ' ' || v1 || ' ' || w AS text, raw_label || CASE WHEN v1 = '-' THEN ' -' ELSE '' END AS label, array_to_string(CASE WHEN v1 = '-' THEN [w] ELSE [m.v[1], w] END, '|') AS values
+ FROM (SELECT *, regexp_replace(v2, '^-', '') AS w FROM obs_tables) JOIN mended m USING (seq, tbl_idx)"""
+_FIRST_VALUES = _repaired("SELECT seq, tbl_idx, v1 FROM obs_tables", "v1", "seq, tbl_idx", 1, pairs=False)
+
+
+@query(_recursive(_LAID, ("obs_tables",), _FIRST_VALUES))
+def token_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of tokens with their values by column."""
+    return layout.token_rows(_tokens(spark, sf_dir)).withColumn("values", F.array_join("values", "|"))
 
 
-@query()
+@query(_recursive(f"SELECT doc_id, keyword, label AS line, CAST(min(row) AS INT) AS line_idx, values FROM (SELECT *, unnest(['skulder', 'resultat']) AS keyword FROM ({_LAID})) WHERE contains(lower(text), keyword) GROUP BY doc_id, keyword, label, values", ("obs_tables",), _FIRST_VALUES))
 def token_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.matched_token_lines(_tokens(spark, sf_dir), ("skulder", "resultat"))
+    return layout.matched_token_lines(_tokens(spark, sf_dir), ("skulder", "resultat")).withColumn("values", F.array_join("values", "|"))
 
 
 # The queries above give their roles to a part of the rows; those below to all rows of the table.
@@ -610,3 +755,77 @@ def lead_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_of_all("open_leads_of_branch", _ALL_LEADS))
 def open_leads_of_branch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crm.filter_leads(_old_leads(spark, sf_dir, _EACH), "Bemanning", hide_resolved=True).select("org_nr", "branch")
+
+
+_LINE_FACTS = """SELECT org, seq, pos AS tbl_idx, coalesce(CASE WHEN regexp_matches(lower(line), '^kortfristiga skulder') THEN 'Summa Kortfristiga Skulder' WHEN regexp_matches(lower(line), '^långfristiga skulder') THEN 'Summa Långfristiga Skulder'
+ WHEN regexp_matches(lower(line), '^(nettoomsättning|omsättning|rörelsens intäkter)') THEN 'Omsättning' WHEN regexp_matches(lower(line), '^rörelseresultat') THEN 'Rörelseresultat'
+ WHEN regexp_matches(lower(line), '^(årets resultat|resultat efter skatt)') THEN 'Årets Resultat' WHEN regexp_matches(lower(line), '^balansomslutning|^summa tillgångar') THEN 'Balansomslutning' END, trim(line)) AS label,
+ CAST(NULL AS INT) AS year, v * 1000 AS value, line || ' | ' || v1 || ' | ' || v2 AS raw_line, 'PDF_TEXT' AS source_type, 25 AS score FROM (SELECT *, list_filter(list_transform([v1, v2], lambda x: TRY_CAST(regexp_extract(regexp_replace(x, '[^0-9-]', '', 'g'), '^-?[0-9]+') AS BIGINT)), lambda x: x IS NOT NULL)[1] AS v
+ FROM (SELECT org, seq, tbl_idx - 1 AS pos, raw_label || ' lån' AS line, v1, v2 FROM obs_tables)) WHERE v IS NOT NULL"""
+_CTE["all_facts"] = f"SELECT org, seq, tbl_idx, label, year, value, raw_line, 'HTML_TABLE' AS source_type, 40 AS score FROM facts UNION ALL {_LINE_FACTS}"
+_NEEDS["all_facts"] = ("facts", "obs_tables")
+
+
+def _all_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = a.obs_tables(spark, sf_dir)
+    said = t.select("org", "seq", (F.col("tbl_idx") - 1).alias("line_idx"), F.concat("raw_label", F.lit(" lån")).alias("line"), F.array("v1", "v2").alias("values"))
+    return _facts(spark, sf_dir).unionByName(facts.line_facts(said))
+
+
+@query("SELECT * FROM all_facts", "all_facts")
+def all_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of tables and of matched lines."""
+    return _all_facts(spark, sf_dir)
+
+
+@query("""SELECT b.org, b.label, b.year, b.value, b.raw_line, b.source_type, b.score, s.name, s.email, s.phone, s.lender_keywords FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY org, label ORDER BY score DESC, coalesce(year, -1) DESC, seq, tbl_idx) AS rn FROM all_facts) WHERE rn = 1) b
+ LEFT JOIN scored s ON s.org = b.org""", "all_facts", "scored")
+def best_facts_with_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winners of both sources, with who they are about."""
+    return facts.best_facts(_all_facts(spark, sf_dir), _scored(spark, sf_dir)).select("org", "label", "year", "value", "raw_line", "source_type", "score", "name", "email", "phone", "lender_keywords")
+
+
+@query(f"SELECT org, seq, tbl_idx, raw_label FROM obs_tables WHERE {_FIN} AND NOT {_EXC} ORDER BY seq, tbl_idx LIMIT 20", "obs_tables")
+def label_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.label_samples(a.obs_tables(spark, sf_dir))
+
+
+@query(f"""SELECT s.org, CASE WHEN len(short) > 30 THEN left(short, 28) || '…' ELSE short END AS debt_label FROM scored s LEFT JOIN (SELECT org, regexp_replace(regexp_replace(regexp_replace(regexp_replace(l1, 'Övriga skulder till kreditinstitut', 'Övr. skulder kreditinst.', 'gi'), 'Skulder till kreditinstitut', 'Skulder kreditinst.', 'gi'),
+ 'Checkräkningskredit', 'Checkräkning', 'gi'), 'hos banker och andra kreditinstitut.*$', 'Kreditinstitut', 'gi') AS short FROM ({_side_by_side(_cells(True, False))})) l ON l.org = s.org""", "scored", "items")
+def lead_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shortened first debt line of each lead."""
+    shown = _scored(spark, sf_dir).join(leads.wide_1year(_items(spark, sf_dir)).select("org", F.col("l1").alias("keyword_line_1")), "org", "left")
+    return crm.lead_display(shown).select("org", "debt_label")
+
+
+@query(f"SELECT u.* EXCLUDE (resolved), CASE WHEN e.org_nr IS NULL THEN false ELSE u.resolved END AS resolved, CASE WHEN e.org_nr IS NULL THEN '2026-01-01' END AS created_at FROM ({_UPSERT}) u LEFT JOIN old_leads e ON e.org_nr = u.org_nr", "old_leads", "new_rows")
+def leads_imported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert that gives new rows the table's defaults, into columns that the old table lacked."""
+    old, new = _old_leads(spark, sf_dir), _new_rows(spark, sf_dir)
+    table_ = crm.evolve_schema(old, spark.createDataFrame([], "created_at string"))
+    return crm.upsert_leads(table_, new, new_rows=crm.defaults(F.lit("2026-01-01")))
+
+
+@query("SELECT org_nr, name FROM old_leads ORDER BY name NULLS FIRST, org_nr LIMIT 100 OFFSET 100", "old_leads")
+def leads_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page behind the first one's last row; names may be null."""
+    old = _old_leads(spark, sf_dir)
+    last = crm.page_leads(old, 0).collect()[-1:]  # one page
+    return crm.page_after(old, last[0]["name"], last[0].org_nr).select("org_nr", "name") if last else old.select("org_nr", "name").limit(0)
+
+
+@query("SELECT org, name, row_number() OVER (ORDER BY name NULLS FIRST, org) AS place FROM scored", "scored")
+def leads_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole list by name, with each lead's place."""
+    return global_rank(_scored(spark, sf_dir).select("org", "name"), "place", F.col("name").asc_nulls_first(), F.col("org"))
+
+
+@query("SELECT org, revenue FROM scored ORDER BY revenue DESC NULLS LAST, org LIMIT 50", "scored")
+def leads_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top of the list by another column."""
+    return crm.sort_leads(_scored(spark, sf_dir), "revenue", descending=True, key="org").select("org", "revenue").limit(50)
+
+
+@query(f"SELECT * FROM ({_TARGETS}) WHERE org = '0000000007' UNION ALL SELECT '0000000007', NULL, NULL WHERE NOT EXISTS (SELECT 1 FROM ({_TARGETS}) WHERE org = '0000000007')")
+def only_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return targets.limit_targets(_targets(spark, sf_dir), only_org="0000000007").select("org", "name", "seq")

@@ -47,22 +47,34 @@ def validate_targets(spark: SparkSession, path: str, observations: str | None =
     return spark.createDataFrame(rows, "check string, ok boolean, detail string")
 
 
+PLACE = ("_metadata.file_path", "_metadata.file_block_start")
+
+
+def in_file_order(lines: DataFrame) -> DataFrame:
+    """Sound lines, read with PLACE, with `seq`, which orders them by file path, block and place in the split."""
+    placed = lines.withColumn("_id", F.monotonically_increasing_id())
+    sound = placed.where("_corrupt_record is null and coalesce(org, '') != ''")
+    return sound.withColumn("seq", F.struct("file_path", "file_block_start", "_id")).drop("_corrupt_record", "file_path", "file_block_start", "_id")
+
+
 def read_observations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(observations with `seq`, malformed lines). seq orders lines by file path, block and place in the split."""
-    raw = spark.read.schema(OBSERVATION).json(path, mode="PERMISSIVE").select("*", "_metadata.file_path", "_metadata.file_block_start").withColumn("_id", F.monotonically_increasing_id())
-    seq = F.struct("file_path", "file_block_start", "_id")
-    sound = raw.where("_corrupt_record is null and coalesce(org, '') != ''").withColumn("seq", seq).drop("_corrupt_record", "file_path", "file_block_start", "_id")
-    return sound, raw.where("_corrupt_record is not null and (org is null or length(org) >= 0)").select("_corrupt_record")
+    """(observations with `seq`, malformed lines)."""
+    raw = spark.read.schema(OBSERVATION).json(path, mode="PERMISSIVE")
+    return in_file_order(raw.select("*", *PLACE)), raw.where("_corrupt_record is not null and (org is null or length(org) >= 0)").select("_corrupt_record")
 
 
 def matched_items(observations: DataFrame, column: str) -> DataFrame:
-    """(org, seq, line_idx, key, line, values, source) of a column whose items are bare strings or objects."""
+    """(org, seq, pos, line_idx, idx, key, line, values, source) of a column whose items are bare strings or objects.
+
+    idx is the line number that the item itself has; line_idx is it or else the item's place.
+    """
     items = observations.select("org", "seq", F.posexplode(column).alias("pos", "v"))
     text = F.try_variant_get("v", "$", "string")
     bare = F.schema_of_variant("v") == "STRING"
     field = lambda name, kind="string": F.try_variant_get("v", f"$.{name}", kind)
+    idx = F.when(~bare, field("lineIndex", "int"))
     return items.select(
-        "org", "seq", F.coalesce(F.when(~bare, field("lineIndex", "int")), F.col("pos") + 1).alias("line_idx"),
+        "org", "seq", "pos", F.coalesce(idx, F.col("pos") + 1).alias("line_idx"), idx.alias("idx"),
         F.when(bare, "Unknown").otherwise(F.coalesce(field("key"), field("keyword"), F.lit(""))).alias("key"),
         F.when(bare, text).otherwise(F.coalesce(field("line"), F.lit(""))).alias("line"),
         F.when(~bare, field("values", "array<string>")).alias("values"), F.when(~bare, field("source")).alias("source"))
@@ -73,12 +85,17 @@ def append_observations(observations: DataFrame, path: str) -> None:
 
 
 def intake_report_files(spark: SparkSession, folder: str, most_bytes: int = 25_000_000) -> DataFrame:
-    """(org, path, length, ok, reason) of `<org>_*.pdf` files; empty files have no row, as the source skips them."""
+    """(org, path, length, ok, reason) of `<org>_*.pdf` files; empty files have no row, as the source skips them.
+
+    The filter on length goes down to the source, so the bytes of files beyond it are never read.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", True).load(folder)
     org = F.nullif(F.regexp_extract("path", "/([0-9]{10})_[^/]*$", 1), F.lit(""))
     signed = F.substring("content", 1, 8).cast("string").contains("%PDF-")
-    reason = F.when(org.isNull(), "no org").when(F.col("length") > most_bytes, "too large").when(~signed, "not a pdf")
-    return files.select(org.alias("org"), "path", "length", reason.alias("reason")).withColumn("ok", F.col("reason").isNull())
+    fit = files.where(F.col("length") <= most_bytes).select(org.alias("org"), "path", "length", F.when(~signed, "not a pdf").alias("reason"))
+    large = files.where(F.col("length") > most_bytes).select(org.alias("org"), "path", "length", F.lit("too large").alias("reason"))
+    found = fit.unionByName(large).withColumn("reason", F.when(F.col("org").isNull(), "no org").otherwise(F.col("reason")))
+    return found.withColumn("ok", F.col("reason").isNull())
 
 
 def read_leads_sheet(spark: SparkSession, path: str, columns: list[str], numeric: tuple[str, ...] = ()) -> DataFrame:

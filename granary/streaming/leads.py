@@ -1,36 +1,42 @@
 """Leads kept up to date from an append-only stream of observations.
 
-An early observation may come late and change which value is first, so no partial state is kept: each batch
-recomputes the orgs it touches from all their observations and rewrites only the snapshot's partitions those
-orgs lie in. The result is that of the batch job over the same files.
+An early observation may come late and change which value is first, so no partial state is kept. New observations
+go into a store that is partitioned by a hash of the org; a batch reads back only the partitions that it touches,
+recomputes their orgs from all of their observations and rewrites the snapshot's partitions of the same numbers.
+The result is that of the batch job over the same files. The number of partitions is fixed with the store: some
+hundred MB of observations a partition is a good size, and the more there are, the less a small batch touches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import RULES, Rules
 from ..plans.jobs import build_leads
-from ..sources.files import OBSERVATION, read_observations
+from ..sources.files import OBSERVATION, PLACE, in_file_order
 
 PARTITIONS = 64
 
 
-def part_of(org: str = "org"):
-    return F.pmod(F.xxhash64(org), F.lit(PARTITIONS)).cast("int")
+def part_of(partitions: int, org: str = "org") -> Column:
+    return F.pmod(F.xxhash64(org), F.lit(partitions)).cast("int")
 
 
-def stream_leads(spark: SparkSession, source: str, snapshot: str, checkpoint: str, rules: Rules = RULES) -> StreamingQuery:
-    """Reads what is new under `source`, once, into the partitioned Parquet table `snapshot`."""
+def stream_leads(spark: SparkSession, source: str, snapshot: str, checkpoint: str, rules: Rules = RULES, partitions: int = PARTITIONS) -> StreamingQuery:
+    """Reads what is new under `source`, once, into the partitioned Parquet table `snapshot`; its store lies beside it."""
+    store = f"{snapshot.rstrip('/')}-observations"
 
-    def refresh(batch: DataFrame, _: int) -> None:
-        parts = batch.where("coalesce(org, '') != ''").select(part_of().alias("part")).distinct()
-        every, _bad = read_observations(spark, source)
-        touched = every.withColumn("part", part_of()).join(F.broadcast(parts), "part", "left_semi").drop("part")  # at most PARTITIONS rows
-        fresh = build_leads(touched, rules).drop("first_seq").withColumn("part", part_of())
-        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(snapshot)
+    def refresh(batch: DataFrame, number: int) -> None:
+        # a batch that is run again replaces its own part of the store
+        placed = in_file_order(batch).withColumns({"batch": F.lit(number), "part": part_of(partitions)})
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch").parquet(store)
+        known = spark.read.parquet(store)
+        parts = [r.part for r in known.where(F.col("batch") == number).select("part").distinct().collect()]  # at most `partitions` numbers
+        if parts:
+            fresh = build_leads(known.where(F.col("part").isin(parts)).drop("part", "batch"), rules).drop("first_seq").withColumn("part", part_of(partitions))
+            fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(snapshot)
 
-    stream = spark.readStream.schema(OBSERVATION).json(source)
-    return stream.select("org").writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    lines = spark.readStream.schema(OBSERVATION).json(source).select("*", *PLACE)
+    return lines.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

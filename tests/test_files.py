@@ -113,3 +113,29 @@ def test_reports(spark, tmp_path):
     sheet, titles = reports.pivot(leads, best, ["Omsättning"])
     assert titles[-2:] == ("Omsättning", "År") and sheet.count() == 2
     files.write_sheet(sheet, str(tmp_path / "pivot"), titles)
+
+
+def test_build_observations_with_lines_and_tokens(spark):
+    wanted = spark.createDataFrame([(f"000000000{i}", "A") for i in range(1, 6)], "org string, name string")
+    pages = spark.createDataFrame([("0000000003", "<p>Lån hos Almi 1 000 2 000</p>"), ("0000000004", "<table><tr><th></th><th>2023</th><th>2022</th></tr><tr><td>Kortfristiga skulder</td><td>7</td><td>8</td></tr></table>")], "org string, html string")
+    texts = spark.createDataFrame([("0000000001", "x\nSkulder till kreditinstitut 3 44 990 429 5\nSkulder till kreditinstitut 3 4 990 429 5\nAlmi"), ("0000000002", "Skuld Almi")], "org string, text string")
+    t = lambda s, x, y=100: ("0000000002", 1, s, float(x), float(y), 20.0, 10.0)
+    tokens = spark.createDataFrame([t("Skuld Almi", 0), t("295 000", 300), t("310 000", 400)], "org string, page int, text string, x double, y double, w double, h double")
+    done = spark.createDataFrame([], "org string")
+    got = {r.org: r for r in jobs.build_observations(wanted, pages, texts, done, tokens=tokens).collect()}
+    assert set(got) == {"0000000001", "0000000002", "0000000003", "0000000004"}
+    one, two, three, four = (got[f"000000000{i}"] for i in range(1, 5))
+    assert one.lenderKeywordsSource == "PDF" and one.lenderKeywords == ["Almi", "Kreditinstitut"] and [(x.key, x.lineIndex) for x in one.lenderKeywordLines] == [("Kreditinstitut", 2), ("Kreditinstitut", 3), ("Almi", 4)]
+    assert 1 <= len(one.kreditinstitutSkulderLines) <= 2 and all(x.key == "Kreditinstitut" for x in one.kreditinstitutSkulderLines)
+    assert [(x.line, x["values"], x.source) for x in two.lenderKeywordLines] == [("Skuld Almi", ["295 000", "310 000"], "PDF_XY")]
+    assert three.lenderKeywordsSource == "HTML" and three.lenderKeywordLines[0]["values"] == ["1 000", "2 000"]
+    assert [(x.rawLabel, x.years, x["values"]) for x in four.tables] == [("Kortfristiga skulder", [2023, 2022], ["7", "8"])] and four.lenderKeywordsSource == "NONE"
+
+
+def test_leads_have_their_lines(spark, tmp_path):
+    rows = [_observation("0000000001", lenderKeywordLines=[{"key": "Kreditinstitut", "line": "Skuld a", "lineIndex": 2, "values": ["7 000", "60 000 000"]}, "bare"], lenderKeywords=[]), _observation("0000000001", kreditinstitutSkulderLines=[{"key": "K", "line": "stored"}], lenderKeywordLines=[{"key": "Kreditinstitut", "line": "Skuld b", "values": ["8"]}])]
+    (tmp_path / "o.jsonl").write_text("\n".join(rows), encoding="utf-8")
+    sound, _ = files.read_observations(spark, str(tmp_path))
+    row = jobs.build_leads(sound, scanned=spark.createDataFrame([("0000000001", "Svea")], "org string, keyword string")).first()
+    assert (row.l1, row.l1_idx, row.l1_n1, row.l1_n2) == ("Skuld a", 2, "7000", None) and row.lender_keywords == "Almi;Svea"
+    assert row.every_line == "Kreditinstitut: Skuld a || bare || Kreditinstitut: Skuld b" and row.debt_lines == "Kreditinstitut: Skuld a || K: stored"
