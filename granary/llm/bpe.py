@@ -2,11 +2,13 @@
 
 A piece's leaves hold rank and place of each adjacent pair; the root is the leftmost pair of the lowest rank.
 Merging it changes three leaves and their ways to the root, until the root holds no mergeable pair. Many
-pieces of like length are worked on at once, a row of one array each. A worker remembers the pieces it has
-seen, up to a bound, because most words return.
+pieces of like length are worked on at once, a row of one array each; in one long piece all places of the root's
+rank that do not touch are merged in a step. A worker remembers the pieces it has seen, up to a bound, because most
+words return.
 
-Defined results: null texts are empty (no ids); a special token's string in a text is its id, as in the
-library; repeated rows are encoded alike; an empty table gives an empty result; other columns are ignored.
+Defined results: null texts are empty (no ids); very long texts are encoded whole; a special token's string in a text
+is its id, as in the library; of equal ranks the leftmost pair is merged first; repeated rows are encoded alike; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from .words import text_slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 _NONE = np.int64(1 << 62)
+_LONG = 2048  # leaves of a piece that is worked on by itself
 _SPACE = "\\t-\\r \\x85\\xa0"
 _LATIN = 0x250  # below it the character classes are written out; other texts are split by the library itself
 _OTHER_SCRIPT = re.compile(f"[^\\x00-{chr(_LATIN - 1)}]")
@@ -65,6 +68,10 @@ class PairTree:
     def __init__(self, pairs: np.ndarray, made: np.ndarray):
         """pairs: left id * 2**20 + right id of each merge by rank; made: the merged ids."""
         self.made = made
+        # whether every pair of a merged token ranks behind all merges that make it; then a merge opens no earlier one
+        last = np.full(1 << 20, -1, dtype=np.int64)
+        np.maximum.at(last, made, np.arange(len(pairs)))
+        self.ordered = bool((np.maximum(last[pairs >> 20], last[pairs & ((1 << 20) - 1)]) < np.arange(len(pairs))).all())
         # one probe a lookup: pairs that share a slot go to a sorted rest, searched only where a slot says so
         self.bits = 64 - max(16, (8 * len(pairs)).bit_length())
         slots = self._slots(pairs)
@@ -99,6 +106,12 @@ class PairTree:
         widths = 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)
         for width in np.unique(widths[sizes > 1]).tolist():
             members = np.flatnonzero((widths == width) & (sizes > 1))
+            if width >= _LONG and self.ordered:
+                for i in members.tolist():
+                    ids = self._encode_long(flat[starts[i] : starts[i] + sizes[i]].copy(), width)
+                    counts[i] = len(ids)
+                    made[starts[i] : starts[i] + len(ids)] = ids
+                continue
             rows = max(1, (1 << 15) // width)
             for at in range(0, len(members), rows):
                 part = members[at : at + rows]
@@ -109,6 +122,49 @@ class PairTree:
         ends = np.cumsum(counts)
         return made[np.repeat(starts - (ends - counts), counts) + np.arange(int(counts.sum()))], counts
 
+    def _encode_long(self, ids: np.ndarray, width: int) -> np.ndarray:
+        """One piece: the root's rank is merged wherever it stands, from the left, before the root is asked again.
+
+        In an ordered vocabulary these merges come next in turn anyway, as none of them makes a pair of lower rank.
+        """
+        n = len(ids)
+        following, previous = np.arange(1, n + 1), np.arange(-1, n)
+        tree = np.full(2 * width, _NONE, dtype=np.int64)
+        tree[width : width + n - 1] = self._leaves(ids[:-1], ids[1:], np.arange(n - 1))
+        span = width
+        while span > 1:
+            tree[span // 2 : span] = np.minimum(tree[span : 2 * span : 2], tree[span + 1 : 2 * span : 2])
+            span //= 2
+        while tree[1] < _NONE:
+            rank, nodes = tree[1] >> 32, np.array([1])
+            while nodes[0] < width:
+                nodes = np.stack([2 * nodes, 2 * nodes + 1], axis=1).ravel()
+                nodes = nodes[tree[nodes] >> 32 == rank]
+            places = nodes - width
+            # of places that touch every second one, from the left
+            begins = np.concatenate([[True], places[1:] != following[places[:-1]]])
+            first = np.flatnonzero(begins)
+            i = places[(np.arange(len(places)) - np.repeat(first, np.diff(np.append(first, len(places))))) % 2 == 0]
+            j = following[i]
+            after = following[j]
+            ids[i] = self.made[rank]
+            following[i] = after
+            previous[after] = i
+            before = previous[i]
+            at = np.unique(np.concatenate([i, before[before >= 0]]))
+            right = following[at]
+            tree[width + j] = _NONE
+            tree[width + at] = np.where(right < n, self._leaves(ids[at], ids[np.minimum(right, n - 1)], at), _NONE)
+            nodes = np.unique(np.concatenate([at, j]) + width)
+            while nodes[0] > 1:
+                nodes = np.unique(nodes >> 1)
+                tree[nodes] = np.minimum(tree[2 * nodes], tree[2 * nodes + 1])
+        alive, at = [], 0
+        while at < n:
+            alive.append(at)
+            at = int(following[at])
+        return ids[alive]
+
     def _encode_rows(self, flat: np.ndarray, own: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         k, sizes = len(own), own.sum(axis=1)
         ids = np.full((k, width + 1), -1, dtype=np.int64)  # a column more: what "no neighbour" points at

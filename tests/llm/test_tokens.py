@@ -189,3 +189,10 @@ def test_mixing_leaves_the_input_s_columns(spark):
     plain = mixing.mix(docs.select("doc_id", "text", "source"))
     assert out.count() == plain.agg(F.sum("times")).first()[0]
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
+
+
+def test_bpe_of_long_pieces():
+    library, ours = Tokenizer.from_file(bpe.VOCABULARY), bpe.load(bpe.VOCABULARY)
+    rng = random.Random(2)
+    texts = ["x" * 40_000, "ab" * 9000, "aaaab" * 2000, "-" * 10_001, "".join(rng.choice("etaoinsh") for _ in range(20_000)), "!?" * 3000 + "é" * 3000, " " * 30_000]
+    assert ours.tree.ordered and ours.encode_batch(texts) == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
