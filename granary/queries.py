@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .config import RULES
 from .operators import crm, extract, facts, layout, leads, lines, numbers, targets
 from .functions import text
 from .plans import adapters as a
@@ -829,3 +831,14 @@ def leads_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT * FROM ({_TARGETS}) WHERE org = '0000000007' UNION ALL SELECT '0000000007', NULL, NULL WHERE NOT EXISTS (SELECT 1 FROM ({_TARGETS}) WHERE org = '0000000007')")
 def only_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return targets.limit_targets(_targets(spark, sf_dir), only_org="0000000007").select("org", "name", "seq")
+
+
+@query("""SELECT lpad(CAST(d.doc_id AS STRING), 10, '0') AS org, d.source AS name, 'PDF' AS found_in, array_to_string(list_sort(list_filter(['elle', 'heit', 'tion'], lambda w: contains(lower(d.text), w))), ';') AS keywords, n AS n_lines, k AS keys
+ FROM documents d JOIN (SELECT doc_id, count(*) AS n, string_agg(DISTINCT keyword, ';' ORDER BY keyword) AS k FROM m GROUP BY doc_id) USING (doc_id)""", "m")
+def observation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over the documents as report texts, each of an org of its own."""
+    docs = table(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("org"), F.col("source").alias("name"), "text")
+    pages = spark.createDataFrame([], "org string, html string")
+    made = jobs.build_observations(docs.select("org", "name"), pages, docs.select("org", "text"), docs.select("org").limit(0), replace(RULES, lenders=_MATCH))
+    keys = F.array_join(F.array_sort(F.array_distinct(F.transform("lenderKeywordLines", lambda x: x["key"]))), ";")
+    return made.select("org", "name", F.col("lenderKeywordsSource").alias("found_in"), F.array_join("lenderKeywords", ";").alias("keywords"), F.size("lenderKeywordLines").cast("long").alias("n_lines"), keys.alias("keys"))
