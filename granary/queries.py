@@ -552,10 +552,14 @@ def open_leads_of_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crm.filter_leads(_old_leads(spark, sf_dir), "Bemanning", hide_resolved=True).select("org_nr", "branch")
 
 
+def _shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).join(leads.wide_1year(_items(spark, sf_dir)).select("org", F.col("l1").alias("keyword_line_1")), "org", "left")
+
+
 @query("""SELECT org, CASE WHEN revenue IS NULL THEN '' WHEN abs(revenue) >= 1000000 THEN replace(printf('%.1f', round(revenue / 100000.0) / 10), '.', ',') || ' Mkr' WHEN abs(revenue) >= 1000 THEN replace(format('{:,}', CAST(round(revenue / 1000.0) AS BIGINT)), ',', chr(160)) || ' tkr' ELSE replace(format('{:,}', revenue), ',', chr(160)) || ' kr' END AS revenue_text,
  CASE WHEN coalesce(short_debt, 0) = 0 THEN '' ELSE replace(format('{:,}', short_debt), ',', chr(160)) || ' kr' END AS debt_text, CASE WHEN icp_score >= 10 THEN 'green' WHEN icp_score >= 7 THEN 'blue' ELSE 'grey' END AS badge FROM scored""", "scored")
 def lead_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crm.lead_display(_scored(spark, sf_dir)).select("org", "revenue_text", "debt_text", "badge")
+    return crm.lead_display(_shown(spark, sf_dir)).select("org", "revenue_text", "debt_text", "badge")
 
 
 @query("SELECT CASE WHEN icp_score >= 10 THEN 'green' WHEN icp_score >= 7 THEN 'blue' ELSE 'grey' END AS badge, count(*) AS n FROM scored GROUP BY 1", "scored")
@@ -796,8 +800,7 @@ def label_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
  'Checkräkningskredit', 'Checkräkning', 'gi'), 'hos banker och andra kreditinstitut.*$', 'Kreditinstitut', 'gi') AS short FROM ({_side_by_side(_cells(True, False))})) l ON l.org = s.org""", "scored", "items")
 def lead_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shortened first debt line of each lead."""
-    shown = _scored(spark, sf_dir).join(leads.wide_1year(_items(spark, sf_dir)).select("org", F.col("l1").alias("keyword_line_1")), "org", "left")
-    return crm.lead_display(shown).select("org", "debt_label")
+    return crm.lead_display(_shown(spark, sf_dir)).select("org", "debt_label")
 
 
 @query(f"SELECT u.* EXCLUDE (resolved), CASE WHEN e.org_nr IS NULL THEN false ELSE u.resolved END AS resolved, CASE WHEN e.org_nr IS NULL THEN '2026-01-01' END AS created_at FROM ({_UPSERT}) u LEFT JOIN old_leads e ON e.org_nr = u.org_nr", "old_leads", "new_rows")
