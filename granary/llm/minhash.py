@@ -8,8 +8,8 @@ of 1e-6 at most (25 bands of five values and 4e-7 at 0.85, 31 of four and 8e-8 a
 on full sets.
 
 Copies of one set are one node throughout. In every bucket the members are compared with the bucket's least
-document, and, as long as too many are not known to be connected, with further hubs, one a round, which are the same
-in buckets with the same members. The members that are left over then meet in blocks of bounded size, by rows and by
+document, and, where very many are not known to be connected, with further hubs, one a round as long as that helps; hubs
+are the same in buckets with the same members. The members that are left over then meet in blocks of bounded size, by rows and by
 bytes, each pair of blocks by itself. Only links that connect what its task has not yet connected come out, so no link
 that matters is lost to a bucket's size, and a bucket's pairs are never listed.
 
@@ -37,7 +37,7 @@ from .words import find_words, mix, short_texts, text_slices, windows
 SHINGLE = 5
 PERMUTATIONS = 63
 BLOCK = 256  # members of a bucket that are compared at a time, and of a hub's salt
-ROUNDS, MEETINGS = 8, 64  # further hubs, as long as members would meet more others than that in blocks
+ROUNDS, MEETINGS = 8, 16_384  # further hubs, where members would meet more others than that in blocks, as long as they help
 UNSHARED, UNDER = 1e-6, 1e-7  # chances that a pair at the asked similarity shares no band, or has fewer agreeing values than asked
 _rng = np.random.default_rng(85)
 _FACTORS = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -232,8 +232,10 @@ def _connect(members: DataFrame, links: DataFrame, texts: DataFrame, percent: in
         order = F.xxhash64("id", F.lit(number))
         hubs = keep(m.where("label != lo").groupBy("key").agg(F.min_by(F.struct("id", "label", "n_shingles"), order).alias("h")).select("key", F.col("h.id").alias("b"), F.col("h.label").alias("of"), F.col("h.n_shingles").alias("size")))
         asked = m.join(hubs, "key").where("id != b and label != of").where(_sizes_allow("n_shingles", "size", percent)).select(F.col("id").alias("a"), "b").distinct()
-        links = keep(links.unionByName(confirm(asked, texts, percent)))
+        links, before = keep(links.unionByName(confirm(asked, texts, percent))), pairs
         m, rows, pairs = _open_members(members, components(links).withColumnRenamed("component", "label"))
+        if pairs > 0.9 * before:  # the rest is not linked, or not by way of hubs
+            break
     return links, m
 
 
