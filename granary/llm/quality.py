@@ -4,8 +4,8 @@ Each class has a mean and a covariance, shrunk towards the pooled covariance and
 is a logistic curve over the difference of the two Gaussian log densities; Mahalanobis distances use Cholesky
 factors inverted once when the model is fitted.
 
-Defined results: null and empty texts are scored from their statistics (all zero) like any other; repeated
-rows are scored alike; an empty table gives an empty result; other columns are ignored. Without labelled rows
+Defined results: null and empty texts are scored from their statistics (all zero) like any other; very long texts
+count whole; repeated rows are scored alike, and equal scores stay equal; an empty table gives an empty result; other columns are ignored. Without labelled rows
 of both classes every score is the share of label 1, or 0.5 without labels.
 """
 
