@@ -9,9 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Write a table below ``spark.checkpoint.dir`` (a temporary folder where none is set, in local tests) and read it."""
+def keep(df: DataFrame, share: int = 1) -> DataFrame:
+    """Write a table below ``spark.checkpoint.dir`` (a temporary folder where none is set, in local tests) and read it.
+
+    A table that is small beside the rows it comes from is dealt to one file for `share` partitions of a shuffle.
+    """
     spark = df.sparkSession
+    if share > 1:
+        df = df.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // share))
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
