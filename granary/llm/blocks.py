@@ -17,7 +17,7 @@ def in_blocks(rows: DataFrame, keys: list[str], size: int, order: str, *columns:
     wanted = F.ceil(F.count("*") / size)
     if weight is not None:
         wanted = F.greatest(wanted, F.ceil(F.sum(weight) / most))
-    counts = keep(rows.groupBy(*keys).agg(wanted.alias("_blocks")))
+    counts = keep(rows.groupBy(*keys).agg(wanted.alias("_blocks")), share=8)
     dealt = rows.join(counts, keys).withColumn("block", F.pmod(F.xxhash64(order, F.lit(7)), F.col("_blocks")))
     return dealt.groupBy(*keys, "block").agg(F.collect_list(F.struct(order, *columns)).alias("rows"))
 
