@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import CONTROLS, MARKERS
 from .mixing import DEFAULT_SEED
+from .pii import AGAINST, IBAN_LENGTHS, WORDS
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -69,4 +70,91 @@ NEAR_VECTORS = f"""WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS
  degree AS (SELECT x, count(*) AS d FROM ways GROUP BY x)
  SELECT vec_id, coalesce(d, 0) AS n_links, coalesce(component, vec_id) AS component_id, vec_id = coalesce(component, vec_id) AS kept FROM embeddings LEFT JOIN degree ON degree.x = vec_id LEFT JOIN least ON least.x = vec_id"""
 
-ORACLES = {"op2_near_dedup": NEAR_DEDUP, "op3_substring_dedup": SUBSTRING_DEDUP, "op5_chat_format": CHAT, "op6_mixing": MIXING, "op7_exact_top_k": TOP_K, "op8_near_vectors": NEAR_VECTORS}
+# crc32 by its table of 256 entries, made from the polynomial
+_CRC_TABLE = """bits AS (SELECT CAST(i AS BIGINT) AS i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) r(i) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+ crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8)"""
+
+
+def _crc32(text: str) -> str:
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)))"
+
+
+def _edit(way: str, cost: str, letter: str, said: str = "") -> str:
+    """A way (cost, edits, turns) with one more edit; null where there is none."""
+    return f"CASE WHEN {way} IS NOT NULL THEN {{'c': {way}.c + {cost}, 'a': {way}.a || '{letter}', 'o': {way}.o{said and ' || chr(10) || ' + said}}} END"
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _role_edits(way: str, initial: str, role: str) -> str:
+    return f"CASE WHEN NOT gone AND initial = '{initial}' THEN {_edit(way, 'more', 'K', 'role || chr(58) || text')} END, CASE WHEN NOT gone THEN {_edit(way, '3 + more', 'R', f"'{role}:' || text")} END"
+
+
+_SPACE = "coalesce(CAST({0} AS VARCHAR), ' ')".format
+_WAY = "STRUCT(c BIGINT, a VARCHAR, o VARCHAR)"
+REPAIR = f"""WITH RECURSIVE {_CRC_TABLE},
+ hashed AS (SELECT conv_id, turn, {_SPACE('role')} AS role, {_SPACE('text')} AS text, {_crc32(f"{_SPACE('conv_id')} || ':' || {_SPACE('turn')}")} % 20 AS kind FROM conversations, crc),
+ damaged AS (SELECT *, row_number() OVER () AS copy FROM (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS second FROM hashed WHERE kind <> 0)),
+ placed AS (SELECT *, row_number() OVER w AS pos, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again, left(lag(role) OVER w, 1) || left(role, 1) AS pair, left(role, 1) AS initial,
+ NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS cut FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+ faults AS (SELECT *, blank OR again AS gone, CASE WHEN cut AND NOT blank AND NOT again THEN 3 ELSE 0 END AS more FROM placed),
+ walk AS (SELECT conv_id, CAST(0 AS BIGINT) AS pos, CAST({{'c': 0, 'a': '', 'o': ''}} AS {_WAY}) AS n, CAST(NULL AS {_WAY}) AS s, CAST({{'c': 3, 'a': 'I', 'o': chr(10) || 'user:'}} AS {_WAY}) AS u, CAST({{'c': 6, 'a': 'II', 'o': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS {_WAY}) AS a FROM (SELECT DISTINCT conv_id FROM faults)
+ UNION ALL SELECT conv_id, pos, n, s, u, {_least('a', _edit('u', '3', 'I', "'assistant:'"))} FROM (
+ SELECT conv_id, pos, n, s, {_least('u', _edit('n', '3', 'I', "'user:'"), _edit('s', '3', 'I', "'user:'"), _edit('a', '3', 'I', "'user:'"))} AS u, a FROM (
+ SELECT w.conv_id, f.pos, {_edit('w.n', '4', 'D')} AS n, {_least(_edit('w.s', '4', 'D'), f"CASE WHEN NOT gone AND initial = 's' THEN {_edit('w.n', 'more', 'K', 'role || chr(58) || text')} END")} AS s,
+ {_least(_edit('w.u', '4', 'D'), *[_role_edits(w, 'u', 'user') for w in ('w.n', 'w.s', 'w.a')])} AS u, {_least(_edit('w.a', '4', 'D'), _role_edits('w.u', 'a', 'assistant'))} AS a
+ FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.pos + 1))),
+ done AS (SELECT conv_id, arg_max({_least('n', 'a')}, pos) AS way FROM walk GROUP BY conv_id),
+ counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again AND NOT blank) AS duplicate, count(*) FILTER (WHERE more > 0) AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id)
+ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(way.c, 0) AS cost, coalesce(way.a, '') AS audit, sha256(coalesce(substr(way.o, 2), '')) AS repaired_sha256
+ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN counts k ON k.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+_DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(string_split({_DIGITS}, ''), lambda c, i: CASE WHEN (len({_DIGITS}) - i) % 2 = 1 THEN 2 * CAST(c AS INT) - CASE WHEN c > '4' THEN 9 ELSE 0 END ELSE CAST(c AS INT) END)) % 10 = 0"
+_PLAIN = "regexp_replace(hit, '[ -]', '', 'g')"
+_MOD_97 = f"""list_reduce(list_prepend(0, list_transform(string_split(substr({_PLAIN}, 5) || left({_PLAIN}, 4), ''), lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END)), lambda r, d: (CASE WHEN d >= 10 THEN r * 100 ELSE r * 10 END + d) % 97) = 1"""
+_ALONE = "NOT regexp_matches(right(before, 1), '{0}') AND NOT regexp_matches(left(after, 1), '{0}') AND (i = 1 OR before <> '')".format
+_IBAN_PLAIN = "|".join(f"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:[ -]?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items())
+# the contract's patterns as they stand there, and those of the added kinds
+_KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "list_max(list_transform(string_split(hit, '.'), lambda p: TRY_CAST(p AS DOUBLE))) <= 255"),
+    "card": (r"[0-9]([\x20-]?[0-9])+", f"len({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"len({_DIGITS}) BETWEEN 10 AND 15"),
+    "iban": (_IBAN_PLAIN, f"{_MOD_97} AND {_ALONE('[A-Za-z0-9]')}"),
+    "ssn": ("[0-9]{3}-[0-9]{2}-[0-9]{4}", f"NOT regexp_matches(hit, '^(000|666|9)|-00-|-0000$') AND {_ALONE('[A-Za-z0-9-]')} AND said AND NOT against"),
+    "tel": (r"[(]?[0-9]{3}[)]?[ .-][0-9]{3}[ .-][0-9]{4}", f"NOT regexp_matches(hit, '^[(][0-9]{{3}}[^)]|^[0-9]{{3}}[)]') AND {_ALONE('[A-Za-z0-9-]')} AND said AND NOT against"),
+}
+
+
+def _matches(number: int, kind: str, pattern: str, valid: str) -> str:
+    near = "translate(right(before, 48) || ' ' || left(after, 24), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    says = lambda words: f"regexp_matches({near}, '(?:^|[^a-z])(?:{words})(?:[^a-z]|$)')"
+    cut = f"SELECT row, regexp_extract_all(text, '{pattern}') AS hits, string_split_regex(text, '{pattern}') AS pieces FROM numbered"
+    each = f"SELECT row, unnest(range(1, len(hits) + 1)) AS i, hits, pieces FROM ({cut})"
+    named = f"SELECT row, i, hits[i] AS hit, pieces[i] AS before, pieces[i + 1] AS after FROM ({each})"
+    ends = f"SELECT *, sum(len(before) + len(hit)) OVER (PARTITION BY row ORDER BY i) AS upto, {says(WORDS[kind])} AS said, {says(AGAINST)} AS against FROM ({named})"
+    return f"SELECT row, {number} AS number, '{kind}' AS kind, CAST(upto - len(hit) AS BIGINT) AS begins, CAST(upto AS BIGINT) AS ends FROM ({ends}) WHERE {valid}"
+
+
+_LISTED = "coalesce(string_agg(kind || ':' || begins || ':' || ends, ',' ORDER BY begins, number){0}, '')".format
+PII = f"""WITH numbered AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+ spans AS ({' UNION ALL '.join(_matches(n, kind, *how) for n, (kind, how) in enumerate(_KINDS.items()))})
+ SELECT n.doc_id, {', '.join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in ('email', 'ip', 'card', 'phone'))}, sha256({_LISTED(' FILTER (WHERE number < 4)')}) AS base_sha256, {_LISTED('')} AS spans, count(*) FILTER (WHERE number >= 4) AS n_added
+ FROM numbered n LEFT JOIN spans s ON s.row = n.row GROUP BY n.row, n.doc_id"""
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+RANK = f"""WITH said AS (SELECT doc_id, row, unnest(t) AS term, len(t) AS n FROM (SELECT doc_id, row_number() OVER () AS row, {_TERMS} AS t FROM documents)),
+ tf AS (SELECT doc_id, row, term, CAST(n AS BIGINT) AS n, count(*) AS tf FROM said GROUP BY ALL),
+ whole AS (SELECT CAST(count(DISTINCT row) AS BIGINT) AS docs, count(*) AS terms FROM said),
+ df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+ asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+ scored AS (SELECT item_id, row, doc_id, CAST(sum(CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)))) AS BIGINT) AS score FROM asked JOIN df USING (term) JOIN tf USING (term), whole GROUP BY item_id, row, doc_id)
+ SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0) WHERE rank <= 10"""
+
+ORACLES = {
+    "op2_near_dedup": NEAR_DEDUP, "op3_substring_dedup": SUBSTRING_DEDUP, "op5_chat_format": CHAT, "op6_mixing": MIXING, "op7_exact_top_k": TOP_K, "op8_near_vectors": NEAR_VECTORS,
+    "op11_structure_repair": REPAIR, "op12_pii": PII, "op13_lexical_rank": RANK,
+}

@@ -12,8 +12,11 @@ from .forest import near_vectors
 from .minhash import near_duplicates
 from .mixing import mixing
 from .oracles import ORACLES
+from .pii import pii
 from .pivots import top_k
 from .quality import quality
+from .rank import rank_documents
+from .repair import structure_repair
 from .substring import removed
 from .toxicity import toxicity
 from .wavelet import token_output
@@ -63,6 +66,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -75,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_vectors": op8_near_vectors,
         "op9_bpe": op9_bpe,
         "op10_toxicity": op10_toxicity,
+        "op11_structure_repair": op11_structure_repair,
+        "op12_pii": op12_pii,
+        "op13_lexical_rank": op13_lexical_rank,
     }
 
 
