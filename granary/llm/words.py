@@ -16,6 +16,8 @@ import pyarrow.compute  # noqa: F401
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
+_IS_TERM = np.ones(256, dtype=bool)  # letters and digits of ASCII, and every byte of other characters
+_IS_TERM[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -97,7 +99,12 @@ class Words(NamedTuple):
         return out
 
 
-def find_words(texts: pa.Array, lower: bool = False) -> Words:
+def find_terms(texts: pa.Array) -> Words:
+    """Maximal runs of ASCII letters and digits and of characters beyond ASCII, A-Z as a-z."""
+    return find_words(texts, lower=True, member=_IS_TERM)
+
+
+def find_words(texts: pa.Array, lower: bool = False, member: np.ndarray = _IS_WORD) -> Words:
     texts = texts.cast(pa.large_string()).fill_null("")
     n = len(texts)
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, dtype=np.int64)
@@ -106,7 +113,7 @@ def find_words(texts: pa.Array, lower: bool = False) -> Words:
     offsets = offsets - offsets[0]
     if lower:
         data = _LOWER[data]
-    word = _IS_WORD[data]
+    word = member[data]
     begin, end = word.copy(), word.copy()
     begin[1:] &= ~word[:-1]
     end[:-1] &= ~word[1:]
