@@ -9,14 +9,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep(df: DataFrame, share: int = 1) -> DataFrame:
+ROWS_OF_A_TASK = 1 << 20  # of tables whose rows are a few numbers
+
+
+def keep(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Write a table below ``spark.checkpoint.dir`` (a temporary folder where none is set, in local tests) and read it.
 
-    A table that is small beside the rows it comes from is dealt to one file for `share` partitions of a shuffle.
+    `rows` is what is known of the number of rows of a table of ids and keys: its last stage, behind a shuffle, then has a
+    task for each million of them, which grows with the table and needs no shuffle of its own.
     """
     spark = df.sparkSession
-    if share > 1:
-        df = df.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // share))
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_OF_A_TASK)))
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
