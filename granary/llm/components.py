@@ -20,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     logarithm of the largest component.
     """
     a, b = F.col("a"), F.col("b")
-    now = keep(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), share=8)
+    now = keep(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     seen = _fingerprint(now)
     while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        now = keep(small, share=8)
+        now = keep(small, rows=2 * seen[0])  # a round makes two edges of one at most
         new = _fingerprint(now)
         if new == seen:
             break

@@ -38,7 +38,6 @@ SHINGLE = 5
 PERMUTATIONS = 63
 BLOCK = 256  # members of a bucket that are compared at a time, and of a hub's salt
 ROUNDS, MEETINGS = 8, 16_384  # further hubs, where members would meet more others than that in blocks, as long as they help
-FEW = 8  # partitions of a shuffle for one file of a table of ids and keys
 UNSHARED, UNDER = 1e-6, 1e-7  # chances that a pair at the asked similarity shares no band, or has fewer agreeing values than asked
 _rng = np.random.default_rng(85)
 _FACTORS = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -154,14 +153,26 @@ def signatures(docs: DataFrame, bands_of: int, rows_of: int) -> DataFrame:
     return by_bytes(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SIGNATURES)
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) pairs whose full sets have 100 * intersection >= percent * union.
+def agreeing(pairs: DataFrame, reps: DataFrame, agree: int) -> DataFrame:
+    """The (a, b) pairs whose signatures have `agree` equal values at least; no text travels for the others."""
+    sides = [reps.select(F.col("id").alias(c), F.col("signature").alias(f"of_{c}")) for c in ("a", "b")]
+
+    def run(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(batch.num_rows, 2 * PERMUTATIONS) for c in ("of_a", "of_b"))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= agree))
+
+    return by_bytes(pairs.join(sides[0], "a").join(sides[1], "b")).select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long").distinct()
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int, most: int) -> DataFrame:
+    """The (a, b) pairs, of which there are `most` at most, whose full sets have 100 * intersection >= percent * union.
 
     Pairs gather at b in salts of about BLOCK members, each with a copy of b's text, which comes first; a task
     holds one b's set at a time.
     """
-    pairs = keep(pairs, share=FEW)
-    salts = keep(pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts")), share=FEW)
+    pairs = keep(pairs, rows=most)
+    salts = keep(pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts")), rows=most)
     members = pairs.join(salts, "b").select(F.col("a").alias("doc_id"), "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"))
     hubs = salts.select(F.col("b").alias("doc_id"), "b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     rows = members.withColumn("hub", F.lit(False)).unionByName(hubs.withColumn("hub", F.lit(True))).join(texts, "doc_id")
@@ -189,11 +200,11 @@ def _sizes_allow(x: str, y: str, percent: int):
     return 100 * F.least(F.col(x), F.col(y)) >= percent * F.greatest(F.col(x), F.col(y))
 
 
-def _labels(links: DataFrame) -> DataFrame:
+def _labels(links: DataFrame, most: int) -> DataFrame:
     """(id, label): ids with one label are connected; two steps along the links stand in for whole components."""
     one = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label"))
     two = one.select(F.col("id").alias("label"), F.col("label").alias("next"))
-    return keep(one.join(two, "label", "left").select("id", F.coalesce("next", "label").alias("label")), share=FEW)
+    return keep(one.join(two, "label", "left").select("id", F.coalesce("next", "label").alias("label")), rows=most)
 
 
 def _set_rows(texts: DataFrame) -> DataFrame:
@@ -215,25 +226,25 @@ def _open_members(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int
     The bucket's first hub is left out: it has met all others. lo is the bucket's least label.
     """
     m = members.where("id != hub").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    open_ = keep(m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("key", "lo", "n"), share=FEW)
+    open_ = keep(m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("key", "lo", "n"))
     size = open_.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2), F.lit(0.0))).first()
     return keep(m.join(open_, "key").select("key", "band", "id", "n_shingles", "label", "lo")), size[0], size[1]
 
 
-def _connect(members: DataFrame, links: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _connect(members: DataFrame, links: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, how: Plan, most: int) -> tuple[DataFrame, DataFrame]:
     """(links, members of buckets that are still open) after as many further hubs as it takes to leave few meetings.
 
     A round's hub of a bucket is the member with the least hash that is not under the bucket's least label. Where
     most pairs of a group are similar, each round connects a large part of what the rounds before have left.
     """
-    m, rows, pairs = _open_members(members, _labels(links))
+    m, rows, pairs = _open_members(members, _labels(links, most))
     for number in range(ROUNDS):
         if pairs <= MEETINGS * rows:
             break
         order = F.xxhash64("id", F.lit(number))
         hubs = keep(m.where("label != lo").groupBy("key").agg(F.min_by(F.struct("id", "label", "n_shingles"), order).alias("h")).select("key", F.col("h.id").alias("b"), F.col("h.label").alias("of"), F.col("h.n_shingles").alias("size")))
         asked = m.join(hubs, "key").where("id != b and label != of").where(_sizes_allow("n_shingles", "size", percent)).select(F.col("id").alias("a"), "b").distinct()
-        links, before = keep(links.unionByName(confirm(asked, texts, percent)), share=FEW), pairs
+        links, before = keep(links.unionByName(confirm(agreeing(asked, reps, how.agree), texts, percent, rows))), pairs
         m, rows, pairs = _open_members(members, components(links).withColumnRenamed("component", "label"))
         if pairs > 0.9 * before:  # the rest is not linked, or not by way of hubs
             break
@@ -314,22 +325,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     how = plan(percent)
     signed = keep(signatures(docs, how.bands, how.rows))
+    most = signed.count() * how.bands  # members of buckets
     sets = signed.where("n_shingles > 0 and doc_id is not null")
-    copies = keep(sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("s1", "s2", "rep"), share=FEW)
+    copies = keep(sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("s1", "s2", "rep"), rows=most // how.bands)
     named = sets.join(copies, ["s1", "s2"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     same_set = named.where("rep != doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     reps = named.where("rep = doc_id").select(F.col("doc_id").alias("id"), "n_shingles", "bands", "signature").dropDuplicates(["id", "bands"])
 
     banded = reps.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
     # a table of its own, so that the join below may split a hot key's rows
-    hubs = keep(banded.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("h"), F.count("*").alias("n")).where("n > 1").select("key", F.col("h.id").alias("hub"), F.col("h.n_shingles").alias("hub_size")), share=FEW)
+    hubs = keep(banded.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("h"), F.count("*").alias("n")).where("n > 1").select("key", F.col("h.id").alias("hub"), F.col("h.n_shingles").alias("hub_size")), rows=most)
     members = keep(banded.join(hubs, "key"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = keep(texts.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"))
 
     first = members.where(F.col("id") != F.col("hub")).where(_sizes_allow("n_shingles", "hub_size", percent)).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    links = keep(confirm(first, texts, percent), share=FEW)
-    links, left = _connect(members, links, texts, percent)
+    links = keep(confirm(agreeing(first, reps, how.agree), texts, percent, most), rows=most)
+    links, left = _connect(members, links, reps, texts, percent, how, most)
     second = _across_labels(left, reps, texts, percent, how.agree)
     found = components(links.unionByName(second).unionByName(same_set))
     out = signed.select("doc_id", "n_shingles").join(found.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
