@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .blocks import block_pairs, in_blocks
 from .components import components
-from .shared import by_bytes, free_names, keep
+from .shared import among, by_bytes, free_names, keep
 from .words import find_words, mix, short_texts, text_slices, windows
 
 SHINGLE = 5
@@ -324,20 +324,24 @@ class _Block:
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     how = plan(percent)
-    signed = keep(signatures(docs, how.bands, how.rows))
-    most = signed.count() * how.bands  # members of buckets
+    signed = keep(signatures(docs, how.bands, how.rows).withColumn("row", F.monotonically_increasing_id()))
+    n = signed.count()
+    most = n * how.bands  # members of buckets
     sets = signed.where("n_shingles > 0 and doc_id is not null")
-    copies = keep(sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("s1", "s2", "rep"), rows=most // how.bands)
-    named = sets.join(copies, ["s1", "s2"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    same_set = named.where("rep != doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    reps = named.where("rep = doc_id").select(F.col("doc_id").alias("id"), "n_shingles", "bands", "signature").dropDuplicates(["id", "bands"])
+    # one row stands for all of one set; the others are found by the sets' names alone
+    copies = sets.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    others = keep(sets.select("doc_id", "s1", "s2", "row").join(copies, ["s1", "s2"]).where("row != first.row").select("row", "doc_id", F.col("first.doc_id").alias("rep")))
+    same_set = others.where("rep != doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    reps = among(sets, "row", others.select("row"), "left_anti").select(F.col("doc_id").alias("id"), "n_shingles", "bands", "signature")
 
     banded = reps.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
     # a table of its own, so that the join below may split a hot key's rows
     hubs = keep(banded.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("h"), F.count("*").alias("n")).where("n > 1").select("key", F.col("h.id").alias("hub"), F.col("h.n_shingles").alias("hub_size")), rows=most)
     members = keep(banded.join(hubs, "key"))
+    ids = keep(members.select("id").distinct(), rows=n)
+    reps = keep(among(reps, "id", ids))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = keep(texts.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    texts = keep(among(texts, "doc_id", ids.withColumnRenamed("id", "doc_id")))
 
     first = members.where(F.col("id") != F.col("hub")).where(_sizes_allow("n_shingles", "hub_size", percent)).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     links = keep(confirm(agreeing(first, reps, how.agree), texts, percent, most), rows=most)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.storage import keep
 
-__all__ = ["by_bytes", "fold_of", "free_names", "held_out", "keep", "labelled_sample"]
+__all__ = ["among", "by_bytes", "fold_of", "free_names", "held_out", "keep", "labelled_sample"]
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -33,6 +33,18 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+FEW_IDS = 1 << 21  # ids of 8 bytes that are broadcast at most
+
+
+def among(rows: DataFrame, key: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """rows whose key is among the kept `ids` (not among them: how="left_anti").
+
+    The ids are counted first: up to FEW_IDS are broadcast, so that wide rows stay where they are; of more, both sides are shuffled.
+    """
+    few = ids.count() <= FEW_IDS
+    return rows.join(F.broadcast(ids) if few else ids, key, how)
+
+
 def fold_of(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
