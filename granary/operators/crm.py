@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import format_debt, format_revenue, icp_badge, shorten_debt_label
+from ..plans.storage import global_rank, keep
 
 OWN = ("resolved", "resolved_at", "notes", "created_at")  # what people entered stays when a file is imported
 
@@ -64,8 +65,8 @@ def stamp_changes(new: DataFrame, old: DataFrame, now: Column, key: str = "org_n
     return joined.withColumns({"updated_at": F.when(changed, now).otherwise(F.col("updated_at")), "resolved_at": F.when(turned, F.when(F.col("resolved"), now)).otherwise(F.col("resolved_at"))}).drop("_old", "_there")
 
 
-def list_leads(leads: DataFrame) -> DataFrame:
-    return leads.orderBy(F.col("name").asc_nulls_first())
+def list_leads(leads: DataFrame, key: str = "org_nr") -> DataFrame:
+    return leads.orderBy(F.col("name").asc_nulls_first(), key)
 
 
 def distinct_branches(leads: DataFrame) -> DataFrame:
@@ -87,16 +88,47 @@ def sort_leads(leads: DataFrame, column: str = "name", descending: bool = False,
 
 
 def page_leads(leads: DataFrame, page: int, size: int = 100, column: str = "name", key: str = "org_nr") -> DataFrame:
-    """One page from 0 on; the plan keeps offset + size rows a task. Deep pages: see page_after()."""
+    """One page from 0 on; the plan keeps offset + size rows a task. Deep pages: see page_after() and write_pages()."""
     return leads.orderBy(column, key).offset(page * size).limit(size)
 
 
 def page_after(leads: DataFrame, last_value, last_key: str, size: int = 100, column: str = "name", key: str = "org_nr") -> DataFrame:
     """The page behind a known last row, at the cost of a filter however deep it is; null values come first."""
-    value = F.col(column)
-    later = F.col(key) > F.lit(last_key)
-    behind = value.isNotNull() | (value.isNull() & later) if last_value is None else (value > F.lit(last_value)) | ((value == F.lit(last_value)) & later)
-    return leads.where(behind).orderBy(value.asc_nulls_first(), key).limit(size)
+    return leads.where(_behind(F.col(column), F.col(key), last_value, last_key)).orderBy(F.col(column).asc_nulls_first(), key).limit(size)
+
+
+def _behind(value: Column, key: Column, last_value, last_key: str) -> Column:
+    """Rows after a place in the order of value, nulls first, then key."""
+    later = key > F.lit(last_key)
+    return value.isNotNull() | (value.isNull() & later) if last_value is None else (value > F.lit(last_value)) | ((value == F.lit(last_value)) & later)
+
+
+def _not_behind(value: Column, key: Column, last_value, last_key: str) -> Column:
+    """Rows up to a place; each comparison is one that a file's statistics can refuse."""
+    upto = key <= F.lit(last_key)
+    return value.isNull() & upto if last_value is None else value.isNull() | (value < F.lit(last_value)) | ((value == F.lit(last_value)) & upto)
+
+
+def write_pages(leads: DataFrame, path: str, size: int = 100, column: str = "name", key: str = "org_nr") -> None:
+    """The table in the order of its list, by range-partitioned files, and beside it the last row of every page.
+
+    The index has a row for each `size` rows of the table. Keys are unique.
+    """
+    ranked = keep(global_rank(leads, "_rank", F.col(column).asc_nulls_first(), F.col(key)))
+    ranked.drop("_rank").repartitionByRange(F.col(column).asc_nulls_first(), key).sortWithinPartitions(F.col(column).asc_nulls_first(), key).write.mode("overwrite").parquet(f"{path}/rows")
+    last = ranked.where(F.col("_rank") % size == 0).select((F.col("_rank") / size).cast("long").alias("page"), F.col(column).alias("value"), F.col(key).alias("key"))
+    last.repartitionByRange("page").sortWithinPartitions("page").write.mode("overwrite").parquet(f"{path}/pages")
+
+
+def read_page(spark: SparkSession, path: str, page: int, size: int = 100, column: str = "name", key: str = "org_nr") -> DataFrame:
+    """A page of write_pages() from 0 on, however deep: two rows of the index, then one range of the rows."""
+    ends = {r.page: (r.value, r.key) for r in spark.read.parquet(f"{path}/pages").where(F.col("page").isin(page, page + 1)).collect()}
+    rows = spark.read.parquet(f"{path}/rows")
+    if page > 0:
+        rows = rows.where(_behind(F.col(column), F.col(key), *ends[page]) if page in ends else F.lit(False))
+    if page + 1 in ends:
+        rows = rows.where(_not_behind(F.col(column), F.col(key), *ends[page + 1]))
+    return rows.orderBy(F.col(column).asc_nulls_first(), key).limit(size)
 
 
 def lead_counts(leads: DataFrame, condition: Column, size: int = 100) -> DataFrame:

@@ -118,12 +118,12 @@ def dedupe_value_variants(lines: DataFrame) -> DataFrame:
 
     lines: (org, line_idx, key, line, values).
     """
-    doubled = F.regexp_extract(F.col("values")[0], "^([0-9])\\1 ([0-9]{3} [0-9]{3})$", 1) != ""
-    mended = F.regexp_replace(F.col("values")[0], "^([0-9])\\1 ", "$1 ")
-    pairs = lines.where("size(values) = 2")
-    clean = pairs.select("org", F.col("values")[0].alias("first"), F.col("values")[1].alias("second")).distinct()
-    suspects = pairs.where(doubled).select("org", "line_idx", mended.alias("first"), F.col("values")[1].alias("second"))
-    gone = suspects.join(clean, ["org", "first", "second"]).select("org", "line_idx").distinct()
-    left = lines.join(gone, ["org", "line_idx"], "left_anti")
+    doubled = (F.size("values") == 2) & (F.regexp_extract(F.get("values", F.lit(0)), "^([0-9])\\1 ([0-9]{3} [0-9]{3})$", 1) != "")
+    mended = F.regexp_replace(F.get("values", F.lit(0)), "^([0-9])\\1 ", "$1 ")
+    value = lambda n: F.get("values", F.lit(n))
+    clean = lines.where("size(values) = 2").select("org", value(0).alias("_first"), value(1).alias("_second"), F.lit(True).alias("_clean")).distinct()
+    # each line asks for itself: other lines of its number, as blended sources have them, stay
+    asked = lines.withColumns({"_first": F.when(doubled, mended), "_second": F.when(doubled, value(1))})
+    left = asked.join(clean, ["org", "_first", "_second"], "left").where("_clean is null").select(*lines.columns)
     first = F.row_number().over(Window.partitionBy("org", "key", F.trim("line"), "values").orderBy("line_idx"))
     return left.withColumn("_n", first).where("_n = 1").drop("_n")

@@ -116,6 +116,23 @@ def score_leads(observations: DataFrame, finance: DataFrame, keywords: DataFrame
     return icp_score(merge_observations(observations, finance, keywords, rules, scanned=scanned), rules)
 
 
+OF_FINANCE = (*FIGURE_RULES, "revenue_year")
+OF_KEYWORDS = ("lender_keywords",)
+OF_SCORE = ("icp_score", "icp_reasons")
+
+
+def select_leads(columns: list[str], observations: DataFrame, finance: DataFrame, keywords: DataFrame, rules: Rules = RULES, scanned: DataFrame | None = None) -> DataFrame:
+    """The given columns of score_leads(), from no more inputs than they ask for.
+
+    An aggregate over a union keeps every branch, so that a plan for names alone would read and parse all finance values.
+    """
+    asked = set(columns)
+    scored = bool(asked & set(OF_SCORE))
+    of_finance, of_words = (finance if scored or asked & set(OF_FINANCE) else None), (keywords if scored or asked & set(OF_KEYWORDS) else None)
+    merged = merge_observations(observations, of_finance, of_words, rules, scanned=scanned if of_words is not None else None)
+    return (icp_score(merged, rules) if scored else merged).select(*columns)
+
+
 MOST_LINES, MOST_NUMBERS = 10, 10  # of a key and of a line
 
 

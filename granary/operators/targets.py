@@ -52,25 +52,38 @@ def name_tokens(name: Column) -> Column:
     return F.array_distinct(F.filter(parts, lambda x: F.length(x) >= 3))
 
 
+def token_subsets(tokens: Column) -> Column:
+    """Every one, two and three of an array's tokens, as structs (level, key); tokens are distinct and in order."""
+    behind = lambda i: F.slice(tokens, i + 2, F.size(tokens))
+    entry = lambda level, *parts: F.struct(F.lit(level).alias("level"), F.concat_ws(" ", *parts).alias("key"))
+    pairs = F.flatten(F.transform(tokens, lambda x, i: F.transform(behind(i), lambda y: entry(2, x, y))))
+    threes = F.flatten(F.transform(tokens, lambda x, i: F.flatten(F.transform(behind(i), lambda y, j: F.transform(behind(i + j + 1), lambda z: entry(3, x, y, z))))))
+    return F.concat(F.transform(tokens, lambda x: entry(1, x)), pairs, threes)
+
+
 def resolve_by_name(targets: DataFrame, registry: DataFrame) -> DataFrame:
     """(target_id, query, org, candidate, score): the registry's best match of each target's name.
 
-    targets: (target_id, name); registry: (org, name, seq). Tokens meet in an equi-join, one row a shared token; a
-    candidate with a score of 3 wins by its place in the registry, others by score, then place. Equal queries are
-    asked once, and of candidates with the same tokens only the first can win, so both sides are reduced first.
+    targets: (target_id, name); registry: (org, name, seq). A candidate's score is its number of shared tokens, one more
+    where both names hold "ab"; one with a score of 3 wins by its place in the registry, others by score, then place.
+
+    As a score counts up to 3 only, what decides is the first candidate of each one, two and three tokens: one row a
+    subset, made by an aggregate that is combined before its shuffle. A query meets those of its own subsets, so the
+    joined rows follow the queries, and a token that is in a third of all names costs no more than another.
     """
     has_ab = lambda c: F.col(c).rlike(f"(?iu){EDGE}ab{EDGE}")
     cleaned = targets.select("target_id", clean_name(F.col("name")).alias("query"))
-    asked = cleaned.select("query").where("query != ''").distinct().withColumn("t", F.explode(name_tokens(F.col("query"))))
+    tokens = lambda c: F.array_sort(name_tokens(F.col(c)))
+    asked = cleaned.select("query").where("query != ''").distinct().select("query", has_ab("query").alias("asked_ab"), F.explode(token_subsets(tokens("query"))).alias("s"))
     first = F.min(F.struct("seq", "org", "candidate")).alias("first")
-    named = registry.select("org", F.col("name").alias("candidate"), "seq", F.array_sort(name_tokens(F.col("name"))).alias("tokens"))
-    known = named.groupBy("tokens", has_ab("candidate").alias("ab")).agg(first).select("ab", "first", F.explode("tokens").alias("t"))
-    hits = asked.join(known, "t").groupBy("query", "first", "ab").agg(F.count("*").alias("hits"))
-    score = F.col("hits") + (has_ab("query") & F.col("ab")).cast("int")
-    # the greatest of: reaches 3, score below 3, earliest place
-    order = F.struct(F.col("score") >= 3, F.when(F.col("score") < 3, F.col("score")).otherwise(0), -F.col("first.seq"))
-    best = hits.withColumn("score", score).groupBy("query").agg(F.max_by(F.struct("first", "score"), order).alias("b"))
-    return cleaned.join(best, "query").select("target_id", "query", F.col("b.first.org").alias("org"), F.col("b.first.candidate").alias("candidate"), F.col("b.score").alias("score"))
+    named = registry.select("org", F.col("name").alias("candidate"), "seq", tokens("name").alias("tokens"))
+    known = named.groupBy("tokens", has_ab("candidate").alias("ab")).agg(first).select("ab", "first", F.explode(token_subsets(F.col("tokens"))).alias("s"))
+    known = known.groupBy("s", "ab").agg(F.min("first").alias("first"))
+    reached = F.least(F.lit(3), F.col("s.level") + (F.col("asked_ab") & F.col("ab")).cast("int"))
+    best = asked.join(known, "s").groupBy("query").agg(F.min(F.struct((-reached).alias("_"), "first")).alias("b")).select("query", "b.first.org", "b.first.candidate")
+    shared = F.size(F.array_intersect(name_tokens(F.col("query")), name_tokens(F.col("candidate"))))
+    score = shared.cast("long") + (has_ab("query") & has_ab("candidate")).cast("int")
+    return cleaned.join(best.withColumn("score", score), "query").select("target_id", "query", "org", "candidate", "score")
 
 
 def org_from_page(url: Column, html: Column) -> Column:

@@ -5,13 +5,24 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 ROWS_OF_A_TASK = 1 << 20  # of tables whose rows are a few numbers
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path of its own below ``spark.checkpoint.dir``."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="granary-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/granary-{uuid.uuid4().hex}"
+
+
 def keep(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Write a table below ``spark.checkpoint.dir`` (a temporary folder where none is set, in local tests) and read it.
 
@@ -21,13 +32,7 @@ def keep(df: DataFrame, rows: int | None = None) -> DataFrame:
     spark = df.sparkSession
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // ROWS_OF_A_TASK)))
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="granary-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/granary-{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

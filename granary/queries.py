@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import RULES
@@ -14,7 +14,7 @@ from .functions import text
 from .plans import adapters as a
 from .plans import jobs, reports
 from .plans.adapters import table
-from .plans.storage import global_rank
+from .plans.storage import global_rank, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,6 +106,11 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leads.score_leads(a.obs(spark, sf_dir), a.finance(spark, sf_dir), a.obs_keywords(spark, sf_dir)).select(*LEAD_COLUMNS)
 
 
+def _leads(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Some columns of scored leads."""
+    return leads.select_leads(list(columns), a.obs(spark, sf_dir), a.finance(spark, sf_dir), a.obs_keywords(spark, sf_dir))
+
+
 @query(f"SELECT {', '.join(LEAD_COLUMNS)} FROM scored", "scored")
 def scored_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir)
@@ -134,6 +139,11 @@ def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.obs_tables(spark, sf_dir).groupBy("org", "seq").agg(nested.alias("tables"))
 
 
+def _leads(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Some columns of scored leads."""
+    return leads.select_leads(list(columns), a.obs(spark, sf_dir), a.finance(spark, sf_dir), a.obs_keywords(spark, sf_dir))
+
+
 @query(f"SELECT {', '.join(LEAD_COLUMNS)} FROM scored", "scored")
 def built_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job over observation records as files hold them."""
@@ -534,12 +544,21 @@ def leads_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT DISTINCT branch FROM merged WHERE branch IS NOT NULL AND branch <> ''", "merged")
 def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crm.distinct_branches(_scored(spark, sf_dir))
+    return crm.distinct_branches(_leads(spark, sf_dir, "branch"))
 
 
 @query("SELECT org, name FROM scored ORDER BY name, org LIMIT 100 OFFSET 100", "scored")
 def leads_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crm.page_leads(_scored(spark, sf_dir), 1, key="org").select("org", "name")
+    return crm.page_leads(_leads(spark, sf_dir, "org", "name"), 1, key="org")
+
+
+@query("SELECT org, name FROM (SELECT *, (row_number() OVER (ORDER BY name NULLS FIRST, org) - 1) // 100 AS page, (count(*) OVER () + 99) // 100 AS pages FROM scored) WHERE page = pages // 2", "scored")
+def leads_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page in the middle of the list, by the page index."""
+    named, path = _leads(spark, sf_dir, "org", "name"), new_path(spark)
+    crm.write_pages(named, path, key="org")
+    pages = -(-spark.read.parquet(f"{path}/rows").count() // 100)
+    return crm.read_page(spark, path, pages // 2, key="org")
 
 
 @query("SELECT count(*) FILTER (WHERE branch = 'Industri') AS filtered, count(*) AS total, count(*) FILTER (WHERE resolved) AS resolved, CAST(ceil(count(*) FILTER (WHERE branch = 'Industri') / 100.0) AS BIGINT) AS pages FROM old_leads", "old_leads")
@@ -652,14 +671,24 @@ _VARIANTS = """SELECT org, seq * 100 + tbl_idx AS line_idx, raw_label AS line, C
 
 @query(f"""WITH v AS ({_VARIANTS}) SELECT DISTINCT org, line, v1, v2 FROM v x WHERE NOT (regexp_matches(v1, '^44 [0-9]{{3}} [0-9]{{3}}$') AND EXISTS (SELECT 1 FROM v y WHERE y.org = x.org AND y.v1 = x.v1[2:] AND y.v2 = x.v2))""".replace("WITH v AS", "SELECT * FROM (WITH v AS") + ")", "obs_tables")
 def deduped_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _variants(spark, sf_dir, F.col("seq") * 100 + F.col("tbl_idx"))
+
+
+def _variants(spark: SparkSession, sf_dir: str, line_idx: Column) -> DataFrame:
     """Two thirds of the observations hold a value, half of them with its first digit doubled."""
     t, third = a.obs_tables(spark, sf_dir), F.col("seq") % 3
     v1 = F.when(third == 0, F.concat(F.lit("4 990 42"), "tbl_idx")).when(third == 1, F.concat(F.lit("44 990 42"), "tbl_idx")).otherwise(F.col("v1"))
     values = F.array(v1, F.when(third < 2, "5").otherwise(F.col("v2")))
-    shaped = t.select("org", (F.col("seq") * 100 + F.col("tbl_idx")).alias("line_idx"), F.lit("Kreditinstitut").alias("key"), F.col("raw_label").alias("line"), values.alias("values"))
+    shaped = t.select("org", line_idx.alias("line_idx"), F.lit("Kreditinstitut").alias("key"), F.col("raw_label").alias("line"), values.alias("values"))
     return facts.dedupe_value_variants(shaped).select("org", "line", F.col("values")[0].alias("v1"), F.col("values")[1].alias("v2"))
 
 
+@query(ORACLES["deduped_variants"])
+def deduped_blended_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same values under numbers that an org's lines share, as lines of blended sources do."""
+    return _variants(spark, sf_dir, F.col("tbl_idx"))
+
+
 def _pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finance tables rendered as html, one page an observation."""
     t = a.obs_tables(spark, sf_dir)
@@ -822,13 +851,13 @@ def leads_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT org, name, row_number() OVER (ORDER BY name NULLS FIRST, org) AS place FROM scored", "scored")
 def leads_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole list by name, with each lead's place."""
-    return global_rank(_scored(spark, sf_dir).select("org", "name"), "place", F.col("name").asc_nulls_first(), F.col("org"))
+    return global_rank(_leads(spark, sf_dir, "org", "name"), "place", F.col("name").asc_nulls_first(), F.col("org"))
 
 
 @query("SELECT org, revenue FROM scored ORDER BY revenue DESC NULLS LAST, org LIMIT 50", "scored")
 def leads_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The top of the list by another column."""
-    return crm.sort_leads(_scored(spark, sf_dir), "revenue", descending=True, key="org").select("org", "revenue").limit(50)
+    return crm.sort_leads(_leads(spark, sf_dir, "org", "revenue"), "revenue", descending=True, key="org").limit(50)
 
 
 @query(f"SELECT * FROM ({_TARGETS}) WHERE org = '0000000007' UNION ALL SELECT '0000000007', NULL, NULL WHERE NOT EXISTS (SELECT 1 FROM ({_TARGETS}) WHERE org = '0000000007')")
