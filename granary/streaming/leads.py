@@ -1,42 +1,108 @@
 """Leads kept up to date from an append-only stream of observations.
 
-An early observation may come late and change which value is first, so no partial state is kept. New observations
-go into a store that is partitioned by a hash of the org; a batch reads back only the partitions that it touches,
-recomputes their orgs from all of their observations and rewrites the snapshot's partitions of the same numbers.
-The result is that of the batch job over the same files. The number of partitions is fixed with the store: some
-hundred MB of observations a partition is a good size, and the more there are, the less a small batch touches.
+An early observation may come late and change which value is first, so an org's leads follow from all of its
+observations. These are keyed state: a state store holds each org's lines, a batch brings up those of the orgs that it
+touches and no others, and their leads are made anew. What a batch makes goes to a log of changes. Every MERGE batches
+the log is folded into one row an org, in the other of two slots, which takes the place of what was folded before; so the
+number of its files does not grow with the batches. read_leads() gives the last row of each org from both slots at any
+time, also while a slot is being written. A plain table of the leads is published every `publish` batches.
+
+A batch that is run again after a failure replaces its own part of the log. The result is that of the batch job over the
+same files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..config import RULES, Rules
 from ..plans.jobs import build_leads
-from ..sources.files import OBSERVATION, PLACE, in_file_order
+from ..sources.files import OBSERVATION, PLACE
+
+MERGE = 16  # batches to a slot of the log
+LINE = "line string, file_path string, file_block_start long, id long"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class OrgLines(StatefulProcessor):
+    """Adds an org's new lines to those it has and gives all of them."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.lines = handle.getListState("lines", LINE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        kept = list(self.lines.get()) if self.lines.exists() else []
+        new = [tuple(r) for part in rows for r in part[["line", "file_path", "file_block_start", "id"]].itertuples(index=False)]
+        self.lines.appendList(new)
+        everything = pd.DataFrame([tuple(x) for x in kept] + new, columns=["line", "file_path", "file_block_start", "id"])
+        everything.insert(0, "org", key[0])
+        yield everything
+
+    def close(self) -> None:
+        pass
 
-PARTITIONS = 64
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their place in the task, which is theirs in a block of a file, as the file has them."""
+    at = 0
+    for batch in batches:
+        yield batch.append_column("id", pa.array(range(at, at + batch.num_rows), pa.int64()))
+        at += batch.num_rows
 
-def part_of(partitions: int, org: str = "org") -> Column:
-    return F.pmod(F.xxhash64(org), F.lit(partitions)).cast("int")
 
+def lines_of_touched(spark: SparkSession, source: str, files_a_batch: int | None = None) -> DataFrame:
+    """A stream of (org, line, file_path, file_block_start, id): with a new line of an org come all of its lines."""
+    reader = spark.readStream.format("text")
+    if files_a_batch:
+        reader = reader.option("maxFilesPerTrigger", files_a_batch)
+    lines = reader.load(source).select(F.get_json_object("value", "$.org").alias("org"), F.col("value").alias("line"), *PLACE).mapInArrow(_numbered, f"org string, {LINE}")
+    return lines.where("coalesce(org, '') != ''").groupBy("org").transformWithStateInPandas(OrgLines(), f"org string, {LINE}", "Update", "None")
 
-def stream_leads(spark: SparkSession, source: str, snapshot: str, checkpoint: str, rules: Rules = RULES, partitions: int = PARTITIONS) -> StreamingQuery:
-    """Reads what is new under `source`, once, into the partitioned Parquet table `snapshot`; its store lies beside it."""
-    store = f"{snapshot.rstrip('/')}-observations"
+
+def observations_of(lines: DataFrame) -> DataFrame:
+    """Lines as read_observations() gives them."""
+    parsed = lines.select(F.from_json("line", OBSERVATION).alias("o"), F.struct("file_path", "file_block_start", F.col("id").alias("_id")).alias("seq"))
+    sound = parsed.where("o is not null and o._corrupt_record is null and coalesce(o.org, '') != ''")
+    return sound.select("o.*", "seq").drop("_corrupt_record")
+
+
+def _last(changes: DataFrame) -> DataFrame:
+    columns = [c for c in changes.columns if c not in ("org", "slot", "batch")]
+    return changes.groupBy("org").agg(F.max_by(F.struct(*columns), "batch").alias("_")).select("org", "_.*")
+
+
+def read_leads(spark: SparkSession, snapshot: str) -> DataFrame:
+    """The leads of all batches so far, one row an org, from the log beside `snapshot`."""
+    return _last(spark.read.parquet(f"{snapshot.rstrip('/')}-changes"))
+
+
+def stream_leads(spark: SparkSession, source: str, snapshot: str, checkpoint: str, rules: Rules = RULES, publish: int = 1, merge: int = MERGE, files_a_batch: int | None = None) -> StreamingQuery:
+    """Reads what is new under `source`, once; its leads are in read_leads() and, every `publish` batches (0: never), in the Parquet table `snapshot`."""
+    log = f"{snapshot.rstrip('/')}-changes"
 
     def refresh(batch: DataFrame, number: int) -> None:
-        # a batch that is run again replaces its own part of the store
-        placed = in_file_order(batch).withColumns({"batch": F.lit(number), "part": part_of(partitions)})
-        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch").parquet(store)
-        known = spark.read.parquet(store)
-        parts = [r.part for r in known.where(F.col("batch") == number).select("part").distinct().collect()]  # at most `partitions` numbers
-        if parts:
-            fresh = build_leads(known.where(F.col("part").isin(parts)).drop("part", "batch"), rules).drop("first_seq").withColumn("part", part_of(partitions))
-            fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(snapshot)
-
-    lines = spark.readStream.schema(OBSERVATION).json(source).select("*", *PLACE)
-    return lines.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        fresh = build_leads(observations_of(batch), rules).drop("first_seq").withColumn("batch", F.lit(number).cast("long"))
+        slot = f"{log}/slot={number // merge % 2}"
+        if number % merge:
+            fresh.drop("batch").write.mode("overwrite").parquet(f"{slot}/batch={number}")
+        else:  # the other slot holds all orgs up to here
+            if number:
+                before = spark.read.parquet(f"{log}/slot={1 - number // merge % 2}").where(F.col("batch") < number)
+                fresh = _last(before.unionByName(fresh)).withColumn("batch", F.lit(number).cast("long"))
+            fresh.write.mode("overwrite").partitionBy("batch").parquet(slot)
+        if publish and number % publish == 0:
+            read_leads(spark, snapshot).write.mode("overwrite").parquet(snapshot)
+
+    before = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, _ROCKS)  # what keyed state needs; the query keeps it
+    try:
+        return lines_of_touched(spark, source, files_a_batch).writeStream.outputMode("update").foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(_STORE, before)
