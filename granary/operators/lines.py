@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import SPACE, literal_pattern, normalize_label
 from .numbers import let, numbers_in, strip_numbers
@@ -18,11 +21,47 @@ def text_lines(texts: DataFrame, *keys: str) -> DataFrame:
     return texts.select(*keys, F.posexplode(lines).alias("pos", "line")).select(*keys, (F.col("pos") + 1).alias("line_idx"), "line")
 
 
+MANY = 64  # words; more are looked for by an automaton instead of one by one
+
+
+def word_hits(rows: DataFrame, column: str, words: tuple[str, ...], *keep: str) -> DataFrame:
+    """(keep, n, keyword): a row for each of the words, n in their order, that `column` holds in any case.
+
+    Up to MANY words are a projection each. Of more an Aho-Corasick automaton is made once a task and goes over each text
+    once, so neither the plan nor a text's cost grows with the list; words may overlap and lie in each other.
+    """
+    if len(words) <= MANY:
+        low = F.lower(column)
+        each = F.filter(F.array(*[F.when(F.contains(low, F.lit(w.lower())), F.struct(F.lit(i).alias("n"), F.lit(w).alias("keyword"))) for i, w in enumerate(words)]), lambda x: x.isNotNull())
+        return rows.select(*keep, F.explode(each).alias("m")).select(*keep, "m.n", "m.keyword")
+    numbers: dict[str, list[int]] = {}
+    for i, word in enumerate(words):
+        numbers.setdefault(word.lower(), []).append(i)
+
+    def run(batches):
+        automaton = ahocorasick.Automaton()
+        for word, own in numbers.items():
+            if word:
+                automaton.add_word(word, own)
+        automaton.make_automaton()
+        for batch in batches:
+            row, n = [], []
+            for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                if text is not None:
+                    found = {w for _, own in automaton.iter(text) for w in own} | set(numbers.get("", ()))
+                    row += [i] * len(found)
+                    n += sorted(found)
+            columns = [batch.column(c).take(pa.array(row, pa.int64())) for c in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int32()), pa.array([words[i] for i in n], pa.string())], [*batch.schema.names[:-1], "n", "keyword"])
+
+    low = rows.select(*keep, F.lower(column).alias("_low"))
+    schema = T.StructType([*[f for f in low.schema if f.name != "_low"], T.StructField("n", T.IntegerType()), T.StructField("keyword", T.StringType())])
+    return low.mapInArrow(run, schema)
+
+
 def scan_keywords(texts: DataFrame, words: tuple[str, ...], *keys: str) -> DataFrame:
-    """(keys, keyword): words that stand anywhere in the text, in any case; all in one projection."""
-    low = F.lower("text")
-    hits = F.filter(F.array(*[F.when(F.contains(low, F.lit(w.lower())), F.lit(w)) for w in words]), lambda x: x.isNotNull())
-    return texts.select(*keys, F.explode(hits).alias("keyword")).distinct()
+    """(keys, keyword): words that stand anywhere in the text, in any case; all in one pass over it."""
+    return word_hits(texts, "text", words, *keys).select(*keys, "keyword").distinct()
 
 
 def matched_lines(lines: DataFrame, words: tuple[str, ...], per_key: int = 10, total: int = 60, key: str = "doc_id", extra: tuple[str, ...] = (), within: str = "line") -> DataFrame:
@@ -31,10 +70,8 @@ def matched_lines(lines: DataFrame, words: tuple[str, ...], per_key: int = 10, t
     Words are looked for in the column `within`. An alternation drops most lines first; caps are windows, by line
     and then by the order of the words. `extra` columns take part in what makes lines different.
     """
-    wanted = lines.where(F.col(within).rlike(literal_pattern(words)))
-    low = F.lower(within)
-    each = F.filter(F.array(*[F.when(F.contains(low, F.lit(w.lower())), F.struct(F.lit(i).alias("n"), F.lit(w).alias("keyword"))) for i, w in enumerate(words)]), lambda x: x.isNotNull())
-    hits = wanted.select(key, "line_idx", "line", *extra, F.explode(each).alias("m")).select(key, "line_idx", "line", *extra, "m.n", "m.keyword")
+    wanted = lines.where(F.col(within).rlike(literal_pattern(words))) if len(words) <= MANY else lines
+    hits = word_hits(wanted, within, words, key, "line_idx", "line", *extra)
     once = hits.withColumn("_r", F.row_number().over(Window.partitionBy(key, "keyword", "line", *extra).orderBy("line_idx"))).where("_r = 1")
     per_word = once.withColumn("_r", F.row_number().over(Window.partitionBy(key, "keyword").orderBy("line_idx"))).where(F.col("_r") <= per_key)
     capped = per_word.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("line_idx", "n"))).where(F.col("_r") <= total)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import RULES
-from .operators import crm, extract, facts, layout, leads, lines, numbers, targets
+from .operators import crm, extract, facts, layout, leads, lines, numbers, search, targets
 from .functions import text
 from .plans import adapters as a
 from .plans import jobs, reports
@@ -835,7 +835,7 @@ def lead_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT u.* EXCLUDE (resolved), CASE WHEN e.org_nr IS NULL THEN false ELSE u.resolved END AS resolved, CASE WHEN e.org_nr IS NULL THEN '2026-01-01' END AS created_at FROM ({_UPSERT}) u LEFT JOIN old_leads e ON e.org_nr = u.org_nr", "old_leads", "new_rows")
 def leads_imported(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An upsert that gives new rows the table's defaults, into columns that the old table lacked."""
-    old, new = _old_leads(spark, sf_dir), _new_rows(spark, sf_dir)
+    old, new = _old_leads(spark, sf_dir), _new_rows(spark, sf_dir, "seq % 3 <> 0")
     table_ = crm.evolve_schema(old, spark.createDataFrame([], "created_at string"))
     return crm.upsert_leads(table_, new, new_rows=crm.defaults(F.lit("2026-01-01")))
 
@@ -843,7 +843,7 @@ def leads_imported(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT org_nr, name FROM old_leads ORDER BY name NULLS FIRST, org_nr LIMIT 100 OFFSET 100", "old_leads")
 def leads_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page behind the first one's last row; names may be null."""
-    old = _old_leads(spark, sf_dir)
+    old = _old_leads(spark, sf_dir, _EACH)
     last = crm.page_leads(old, 0).collect()[-1:]  # one page
     return crm.page_after(old, last[0]["name"], last[0].org_nr).select("org_nr", "name") if last else old.select("org_nr", "name").limit(0)
 
@@ -874,3 +874,40 @@ def observation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = jobs.build_observations(docs.select("org", "name"), pages, docs.select("org", "text"), docs.select("org").limit(0), replace(RULES, lenders=_MATCH))
     keys = F.array_join(F.array_sort(F.array_distinct(F.transform("lenderKeywordLines", lambda x: x["key"]))), ";")
     return made.select("org", "name", F.col("lenderKeywordsSource").alias("found_in"), F.array_join("lenderKeywords", ";").alias("keywords"), F.size("lenderKeywordLines").cast("long").alias("n_lines"), keys.alias("keys"))
+
+
+ORACLES["leads_imported"] = _of_all("leads_imported", ("seq % 3 = 1", "seq % 3 <> 0"))
+ORACLES["leads_next_page"] = _of_all("leads_next_page", _ALL_LEADS)
+# what was registered with roles of a part of the rows is now the twin over all of them, under both names
+for _name in ("blended_lines", "leads_upsert", "leads_patch", "leads_patch_status", "leads_stamped", "lead_counts", "open_leads_of_branch"):
+    QUERIES[_name], ORACLES[_name] = QUERIES[f"{_name}_all"], ORACLES[f"{_name}_all"]
+
+
+_SEARCHED = ("name", "email", "phone", "branch")
+
+
+@query(f"SELECT org, name FROM merged WHERE contains(lower(concat_ws(chr(1), {', '.join(_SEARCHED)})), '9@bolag')", "merged")
+def leads_search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search that reads postings of trigrams."""
+    found, path = _leads(spark, sf_dir, "org", *_SEARCHED), new_path(spark)
+    search.write_search_index(found, path, list(_SEARCHED), key="org")
+    return search.find_leads(found, path, "9@Bolag", list(_SEARCHED), key="org").select("org", "name")
+
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+@query("""SELECT doc_id, count(*) AS n, md5(string_agg(keyword, ';' ORDER BY keyword)) AS keywords FROM (SELECT doc_id, lower(text) AS t FROM documents), (SELECT chr(97 + CAST(i // 26 AS INT)) || chr(97 + CAST(i % 26 AS INT)) AS keyword FROM range(676) r(i)) WHERE contains(t, keyword) GROUP BY doc_id""")
+def keyword_hits_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of letters, 676 words that overlap each other, by one automaton."""
+    hits = lines.scan_keywords(table(spark, sf_dir, "documents"), tuple(x + y for x in _LETTERS for y in _LETTERS), "doc_id")
+    return hits.groupBy("doc_id").agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_set("keyword")), ";")).alias("keywords"))
+
+
+@query(f"""SELECT m.org, coalesce(k.words, '') AS lender_keywords FROM merged m LEFT JOIN (SELECT org, string_agg(keyword, ';' ORDER BY lower(keyword)) AS words FROM (SELECT org, keyword FROM obs_keywords UNION SELECT org, keyword FROM (
+ SELECT lpad(CAST(doc_id AS STRING), 10, '0') AS org, lower(text) AS t, unnest(['tion', 'elle', 'heit']) AS keyword FROM documents) s WHERE contains(t, keyword) AND NOT EXISTS (SELECT 1 FROM obs_keywords o JOIN merged f ON f.org = o.org AND f.first_seq = o.seq WHERE o.org = s.org)) GROUP BY org) k ON k.org = m.org""", "merged", "obs_keywords")
+def leads_with_scanned_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words found in report files count where an org's first observation has none of its own."""
+    docs = table(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("org"), "text")
+    scanned = lines.scan_keywords(docs, _MATCH, "org")
+    return leads.select_leads(["org", "lender_keywords"], a.obs(spark, sf_dir), a.finance(spark, sf_dir), a.obs_keywords(spark, sf_dir), scanned=scanned)

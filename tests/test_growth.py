@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary import queries
-from granary.operators import crm, facts, leads, numbers, targets
+from granary.operators import crm, facts, leads, lines, numbers, search, targets
 
 
 def _plain_cheapest(groups, n):
@@ -111,3 +111,32 @@ def test_a_page_of_names_reads_no_finance(spark, sf):
     few = queries._leads(spark, sf, "org", "lender_keywords").schema.names
     assert few == ["org", "lender_keywords"]
     assert leads.select_leads(["org", "icp_score"], *[f(spark, sf) for f in (queries.a.obs, queries.a.finance, queries.a.obs_keywords)]).count() == queries.QUERIES["scored_leads"](spark, sf).count()
+
+
+def test_search_by_index_is_the_scan(spark, tmp_path):
+    rows = [(f"{i:03d}", ["Åkeri Öst", "AAAA aaa", "x", None, "Älvbygg AB", "\x01ab", "aaab"][i % 7], f"mail{i}@Bolag.se") for i in range(140)]
+    table = spark.createDataFrame(rows, "org_nr string, name string, email string").repartition(5)
+    search.write_search_index(table, str(tmp_path), ["name", "email"])
+    for q in ("ÅKE", "aaaa", "aaab", "aaa", "lvbygg ab", "@bolag.se", "l13", "öst\x01mai", "zzz", "aa", "x", ""):
+        found = search.find_leads(table, str(tmp_path), q, ["name", "email"])
+        assert sorted(found.collect()) == sorted(crm.search_leads(table, q, ["name", "email"]).collect()), q
+    plan = search.search_index(spark, str(tmp_path), "bolag")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[In\(gram", plan)
+
+
+def test_thousands_of_words(spark):
+    rng = random.Random(8)
+    words = tuple(dict.fromkeys(["", "a", "ab", "abc", "bc", "Abc", "åÄ", *["".join(rng.choice("abcdå") for _ in range(rng.randint(1, 6))) for _ in range(6000)]]))
+    texts = [(i, "".join(rng.choice("aBcdÅe \n") for _ in range(rng.randint(0, 60)))) for i in range(60)] + [(100, None), (101, "")]
+    df = spark.createDataFrame(texts, "doc_id int, text string")
+    got = {(r.doc_id, r.keyword) for r in lines.scan_keywords(df, words, "doc_id").collect()}
+    assert got == {(i, w) for i, t in texts if t is not None for w in words if w.lower() in t.lower()}
+    plan = lambda some: len(lines.scan_keywords(df, some, "doc_id")._jdf.queryExecution().analyzed().toString())
+    assert abs(plan(words) - plan(words[:1000])) < 50
+    each = lines.text_lines(df, "doc_id")
+    many = [w for w in words if w][:65]
+    assert len(many) > lines.MANY
+    of_many = sorted(lines.matched_lines(each, tuple(many)).collect())
+    few = [lines.matched_lines(each, tuple(many[i : i + 5]), total=10**6) for i in range(0, len(many), 5)]
+    union = {tuple(r) for part in few for r in part.collect()}
+    assert {tuple(r) for r in of_many} <= union and len(of_many) == sum(min(60, sum(u[0] == i for u in union)) for i in {u[0] for u in union})
