@@ -12,7 +12,7 @@ __all__ = ["among", "by_bytes", "fold_of", "free_names", "held_out", "keep", "la
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def by_bytes(df: DataFrame, most: str = "4m") -> DataFrame:
+def by_bytes(df: DataFrame, most: str = "2m") -> DataFrame:
     """df, in a session whose Arrow batches end at about `most` bytes, however many rows that is.
 
     Rows are whole texts or blocks here, so a bound on rows alone lets batches grow with the texts.

@@ -152,7 +152,7 @@ def short_texts(hashes: list[np.ndarray], ptr: np.ndarray, which: np.ndarray, k:
     return out
 
 
-def text_slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
+def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 19):
     """The batch in slices of about `limit` text bytes, so that working arrays stay small."""
     i = batch.schema.get_field_index(column)
     lengths = pa.compute.binary_length(batch.column(i)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
