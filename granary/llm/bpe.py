@@ -25,6 +25,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shared import by_bytes
 from .words import text_slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -219,7 +220,7 @@ class PairTree:
 class Bpe:
     """One vocabulary file; `remember` bounds the pieces whose ids a worker keeps."""
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 100_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.path, self.remember = path, remember
@@ -301,7 +302,7 @@ def encode(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
             for batch in text_slices(whole, "text"):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(bpe.encode_batch(batch.column("text").to_pylist()), pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return by_bytes(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
@@ -312,7 +313,7 @@ def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([bpe.decode(ids or []) for ids in batch.column("ids").to_pylist()], pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return by_bytes(encoded).select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
 def bpe_round_trip(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
@@ -328,4 +329,4 @@ def bpe_round_trip(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
                     [batch.column("doc_id").cast(pa.int64()), pa.array(map(len, encoded), pa.int64()), pa.array([digest(",".join(map(bpe.digits.__getitem__, ids))) for ids in encoded], pa.string()), pa.array([digest(bpe.decode(ids)) for ids in encoded], pa.string())],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return by_bytes(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
