@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-ROWS_OF_A_TASK = 1 << 20  # of tables whose rows are a few numbers
+ROWS_OF_A_TASK = 1 << 18  # of tables whose rows are a few numbers
 
 
 def new_path(spark: SparkSession) -> str:
