@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import RULES, Rules
 from ..functions.text import EDGE, SPACE, first_match, normalize_spaces
+from .pages import debts_of, finance_of, scan_tables
 
 EMAIL = f"{EDGE}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}{EDGE}"
 PHONE = "^\\+?[0-9][0-9\\s\\-()]{6,}[0-9]$"
@@ -64,29 +65,13 @@ def company_facts(texts: DataFrame, *keys: str, rules: Rules = RULES) -> DataFra
 
 
 def finance_tables(pages: DataFrame, *keys: str) -> DataFrame:
-    """(keys, tables): finance tables of html as years, rawLabel and values; at least two years, flat tables only."""
-    plain = lambda s: normalize_spaces(F.regexp_replace(F.regexp_replace(s, "<[^>]*>", " "), "&nbsp;", " "))
-    tables = pages.select(*keys, F.posexplode(_all(F.col("html"), "(?is)<table[^>]*data-test=\"finance-table\"[^>]*>(.*?)</table>", 1)).alias("n", "t"))
-    heads = _all(F.col("t"), "(?is)<th[^>]*text-right[^>]*>(.*?)</th>", 1)
-    years = F.transform(F.filter(F.transform(heads, lambda h: F.substring(plain(h), 1, 4)), lambda y: y.rlike("^[0-9]{4}$")), lambda y: y.cast("int"))
-    rows = tables.withColumn("years", years).where("size(years) >= 2").select(*keys, "n", "years", F.posexplode(_all(F.col("t"), "(?is)<tr[^>]*>(.*?)</tr>", 1)).alias("r", "row"))
-    label = plain(first_match(F.col("row"), "(?is)<[a-z]+[^>]*class=\"[^\"]*\\btitle\\b[^\"]*\"[^>]*>(.*?)</"))
-    values = F.transform(_all(F.col("row"), "(?is)<td[^>]*text-right[^>]*>(.*?)</td>", 1), plain)
-    cells = rows.select(*keys, "n", "r", "years", label.alias("rawLabel"), values.alias("values")).where("rawLabel is not null and size(values) > 0")
-    item = F.struct("n", "r", "years", "rawLabel", "values")
-    return cells.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: F.struct(x["years"].alias("years"), x["rawLabel"].alias("rawLabel"), x["values"].alias("values"))).alias("tables"))
+    """(keys, tables): finance tables of html as years, rawLabel and values; see pages.finance_of()."""
+    return finance_of(scan_tables(pages, *keys), *keys)
 
 
 def debt_fallback(pages: DataFrame, *keys: str) -> DataFrame:
-    """(keys, kind, year, value): short and long debts of the first table that names them, over its three latest years."""
-    table = F.try_element_at(F.filter(_all(F.col("html"), "(?is)<table[^>]*>.*?</table>"), lambda x: F.lower(x).contains("kortfristiga skulder")), F.lit(1))
-    years = F.slice(F.sort_array(F.array_distinct(F.regexp_extract_all("t", F.lit("\\b(20[0-3][0-9])\\b"), F.lit(1))), asc=False), 1, 3)
-    rows = pages.select(*keys, table.alias("t")).where("t is not null").withColumn("years", years).where("size(years) >= 2")
-    rows = rows.select(*keys, "years", F.explode(_all(F.col("t"), "(?is)<tr[^>]*>(.*?)</tr>", 1)).alias("row"))
-    kind = F.when(F.lower("row").contains("kortfristiga skulder"), "short").when(F.lower("row").contains("långfristiga skulder"), "long")
-    cells = F.transform(_all(F.col("row"), "(?is)<t[dh][^>]*>(.*?)</t[dh]>", 1), lambda c: F.regexp_replace(F.regexp_replace(c, "<[^>]*>", ""), "[^0-9-]", ""))
-    kept = rows.select(*keys, kind.alias("kind"), "years", F.slice(cells, 2, 10_000).alias("cells")).where("kind is not null")
-    return kept.select(*keys, "kind", F.explode(F.arrays_zip("years", F.slice("cells", 1, F.size("years")).alias("value"))).alias("z")).select(*keys, "kind", F.col("z.years").cast("int").alias("year"), F.col("z.value").try_cast("bigint").alias("value"))
+    """(keys, kind, year, value): debts of the first table that names them, from every row that does; see pages.debts_of()."""
+    return debts_of(scan_tables(pages, *keys), *keys, every_row=True)
 
 
 # fixed values: what report links look like

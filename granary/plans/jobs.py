@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import RULES, Rules
 from ..operators import crm, extract, facts, layout, leads, lines, targets
+from ..operators import pages as page_tables
 from ..sources import files
 from .storage import keep
 
@@ -42,10 +43,11 @@ def _page_facts(pages: DataFrame, rules: Rules) -> DataFrame:
     plain = own.select("org", "_at", targets.flatten_html(F.col("html")).alias("text"))
     said = extract.company_facts(plain, "org", "_at", rules=rules)
     about = said.groupBy("org").agg(F.bool_or("is_ab").alias("is_ab"), *map(first, ("reg_year", "employees", "branch", "sni_code")))
-    each = extract.finance_tables(own, "org", "_at")
+    scanned = keep(page_tables.scan_tables(own, "org", "_at"))  # read twice, scanned once
+    each = page_tables.finance_of(scanned, "org", "_at")
     tables = each.groupBy("org").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_at", "tables"))), lambda x: x["tables"])).alias("tables"))
     label = F.when(F.col("kind") == "short", "Kortfristiga skulder").otherwise("Långfristiga skulder")
-    debts = extract.debt_fallback(own, "org", "_at").groupBy("org", "_at", label.alias("rawLabel")).agg(F.sort_array(F.collect_list(F.struct("year", F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))), asc=False).alias("c"))
+    debts = page_tables.debts_of(scanned, "org", "_at").groupBy("org", "_at", label.alias("rawLabel")).agg(F.sort_array(F.collect_list(F.struct("year", F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))), asc=False).alias("c"))
     row = F.struct(F.transform("c", lambda x: x["year"]).alias("years"), "rawLabel", F.transform("c", lambda x: x["value"]).alias("values"))
     fallback = debts.groupBy("org", "_at").agg(F.array_sort(F.collect_list(row)).alias("rows")).groupBy("org").agg(F.min_by("rows", "_at").alias("debts"))
     out = contacts
@@ -127,7 +129,31 @@ def rescan_cycle(observations: DataFrame, keywords: DataFrame, all_targets: Data
     return targets.pending_targets(all_targets.join(wanted, "org", "left_semi"), observations, rescan=True)
 
 
-def rescan(observations: DataFrame, keywords: DataFrame, all_targets: DataFrame, pages: DataFrame, texts: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """New observations of the targets that rescan_cycle() flags, from their pages and texts as they are now."""
+def rescan(observations: DataFrame, keywords: DataFrame, all_targets: DataFrame, pages: DataFrame, texts: DataFrame, rules: Rules = RULES, tokens: DataFrame | None = None) -> DataFrame:
+    """New observations of the targets that rescan_cycle() flags, from their pages, texts and tokens as they are now."""
     wanted = rescan_cycle(observations, keywords, all_targets)
-    return build_observations(wanted, pages, texts, wanted.limit(0), rules)
+    return build_observations(wanted, pages, texts, wanted.limit(0), rules, tokens)
+
+
+def append_made(observations: DataFrame, made: DataFrame) -> DataFrame:
+    """observations as read from their files, and behind them those that build_observations() made, as files hold them."""
+    item = lambda c: F.transform(c, lambda x: F.to_variant_object(x))
+    held = made.withColumns({c: item(c) for c in ("lenderKeywordLines", "kreditinstitutSkulderLines")})
+    place = lambda part, at: F.struct(F.lit(part).alias("part"), at.alias("at"))
+    old = observations.withColumn("seq", place(0, F.col("seq")))
+    none = F.lit(None).cast(observations.schema["seq"].dataType)
+    return old.unionByName(held.withColumn("seq", place(1, none)), allowMissingColumns=True)
+
+
+def rescan_leads(existing: DataFrame, observations: DataFrame, all_targets: DataFrame, pages: DataFrame, texts: DataFrame, now, columns: dict[str, str], rules: Rules = RULES, tokens: DataFrame | None = None) -> DataFrame:
+    """The whole cycle: targets with lender keywords are read anew, leads made of old and new observations together, and
+    those of the leads that were read anew laid over the table.
+
+    observations: as read from their files. columns: the table's columns by those of the leads; `org` gives its key.
+    """
+    words = observations.select("org", "seq", F.explode("lenderKeywords").alias("keyword"))
+    made = keep(rescan(observations.select("org", "seq", "name"), words, all_targets, pages, texts, rules, tokens))  # read twice
+    touched = made.select("org").distinct()
+    theirs = append_made(observations.join(touched, "org", "left_semi"), made)
+    sheet = build_leads(theirs, rules).select(*[F.col(c).alias(name) for c, name in columns.items()], F.lit(0).alias("seq"))
+    return import_leads(existing, sheet, now)

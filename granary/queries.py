@@ -911,3 +911,37 @@ def leads_with_scanned_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("org"), "text")
     scanned = lines.scan_keywords(docs, _MATCH, "org")
     return leads.select_leads(["org", "lender_keywords"], a.obs(spark, sf_dir), a.finance(spark, sf_dir), a.obs_keywords(spark, sf_dir), scanned=scanned)
+
+
+def _untidy_pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """_pages_of() as pages write it: inside another table, years in the first row, no closing tags, tags within titles."""
+    t = a.obs_tables(spark, sf_dir)
+    label = F.replace("raw_label", F.lit(" "), F.lit("<br class='a>b'>"))
+    row = F.concat(F.lit("<TR><td class='title wide'><b>"), label, F.lit("</b></i><td class=text-right>&nbsp;<span>"), "v1", F.lit("</span><td class=text-right>"), "v2")
+    head = F.concat(F.lit('<script>"<table>"</script><table><tr><th class="text-right">1999<th class="text-right">1998<tr><td><table class="x" data-test="finance-table"><tr><th><th class="text-right"><i>'), F.first("y1").cast("string"), F.lit('</i>-12<th class="text-right">'), F.first("y2").cast("string"), F.lit("-12"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tbl_idx", row.alias("h")))), lambda x: x["h"]), "")
+    return t.groupBy("org", "seq").agg(F.concat(head, body, F.lit("</table><tr><td class=title>Eget kapital<td class=text-right>7</table>")).alias("html"))
+
+
+@query("SELECT org, seq, tbl_idx, raw_label, pos, year, raw_value FROM finance", "finance")
+def finance_tables_of_untidy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.finance_rows(extract.finance_tables(_untidy_pages_of(spark, sf_dir), "org", "seq"))
+
+
+_RENEWED = {"org": "org_nr", "name": "name", "lender_keywords": "lender_keywords", "icp_score": "icp_score"}
+
+
+@query("""SELECT s.org AS org_nr, CASE WHEN s.name = 'Unknown' AND h.words IS NOT NULL THEN c.c_name ELSE s.name END AS name, CASE WHEN h.words IS NULL THEN s.lender_keywords ELSE
+ array_to_string(list_transform(list_sort(list_transform(list_concat(string_split(s.lender_keywords, ';'), h.words), lambda w: {'k': lower(w), 'w': w})), lambda x: x.w), ';') END AS lender_keywords, s.icp_score, 'n' || s.org AS notes, CASE WHEN h.words IS NOT NULL THEN '2026-01-01' END AS updated_at
+ FROM scored s JOIN customer c ON lpad(CAST(c.c_custkey AS STRING), 10, '0') = s.org LEFT JOIN (SELECT lpad(CAST(doc_id AS STRING), 10, '0') AS org, list_filter(['tion', 'elle', 'heit'], lambda w: contains(lower(text), w)) AS words FROM documents WHERE len(list_filter(['tion', 'elle', 'heit'], lambda w: contains(lower(text), w))) > 0) h
+ ON h.org = s.org AND s.lender_keywords <> ''""", "scored")
+def leads_after_rescan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rescan to its end: targets with lender keywords, their report texts anew, leads, and the table."""
+    words = a.obs_keywords(spark, sf_dir).groupBy("seq").agg(F.collect_set("keyword").alias("lenderKeywords"))
+    records = a.obs(spark, sf_dir).join(_observations(spark, sf_dir).drop("org"), "seq", "left").join(words, "seq", "left")
+    shaped = records.withColumnsRenamed({"is_ab": "isAB", "reg_year": "regYear"}).withColumn("sniCode", F.lit(None).cast("string"))
+    table_ = _leads(spark, sf_dir, *_RENEWED).withColumnsRenamed(_RENEWED).withColumns({"notes": F.concat(F.lit("n"), "org_nr"), "resolved": F.lit(False), **dict.fromkeys(("resolved_at", "created_at", "updated_at"), F.lit(None).cast("string"))})
+    docs = table(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("org"), "text")
+    pages = spark.createDataFrame([], "org string, html string")
+    done = jobs.rescan_leads(table_, shaped, _targets(spark, sf_dir), pages, docs, F.lit("2026-01-01"), _RENEWED, replace(RULES, lenders=_MATCH))
+    return done.select("org_nr", "name", "lender_keywords", "icp_score", "notes", "updated_at")
