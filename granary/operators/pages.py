@@ -13,7 +13,7 @@ import re
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -233,9 +233,13 @@ def debts_of(scanned: DataFrame, *keys: str, every_row: bool = False) -> DataFra
     table = scanned.select(*keys, F.explode("found").alias("t")).where("t.debts")
     years = F.slice(F.sort_array(F.array_distinct(F.regexp_extract_all("t.said", F.lit("\\b(20[0-3][0-9])\\b"), F.lit(1))), asc=False), 1, 3)
     dated = table.select(*keys, years.alias("years"), F.col("t.rows").alias("rows")).where("size(years) >= 2")
-    named = lambda words: F.filter("rows", lambda r: F.lower(r["said"]).contains(words))
+
+    def rows_of(kind: str, words: str) -> Column:
+        named = F.filter("rows", lambda r: F.lower(r["said"]).contains(words))
+        return F.transform(named if every_row else F.slice(named, 1, 1), lambda r: F.struct(F.lit(kind).alias("kind"), r["cells"].alias("cells")))
+
     # fixed values: what the rows are called
-    kinds = [F.transform(named(words) if every_row else F.slice(named(words), 1, 1), lambda r, k=kind: F.struct(F.lit(k).alias("kind"), r["cells"].alias("cells"))) for kind, words in (("short", "kortfristiga skulder"), ("long", "långfristiga skulder"))]
+    kinds = F.concat(rows_of("short", "kortfristiga skulder"), rows_of("long", "långfristiga skulder"))
     values = F.slice(F.transform("k.cells", lambda c: F.regexp_replace(c, "[^0-9-]", "")), F.lit(2), F.size("years"))
-    cells = dated.select(*keys, "years", F.explode(F.concat(*kinds)).alias("k")).select(*keys, "k.kind", F.explode(F.arrays_zip("years", values.alias("value"))).alias("z"))
+    cells = dated.select(*keys, "years", F.explode(kinds).alias("k")).select(*keys, "k.kind", F.explode(F.arrays_zip("years", values.alias("value"))).alias("z"))
     return cells.select(*keys, "kind", F.col("z.years").cast("int").alias("year"), F.col("z.value").try_cast("bigint").alias("value"))
