@@ -945,3 +945,23 @@ def leads_after_rescan(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.createDataFrame([], "org string, html string")
     done = jobs.rescan_leads(table_, shaped, _targets(spark, sf_dir), pages, docs, F.lit("2026-01-01"), _RENEWED, replace(RULES, lenders=_MATCH))
     return done.select("org_nr", "name", "lender_keywords", "icp_score", "notes", "updated_at")
+
+
+@query("""WITH s AS (SELECT org, seq, tbl_idx AS line_idx, 'stored ' || raw_label AS line FROM obs_tables WHERE raw_label = 'Långfristiga skulder') SELECT * FROM s
+ UNION ALL SELECT org, seq, tbl_idx, raw_label FROM obs_tables t WHERE contains(lower(raw_label), 'skuld') AND NOT EXISTS (SELECT 1 FROM s WHERE s.org = t.org AND s.seq = t.seq)""".replace("WITH s AS", "SELECT * FROM (WITH s AS") + ")", "obs_tables")
+def credit_lines_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines stored with an observation stand in place of those that its matched lines would give."""
+    t = a.obs_tables(spark, sf_dir).select("org", "seq", F.col("tbl_idx").alias("line_idx"), F.col("raw_label").alias("line"), F.lit("Kreditinstitut").alias("key"))
+    stored = t.where("line = 'Långfristiga skulder'").withColumn("line", F.concat(F.lit("stored "), "line"))
+    return lines.credit_institution_lines(t, stored).select("org", "seq", "line_idx", "line")
+
+
+@query(_recursive(f"SELECT seq, line_idx, line AS before, {_BARE_LABEL} AS line, array_to_string(m.v, '|') AS values, 'p' || line_idx AS page FROM ({_NUMBER_LINES}) JOIN mended m USING (seq, line_idx)", ("obs_tables",), _repaired(_NUMBER_LINES, "line", "seq, line_idx", 2)))
+def backfilled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as observations hold them, put right in place; what else an item says stays."""
+    item = F.struct("key", "line", "values", F.col("line_idx").alias("lineIndex"), F.concat(F.lit("p"), "line_idx").alias("page"), F.col("line").alias("before"))
+    held = _number_lines(spark, sf_dir).groupBy("seq").agg(F.transform(F.collect_list(item), F.to_variant_object).alias("lenderKeywordLines"))
+    new, _ = lines.backfill_matched_lines(held)
+    got = new.select("seq", F.explode("lenderKeywordLines").alias("v"))
+    said = lambda name, kind="string": F.try_variant_get("v", f"$.{name}", kind)
+    return got.select("seq", said("lineIndex", "int").alias("line_idx"), said("before").alias("before"), said("line").alias("line"), F.array_join(said("values", "array<string>"), "|").alias("values"), said("page").alias("page"))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,18 +89,41 @@ def append_observations(observations: DataFrame, path: str) -> None:
     observations.write.mode("append").json(path)
 
 
+HEAD_BYTES = 8  # in which a report file says what it is
+
+
+def read_head(path: str, opened: Callable[[str], tuple[FileSystem, str]] | None = None) -> bytes:
+    """The first bytes of a file by its Spark path; no more are asked of the file system."""
+    system, name = (opened or _file_system)(path)
+    with system.open_input_file(name) as stream:
+        return stream.read_at(HEAD_BYTES, 0)
+
+
+def _file_system(path: str) -> tuple[FileSystem, str]:
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return LocalFileSystem(), "/" + rest.lstrip("/")
+    return FileSystem.from_uri(quote(path, safe=":/@"))
+
+
 def intake_report_files(spark: SparkSession, folder: str, most_bytes: int = 25_000_000) -> DataFrame:
     """(org, path, length, ok, reason) of `<org>_*.pdf` files; empty files have no row, as the source skips them.
 
-    The filter on length goes down to the source, so the bytes of files beyond it are never read.
+    Files are listed with their lengths alone. Of those that have an org and are not too large, eight bytes are read, by
+    the executors through their own file system (local, HDFS, S3 and what else Arrow opens by its address). A file
+    that is gone by then fails its task.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", True).load(folder)
     org = F.nullif(F.regexp_extract("path", "/([0-9]{10})_[^/]*$", 1), F.lit(""))
-    signed = F.substring("content", 1, 8).cast("string").contains("%PDF-")
-    fit = files.where(F.col("length") <= most_bytes).select(org.alias("org"), "path", "length", F.when(~signed, "not a pdf").alias("reason"))
-    large = files.where(F.col("length") > most_bytes).select(org.alias("org"), "path", "length", F.lit("too large").alias("reason"))
-    found = fit.unionByName(large).withColumn("reason", F.when(F.col("org").isNull(), "no org").otherwise(F.col("reason")))
-    return found.withColumn("ok", F.col("reason").isNull())
+    reason = F.when(F.nullif(org, F.lit("")).isNull(), "no org").when(F.col("length") > most_bytes, "too large")
+
+    def looked_at(batches):
+        for batch in batches:
+            orgs, paths, lengths, reasons = (c.to_pylist() for c in batch.columns)
+            reasons = [r or (None if b"%PDF-" in read_head(p) else "not a pdf") for p, r in zip(paths, reasons)]
+            yield pa.RecordBatch.from_arrays([pa.array(orgs, pa.string()), pa.array(paths, pa.string()), pa.array(lengths, pa.int64()), pa.array([r is None for r in reasons]), pa.array(reasons, pa.string())], names=["org", "path", "length", "ok", "reason"])
+
+    return files.select(org.alias("org"), "path", "length", reason.alias("reason")).mapInArrow(looked_at, "org string, path string, length long, ok boolean, reason string")
 
 
 def read_leads_sheet(spark: SparkSession, path: str, columns: list[str], numeric: tuple[str, ...] = ()) -> DataFrame:

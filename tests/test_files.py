@@ -4,6 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
+from pyarrow.fs import LocalFileSystem
+
 from granary.operators import facts
 from granary.plans import jobs, reports
 from granary.sources import files
@@ -46,6 +48,37 @@ def test_report_files(spark, tmp_path):
     assert got == {"5560254731_a.pdf": (True, None), "5560254731_b.pdf": (False, "not a pdf"), "c.pdf": (False, "no org")}
 
 
+def test_only_the_head_of_a_report_file_is_read(spark, tmp_path):
+    class Counting(LocalFileSystem):
+        asked = 0
+
+        def open_input_file(self, name):
+            stream, own = super().open_input_file(name), self
+
+            class Stream:
+                __enter__, __exit__ = (lambda s: s), (lambda s, *_: stream.close())
+
+                def read_at(self, n, at):
+                    own.asked += n
+                    return stream.read_at(n, at)
+
+            return Stream()
+
+    file = tmp_path / "0000000001_a b%20å.pdf"
+    file.write_bytes(b"x%PDF-1" + b"0" * 1_000_000)
+    system = Counting()
+    assert files.read_head(f"file:{file}", lambda p: (system, str(file))) == b"x%PDF-10" and system.asked == files.HEAD_BYTES
+    with open(tmp_path / "0000000002_large.pdf", "wb") as f:
+        f.truncate(30_000_000)
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "0000000003_late.pdf").write_bytes(b"xxxx%PDF-")  # its mark ends beyond the head
+    found = files.intake_report_files(spark, str(tmp_path))
+    assert {r.org: r.reason for r in found.collect()} == {"0000000001": None, "0000000002": "too large", "0000000003": "not a pdf"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan  # lengths alone are listed
+    assert files.intake_report_files(spark, str(tmp_path), most_bytes=5).where("ok").isEmpty()
+
+
 def test_sheets(spark, tmp_path):
     df = spark.createDataFrame([("1", "a", None), ("2", "b", 5.5)], "k string, v string, n double")
     files.publish_copies(df, [str(tmp_path / "x"), str(tmp_path / "y")], ("Key", "Value", "Value"))
