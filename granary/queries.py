@@ -965,3 +965,28 @@ def backfilled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = new.select("seq", F.explode("lenderKeywordLines").alias("v"))
     said = lambda name, kind="string": F.try_variant_get("v", f"$.{name}", kind)
     return got.select("seq", said("lineIndex", "int").alias("line_idx"), said("before").alias("before"), said("line").alias("line"), F.array_join(said("values", "array<string>"), "|").alias("values"), said("page").alias("page"))
+
+
+# lines of pages as lender_lines() reads them: marks that end a line, then all others
+_PAGE_TEXT = "(SELECT page_id AS doc_id, regexp_replace(regexp_replace(html, '(?i)<br[^>]*>|</(p|div|li|tr|h[1-6])>', chr(10), 'g'), '<[^>]*>', ' ', 'g') AS text FROM pages)"
+_CTE["page_lines"] = _CTE["doc_lines"].replace("FROM documents", f"FROM {_PAGE_TEXT}")
+_CTE["pm"], _NEEDS["pm"] = _MATCHED.replace("doc_lines", "page_lines"), ("page_lines",)
+_CTE["tables_said"] = "SELECT org, seq, count(*) AS n_tables FROM obs_tables GROUP BY org, seq"
+_NEEDS["tables_said"] = ("obs_tables",)
+
+
+@query("""SELECT '1' || lpad(CAST(doc_id AS STRING), 9, '0') AS org, 'HTML' AS found_in, string_agg(DISTINCT keyword, ';' ORDER BY keyword) AS keywords, count(*) AS n_lines, CAST(0 AS BIGINT) AS n_tables FROM pm GROUP BY doc_id
+ UNION ALL SELECT '2' || lpad(CAST(t.seq AS STRING), 9, '0'), CASE WHEN k.n IS NULL THEN 'NONE' ELSE 'PDF_XY' END, CASE WHEN k.n IS NULL THEN '' ELSE 'skulder' END, coalesce(k.n, 0), t.n_tables FROM tables_said t
+ LEFT JOIN (SELECT seq, count(DISTINCT (raw_label, v1, v2)) AS n FROM obs_tables WHERE contains(lower(raw_label), 'skulder') GROUP BY seq) k ON k.seq = t.seq""", "pm", "tables_said")
+def observation_records_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over given pages, and over finance pages beside the positioned tokens of reports."""
+    org = lambda part, c: F.concat(F.lit(part), F.lpad(F.col(c).cast("string"), 9, "0")).alias("org")
+    pages = table(spark, sf_dir, "pages").select(org("1", "page_id"), "html").unionByName(_untidy_pages_of(spark, sf_dir).select(org("2", "seq"), "html"))
+    tokens = _tokens(spark, sf_dir).select(org("2", "doc_id"), "page", "text", "x", "y", "w", "h")
+    listed = pages.select("org", F.lit("A").alias("name"))
+    texts = spark.createDataFrame([], "org string, text string")
+    made = jobs.build_observations(listed, pages, texts, texts.select("org"), replace(RULES, lenders=(*_MATCH, "skulder")), tokens)
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
+    # pages that say no more than a contact have neither lines nor tables
+    shown = made.select("org", F.col("lenderKeywordsSource").alias("found_in"), F.coalesce(F.array_join("lenderKeywords", ";"), F.lit("")).alias("keywords"), size("lenderKeywordLines").alias("n_lines"), size("tables").alias("n_tables"))
+    return shown.where("found_in != 'NONE' or n_tables > 0")
