@@ -6,63 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import FIGURE_RULES, RULES, Rules
-from ..functions.text import canonical_key, classify_branch, join_keywords, numeric_tokens, parse_money
-
-
-def _finance_marks(finance: DataFrame, rules: Rules) -> DataFrame:
-    """Finance rows with a value, their place among an org's, and the figure that each is for."""
-    priced = finance.withColumn("_value", parse_money(F.col("raw_value"), rules)).where(F.col("_value").isNotNull())
-    kinds = F.array(*[F.when(F.col("raw_label").rlike(f"(?iu){pattern}"), F.lit(name)) for name, pattern in FIGURE_RULES.items()])
-    figure = F.struct((F.col("_value") * rules.multiplier).cast("bigint").alias("value"), F.col("year").cast("int").alias("year"))
-    return priced.select("org", F.filter(kinds, lambda k: k.isNotNull()).alias("_kinds"), figure.alias("_figure"), F.struct("seq", "tbl_idx", "pos").alias("_place")).where(F.size("_kinds") > 0)
+from ..functions.text import canonical_key, join_keywords, numeric_tokens
+from .fold import fold_states, leads_of_states
 
 
 def merge_observations(observations: DataFrame, finance: DataFrame | None = None, keywords: DataFrame | None = None, rules: Rules = RULES, compat: bool = False, scanned: DataFrame | None = None) -> DataFrame:
-    """One row an org; each field is the first that says something.
+    """One row an org; each field is the first that says something (see operators.fold, whose inputs these are).
 
-    observations: org, seq, name, email, phone, is_ab, reg_year, employees, branch, perhaps sni_code. finance:
-    finance_rows(). keywords: (org, seq, keyword). scanned: (org, keyword) from report files, which count where the
-    first observation has no keyword of its own. The inputs go through one aggregate by org, so they meet in one
-    shuffle. With `compat`, missing employees count as 0 and so block later ones.
+    With `compat`, missing employees count as 0 and so block later ones.
     """
-    said = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    sni = "sni_code" in observations.columns
-    fields = ["name", "email", "phone", "is_ab", "reg_year", "employees", "branch", *(["sni_code"] if sni else [])]
-    rows = observations.select("org", F.col("seq").alias("_at"), *fields)
-    if finance is not None:
-        rows = rows.unionByName(_finance_marks(finance, rules), allowMissingColumns=True)
-    if keywords is not None:
-        rows = rows.unionByName(keywords.select("org", F.col("seq").alias("_word_at"), F.col("keyword").alias("_word")), allowMissingColumns=True)
-        if scanned is not None:
-            rows = rows.unionByName(scanned.select("org", F.col("keyword").alias("_scanned")), allowMissingColumns=True)
-    own = F.col("_at").isNotNull()
-    staff = F.when(own, F.coalesce("employees", F.lit(0))) if compat else F.col("employees")
-    first = lambda value, when, alias: F.min_by(value, F.when(own & when, F.col("_at"))).alias(alias)
-    parts = [
-        F.min("_at").alias("first_seq"),
-        F.coalesce(F.min_by("name", F.when(own & said("name") & (F.col("name") != "Unknown"), F.col("_at"))), F.lit("Unknown")).alias("name"),
-        first("email", said("email"), "email"), first("phone", said("phone"), "phone"),
-        F.coalesce(F.bool_or("is_ab"), F.lit(False)).alias("is_ab"),
-        first("reg_year", F.coalesce(F.col("reg_year"), F.lit(0)) != 0, "reg_year"),
-        first(staff, staff.isNotNull(), "employees"), first("branch", said("branch"), "branch"),
-        *([first("sni_code", said("sni_code"), "sni_code")] if sni else []),
-    ]
-    if finance is not None:
-        parts += [F.min_by("_figure", F.when(F.array_contains("_kinds", F.lit(n)), F.col("_place"))).alias(n) for n in FIGURE_RULES]
-    if keywords is not None:
-        parts += [F.collect_set("_word").alias("_words"), F.min("_word_at").alias("_first_word")]
-        if scanned is not None:
-            parts.append(F.collect_set("_scanned").alias("_scans"))
-    merged = rows.groupBy("org").agg(*parts).where(F.col("first_seq").isNotNull())
-    merged = merged.withColumns({"company_age": F.lit(rules.as_of_year) - F.col("reg_year"), "branch_segment": classify_branch(F.col("branch"))})
-    if finance is not None:
-        merged = merged.withColumn("revenue_year", F.col("revenue.year")).withColumns({n: F.col(f"{n}.value") for n in FIGURE_RULES})
-    if keywords is not None:
-        words = F.col("_words")
-        if scanned is not None:
-            words = F.when(F.col("_first_word").eqNullSafe(F.col("first_seq")), words).otherwise(F.concat(words, "_scans"))
-        merged = merged.withColumn("lender_keywords", F.coalesce(join_keywords(words), F.lit(""))).drop("_words", "_first_word", "_scans")
-    return merged
+    return leads_of_states(fold_states(observations, finance, keywords, rules, compat, scanned if keywords is not None else None), rules)
 
 
 def union_keywords(keywords: DataFrame, first_seq: DataFrame | None = None, scanned: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import RULES, Rules
-from ..operators import crm, extract, facts, layout, leads, lines, targets
+from ..operators import crm, extract, facts, fold, layout, leads, lines, targets
 from ..operators import pages as page_tables
 from ..sources import files
 from .storage import keep
@@ -15,15 +15,25 @@ from .storage import keep
 CREDIT = "Kreditinstitut"
 
 
+def fold_observations(observations: DataFrame, rules: Rules = RULES, scanned: DataFrame | None = None) -> DataFrame:
+    """Observations as read from their files to one state an org, which merges with those of other files (operators.fold)."""
+    named = observations.select("org", "seq", "name", "email", "phone", F.col("isAB").alias("is_ab"), F.col("regYear").alias("reg_year"), "employees", "branch", F.col("sniCode").alias("sni_code"))
+    words = observations.select("org", "seq", F.explode("lenderKeywords").alias("keyword"))
+    return fold.fold_states(named, facts.finance_rows(observations), words, rules, scanned=scanned)
+
+
+def score_states(states: DataFrame, rules: Rules = RULES) -> DataFrame:
+    """Scored leads of a table of states."""
+    return leads.icp_score(fold.leads_of_states(states, rules), rules)
+
+
 def build_leads(observations: DataFrame, rules: Rules = RULES, scanned: DataFrame | None = None) -> DataFrame:
     """Observations as read from their files (see sources.files) to scored leads.
 
     scanned: (org, keyword) found in report files. Where observations hold matched lines, leads also have the first
     two credit institution lines with their numbers below the org's debt ceiling, and all lines in one text.
     """
-    named = observations.select("org", "seq", "name", "email", "phone", F.col("isAB").alias("is_ab"), F.col("regYear").alias("reg_year"), "employees", "branch", F.col("sniCode").alias("sni_code"))
-    words = observations.select("org", "seq", F.explode("lenderKeywords").alias("keyword"))
-    scored = leads.score_leads(named, facts.finance_rows(observations), words, rules, scanned)
+    scored = score_states(fold_observations(observations, rules, scanned), rules)
     if "lenderKeywordLines" not in observations.columns:
         return scored
     items = files.matched_items(observations, "lenderKeywordLines")

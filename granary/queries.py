@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import RULES
-from .operators import crm, extract, facts, layout, leads, lines, numbers, search, targets
+from .operators import crm, extract, facts, fold, layout, leads, lines, numbers, search, targets
 from .functions import text
 from .plans import adapters as a
 from .plans import jobs, reports
 from .plans.adapters import table
-from .plans.storage import global_rank, new_path
+from .plans.storage import global_rank, keep, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,6 +116,16 @@ def scored_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir)
 
 
+@query(f"SELECT {', '.join(LEAD_COLUMNS)} FROM scored", "scored")
+def leads_of_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of the open orders' observations, kept as a table, and those of the filled ones, which come late and are mostly earlier."""
+    filled = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("seq"), F.col("o_orderstatus").eqNullSafe("F").alias("_filled"))
+    inputs = [f(spark, sf_dir).join(filled, "seq", "left") for f in (a.obs, a.finance, a.obs_keywords)]
+    of_part = lambda which: fold.fold_states(*[df.where(which).drop("_filled") for df in inputs])
+    kept = keep(of_part(~F.coalesce("_filled", F.lit(False))))
+    return jobs.score_states(fold.merge_states(kept, of_part(F.col("_filled")))).select(*LEAD_COLUMNS)
+
+
 @query("SELECT CASE WHEN icp_score >= 6 THEN 'strong' WHEN icp_score >= 3 THEN 'warm' ELSE 'weak' END AS band, count(*) AS n FROM scored GROUP BY 1", "scored")
 def icp_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leads.icp_breakdown(_scored(spark, sf_dir))

@@ -13,7 +13,7 @@ same files.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..config import RULES, Rules
-from ..plans.jobs import build_leads
+from ..operators.fold import merge_states
+from ..plans.jobs import build_leads, fold_observations, score_states
 from ..sources.files import OBSERVATION, PLACE
 
 MERGE = 16  # batches to a slot of the log
@@ -57,12 +58,17 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at += batch.num_rows
 
 
-def lines_of_touched(spark: SparkSession, source: str, files_a_batch: int | None = None) -> DataFrame:
-    """A stream of (org, line, file_path, file_block_start, id): with a new line of an org come all of its lines."""
+def new_lines(spark: SparkSession, source: str, files_a_batch: int | None = None) -> DataFrame:
+    """A stream of (org, line, file_path, file_block_start, id)."""
     reader = spark.readStream.format("text")
     if files_a_batch:
         reader = reader.option("maxFilesPerTrigger", files_a_batch)
-    lines = reader.load(source).select(F.get_json_object("value", "$.org").alias("org"), F.col("value").alias("line"), *PLACE).mapInArrow(_numbered, f"org string, {LINE}")
+    return reader.load(source).select(F.get_json_object("value", "$.org").alias("org"), F.col("value").alias("line"), *PLACE).mapInArrow(_numbered, f"org string, {LINE}")
+
+
+def lines_of_touched(spark: SparkSession, source: str, files_a_batch: int | None = None) -> DataFrame:
+    """A stream of (org, line, file_path, file_block_start, id): with a new line of an org come all of its lines."""
+    lines = new_lines(spark, source, files_a_batch)
     return lines.where("coalesce(org, '') != ''").groupBy("org").transformWithStateInPandas(OrgLines(), f"org string, {LINE}", "Update", "None")
 
 
@@ -83,20 +89,25 @@ def read_leads(spark: SparkSession, snapshot: str) -> DataFrame:
     return _last(spark.read.parquet(f"{snapshot.rstrip('/')}-changes"))
 
 
+def _log(log: str, fresh: DataFrame, number: int, merge: int, folded: Callable[[DataFrame], DataFrame]) -> None:
+    """Writes what a batch makes (with its number as `batch`); every `merge` batches all so far go to the other slot, folded."""
+    slot = f"{log}/slot={number // merge % 2}"
+    if number % merge:
+        fresh.drop("batch").write.mode("overwrite").parquet(f"{slot}/batch={number}")
+        return
+    if number:  # the other slot holds all orgs up to here
+        before = fresh.sparkSession.read.parquet(f"{log}/slot={1 - number // merge % 2}").where(F.col("batch") < number)
+        fresh = folded(before.unionByName(fresh)).withColumn("batch", F.lit(number).cast("long"))
+    fresh.write.mode("overwrite").partitionBy("batch").parquet(slot)
+
+
 def stream_leads(spark: SparkSession, source: str, snapshot: str, checkpoint: str, rules: Rules = RULES, publish: int = 1, merge: int = MERGE, files_a_batch: int | None = None) -> StreamingQuery:
     """Reads what is new under `source`, once; its leads are in read_leads() and, every `publish` batches (0: never), in the Parquet table `snapshot`."""
     log = f"{snapshot.rstrip('/')}-changes"
 
     def refresh(batch: DataFrame, number: int) -> None:
         fresh = build_leads(observations_of(batch), rules).drop("first_seq").withColumn("batch", F.lit(number).cast("long"))
-        slot = f"{log}/slot={number // merge % 2}"
-        if number % merge:
-            fresh.drop("batch").write.mode("overwrite").parquet(f"{slot}/batch={number}")
-        else:  # the other slot holds all orgs up to here
-            if number:
-                before = spark.read.parquet(f"{log}/slot={1 - number // merge % 2}").where(F.col("batch") < number)
-                fresh = _last(before.unionByName(fresh)).withColumn("batch", F.lit(number).cast("long"))
-            fresh.write.mode("overwrite").partitionBy("batch").parquet(slot)
+        _log(log, fresh, number, merge, _last)
         if publish and number % publish == 0:
             read_leads(spark, snapshot).write.mode("overwrite").parquet(snapshot)
 
@@ -106,3 +117,32 @@ def stream_leads(spark: SparkSession, source: str, snapshot: str, checkpoint: st
         return lines_of_touched(spark, source, files_a_batch).writeStream.outputMode("update").foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
         spark.conf.set(_STORE, before)
+
+
+def _states(log: DataFrame) -> DataFrame:
+    return merge_states(log.drop("slot", "batch"))
+
+
+def read_scores(spark: SparkSession, states: str, rules: Rules = RULES) -> DataFrame:
+    """The scored leads of all batches of stream_states() so far, without the columns that lines give."""
+    return score_states(_states(spark.read.parquet(states)), rules)
+
+
+def stream_states(spark: SparkSession, source: str, states: str, checkpoint: str, rules: Rules = RULES, merge: int = MERGE, files_a_batch: int | None = None) -> StreamingQuery:
+    """Reads what is new under `source`, once, and adds its fold to the table of states; read_scores() gives the leads.
+
+    States of parts merge (operators.fold), so a batch reads its own lines only, whatever the orgs it touches have said
+    before, and needs no state store: an org with a third of all lines costs no more than what is new of it. The result is
+    that of build_leads() over the same files. Leads with the columns of matched lines are stream_leads()'s: their
+    numbers depend on the org's final debts and so on all of its lines.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        own = batch.persist()  # its observations, tables and keywords are folded as three inputs, read once
+        try:
+            fresh = fold_observations(observations_of(own), rules).withColumn("batch", F.lit(number).cast("long"))
+            _log(states, fresh, number, merge, _states)
+        finally:
+            own.unpersist()
+
+    return new_lines(spark, source, files_a_batch).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
