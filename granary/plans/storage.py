@@ -48,3 +48,16 @@ def global_rank(df: DataFrame, name: str, *order: Column) -> DataFrame:
     within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     rank = within + F.create_map(*before)[F.col("_part")] if before else within
     return parts.withColumn(name, rank.cast("long")).drop("_part")
+
+
+def running_total(df: DataFrame, name: str, amount: str, *order: Column) -> DataFrame:
+    """Adds the sum of `amount` over all rows before a row, by a range-partitioned sort; one sum a partition reaches the driver."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = keep(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
+    before, total = [], 0
+    for row in sorted(parts.groupBy("_part").agg(F.sum(amount).alias("s")).collect()):
+        before += [F.lit(row["_part"]), F.lit(total)]
+        total += row["s"]
+    own = F.sum(amount).over(Window.partitionBy("_part").orderBy(*order)) - F.col(amount)
+    within = own + F.create_map(*before)[F.col("_part")] if before else own
+    return parts.withColumn(name, within.cast("long")).drop("_part")

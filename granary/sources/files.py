@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_org, to_number
+from ..plans.storage import running_total
 
 OBSERVATION = (
     "org string, name string, email string, phone string, regYear int, employees int, isAB boolean, branch string, sniCode string, lenderKeywords array<string>, "
@@ -53,19 +54,32 @@ def validate_targets(spark: SparkSession, path: str, observations: str | None =
 
 
 PLACE = ("_metadata.file_path", "_metadata.file_block_start")
+SMALL_BLOCKS = 1 << 16  # blocks of files, a row of some hundred bytes each, that are broadcast; more are joined
 
 
-def in_file_order(lines: DataFrame) -> DataFrame:
-    """Sound lines, read with PLACE, with `seq`, which orders them by file path, block and place in the split."""
-    placed = lines.withColumn("_id", F.monotonically_increasing_id())
-    sound = placed.where("_corrupt_record is null and coalesce(org, '') != ''")
-    return sound.withColumn("seq", F.struct("file_path", "file_block_start", "_id")).drop("_corrupt_record", "file_path", "file_block_start", "_id")
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, seq) of all lines of text files: seq counts them from 0, by file path and place in the file.
+
+    The number does not hang on how files are cut into blocks. Lines are counted block by block in a first pass, which
+    makes a row a block; sums over the blocks in order are carried on to each, and a line adds its place in its block. A
+    file changed, added or cut another way between the passes fails the job; no line gets a number that is not its own.
+    """
+    lines = spark.read.text(path).select("value", *PLACE).withColumn("_id", F.monotonically_increasing_id())
+    counted = lines.groupBy("file_path", "file_block_start").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    blocks = running_total(counted, "_before", "_n", F.col("file_path"), F.col("file_block_start"))
+    blocks = F.broadcast(blocks) if blocks.count() <= SMALL_BLOCKS else blocks
+    at = F.col("_id") - F.col("_first")
+    seq = F.when((at >= 0) & (at < F.col("_n")), F.col("_before") + at)
+    placed = lines.join(blocks, ["file_path", "file_block_start"], "left")
+    return placed.select("value", F.coalesce(seq, F.raise_error(F.lit("files were changed or are cut another way than when their lines were counted"))).alias("seq"))
 
 
 def read_observations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(observations with `seq`, malformed lines)."""
-    raw = spark.read.schema(OBSERVATION).json(path, mode="PERMISSIVE")
-    return in_file_order(raw.select("*", *PLACE)), raw.where("_corrupt_record is not null and (org is null or length(org) >= 0)").select("_corrupt_record")
+    """(observations with `seq`, the number of their line, (seq, malformed line)); blank lines have a number and no row."""
+    lines = numbered_lines(spark, path).where("trim(value) != ''")
+    raw = lines.select(F.from_json("value", OBSERVATION).alias("o"), "seq").select("o.*", "seq")
+    sound = raw.where("_corrupt_record is null and coalesce(org, '') != ''").drop("_corrupt_record")
+    return sound, raw.where("_corrupt_record is not null").select("seq", "_corrupt_record")
 
 
 def matched_items(observations: DataFrame, column: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from pyarrow.fs import LocalFileSystem
 
 from granary.operators import facts
-from granary.plans import jobs, reports
+from granary.plans import jobs, reports, storage
 from granary.sources import files
 from granary.streaming.leads import stream_leads
 
@@ -39,6 +40,40 @@ def test_observations(spark, tmp_path):
     assert leads["0000000002"].employees is None
 
 
+def test_lines_are_numbered_alike_however_files_are_cut(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = {}
+    for name, n in (("b", 400), ("a", 3), ("c", 1), ("d", 0)):
+        lines[name] = [json.dumps({"org": f"{k:010d}", "name": name * (k % 90)}) if k % 7 else ("" if k % 2 else "{broken") for k in range(1, n + 1)]
+        (tmp_path / "in" / f"{name}.jsonl").write_text("".join(f"{x}\r\n" if name == "c" else f"{x}\n" for x in lines[name]))
+    everything = lines["a"] + lines["b"] + lines["c"]
+    want = [(i, json.loads(x)["org"], json.loads(x)["name"]) for i, x in enumerate(everything) if x.startswith('{"')]
+    bytes_a_part = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(bytes_a_part)
+    try:
+        for size in ("1kb", "300b", "128mb"):
+            spark.conf.set(bytes_a_part, size)
+            sound, bad = files.read_observations(spark, str(tmp_path / "in"))
+            assert sorted((r.seq, r.org, r["name"]) for r in sound.select("seq", "org", "name").collect()) == want
+            assert sorted((r.seq, r._corrupt_record) for r in bad.collect()) == [(i, x) for i, x in enumerate(everything) if x == "{broken"]
+        spark.conf.set(bytes_a_part, "500b")  # cut another way than counted
+        with pytest.raises(Exception, match="cut another way"):
+            sound.select("seq").collect()
+    finally:
+        spark.conf.set(bytes_a_part, usual)
+    assert files.numbered_lines(spark, str(tmp_path / "in" / "d.jsonl")).count() == 0
+
+
+def test_running_total(spark):
+    df = spark.range(500).selectExpr("499 - id AS k", "id % 5 AS n")
+    got = {r.k: r.t for r in storage.running_total(df, "t", "n", F.col("k")).collect()}
+    total = 0
+    for k in range(500):
+        assert got[k] == total
+        total += (499 - k) % 5
+    assert storage.running_total(df.limit(0), "t", "n", F.col("k")).collect() == []
+
+
 def test_report_files(spark, tmp_path):
     (tmp_path / "5560254731_a.pdf").write_bytes(b"%PDF-1.4 x")
     (tmp_path / "5560254731_b.pdf").write_bytes(b"nope")
