@@ -64,8 +64,8 @@ def scan_keywords(texts: DataFrame, words: tuple[str, ...], *keys: str) -> DataF
     return word_hits(texts, "text", words, *keys).select(*keys, "keyword").distinct()
 
 
-def matched_lines(lines: DataFrame, words: tuple[str, ...], per_key: int = 10, total: int = 60, key: str = "doc_id", extra: tuple[str, ...] = (), within: str = "line") -> DataFrame:
-    """(key, keyword, line, line_idx): at most `per_key` different lines a word and `total` a document.
+def matched_lines(lines: DataFrame, words: tuple[str, ...], per_key: int | None = 10, total: int | None = 60, key: str = "doc_id", extra: tuple[str, ...] = (), within: str = "line") -> DataFrame:
+    """(key, keyword, line, line_idx): at most `per_key` different lines a word and `total` a document; None keeps all.
 
     Words are looked for in the column `within`. An alternation drops most lines first; caps are windows, by line
     and then by the order of the words. `extra` columns take part in what makes lines different.
@@ -73,8 +73,10 @@ def matched_lines(lines: DataFrame, words: tuple[str, ...], per_key: int = 10, t
     wanted = lines.where(F.col(within).rlike(literal_pattern(words))) if len(words) <= MANY else lines
     hits = word_hits(wanted, within, words, key, "line_idx", "line", *extra)
     once = hits.withColumn("_r", F.row_number().over(Window.partitionBy(key, "keyword", "line", *extra).orderBy("line_idx"))).where("_r = 1")
-    per_word = once.withColumn("_r", F.row_number().over(Window.partitionBy(key, "keyword").orderBy("line_idx"))).where(F.col("_r") <= per_key)
-    capped = per_word.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("line_idx", "n"))).where(F.col("_r") <= total)
+    capped = once
+    for most, own, order in ((per_key, (key, "keyword"), ("line_idx",)), (total, (key,), ("line_idx", "n"))):
+        if most is not None:
+            capped = capped.withColumn("_r", F.row_number().over(Window.partitionBy(*own).orderBy(*order))).where(F.col("_r") <= most)
     return capped.select(key, "keyword", "line", "line_idx", *extra)
 
 
