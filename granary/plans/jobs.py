@@ -82,7 +82,8 @@ def _kind() -> Column:
 def lender_lines(texts: DataFrame, pages: DataFrame, tokens: DataFrame | None = None, rules: Rules = RULES) -> tuple[DataFrame, DataFrame]:
     """((org, source, keywords), (org, key, line_idx, line, values, source)) of the first source that names a lender.
 
-    Report texts come first, blended with positioned tokens where an org has them: (org, page, text, x, y, w, h).
+    Report texts come first, blended with positioned tokens where an org has them: (org, page, text, x, y, w, h). Of tokens
+    every matched row counts, of texts ten lines a word.
     Then the org's pages. Values are put right, and doubled variants of one value go.
     """
     broken = F.regexp_replace("html", "(?i)<br[^>]*>|</(p|div|li|tr|h[1-6])>", "\n")
@@ -96,7 +97,7 @@ def lender_lines(texts: DataFrame, pages: DataFrame, tokens: DataFrame | None =
     found = keep(found.select(*parted, F.col("keyword").alias("key"), "line_idx", "line", F.array().cast("array<string>").alias("values")))
     if tokens is not None:
         numbered = tokens.withColumn("doc_id", F.col("org").cast("long")).drop("org")
-        placed = layout.matched_token_lines(numbered, rules.lenders).select(F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("org"), F.col("keyword").alias("key"), "line_idx", "line", "values")
+        placed = layout.matched_token_lines(numbered, rules.lenders, per_key=None, total=None).select(F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("org"), F.col("keyword").alias("key"), "line_idx", "line", "values")
         blended = lines.blend_lines(placed, found.where("source = 'PDF'").drop("source"), ["org", "key"])
         blended = keep(blended.select(F.when(F.col("from_first"), "PDF_XY").otherwise("PDF").alias("source"), "org", "key", "line_idx", "line", "values"))
         found = found.where("source = 'HTML'").unionByName(blended)

@@ -29,7 +29,7 @@ def long_orders(spark, sf, tmp_path_factory):
     return str(path)
 
 
-@pytest.mark.parametrize("name", ["token_lines"])
+@pytest.mark.parametrize("name", ["token_lines", "observation_records_of_pages"])
 def test_every_line_of_long_reports(spark, long_orders, name):
     con = duckdb.connect()
     for file in os.listdir(long_orders):
