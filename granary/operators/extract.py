@@ -66,12 +66,12 @@ def company_facts(texts: DataFrame, *keys: str, rules: Rules = RULES) -> DataFra
 
 def finance_tables(pages: DataFrame, *keys: str) -> DataFrame:
     """(keys, tables): finance tables of html as years, rawLabel and values; see pages.finance_of()."""
-    return finance_of(scan_tables(pages, *keys), *keys)
+    return finance_of(scan_tables(pages, *keys, debts=False), *keys)
 
 
 def debt_fallback(pages: DataFrame, *keys: str) -> DataFrame:
     """(keys, kind, year, value): debts of the first table that names them, from every row that does; see pages.debts_of()."""
-    return debts_of(scan_tables(pages, *keys), *keys, every_row=True)
+    return debts_of(scan_tables(pages, *keys, finance=False), *keys, every_row=True)
 
 
 # fixed values: what report links look like

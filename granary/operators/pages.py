@@ -1,8 +1,9 @@
 """Tables of html pages, found in one pass over each page with a stack of what is open.
 
 Patterns cannot say which table a row belongs to once tables nest, nor where a title ends that holds tags. So an Arrow
-function goes over the marks of a page once, keeps the open elements on a stack and notes the place in the page's text
-where each begins and ends. Pages without a table never reach it. Closing tags that html lets one leave out (cells, rows,
+function goes over the marks of a page once, keeps the open elements on a stack and notes the pieces of the page's text
+where each begins and ends. That depends on the marks alone, so pages with the same marks share it. Pages without a table
+never reach it. Closing tags that html lets one leave out (cells, rows,
 sections) are supplied; a stray closing tag closes nothing beyond its cell. What the tables mean is column expressions.
 """
 
@@ -11,18 +12,22 @@ from __future__ import annotations
 import html as entities
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .numbers import let
+
 TABLES = "array<struct<finance:boolean,debts:boolean,said:string,rows:array<struct<head:boolean,body:boolean,label:string,years:array<string>,values:array<string>,cells:array<string>,said:string>>>>"
 
 # a mark that never ends takes what is left of the page, as browsers have it, so no place is looked at twice
 _MARK = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|template|noscript)\b.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<rest>(?:=\s*+(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>=]+|=)*+)(?:>|\Z)", re.I | re.S)
+    r"(?P<mark><!--.*?(?:-->|\Z)|<(?P<raw>script|style|template|noscript)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<rest>(?:=\s*+(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>=]+|=)*+)(?:>|\Z))", re.I | re.S)
 _SETTING = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _DEBTS = re.compile(r"(?:kort|lång)fristiga\s+skulder", re.I)
 # fixed values: html's elements without content, and those that begin a line
@@ -30,11 +35,15 @@ _EMPTY = frozenset("area base br col embed hr img input link meta source track w
 _LINES = frozenset("address article br caption div dd dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tr ul".split())
 _SECTIONS, _CELLS = frozenset(("thead", "tbody", "tfoot")), frozenset(("td", "th"))
 _FRAME = _SECTIONS | _CELLS | {"table", "tr"}
+_OF_ROW, _OF_SECTION = _CELLS | {"tr"}, _CELLS | _SECTIONS | {"tr"}
+# of what is kept for other pages of a task: characters of a mark, marks of a page
+_SHARED, _STRUCTURE = 256, 2048
+_PAGES = 500  # whose tables are held in Python at once
 
 
 @dataclass(slots=True)
 class Node:
-    """An open element that matters: its tag, what its marks say, and its span of the page's text."""
+    """An element that matters: its tag, what its marks say, and its span of the page's pieces of text."""
 
     tag: str
     start: int
@@ -47,37 +56,64 @@ class Node:
     parts: list[Node] = field(default_factory=list)
 
 
+@dataclass(frozen=True)
+class Mark:
+    """What one opening or closing tag says; of equal ones there is one. Comments and scripts have no tag."""
+
+    tag: str
+    closes: bool
+    line: bool
+    empty: bool
+    frame: bool
+    cell: bool
+    right: bool
+    title: bool
+    finance: bool
+
+
 def _settings(rest: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _SETTING.finditer(rest)}
 
 
-class Scan:
-    """The tables of one page: `tables` in the order in which they begin, `text` of the whole page."""
+_one = lru_cache(maxsize=1 << 13)(lambda *said: Mark(*said))
 
-    def __init__(self, page: str):
+
+def _read(mark: str) -> Mark:
+    m = _MARK.match(mark)
+    if not m["tag"]:
+        return _one("", False, False, True, False, False, False, False, False)
+    tag, rest, closes = m["tag"].lower(), m["rest"], bool(m["end"])
+    said = _settings(rest) if not closes and (tag in _CELLS or tag == "table" or "title" in rest.lower()) else {}
+    classes = said.get("class", "").split()
+    return _one(tag, closes, tag in _LINES, tag in _EMPTY, tag in _FRAME, tag in _CELLS, "text-right" in classes, "title" in classes, said.get("data-test") == "finance-table")
+
+
+_known = lru_cache(maxsize=1 << 13)(_read)  # pages of a site share their marks
+
+
+class Structure:
+    """The tables of pages with the same marks, as spans of their pieces: texts, which stand at `places`, and line ends and tabs."""
+
+    def __init__(self, marks: tuple[Mark, ...]):
         self.tables: list[Node] = []
-        self._said: list[str] = []
-        self._length = 0
+        self.pieces: list[str] = []
+        self.places: list[int] = []
         self._stack: list[tuple[str, Node | None]] = []
         self._frames: list[tuple[str, int]] = []  # open parts of tables, with their places on the stack
         self._open_tables: list[Node] = []
         self._open_rows: list[Node] = []
         self._named: list[dict[str, int]] = [{}]  # open plain tags of each frame
-        at = 0
-        for m in _MARK.finditer(page):
-            self._say(entities.unescape(page[at : m.start()]))
-            at = m.end()
-            if m["tag"]:
-                (self._close if m["end"] else self._open)(m["tag"].lower(), m["rest"])
-        self._say(entities.unescape(page[at:]))
+        for mark in marks:
+            self._text()
+            if mark.tag:
+                (self._close if mark.closes else self._open)(mark)
+        self._text()
         while self._stack:
             self._pop()
-        self.text = "".join(self._said)
 
-    def _say(self, text: str) -> None:
-        if text:
-            self._said.append(text)
-            self._length += len(text)
+    def _text(self) -> None:
+        self.places.append(len(self.pieces))
+        self.pieces.append("")
 
     def _pop(self) -> None:
         tag, node = self._stack.pop()
@@ -87,7 +123,7 @@ class Scan:
         else:
             self._named[-1][tag] -= 1
         if node:
-            node.end = self._length
+            node.end = len(self.pieces)
             if tag == "table":
                 self._open_tables.pop()
             elif tag == "tr":
@@ -101,101 +137,136 @@ class Scan:
                 break
             if tag in tags:
                 found = depth
-        while found is not None and len(self._stack) > found:
-            self._pop()
+        if found is not None:
+            while len(self._stack) > found:
+                self._pop()
 
-    def _open(self, tag: str, rest: str) -> None:
-        if tag in _LINES:
-            self._say("\n")
-        if tag in _EMPTY or (tag in _FRAME and tag != "table" and not self._open_tables):
+    def _open(self, mark: Mark) -> None:
+        tag = mark.tag
+        if mark.line:
+            self.pieces.append("\n")
+        if mark.empty or (mark.frame and tag != "table" and not self._open_tables):
             return  # without content, or a part of no table
-        if tag in _CELLS:
+        if not mark.frame:
+            node = self._titled(None, tag) if mark.title else None
+            self._named[-1][tag] = self._named[-1].get(tag, 0) + 1
+            self._stack.append((tag, node))
+            return
+        if mark.cell:
             self._close_within_table(_CELLS)
-            self._say("\t")
+            self.pieces.append("\t")
         elif tag == "tr":
-            self._close_within_table(_CELLS | {"tr"})
-        elif tag in _SECTIONS:
-            self._close_within_table(_CELLS | _SECTIONS | {"tr"})
-        node = self._node(tag, rest)
-        if tag in _FRAME:
-            self._frames.append((tag, len(self._stack)))
-            self._named.append({})
-        else:
-            self._named[-1][tag] = self._named[-1].get(tag, 0) + 1
+            self._close_within_table(_OF_ROW)
+        elif tag != "table":
+            self._close_within_table(_OF_SECTION)
+        node = self._node(mark)
+        self._frames.append((tag, len(self._stack)))
+        self._named.append({})
         self._stack.append((tag, node))
 
-    def _node(self, tag: str, rest: str) -> Node | None:
-        said = _settings(rest) if tag in _CELLS or tag == "table" or "title" in rest.lower() else {}
-        classes = said.get("class", "").split()
-        node = None
-        if tag == "table":
-            node = Node(tag, self._length, finance=said.get("data-test") == "finance-table")
+    def _node(self, mark: Mark) -> Node | None:
+        tag, node = mark.tag, None
+        if mark.cell:
+            node = Node(tag, len(self.pieces), mark.right)
+            for row in self._open_rows:
+                row.parts.append(node)
+        elif tag == "table":
+            node = Node(tag, len(self.pieces), finance=mark.finance)
             self.tables.append(node)
             self._open_tables.append(node)
         elif tag == "tr":
             own = next(t for t, _ in reversed(self._frames) if t == "table" or t in _SECTIONS)
             around = [t for t, _ in self._frames]
-            node = Node(tag, self._length, body=own == "table" or "tbody" in around, head="thead" in around)
+            node = Node(tag, len(self.pieces), body=own == "table" or "tbody" in around, head="thead" in around)
             for outer in self._open_tables:
                 outer.parts.append(node)
             self._open_rows.append(node)
-        elif tag in _CELLS:
-            node = Node(tag, self._length, right="text-right" in classes)
-            for row in self._open_rows:
-                row.parts.append(node)
-        if "title" in classes:
-            untitled = [r for r in self._open_rows if r.title is None]
-            if untitled:
-                node = node or Node(tag, self._length)
-                for row in untitled:
-                    row.title = node
+        return self._titled(node, tag) if mark.title else node
+
+    def _titled(self, node: Node | None, tag: str) -> Node | None:
+        """The node of a title, which open rows without one take."""
+        untitled = [r for r in self._open_rows if r.title is None]
+        if untitled:
+            node = node or Node(tag, len(self.pieces))
+            for row in untitled:
+                row.title = node
         return node
 
-    def _close(self, tag: str, _: str) -> None:
-        if tag in _LINES:
-            self._say("\n")
+    def _close(self, mark: Mark) -> None:
+        tag = mark.tag
+        if mark.line:
+            self.pieces.append("\n")
         if tag == "table":
             if self._open_tables:
                 while self._stack[-1][0] != "table":
                     self._pop()
                 self._pop()
-        elif tag in _FRAME:
+        elif mark.frame:
             self._close_within_table(frozenset((tag,)))
         elif self._named[-1].get(tag):
             while self._stack[-1][0] != tag:
                 self._pop()
             self._pop()
 
-    def said(self, node: Node | None) -> str | None:
-        return None if node is None else " ".join(self.text[node.start : node.end].split())
 
-    def records(self) -> list[dict]:
-        """Finance tables, and the first table that names debts; other tables say nothing here."""
-        debts = [m.start() for m in _DEBTS.finditer(self.text) if m[0][0] in "kK"]
-        first = next((t for t in self.tables if any(t.start <= p < t.end for p in debts)), None) if debts else None
-        return [self._record(t, t is first) for t in self.tables if t.finance or t is first]
+_structure = lru_cache(maxsize=1 << 9)(Structure)  # pages of a site often share it whole
 
-    def _record(self, table: Node, debts: bool) -> dict:
-        rows = []
-        for row in table.parts:
-            cells = [(c, self.said(c)) for c in row.parts]
-            rows.append({
-                "head": row.head, "body": row.body, "label": self.said(row.title), "years": [s for c, s in cells if c.tag == "th" and c.right],
-                "values": [s for c, s in cells if c.tag == "td" and c.right], "cells": [s for _, s in cells] if debts else [], "said": self.said(row) if debts else None,
-            })
-        return {"finance": table.finance, "debts": debts, "said": self.said(table) if debts else None, "rows": rows}
 
+class Scan:
+    """The tables of one page in the order in which they begin, and the pieces of its text."""
 
-def scan_tables(pages: DataFrame, *keys: str) -> DataFrame:
-    """(keys, found) of pages with (keys, html): the tables that finance_tables() and debt_fallback() read.
+    def __init__(self, page: str):
+        parts = _MARK.split(page)
+        marks = tuple([_known(m) if len(m) <= _SHARED else _read(m) for m in parts[1 :: _MARK.groups + 1]])
+        structure = _structure(marks) if len(marks) <= _STRUCTURE else Structure(marks)
+        self.tables, self._pieces = structure.tables, structure.pieces.copy()
+        for place, text in zip(structure.places, parts[:: _MARK.groups + 1]):
+            if text:
+                self._pieces[place] = entities.unescape(text) if "&" in text else text
+
+    def said(self, node: Node | None) -> str | None:
+        return None if node is None else " ".join("".join(self._pieces[node.start : node.end]).split())
+
+    def _of_debts(self) -> Node | None:
+        """The first table that names debts."""
+        found = [m.start() for m in _DEBTS.finditer("".join(self._pieces)) if m[0][0] in "kK"]
+        if not found:
+            return None
+        begins = [0, *accumulate(map(len, self._pieces))]
+        return next((t for t in self.tables if any(begins[t.start] <= p < begins[t.end] for p in found)), None)
+
+    def records(self, finance: bool = True, debts: bool = True) -> list[tuple]:
+        """Finance tables, and the first table that names debts, as far as they are asked for; other tables say nothing here."""
+        first = self._of_debts() if debts else None
+        return [self._record(t, t is first) for t in self.tables if finance and t.finance or t is first]
+
+    def _record(self, table: Node, debts: bool) -> tuple:
+        rows, held = [], {}  # a cell's text once, however many rows it lies in
+        for row in table.parts:
+            years, values, cells = [], [], []
+            for cell in row.parts:
+                if debts or cell.right:
+                    text = held.get(id(cell))
+                    if text is None:
+                        text = held[id(cell)] = self.said(cell)
+                    if cell.right:
+                        (years if cell.tag == "th" else values).append(text)
+                    if debts:
+                        cells.append(text)
+            rows.append((row.head, row.body, self.said(row.title), years, values, cells, self.said(row) if debts else None))
+        return table.finance, debts, self.said(table) if debts else None, rows
+
+
+def scan_tables(pages: DataFrame, *keys: str, finance: bool = True, debts: bool = True) -> DataFrame:
+    """(keys, found) of pages with (keys, html): the tables that finance_of() and debts_of() read, or those of one of them.
 
     Rows and cells count for every table and row that they lie in, so a table within a finance table is a part of it. A
     page's text is held once; a cell's text is repeated for each row around it. Null pages and those without tables have no row.
     """
 
     def run(batches):
-        for batch in batches:
-            found = [Scan(page).records() for page in batch.column(batch.num_columns - 1).to_pylist()]
+        for batch in (b.slice(at, _PAGES) for b in batches for at in range(0, b.num_rows, _PAGES)):
+            found = [Scan(page).records(finance, debts) for page in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(found, kind)], [*batch.schema.names[:-1], "found"])
 
     wanted = pages.where(F.col("html").rlike("(?i)<table")).select(*keys, "html")
@@ -209,19 +280,22 @@ def scan_tables(pages: DataFrame, *keys: str) -> DataFrame:
 def finance_of(scanned: DataFrame, *keys: str) -> DataFrame:
     """(keys, tables): rows of finance tables with years, rawLabel and values.
 
-    Years are those of the head's right-aligned cells, or else of the first row of the body; four digits begin them, and
-    a table has at least two.
+    A row a page that has any. Years are those of the head's right-aligned cells, or else of the first row of the body; four
+    digits begin them, and a table has at least two.
     """
-    table = scanned.select(*keys, F.posexplode("found").alias("n", "t")).where("t.finance").select(*keys, "n", F.col("t.rows").alias("rows"))
-    head = F.flatten(F.transform(F.filter("rows", lambda r: r["head"]), lambda r: r["years"]))
-    first = F.coalesce(F.try_element_at(F.filter("rows", lambda r: r["body"]), F.lit(1))["years"], F.array().cast("array<string>"))
-    said = F.when(F.size(head) > 0, head).otherwise(first)
-    years = F.transform(F.filter(F.transform(said, lambda y: F.substring(y, 1, 4)), lambda y: y.rlike("^[0-9]{4}$")), lambda y: y.cast("int"))
-    sound = table.withColumn("years", years).where("size(years) >= 2")
-    kept = F.filter("rows", lambda r: r["body"] & r["label"].isNotNull() & (F.size(r["values"]) > 0))
-    rows = sound.select(*keys, "n", F.transform(kept, lambda r: F.struct(F.col("years").alias("years"), r["label"].alias("rawLabel"), r["values"].alias("values"))).alias("own")).where("size(own) > 0")
-    # a page's tables are an array already; the group is one page
-    return rows.groupBy(*keys).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n", "own"))), lambda x: x["own"])).alias("tables"))
+    def own(table: Column) -> Column:
+        rows = table["rows"]
+        head = F.flatten(F.transform(F.filter(rows, lambda r: r["head"]), lambda r: r["years"]))
+        first = F.coalesce(F.try_element_at(F.filter(rows, lambda r: r["body"]), F.lit(1))["years"], F.array().cast("array<string>"))
+        said = let(head, lambda h: F.when(F.size(h) > 0, h).otherwise(first))
+        years = F.transform(F.filter(F.transform(said, lambda y: F.substring(y, 1, 4)), lambda y: y.rlike("^[0-9]{4}$")), lambda y: y.cast("int"))
+        kept = F.filter(rows, lambda r: r["body"] & r["label"].isNotNull() & (F.size(r["values"]) > 0))
+        shaped = lambda years: F.transform(kept, lambda r: F.struct(years.alias("years"), r["label"].alias("rawLabel"), r["values"].alias("values")))
+        return let(years, lambda y: F.when(F.size(y) >= 2, shaped(y)).otherwise(F.filter(shaped(y), lambda r: F.lit(False))))
+
+    # page by page: nothing is shuffled; exploded, so that a condition does not compute it once more
+    tables = F.flatten(F.transform(F.filter("found", lambda t: t["finance"]), own))
+    return scanned.select(*keys, F.explode(F.filter(F.array(tables), lambda t: F.size(t) > 0)).alias("tables"))
 
 
 def debts_of(scanned: DataFrame, *keys: str, every_row: bool = False) -> DataFrame:

@@ -38,3 +38,19 @@ def test_every_line_of_long_reports(spark, long_orders, name):
     columns = sorted(df.columns)
     got = sorted(tuple(r) for r in df.select(*columns).collect())
     assert got == sorted(con.sql(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall())
+
+
+def test_pages_with_the_same_marks_are_read_once(spark, monkeypatch):
+    from granary.operators import extract, pages
+
+    shape = '<table data-test="finance-table"><tr><th class="text-right">2020<th class="text-right">2019<tr><td class="title">{0}<td class="text-right">{1}<td class="text-right">&minus;{1}</table>'
+    read, plain = [], pages._read
+    monkeypatch.setattr(pages, "_known", pages.lru_cache(pages._read))
+    monkeypatch.setattr(pages, "_structure", pages.lru_cache(lambda marks: read.append(len(marks)) or pages.Structure(marks)))
+    for i in range(50):
+        assert [(r[2], r[4]) for r in pages.Scan(shape.format(f"r{i}", i)).records()[0][3]][1] == (f"r{i}", [str(i), f"−{i}"])
+    assert len(read) == 1 and pages._read is plain
+    df = spark.createDataFrame([(i, shape.format(f"r{i}", i)) for i in range(700)] + [(700, "<table><tr><td>1</table>"), (701, None)], "id int, html string")
+    found = extract.finance_tables(df, "id")
+    assert sorted((r.id, r.tables[0].rawLabel, r.tables[0]["years"]) for r in found.collect()) == [(i, f"r{i}", [2020, 2019]) for i in range(700)]
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()  # a page needs no other
