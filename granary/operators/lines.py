@@ -170,7 +170,8 @@ def backfill_matched_lines(observations: DataFrame, columns: tuple[str, ...] = (
             own = F.map_from_arrays(F.array(F.lit("line"), F.lit("values")), F.array(clean["line"].cast("variant"), clean["values"].cast("variant")))
             return F.to_variant_object(F.map_concat(others, own))
 
-        return F.when(text("$.line").isNull(), item).otherwise(let(clean_line(old, credit_rule=False), rewritten))
+        # what is read from a variant is bound once: a line is asked for in many places
+        return let(old, lambda o: F.when(o["line"].isNull(), item).otherwise(let(clean_line(o, credit_rule=False), rewritten)))
 
     said = lambda c: F.array_join(F.transform(c, lambda x: F.to_json(x)), ",")
     new = observations.withColumns({f"_new_{c}": F.transform(c, mended) for c in there})

@@ -54,3 +54,26 @@ def test_pages_with_the_same_marks_are_read_once(spark, monkeypatch):
     found = extract.finance_tables(df, "id")
     assert sorted((r.id, r.tables[0].rawLabel, r.tables[0]["years"]) for r in found.collect()) == [(i, f"r{i}", [2020, 2019]) for i in range(700)]
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()  # a page needs no other
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3])
+def test_listed_cuts_are_the_shortest_ways(spark, n):
+    from itertools import product
+
+    from pyspark.sql import functions as F
+
+    from granary.operators import numbers
+
+    runs = [(list(g),) for size in (1, 2, 3, 4, 5) for g in product(("12", "345", "007", "000", "04")[: 5 if size < 5 else 4], repeat=size)]
+    df = spark.createDataFrame(runs, "groups array<string>")
+    got = df.select(numbers._cheapest(F.col("groups"), n).alias("a"), numbers._shortest_way(F.col("groups"), n).alias("b"))
+    assert got.where("a <=> b").count() == len(runs)
+
+
+def test_a_stored_item_is_read_once(spark):
+    from granary.operators import lines
+
+    held = spark.sql("SELECT array(to_variant_object(named_struct('key', 'Kreditinstitut', 'line', 'Lån 4 990 429 295 000', 'page', 'p1')), to_variant_object(named_struct('note', 'x'))) AS loanLines")
+    new, _ = lines.backfill_matched_lines(held)
+    assert new.selectExpr("to_json(loanLines) AS j").first().j == '[{"key":"Kreditinstitut","line":"Lån","page":"p1","values":["4 990 429","295 000"]},{"note":"x"}]'
+    assert new._jdf.queryExecution().analyzed().toString().count("try_variant_get") < 10  # it was read anew for each use before
