@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,17 +50,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ROWS_OF_A_TASK, BYTES_OF_A_TASK = 1 << 17, "16m"  # of a shuffle of lines, whose rows take many times their compressed size in memory
+
+
+def deal_out(spark: SparkSession, rows: int) -> None:
+    """Lets shuffles of so many rows have as many partitions as they need, each read by one task, in this session.
+
+    Partitions are joined to tasks of BYTES_OF_A_TASK at most, so a task's share does not grow with the tables; counts that
+    are higher and sizes that are lower already stay. Sizes that are no plain number of bytes with a unit stay too.
+    """
+    most, bytes_ = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    now = int(spark.conf.get(most, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if (wanted := -(-rows // ROWS_OF_A_TASK)) > now:
+        spark.conf.set(most, str(wanted))
+    number = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(bytes_, "64m").lower())
+    if number and int(number[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[number[2]] > 16 << 20:
+        spark.conf.set(bytes_, BYTES_OF_A_TASK)
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem, counted from the files' footers."""
+    lines = table(spark, sf_dir, "lineitem")
+    deal_out(spark, lines.count())
+    return lines
+
+
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(OBS.replace("orders o", "{orders} o").replace("customer c", "{customer} c"), orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
 
 
 def obs_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(OBS_TABLES.replace("lineitem l", "{lineitem} l").replace("orders o", "{orders} o"), orders=table(spark, sf_dir, "orders"), lineitem=table(spark, sf_dir, "lineitem"))
+    return spark.sql(OBS_TABLES.replace("lineitem l", "{lineitem} l").replace("orders o", "{orders} o"), orders=table(spark, sf_dir, "orders"), lineitem=_lines(spark, sf_dir))
 
 
 def obs_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql = OBS_KEYWORDS.replace("lineitem l", "{lineitem} l").replace("orders o", "{orders} o").replace("part p", "{part} p")
-    return spark.sql(sql, orders=table(spark, sf_dir, "orders"), lineitem=table(spark, sf_dir, "lineitem"), part=table(spark, sf_dir, "part"))
+    return spark.sql(sql, orders=table(spark, sf_dir, "orders"), lineitem=_lines(spark, sf_dir), part=table(spark, sf_dir, "part"))
 
 
 def finance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,3 +77,17 @@ def test_a_stored_item_is_read_once(spark):
     new, _ = lines.backfill_matched_lines(held)
     assert new.selectExpr("to_json(loanLines) AS j").first().j == '[{"key":"Kreditinstitut","line":"Lån","page":"p1","values":["4 990 429","295 000"]},{"note":"x"}]'
     assert new._jdf.queryExecution().analyzed().toString().count("try_variant_get") < 10  # it was read anew for each use before
+
+
+def test_shuffles_of_larger_tables_have_more_tasks(spark, sf):
+    from granary.plans import adapters
+
+    own, most, size = spark.newSession(), "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    adapters.obs_tables(own, sf)
+    before = own.conf.get(most, None)
+    assert own.conf.get(size) == "16m"
+    adapters.deal_out(own, 216_000_000)
+    assert int(own.conf.get(most)) == 1648 and before != "1648"
+    own.conf.set(size, "64k")
+    adapters.deal_out(own, 1)
+    assert (own.conf.get(size), own.conf.get(most)) == ("64k", "1648")
