@@ -50,22 +50,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-ROWS_OF_A_TASK, BYTES_OF_A_TASK = 1 << 17, "16m"  # of a shuffle of lines, whose rows take many times their compressed size in memory
+ROWS_OF_A_TASK = 1 << 17  # of a shuffle of lines
+# the most that a task reads: of files, and of a shuffle, whose rows take some 30 times their compressed size in memory
+BYTES_OF_A_TASK = {"spark.sql.files.maxPartitionBytes": "16m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m"}
+_UNITS = {"": 0, "b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30}
+
+
+def _bytes(size: str) -> int | None:
+    said = re.fullmatch(r"(\d+)([kmg]?b?)", size.lower())
+    return int(said[1]) << _UNITS[said[2]] if said else None
 
 
 def deal_out(spark: SparkSession, rows: int) -> None:
-    """Lets shuffles of so many rows have as many partitions as they need, each read by one task, in this session.
+    """Lets shuffles of so many rows have as many partitions as they need, and its tasks read little, in this session.
 
-    Partitions are joined to tasks of BYTES_OF_A_TASK at most, so a task's share does not grow with the tables; counts that
-    are higher and sizes that are lower already stay. Sizes that are no plain number of bytes with a unit stay too.
+    A task's share then does not grow with the tables; counts that are higher and sizes that are lower already stay.
     """
-    most, bytes_ = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    most = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     now = int(spark.conf.get(most, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     if (wanted := -(-rows // ROWS_OF_A_TASK)) > now:
         spark.conf.set(most, str(wanted))
-    number = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(bytes_, "64m").lower())
-    if number and int(number[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[number[2]] > 16 << 20:
-        spark.conf.set(bytes_, BYTES_OF_A_TASK)
+    for name, size in BYTES_OF_A_TASK.items():
+        held = _bytes(spark.conf.get(name))
+        if held is not None and held > _bytes(size):
+            spark.conf.set(name, size)
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,7 +85,7 @@ def test_shuffles_of_larger_tables_have_more_tasks(spark, sf):
     own, most, size = spark.newSession(), "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     adapters.obs_tables(own, sf)
     before = own.conf.get(most, None)
-    assert own.conf.get(size) == "16m"
+    assert own.conf.get(size) == "4m"
     adapters.deal_out(own, 216_000_000)
     assert int(own.conf.get(most)) == 1648 and before != "1648"
     own.conf.set(size, "64k")
