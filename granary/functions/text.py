@@ -25,13 +25,36 @@ def normalize_org(raw: Column) -> Column:
 
 def parse_money(value: Column, rules: Rules = RULES) -> Column:
     """Leading whole number of what is left after all but digits and minus signs is dropped; null beyond the sanity limit."""
-    left = F.regexp_replace(value.cast("string"), "[^0-9-]", "")
-    number = F.regexp_extract(left, "^-?[0-9]+", 0).try_cast("bigint")
+    return sane_money(whole_number(unspaced(value)), rules)
+
+
+# The three steps of parse_money(). A step names its input several times, so columns that are read often give each a projection
+# of its own; in one they are worked out again at each place.
+def unspaced(value: Column) -> Column:
+    return F.replace(value.cast("string"), F.lit(" "), F.lit(""))
+
+
+def whole_number(bare: Column) -> Column:
+    """A plain number is read as it stands; only other texts need the patterns. (A cast would cut at a point.)"""
+    left = F.regexp_extract(F.regexp_replace(bare, "[^0-9-]", ""), "^-?[0-9]+", 0).try_cast("bigint")
+    plain = F.when(~F.contains(bare, F.lit(".")), bare.try_cast("bigint"))
+    return F.when(~bare.isin("", "-"), F.coalesce(plain, left))
+
+
+def sane_money(number: Column, rules: Rules = RULES) -> Column:
     return F.when(F.abs(number) <= rules.sanity_limit, number)
 
 
 def normalize_label(label: Column, rules: Rules = RULES) -> Column:
-    low = F.lower(normalize_spaces(label))
+    return label_of(lowered(label), rules)
+
+
+def lowered(label: Column) -> Column:
+    return F.lower(normalize_spaces(label))
+
+
+def label_of(low: Column, rules: Rules = RULES) -> Column:
+    """normalize_label() of what lowered() gives."""
     out = F.lit(None).cast("string")
     for pattern, name in reversed(rules.label_rules):
         out = F.when(low.rlike(pattern), name).otherwise(out)

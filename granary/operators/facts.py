@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import FIGURE_RULES, RULES, SOURCE_WEIGHTS, Rules
-from ..functions.text import EDGE, normalize_label, parse_money
+from ..functions.text import EDGE, label_of, lowered, normalize_label, parse_money, sane_money, unspaced, whole_number
 
 
 def finance_rows(observations: DataFrame) -> DataFrame:
@@ -16,6 +16,24 @@ def finance_rows(observations: DataFrame) -> DataFrame:
     return cells.select("org", "seq", "tbl_idx", "raw_label", "pos", F.col("c.year").alias("year"), F.col("c.value").cast("string").alias("raw_value"))
 
 
+def with_money(rows: DataFrame, columns: dict[str, str], rules: Rules = RULES) -> DataFrame:
+    """rows with parse_money() of a column under each name, a projection a step."""
+    bare = rows.withColumns({f"_bare_{n}": unspaced(F.col(c)) for n, c in columns.items()})
+    whole = bare.withColumns({f"_whole_{n}": whole_number(F.col(f"_bare_{n}")) for n in columns})
+    return whole.select(*rows.columns, *[sane_money(F.col(f"_whole_{n}"), rules).alias(n) for n in columns])
+
+
+def newest_cells(tables: DataFrame, cells: list[tuple[str, str]], rules: Rules = RULES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(org, seq, tbl_idx, raw_label, pos, year, value): of each table row the newest cell that has a value.
+
+    cells: the columns of year and value of a table row, newest first. What takes the earliest of finance_rows() for a
+    figure takes no other cell of a row than this one.
+    """
+    priced = with_money(tables, {f"_n{i}": value for i, (_, value) in enumerate(cells)}, rules)
+    newest = F.coalesce(*[F.when(F.col(f"_n{i}").isNotNull(), F.struct(F.lit(i).alias("pos"), F.col(year).alias("year"), F.col(f"_n{i}").alias("value"))) for i, (year, _) in enumerate(cells)])
+    return priced.select("org", "seq", "tbl_idx", "raw_label", *keep, newest.alias("c")).select("org", "seq", "tbl_idx", "raw_label", *keep, "c.*")
+
+
 def latest_figures(rows: DataFrame, rules: Rules = RULES) -> DataFrame:
     """One row an observation: each figure's newest parsable value, in SEK, from the first table row that has one.
 
@@ -37,13 +55,31 @@ def atomic_facts(rows: DataFrame, rules: Rules = RULES) -> DataFrame:
     return grouped.where("best is not null").select("org", "seq", "tbl_idx", "label", F.col("best.year").alias("year"), (F.col("best.value") * rules.multiplier).alias("value"), "raw_line", F.lit("HTML_TABLE").alias("source_type"), F.lit(SOURCE_WEIGHTS["HTML_TABLE"]).alias("score"))
 
 
+def table_facts(tables: DataFrame, cells: list[tuple[str, str]], rules: Rules = RULES) -> DataFrame:
+    """atomic_facts() of table rows (org, seq, tbl_idx, raw_label and the years and values that `cells` names, newest first).
+
+    A row's cells need no grouping, as they stand together; an org's row of an observation must be one row here.
+    """
+    newest = newest_cells(tables, cells, rules, tuple(v for _, v in cells))
+    labelled = newest.withColumn("_low", lowered(F.col("raw_label"))).withColumn("label", label_of(F.col("_low"), rules))
+    line = F.concat_ws(" | ", "raw_label", *[v for _, v in cells])
+    return _made(labelled, F.col("label"), "tbl_idx", F.col("year"), line, "HTML_TABLE", rules)
+
+
+def _made(rows: DataFrame, label: Column, place: str, year: Column, line: Column, source: str, rules: Rules) -> DataFrame:
+    """Facts of the rows with a label and a value, by a generator: a filter would be moved below the patterns and ask for them twice."""
+    fact = F.struct(label.alias("label"), year.alias("year"), (F.col("value") * rules.multiplier).alias("value"), line.alias("raw_line"), F.lit(source).alias("source_type"), F.lit(SOURCE_WEIGHTS[source]).alias("score"))
+    return rows.select("org", "seq", F.col(place).alias("tbl_idx"), F.inline(F.when(label.isNotNull() & F.col("value").isNotNull(), F.array(fact))))
+
+
 def line_facts(lines: DataFrame, rules: Rules = RULES) -> DataFrame:
     """Facts of matched lines (org, seq, line_idx, line, values): no year, and the line itself where no label is known."""
-    value = F.get(F.filter(F.transform("values", lambda v: parse_money(v, rules)), lambda v: v.isNotNull()), F.lit(0))
+    numbers = F.transform(F.transform("values", unspaced), whole_number)
+    value = F.get(F.filter(numbers, lambda n: F.abs(n) <= rules.sanity_limit), F.lit(0))
     said = F.array_join(F.concat(F.array("line"), F.transform("values", lambda v: F.coalesce(v, F.lit("")))), " | ")
-    return lines.where(F.trim("line") != "").withColumn("value", value).where("value is not null").select(
-        "org", "seq", F.col("line_idx").alias("tbl_idx"), F.coalesce(normalize_label(F.col("line"), rules), F.trim("line")).alias("label"), F.lit(None).cast("int").alias("year"),
-        (F.col("value") * rules.multiplier).alias("value"), said.alias("raw_line"), F.lit("PDF_TEXT").alias("source_type"), F.lit(SOURCE_WEIGHTS["PDF_TEXT"]).alias("score"))
+    read = lines.where(F.trim("line") != "").select("org", "seq", "line_idx", "line", value.alias("value"), said.alias("said"), lowered(F.col("line")).alias("_low"))
+    labelled = read.withColumn("label", F.coalesce(label_of(F.col("_low"), rules), F.trim("line")))
+    return _made(labelled, F.col("label"), "line_idx", F.lit(None).cast("int"), F.col("said"), "PDF_TEXT", rules)
 
 
 def best_facts(facts: DataFrame, people: DataFrame | None = None) -> DataFrame:

@@ -18,18 +18,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FIGURE_RULES, RULES, Rules
-from ..functions.text import classify_branch, join_keywords, parse_money
+from ..functions.text import classify_branch, join_keywords
+from .facts import with_money
 
 FIELDS = ("name", "email", "phone", "reg_year", "employees", "branch", "sni_code")
 SETS = ("words", "scans")
 
 
 def _finance_marks(finance: DataFrame, rules: Rules) -> DataFrame:
-    """Finance rows with a value, their place among an org's, and the figure that each is for."""
-    priced = finance.withColumn("_value", parse_money(F.col("raw_value"), rules)).where(F.col("_value").isNotNull())
-    kinds = F.array(*[F.when(F.col("raw_label").rlike(f"(?iu){pattern}"), F.lit(name)) for name, pattern in FIGURE_RULES.items()])
-    figure = F.struct((F.col("_value") * rules.multiplier).cast("bigint").alias("value"), F.col("year").cast("int").alias("year"))
-    return priced.select("org", F.filter(kinds, lambda k: k.isNotNull()).alias("_kinds"), figure.alias("_figure"), F.struct("seq", "tbl_idx", "pos").alias("_place")).where(F.size("_kinds") > 0)
+    """Finance rows with a value, their place among an org's, and the figures that each is for, a bit each.
+
+    Rows go by a generator, not by a filter: that would be moved below the patterns and so ask for them twice.
+    """
+    if "value" not in finance.columns:
+        finance = with_money(finance, {"value": "raw_value"}, rules)
+    kinds = sum((F.when(F.col("raw_label").rlike(f"(?iu){pattern}"), 1 << i).otherwise(0) for i, pattern in enumerate(FIGURE_RULES.values())), F.lit(0))
+    read = finance.select("org", "seq", "tbl_idx", "pos", "year", "value", kinds.alias("_kinds"))
+    figure = F.struct((F.col("value") * rules.multiplier).cast("bigint").alias("value"), F.col("year").cast("int").alias("year"))
+    row = F.struct("_kinds", figure.alias("_figure"), F.struct("seq", "tbl_idx", "pos").alias("_place"))
+    return read.select("org", F.inline(F.when((F.col("_kinds") > 0) & F.col("value").isNotNull(), F.array(row))))
 
 
 def _earliest(value: Column, at: str, when: Column) -> Column:
@@ -38,7 +45,7 @@ def _earliest(value: Column, at: str, when: Column) -> Column:
 
 def fold_states(observations: DataFrame, finance: DataFrame | None = None, keywords: DataFrame | None = None, rules: Rules = RULES, compat: bool = False, scanned: DataFrame | None = None) -> DataFrame:
     """The states of observations (org, seq, name, email, phone, is_ab, reg_year, employees, branch, perhaps sni_code), of
-    finance_rows(), of (org, seq, keyword) and of (org, keyword) scanned from report files.
+    finance_rows() or newest_cells(), of (org, seq, keyword) and of (org, keyword) scanned from report files.
 
     The inputs go through one aggregate by org, so they meet in one shuffle, folded before it.
     """
@@ -57,7 +64,7 @@ def fold_states(observations: DataFrame, finance: DataFrame | None = None, keywo
     parts = [F.min("_at").alias("first_seq"), F.bool_or("is_ab").alias("is_ab")]
     parts += [_earliest(staff if c == "employees" else F.col(c), "_at", own & (says[c] if c in says else said(c))).alias(c) for c in fields]
     if finance is not None:
-        parts += [_earliest(F.col("_figure"), "_place", F.array_contains("_kinds", F.lit(n))).alias(n) for n in FIGURE_RULES]
+        parts += [_earliest(F.col("_figure"), "_place", F.col("_kinds").bitwiseAND(1 << i) != 0).alias(n) for i, n in enumerate(FIGURE_RULES)]
     if keywords is not None:
         parts += [F.collect_set("_word").alias("words"), F.min("_word_at").alias("first_word")]
     if scanned is not None:

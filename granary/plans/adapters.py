@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import facts
+
 OBS = """
 SELECT lpad(CAST(o.o_custkey AS STRING),10,'0') AS org, o.o_orderkey AS seq,
  CASE WHEN o.o_orderkey % 5 = 0 THEN NULL ELSE c.c_name END AS name,
@@ -101,3 +103,11 @@ def finance(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair = F.array(F.struct(F.col("y1").alias("year"), F.col("v1").alias("raw_value")), F.struct(F.col("y2").alias("year"), F.col("v2").alias("raw_value")))
     cells = obs_tables(spark, sf_dir).select("org", "seq", "tbl_idx", "raw_label", F.posexplode(pair).alias("pos", "c"))
     return cells.select("org", "seq", "tbl_idx", "raw_label", "pos", "c.year", "c.raw_value")
+
+
+CELLS = [("y1", "v1"), ("y2", "v2")]
+
+
+def newest_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of FINANCE_ROWS that a fold can take."""
+    return facts.newest_cells(obs_tables(spark, sf_dir), CELLS)
