@@ -130,7 +130,7 @@ def build_observations(target_list: DataFrame, pages: DataFrame, texts: DataFram
 
 def import_leads(existing: DataFrame, sheet: DataFrame, now) -> DataFrame:
     """A lead sheet over the table: missing columns, upsert, stamps."""
-    table = crm.evolve_schema(existing, sheet.drop("seq"))
+    table = keep(crm.evolve_schema(existing, sheet.drop("seq")))  # read by the upsert and by the stamps
     return crm.stamp_changes(crm.upsert_leads(table, sheet, new_rows=crm.defaults(now)), table, now)
 
 
@@ -142,7 +142,7 @@ def rescan_cycle(observations: DataFrame, keywords: DataFrame, all_targets: Data
 
 def rescan(observations: DataFrame, keywords: DataFrame, all_targets: DataFrame, pages: DataFrame, texts: DataFrame, rules: Rules = RULES, tokens: DataFrame | None = None) -> DataFrame:
     """New observations of the targets that rescan_cycle() flags, from their pages, texts and tokens as they are now."""
-    wanted = rescan_cycle(observations, keywords, all_targets)
+    wanted = keep(rescan_cycle(observations, keywords, all_targets))  # every input is cut to it
     return build_observations(wanted, pages, texts, wanted.limit(0), rules, tokens)
 
 
