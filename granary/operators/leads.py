@@ -98,10 +98,13 @@ def structured_lines(items: DataFrame, ceilings: DataFrame | None = None, separa
     numbers leave their cell to a later observation.
     """
     key = canonical_key(F.coalesce(F.nullif("key", F.lit("")), F.lit("Unknown")))
-    kept = items.where(F.trim(F.coalesce("line", F.lit(""))) != "").withColumn("_key", key).where("_key != ''")
+    named = items.where(F.trim(F.coalesce("line", F.lit(""))) != "").select("org", "seq", "pos", "line", "idx", "values", key.alias("_named"))
+    # by a generator: filters for keys would be moved below the pattern and ask for it again
+    kept = named.select("org", "seq", "pos", "line", "idx", "values", F.explode(F.when(F.col("_named") != "", F.array("_named"))).alias("_key"))
     order = F.row_number().over(Window.partitionBy("org", "seq", "_key").orderBy("pos"))
     kept = kept.withColumn("n", order).where(F.col("n") <= MOST_LINES)
-    bare = lambda v: F.regexp_replace(F.trim(F.regexp_replace(F.coalesce(v, F.lit("")), "\u00A0", " ")), "(?!)" if separators else "[\\s.,]", "")
+    whole = lambda v: F.trim(F.replace(F.coalesce(v, F.lit("")), F.lit("\u00A0"), F.lit(" ")))
+    bare = whole if separators else lambda v: F.regexp_replace(F.coalesce(v, F.lit("")), "[\\s\u00A0.,]", "")
     numbers = F.when(F.size("values") > 0, F.slice(F.transform("values", bare), 1, MOST_NUMBERS)).otherwise(numeric_tokens(F.col("line"), MOST_NUMBERS))
     kept = kept.withColumn("_numbers", numbers)
     if ceilings is not None:
@@ -120,7 +123,7 @@ def line_columns(structured: DataFrame, key: str = "Kreditinstitut", lines: int
     columns = []
     for n in range(1, lines + 1):
         columns += [at(n, F.col("line")).alias(f"l{n}"), at(n, F.col("idx")).alias(f"l{n}_idx"), *[at(n, F.get("numbers", F.lit(k - 1))).alias(f"l{n}_n{k}") for k in range(1, numbers + 1)]]
-    return structured.where(F.col("key") == key).groupBy("org").agg(*columns)
+    return structured.where((F.col("key") == key) & (F.col("n") <= lines)).groupBy("org").agg(*columns)
 
 
 def wide_1year(items: DataFrame) -> DataFrame:

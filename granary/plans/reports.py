@@ -9,6 +9,7 @@ from ..config import RULES, Rules
 from ..operators.facts import debt_ceiling, pivot_facts
 from ..operators.leads import first_lines, line_columns, structured_lines, wide_1year
 from ..operators.lines import credit_institution_lines
+from .storage import keep
 
 # fixed values: the columns of the published sheets, in their order
 CONTACTS = {
@@ -34,6 +35,7 @@ def _items(lines: DataFrame) -> DataFrame:
 
 def contacts(leads: DataFrame, lines: DataFrame, rules: Rules = RULES) -> tuple[DataFrame, tuple[str, ...]]:
     """(26 columns, best leads first; their titles). Values of lines beyond the org's debt ceiling are blank."""
+    leads = keep(leads)  # read for the ceilings and for the sheet
     ceilings = leads.select("org", debt_ceiling(F.col("short_debt"), F.col("long_debt"), rules).alias("ceiling"))
     cells = line_columns(structured_lines(_items(lines), ceilings))
     ranked = leads.drop(*[c for c in cells.columns if c != "org"]).join(cells, "org", "left").orderBy(F.desc("icp_score"), "first_seq")

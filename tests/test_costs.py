@@ -65,3 +65,13 @@ def test_newest_cells_fold_as_all_cells(spark):
 def test_a_fold_asks_once_for_each_pattern(spark, sf):
     plan = queries.QUERIES["clamped_debts"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(FIGURE_RULES["operating_result"]) == 1  # a filter below asked for it again, of each cell
+
+
+def test_a_contacts_sheet_folds_once(spark, sf):
+    plan = queries.QUERIES["contacts_sheet"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert FIGURE_RULES["operating_result"] not in plan  # kept; the fold stood in it twice, for the ceilings and for the sheet
+
+
+def test_structured_lines_ask_once_for_a_key(spark, sf):
+    plan = queries.QUERIES["wide_1year"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[^0-9A-Za-zÅÄÖåäö]") == 1 and "(?!)" not in plan
