@@ -44,7 +44,7 @@ def _earliest(value: Column, at: str, when: Column) -> Column:
 
 
 def fold_states(observations: DataFrame, finance: DataFrame | None = None, keywords: DataFrame | None = None, rules: Rules = RULES, compat: bool = False, scanned: DataFrame | None = None) -> DataFrame:
-    """The states of observations (org, seq, name, email, phone, is_ab, reg_year, employees, branch, perhaps sni_code), of
+    """The states of observations (org, seq, is_ab, and of name, email, phone, reg_year, employees, branch, sni_code what there is), of
     finance_rows() or newest_cells(), of (org, seq, keyword) and of (org, keyword) scanned from report files.
 
     The inputs go through one aggregate by org, so they meet in one shuffle, folded before it.
@@ -93,7 +93,9 @@ def leads_of_states(states: DataFrame, rules: Rules = RULES) -> DataFrame:
     value = lambda c: F.col(f"{c}.value")
     plain = [(F.coalesce(value(c), F.lit("Unknown")) if c == "name" else value(c)).alias(c) for c in FIELDS if c in has]
     out = states.where(F.col("first_seq").isNotNull())
-    more = {"company_age": F.lit(rules.as_of_year) - value("reg_year"), "branch_segment": classify_branch(value("branch"))}
+    more = {"company_age": F.lit(rules.as_of_year) - value("reg_year")} if "reg_year" in has else {}
+    if "branch" in has:
+        more["branch_segment"] = classify_branch(value("branch"))
     if "revenue" in has:
         more |= {"revenue_year": F.col("revenue.value.year")} | {n: F.col(f"{n}.value.value") for n in FIGURE_RULES}
     if "words" in has:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import FIGURE_RULES, RULES, Rules
 from ..functions.text import canonical_key, join_keywords, numeric_tokens
-from .fold import fold_states, leads_of_states
+from .fold import FIELDS, fold_states, leads_of_states
 
 
 def merge_observations(observations: DataFrame, finance: DataFrame | None = None, keywords: DataFrame | None = None, rules: Rules = RULES, compat: bool = False, scanned: DataFrame | None = None) -> DataFrame:
@@ -69,19 +69,32 @@ def score_leads(observations: DataFrame, finance: DataFrame, keywords: DataFrame
     return icp_score(merge_observations(observations, finance, keywords, rules, scanned=scanned), rules)
 
 
+OF_FIELDS = (*FIELDS, "company_age", "branch_segment")
 OF_FINANCE = (*FIGURE_RULES, "revenue_year")
 OF_KEYWORDS = ("lender_keywords",)
 OF_SCORE = ("icp_score", "icp_reasons")
 
 
-def select_leads(columns: list[str], observations: DataFrame, finance: DataFrame, keywords: DataFrame, rules: Rules = RULES, scanned: DataFrame | None = None) -> DataFrame:
+def first_observations(observations: DataFrame) -> DataFrame:
+    """(org, seq, is_ab): where an org is first observed, and its form.
+
+    Both are of fixed width, so rows are folded by hash as they are read; states of texts and of places have each task sort
+    all of its rows first, and a task of a file's scan reads a whole row group.
+    """
+    return observations.groupBy("org").agg(F.min("seq").alias("seq"), F.bool_or("is_ab").alias("is_ab"))
+
+
+def select_leads(columns: list[str], observations: DataFrame, finance: DataFrame | None = None, keywords: DataFrame | None = None, rules: Rules = RULES, scanned: DataFrame | None = None) -> DataFrame:
     """The given columns of score_leads(), from no more inputs than they ask for.
 
     An aggregate over a union keeps every branch, so that a plan for names alone would read and parse all finance values.
+    Where no field of observations is asked for, only the first of each org goes into the fold.
     """
     asked = set(columns)
     scored = bool(asked & set(OF_SCORE))
     of_finance, of_words = (finance if scored or asked & set(OF_FINANCE) else None), (keywords if scored or asked & set(OF_KEYWORDS) else None)
+    if not scored and not asked & set(OF_FIELDS):
+        observations = first_observations(observations)
     merged = merge_observations(observations, of_finance, of_words, rules, scanned=scanned if of_words is not None else None)
     return (icp_score(merged, rules) if scored else merged).select(*columns)
 

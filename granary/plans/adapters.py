@@ -53,6 +53,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 ROWS_OF_A_TASK = 1 << 17  # of a shuffle of lines
+PARTITIONS_UNHELD = 200  # up to which a task writes its rows as they come (Spark's bypassMergeThreshold); beyond, it holds them to sort them
 # the most that a task reads: of files, and of a shuffle, whose rows take some 30 times their compressed size in memory
 BYTES_OF_A_TASK = {"spark.sql.files.maxPartitionBytes": "16m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m"}
 _UNITS = {"": 0, "b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30}
@@ -67,10 +68,14 @@ def deal_out(spark: SparkSession, rows: int) -> None:
     """Lets shuffles of so many rows have as many partitions as they need, and its tasks read little, in this session.
 
     A task's share then does not grow with the tables; counts that are higher and sizes that are lower already stay.
+    While tasks of up to twice the rows spare the tasks before them from holding what they read, a whole row group, they take those.
     """
     most = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     now = int(spark.conf.get(most, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if (wanted := -(-rows // ROWS_OF_A_TASK)) > now:
+    wanted = -(-rows // ROWS_OF_A_TASK)
+    if wanted <= 2 * PARTITIONS_UNHELD:
+        wanted = min(wanted, PARTITIONS_UNHELD)
+    if wanted > now:
         spark.conf.set(most, str(wanted))
     for name, size in BYTES_OF_A_TASK.items():
         held = _bytes(spark.conf.get(name))

@@ -67,6 +67,13 @@ def test_a_fold_asks_once_for_each_pattern(spark, sf):
     assert plan.count(FIGURE_RULES["operating_result"]) == 1  # a filter below asked for it again, of each cell
 
 
+def test_observations_without_fields_are_not_sorted(spark, sf):
+    for name in ("clamped_debts", "cleared_count", "leads_sorted"):
+        plan = queries.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        observed = plan[plan.index("Union") :].split("Generate inline")[0]  # the union's first branch, above the figures
+        assert observed.count("HashAggregate") == 2, name  # a task of the scan sorted all rows of its row group
+
+
 def test_people_are_read_without_finance(spark, sf):
     scans = lambda name, column: len(re.findall(rf"Relation \[[^\]]*{column}", queries.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()))
     assert scans("best_facts_with_people", "l_extendedprice") == 3  # facts of tables and of lines, and keywords; a fold of figures was a fourth

@@ -52,6 +52,14 @@ def test_empty_parts_and_one_org(spark):
     assert "lender_keywords" not in fold.leads_of_states(bare).columns and fold.leads_of_states(bare).where("name is null").isEmpty()
 
 
+def test_leads_without_fields_fold_first_observations(spark):
+    (obs, finance, words), scanned = _inputs(spark, 3)
+    whole = leads.merge_observations(obs, finance, words, scanned=scanned)
+    for columns in (["org", "first_seq", "is_ab"], ["org", "revenue", "revenue_year", "short_debt"], ["org", "is_ab", "lender_keywords"], ["first_seq", "net_result", "lender_keywords"], ["org", "company_age"]):
+        assert _rows(leads.select_leads(columns, obs, finance, words, scanned=scanned)) == _rows(whole.select(*columns)), columns
+    assert leads.first_observations(obs.limit(0)).isEmpty()
+
+
 def _line(org, name, **more):
     return json.dumps({"org": f"{org:010d}", "name": name, "regYear": 2000, "employees": None, "isAB": True, "lenderKeywords": ["Almi"], "tables": [{"years": [2023], "rawLabel": "Nettoomsättning", "values": ["5 000"]}]} | more)
 

@@ -91,3 +91,13 @@ def test_shuffles_of_larger_tables_have_more_tasks(spark, sf):
     own.conf.set(size, "64k")
     adapters.deal_out(own, 1)
     assert (own.conf.get(size), own.conf.get(most)) == ("64k", "1648")
+
+
+def test_map_tasks_hold_no_rows_while_shuffles_are_small(spark):
+    from granary.plans import adapters
+
+    most = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    for rows, partitions in ((1 << 24, 128), (36_000_000, 200), (400 << 17, 200), ((400 << 17) + 1, 401)):
+        own = spark.newSession()
+        adapters.deal_out(own, rows)
+        assert int(own.conf.get(most)) == partitions
