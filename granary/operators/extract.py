@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,17 @@ EMAIL = f"{EDGE}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}{EDGE}"
 PHONE = "^\\+?[0-9][0-9\\s\\-()]{6,}[0-9]$"
 
 
+def _if_any(low: Column, words: tuple[str, ...], found: Column) -> Column:
+    """found, or null where none of the words is in `low`: a search for a word costs a fraction of a pattern's."""
+    return F.when(reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words]), found)
+
+
+def _small(text: Column) -> Column:
+    """Small letters, and as such those that patterns take for s and i in any case."""
+    plain = reduce(lambda t, c: F.replace(t, F.lit(c[0]), F.lit(c[1])), (("\u017F", "s"), ("\u0131", "i"), ("\u0130", "i")), text)
+    return F.lower(plain)
+
+
 def _all(s: Column, pattern: str, group: int = 0) -> Column:
     return F.coalesce(F.regexp_extract_all(s, F.lit(pattern), F.lit(group)), F.array().cast("array<string>"))
 
@@ -26,13 +39,17 @@ def text_phones(text: Column) -> Column:
 
 def extract_contacts(pages: DataFrame, *keys: str) -> DataFrame:
     """(keys, email, phone, emails, phones) of html pages: marked details first, then links, then the page's text."""
-    details = F.transform(_all(F.col("html"), "(?i)data-census-details\\s*=\\s*[\"']([^\"']*)[\"']", 1), normalize_spaces)
-    mails = _all(F.col("html"), "(?i)href\\s*=\\s*[\"']\\s*mailto:([^\"'?]*)", 1)
-    tels = _all(F.col("html"), "(?i)href\\s*=\\s*[\"']\\s*tel:([^\"']*)", 1)
+    pages = pages.withColumn("_low", F.lower("html"))  # patterns of html know no case of letters beyond a to z
+    none = F.array().cast("array<string>")
+    of_html = lambda word, pattern: F.coalesce(_if_any(F.col("_low"), (word,), _all(F.col("html"), pattern, 1)), none)
+    details = F.transform(of_html("data-census-details", "(?i)data-census-details\\s*=\\s*[\"']([^\"']*)[\"']"), normalize_spaces)
+    mails = of_html("mailto:", "(?i)href\\s*=\\s*[\"']\\s*mailto:([^\"'?]*)")
+    tels = of_html("tel:", "(?i)href\\s*=\\s*[\"']\\s*tel:([^\"']*)")
     bare = lambda a: F.filter(F.transform(a, lambda v: F.regexp_replace(v, f"{SPACE}+", "")), lambda v: v.rlike(PHONE))
     text = F.regexp_replace(F.regexp_replace("html", "(?i)<br[^>]*>|</(p|div|li|tr|h[1-6])>", "\n"), "<[^>]*>", "")
     emails = F.array_distinct(F.filter(F.concat(details, mails), lambda v: v.rlike(EMAIL)))
-    phones = F.array_distinct(F.concat(bare(details), bare(tels), text_phones(text)))
+    of_text = F.coalesce(_if_any(F.col("_low"), ("+",), text_phones(text)), none)
+    phones = F.array_distinct(F.concat(bare(details), bare(tels), of_text))
     return pages.select(*keys, emails.alias("emails"), phones.alias("phones")).withColumns({"email": F.try_element_at("emails", F.lit(1)), "phone": F.try_element_at("phones", F.lit(1))})
 
 
@@ -44,24 +61,27 @@ def text_contacts(texts: DataFrame, *keys: str) -> DataFrame:
 
 def company_facts(texts: DataFrame, *keys: str, rules: Rules = RULES) -> DataFrame:
     """(keys, is_ab, reg_year, employees, branch, sni_code): the first pattern that gives a sound value counts."""
-    t = texts.select(*keys, normalize_spaces(F.col("text")).alias("t"))
-    body = F.col("t")
+    t = texts.select(*keys, normalize_spaces(F.col("text")).alias("t")).withColumn("_low", _small(F.col("t")))
+    body, small = F.col("t"), F.col("_low")
 
-    def first_number(patterns: tuple[str, ...], low: int, high: int) -> Column:
+    def first_number(patterns: tuple[str, ...], words: tuple[str, ...], low: int, high: int) -> Column:
         values = [first_match(body, p).try_cast("int") for p in patterns]
-        return F.coalesce(*[F.when(v.between(low, high), v) for v in values])
+        return _if_any(small, words, F.coalesce(*[F.when(v.between(low, high), v) for v in values]))
 
     # fixed values: the phrases that company pages use
     registered = tuple(f"(?iu){p}[^0-9]{{0,20}}([0-9]{{4}})" for p in ("registrerat", "bolaget registrerat", "registreringsdatum", "bildat"))
     staff = ("(?iu)antal\\s+anst[äa]llda[^0-9]{0,5}([0-9]{1,5})", "(?iu)anst[äa]llda[^0-9]{0,5}([0-9]{1,5})", "(?iu)([0-9]{1,5})\\s*anst[äa]llda")
     stop = "(?iu)(?:\\s[0-9]{4,6}[·\\s]|årsredovisning|visa bolagsdata|öppna karta|besöksadress|vägbeskrivning)"
     cut = lambda raw: F.nullif(F.substring(F.trim(F.regexp_replace(F.regexp_replace(raw, f"(?<=.){stop}.*$", ""), "\\s*[0-9].*$", "")), 1, 80), F.lit(""))
-    coded = cut(first_match(body, f"{EDGE}[0-9]{{4,6}}·([A-Za-zÀ-öø-ÿ][^·]{{2,150}})"))
-    named = [cut(F.regexp_replace(first_match(body, f"(?iu){p}[:\\s]+(.{{3,200}})"), "^[0-9]{4,6}[·\\s]*", "")) for p in ("bransch", "verksamhetsbeskrivning", "huvudsaklig\\s+verksamhet")]
-    sni = F.regexp_replace(first_match(body, f"(?iu){EDGE}sni[-\\s]?kod[:\\s]*([0-9][0-9.\\s]{{1,10}})"), "\\s+", "")
+    coded = _if_any(body, ("·",), cut(first_match(body, f"{EDGE}[0-9]{{4,6}}·([A-Za-zÀ-öø-ÿ][^·]{{2,150}})")))
+    branch = lambda word, p: _if_any(small, (word,), cut(F.regexp_replace(first_match(body, f"(?iu){p}[:\\s]+(.{{3,200}})"), "^[0-9]{4,6}[·\\s]*", "")))
+    named = [branch(w, p) for w, p in (("bransch", "bransch"), ("verksamhetsbeskrivning",) * 2, ("huvudsaklig", "huvudsaklig\\s+verksamhet"))]
+    sni = _if_any(small, ("sni",), F.regexp_replace(first_match(body, f"(?iu){EDGE}sni[-\\s]?kod[:\\s]*([0-9][0-9.\\s]{{1,10}})"), "\\s+", ""))
+    limited = lambda among, word, pattern: F.contains(among, F.lit(word)) & body.rlike(pattern)
+    is_ab = limited(small, "aktiebolag", f"(?iu){EDGE}aktiebolag{EDGE}") | limited(body, "AB", f"{EDGE}AB{EDGE}")
     return t.select(
-        *keys, (body.rlike(f"(?iu){EDGE}aktiebolag{EDGE}") | body.rlike(f"{EDGE}AB{EDGE}")).alias("is_ab"), first_number(registered, 1900, rules.as_of_year).alias("reg_year"),
-        first_number(staff, 0, 100_000).alias("employees"), F.coalesce(coded, *named).alias("branch"), sni.alias("sni_code"))
+        *keys, is_ab.alias("is_ab"), first_number(registered, ("registrer", "bildat"), 1900, rules.as_of_year).alias("reg_year"),
+        first_number(staff, ("anställda", "anstallda"), 0, 100_000).alias("employees"), F.coalesce(coded, *named).alias("branch"), sni.alias("sni_code"))
 
 
 def finance_tables(pages: DataFrame, *keys: str) -> DataFrame:

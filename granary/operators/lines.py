@@ -14,10 +14,15 @@ from ..functions.text import SPACE, literal_pattern, normalize_label
 from .numbers import let, numbers_in, strip_numbers
 
 
+def lines_of(text: Column) -> Column:
+    """The non-blank lines of a text, white space collapsed."""
+    clean = F.replace(F.replace(F.replace(text, F.lit("\x00"), F.lit(" ")), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return F.filter(F.transform(F.split(clean, "\n"), lambda x: F.trim(F.regexp_replace(x, f"{SPACE}+", " "))), lambda x: x != "")
+
+
 def text_lines(texts: DataFrame, *keys: str) -> DataFrame:
     """(keys, line_idx, line): non-blank lines, white space collapsed, numbered from 1 among themselves."""
-    clean = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", "\\x00", " "), "\\r\\n", "\n"), "\\r", "\n")
-    lines = F.filter(F.transform(F.split(clean, "\n"), lambda x: F.trim(F.regexp_replace(x, f"{SPACE}+", " "))), lambda x: x != "")
+    lines = lines_of(F.col("text"))
     return texts.select(*keys, F.posexplode(lines).alias("pos", "line")).select(*keys, (F.col("pos") + 1).alias("line_idx"), "line")
 
 
@@ -72,7 +77,7 @@ def matched_lines(lines: DataFrame, words: tuple[str, ...], per_key: int | None
     """
     wanted = lines.where(F.col(within).rlike(literal_pattern(words))) if len(words) <= MANY else lines
     hits = word_hits(wanted, within, words, key, "line_idx", "line", *extra)
-    once = hits.withColumn("_r", F.row_number().over(Window.partitionBy(key, "keyword", "line", *extra).orderBy("line_idx"))).where("_r = 1")
+    once = hits.groupBy(key, "keyword", "line", *extra).agg(F.min("line_idx").alias("line_idx"), F.min("n").alias("n"))
     capped = once
     for most, own, order in ((per_key, (key, "keyword"), ("line_idx",)), (total, (key,), ("line_idx", "n"))):
         if most is not None:
@@ -96,11 +101,19 @@ def blend_lines(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFra
     return joined.select(*keys, F.col("_i").cast("int").alias("n"), from_first.alias("from_first"), pick.alias("p")).select(*keys, "n", "from_first", "p.*")
 
 
-def choose_source(candidates: DataFrame, order: tuple[str, ...] = ("PDF", "PDF_XY", "HTML", "HTML_FALLBACK", "NONE")) -> DataFrame:
+SOURCES = ("PDF", "PDF_XY", "HTML", "HTML_FALLBACK", "NONE")
+
+
+def first_source(source: Column, ok: Column | None = None, order: tuple[str, ...] = SOURCES) -> Column:
+    """An aggregate: the first of the sources in order, NONE where there is none."""
+    place = F.array_position(F.array(*map(F.lit, order)), source)
+    n = F.min(place if ok is None else F.when(ok, place))
+    return F.coalesce(F.element_at(F.array(*map(F.lit, order)), n.cast("int")), F.lit("NONE"))
+
+
+def choose_source(candidates: DataFrame, order: tuple[str, ...] = SOURCES) -> DataFrame:
     """(org, source): the first successful source of each org, NONE where there is none."""
-    place = F.array_position(F.array(*map(F.lit, order)), F.col("source"))
-    best = candidates.groupBy("org").agg(F.min(F.when(F.col("ok"), place)).alias("n"))
-    return best.select("org", F.coalesce(F.element_at(F.array(*map(F.lit, order)), F.col("n").cast("int")), F.lit("NONE")).alias("source"))
+    return candidates.groupBy("org").agg(first_source(F.col("source"), F.col("ok"), order).alias("source"))
 
 
 def line_year_values(lines: DataFrame) -> DataFrame:
@@ -132,8 +145,8 @@ def clean_line(item: Column, credit_rule: bool = True) -> Column:
 
     def chosen(given: Column) -> Column:
         pair = (F.size(given) == 2) & F.forall(given, lambda v: v.rlike("^[-+]?[0-9]+(?: [0-9]{3})*$"))
-        again = lambda v: F.when(pair | (F.size(v) != 2), given).otherwise(v)
-        return F.when(line.rlike("[0-9]"), numbers_in(line)).otherwise(let(numbers_in(F.array_join(given, " ")), again))
+        again = lambda v: F.when(F.size(v) != 2, given).otherwise(v)
+        return F.when(line.rlike("[0-9]"), numbers_in(line)).when(pair, given).otherwise(let(numbers_in(F.array_join(given, " ")), again))
 
     def credited(values: Column) -> Column:
         large = F.filter(values, lambda v: v.isin("0", "+0", "-0") | (F.length(F.regexp_replace(v, "[^0-9]", "")) > 2))

@@ -25,10 +25,14 @@ from .numbers import let
 TABLES = "array<struct<finance:boolean,debts:boolean,said:string,rows:array<struct<head:boolean,body:boolean,label:string,years:array<string>,values:array<string>,cells:array<string>,said:string>>>>"
 
 # a mark that never ends takes what is left of the page, as browsers have it, so no place is looked at twice
-_MARK = re.compile(
-    r"(?P<mark><!--.*?(?:-->|\Z)|<(?P<raw>script|style|template|noscript)\b.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<rest>(?:=\s*+(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>=]+|=)*+)(?:>|\Z))", re.I | re.S)
+_MARKS = (
+    r"({mark}<!--.*?(?:-->|\Z)|<(?P<raw>script|style|template|noscript)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<({end}/?)({tag}[a-z][^\s/>]*+)({rest}(?:=\s*+(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>=]+|=)*+)(?:>|\Z))")
+_MARK = re.compile(_MARKS.format(mark="?:", **{part: f"?P<{part}>" for part in ("end", "tag", "rest")}), re.I | re.S)
+_SPLIT = re.compile(_MARKS.format(mark="", **dict.fromkeys(("end", "tag", "rest"), "?:")), re.I | re.S)
+_STEP = _SPLIT.groups + 1
 _SETTING = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_YEAR = re.compile("[0-9]{4}")
 _DEBTS = re.compile(r"(?:kort|lång)fristiga\s+skulder", re.I)
 # fixed values: html's elements without content, and those that begin a line
 _EMPTY = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -212,17 +216,44 @@ class Structure:
 _structure = lru_cache(maxsize=1 << 9)(Structure)  # pages of a site often share it whole
 
 
+def _structure_of(marks: tuple[str, ...]) -> Structure:
+    read = tuple([_known(m) if len(m) <= _SHARED else _read(m) for m in marks])
+    return _structure(read) if len(read) <= _STRUCTURE else Structure(read)
+
+
+_written = lru_cache(maxsize=1 << 10)(_structure_of)  # by the marks as they are written: most pages ask for no mark by itself
+
+
+def _plain(text: str) -> str:
+    return entities.unescape(text) if "&" in text else text
+
+
 class Scan:
     """The tables of one page in the order in which they begin, and the pieces of its text."""
 
     def __init__(self, page: str):
-        parts = _MARK.split(page)
-        marks = tuple([_known(m) if len(m) <= _SHARED else _read(m) for m in parts[1 :: _MARK.groups + 1]])
-        structure = _structure(marks) if len(marks) <= _STRUCTURE else Structure(marks)
+        parts = _SPLIT.split(page)
+        texts, marks, shared = [], [], True
+        held, more = _plain(parts[0]), None
+        for mark, text in zip(parts[1::_STEP], parts[_STEP::_STEP]):
+            if "&" in text:
+                text = entities.unescape(text)
+            if len(mark) <= _SHARED:
+                known = _known(mark)
+            else:
+                known, shared = _read(mark), False
+            if known.empty:  # a part of the text, so that it makes no structure of its own
+                more = more or [held]
+                more += ("\n" if known.line else "", text)
+            else:
+                texts.append("".join(more) if more else held)
+                marks.append(mark)
+                held, more = text, None
+        texts.append("".join(more) if more else held)
+        structure = (_written if shared and len(marks) <= _SHARED else _structure_of)(tuple(marks))
         self.tables, self._pieces = structure.tables, structure.pieces.copy()
-        for place, text in zip(structure.places, parts[:: _MARK.groups + 1]):
-            if text:
-                self._pieces[place] = entities.unescape(text) if "&" in text else text
+        for place, text in zip(structure.places, texts):
+            self._pieces[place] = text
 
     def said(self, node: Node | None) -> str | None:
         return None if node is None else " ".join("".join(self._pieces[node.start : node.end]).split())
@@ -240,6 +271,18 @@ class Scan:
         first = self._of_debts() if debts else None
         return [self._record(t, t is first) for t in self.tables if finance and t.finance or t is first]
 
+    def finance(self) -> list[tuple[list[int], str, list[str]]]:
+        """What finance_of() says of the page: (years, label, values) of rows of its finance tables."""
+        out = []
+        for table in self.tables:
+            if table.finance:
+                rows = self._record(table, False)[3]
+                years = [y for head, _, _, years, *_ in rows if head for y in years] or next((years for _, body, _, years, *_ in rows if body), [])
+                dated = [int(y[:4]) for y in years if _YEAR.fullmatch(y[:4])]
+                if len(dated) >= 2:
+                    out += [(dated, label, values) for _, body, label, _, values, *_ in rows if body and label is not None and values]
+        return out
+
     def _record(self, table: Node, debts: bool) -> tuple:
         rows, held = [], {}  # a cell's text once, however many rows it lies in
         for row in table.parts:
@@ -257,6 +300,57 @@ class Scan:
         return table.finance, debts, self.said(table) if debts else None, rows
 
 
+FIGURES = "array<struct<years:array<int>,rawLabel:string,values:array<string>>>"
+
+
+def _kind() -> pa.DataType:
+    """TABLES as Arrow has it."""
+    texts = pa.list_(pa.string())
+    row = pa.struct([("head", pa.bool_()), ("body", pa.bool_()), ("label", pa.string()), ("years", texts), ("values", texts), ("cells", texts), ("said", pa.string())])
+    return pa.list_(pa.struct([("finance", pa.bool_()), ("debts", pa.bool_()), ("said", pa.string()), ("rows", pa.list_(row))]))
+
+
+def _nested(lists: list[list], kind: pa.DataType) -> pa.Array:
+    """Lists of plain values, their items as one array."""
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, lists))], pa.int32()), pa.array([v for own in lists for v in own], kind))
+
+
+def _figures(pages: list[list[tuple[list[int], str, list[str]]]]) -> pa.Array:
+    """FIGURES as Arrow has it, column by column."""
+    rows = [row for own in pages for row in own]
+    fields = [_nested([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.string()), _nested([r[2] for r in rows], pa.string())]
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, pages))], pa.int32()), pa.StructArray.from_arrays(fields, ["years", "rawLabel", "values"]))
+
+
+def tables_of(pages: DataFrame, most: str = "2m") -> DataFrame:
+    """pages (html and others) with `tables` and `debts` in place of html: rows of years, rawLabel and values as finance_of() has them,
+    and the debts of debts_of(), short ones first, as such rows; null where there are none.
+
+    Every page has a row, and none has both. A table of debts is looked for only where no finance table says anything. Arrow batches end at
+    `most` bytes, however many pages that is.
+    """
+    others = [c for c in pages.columns if c != "html"]
+
+    def run(batches):
+        for batch in (b.slice(at, _PAGES) for b in batches for at in range(0, b.num_rows, _PAGES)):
+            figures, debts = [], []
+            for page in batch.column(batch.num_columns - 1).to_pylist():
+                scan = None if page is None else Scan(page)
+                figures.append(scan.finance() if scan else [])
+                debts.append(scan.records(finance=False) if scan and not figures[-1] else [])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), _figures(figures), pa.array(debts, _kind())], [*others, "_figures", "_debts"])
+
+    pages.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+    tabled = pages.select(*others, F.when(F.col("html").rlike("(?i)<table"), F.col("html")).alias("html"))
+    schema = T.StructType([*tabled.drop("html").schema.fields, T.StructField("_figures", T.DataType.fromDDL(FIGURES)), T.StructField("_debts", T.DataType.fromDDL(TABLES))])
+    scanned = tabled.mapInArrow(run, schema)
+    label = lambda kind: F.when(kind == "short", "Kortfristiga skulder").otherwise("Långfristiga skulder")
+    row = lambda r: F.struct(F.transform(r["cells"], lambda c: c["year"]).alias("years"), label(r["kind"]).alias("rawLabel"), F.transform(r["cells"], lambda c: F.coalesce(c["value"].cast("string"), F.lit(""))).alias("values"))
+    debts = F.when(F.size("_debts") > 0, F.transform(_debt_rows(F.get("_debts", F.lit(0))), row))
+    some = lambda c: F.when(F.size(c) > 0, c)
+    return scanned.select(*others, some(F.col("_figures")).alias("tables"), let(debts, some).alias("debts"))
+
+
 def scan_tables(pages: DataFrame, *keys: str, finance: bool = True, debts: bool = True) -> DataFrame:
     """(keys, found) of pages with (keys, html): the tables that finance_of() and debts_of() read, or those of one of them.
 
@@ -271,9 +365,7 @@ def scan_tables(pages: DataFrame, *keys: str, finance: bool = True, debts: bool
 
     wanted = pages.where(F.col("html").rlike("(?i)<table")).select(*keys, "html")
     schema = T.StructType([*wanted.drop("html").schema.fields, T.StructField("found", T.DataType.fromDDL(TABLES))])
-    texts = pa.list_(pa.string())
-    row = pa.struct([("head", pa.bool_()), ("body", pa.bool_()), ("label", pa.string()), ("years", texts), ("values", texts), ("cells", texts), ("said", pa.string())])
-    kind = pa.list_(pa.struct([("finance", pa.bool_()), ("debts", pa.bool_()), ("said", pa.string()), ("rows", pa.list_(row))]))
+    kind = _kind()
     return wanted.mapInArrow(run, schema).where(F.size("found") > 0)
 
 
@@ -298,6 +390,26 @@ def finance_of(scanned: DataFrame, *keys: str) -> DataFrame:
     return scanned.select(*keys, F.explode(F.filter(F.array(tables), lambda t: F.size(t) > 0)).alias("tables"))
 
 
+def _debt_rows(table: Column, every_row: bool = False) -> Column:
+    """(kind, cells of year and value) of the rows of a table that name debts; null with fewer than two years."""
+    years = F.slice(F.sort_array(F.array_distinct(F.regexp_extract_all(table["said"], F.lit("\\b(20[0-3][0-9])\\b"), F.lit(1))), asc=False), 1, 3)
+
+    def rows_of(kind: str, words: str) -> Column:
+        named = F.filter(table["rows"], lambda r: F.lower(r["said"]).contains(words))
+        return F.transform(named if every_row else F.slice(named, 1, 1), lambda r: F.struct(F.lit(kind).alias("kind"), r["cells"].alias("cells")))
+
+    # fixed values: what the rows are called
+    kinds = F.concat(rows_of("short", "kortfristiga skulder"), rows_of("long", "långfristiga skulder"))
+
+    def dated(years: Column) -> Column:
+        values = lambda cells: F.slice(F.transform(cells, lambda c: F.regexp_replace(c, "[^0-9-]", "")), F.lit(2), F.size(years))
+        cell = lambda z: F.struct(z["year"].cast("int").alias("year"), z["value"].try_cast("bigint").alias("value"))
+        cells = lambda k: F.transform(F.arrays_zip(years.alias("year"), values(k["cells"]).alias("value")), cell)
+        return F.when(F.size(years) >= 2, F.transform(kinds, lambda k: F.struct(k["kind"].alias("kind"), cells(k).alias("cells"))))
+
+    return let(years, dated)
+
+
 def debts_of(scanned: DataFrame, *keys: str, every_row: bool = False) -> DataFrame:
     """(keys, kind, year, value): short and long debts of the first table that names them, over its three latest years.
 
@@ -305,15 +417,5 @@ def debts_of(scanned: DataFrame, *keys: str, every_row: bool = False) -> DataFra
     the others that hold no number are null.
     """
     table = scanned.select(*keys, F.explode("found").alias("t")).where("t.debts")
-    years = F.slice(F.sort_array(F.array_distinct(F.regexp_extract_all("t.said", F.lit("\\b(20[0-3][0-9])\\b"), F.lit(1))), asc=False), 1, 3)
-    dated = table.select(*keys, years.alias("years"), F.col("t.rows").alias("rows")).where("size(years) >= 2")
-
-    def rows_of(kind: str, words: str) -> Column:
-        named = F.filter("rows", lambda r: F.lower(r["said"]).contains(words))
-        return F.transform(named if every_row else F.slice(named, 1, 1), lambda r: F.struct(F.lit(kind).alias("kind"), r["cells"].alias("cells")))
-
-    # fixed values: what the rows are called
-    kinds = F.concat(rows_of("short", "kortfristiga skulder"), rows_of("long", "långfristiga skulder"))
-    values = F.slice(F.transform("k.cells", lambda c: F.regexp_replace(c, "[^0-9-]", "")), F.lit(2), F.size("years"))
-    cells = dated.select(*keys, "years", F.explode(kinds).alias("k")).select(*keys, "k.kind", F.explode(F.arrays_zip("years", values.alias("value"))).alias("z"))
-    return cells.select(*keys, "kind", F.col("z.years").cast("int").alias("year"), F.col("z.value").try_cast("bigint").alias("value"))
+    rows = table.select(*keys, F.explode(_debt_rows(F.col("t"), every_row)).alias("k"))
+    return rows.select(*keys, "k.kind", F.explode("k.cells").alias("z")).select(*keys, "kind", "z.year", "z.value")

@@ -1,4 +1,4 @@
-"""Driver tables in the shape of observations. The SQL runs unchanged in Spark and in DuckDB."""
+"""Driver tables in the shape of observations. The SQL runs in DuckDB as it stands; Spark takes its parts in the order that moves least."""
 
 from __future__ import annotations
 
@@ -94,8 +94,22 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(OBS.replace("orders o", "{orders} o").replace("customer c", "{customer} c"), orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
 
 
+# parts of OBS_TABLES: what numbers an order's lines, what a line is asked for besides numbers, and what is joined
+_NUMBERED = "CAST(row_number() OVER (PARTITION BY o.o_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice) AS INT)"
+_DASHED = "l.l_linestatus='O' AND l.l_returnflag='N'"
+_JOINED = "lineitem l JOIN orders o ON l.l_orderkey=o.o_orderkey"
+
+
 def obs_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(OBS_TABLES.replace("lineitem l", "{lineitem} l").replace("orders o", "{orders} o"), orders=table(spark, sf_dir, "orders"), lineitem=_lines(spark, sf_dir))
+    """OBS_TABLES, whose texts are made after lines were dealt out and numbered: what is shuffled are a line's numbers.
+
+    As orders then keep their names behind that, what is gathered by `seq` needs no shuffle of its own.
+    """
+    of_line = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    lineitem = _lines(spark, sf_dir).selectExpr(*of_line, f"coalesce({_DASHED.replace('l.', '')}, false) AS dashed")
+    rows = spark.sql(f"SELECT o.*, l.*, {_NUMBERED} AS tbl_idx FROM {_JOINED.replace('lineitem l', '{lineitem} l').replace('orders o', '{orders} o')}", lineitem=lineitem, orders=table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    said = OBS_TABLES.replace(_NUMBERED, "t.tbl_idx").replace(_DASHED, "t.dashed").replace(_JOINED, "{rows} t")
+    return spark.sql(re.sub(r"\b[lo]\.", "t.", said), rows=rows)
 
 
 def obs_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:

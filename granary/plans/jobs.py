@@ -44,82 +44,91 @@ def build_leads(observations: DataFrame, rules: Rules = RULES, scanned: DataFram
     return joined.join(leads.joined_lines(lines.credit_institution_lines(items, stored), "debt_lines"), "org", "left")
 
 
+def _holds(text: Column, rules: Rules) -> Column:
+    low = F.lower(text)
+    return F.exists(F.array(*[F.lit(w.lower()) for w in rules.lenders]), lambda w: F.contains(low, w))
+
+
+def _at(pages: DataFrame, c: str) -> Column:
+    return F.struct(*[k for k in ("seq",) if k in pages.columns], F.xxhash64(c))
+
+
 def _page_facts(pages: DataFrame, rules: Rules) -> DataFrame:
-    """(org, email, phone, is_ab, regYear, employees, branch, sniCode, tables): of an org's pages, by seq and then by a
-    hash of html, the first that says a thing; the finance tables of all, or else the debts that a table names."""
-    own = pages.withColumn("_at", F.struct(*[c for c in ("seq",) if c in pages.columns], F.xxhash64("html")))
-    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_at"))).alias(c)
-    contacts = extract.extract_contacts(own, "org", "_at").groupBy("org").agg(*map(first, ("email", "phone")))
-    plain = own.select("org", "_at", targets.flatten_html(F.col("html")).alias("text"))
-    said = extract.company_facts(plain, "org", "_at", rules=rules)
-    about = said.groupBy("org").agg(F.bool_or("is_ab").alias("is_ab"), *map(first, ("reg_year", "employees", "branch", "sni_code")))
-    scanned = keep(page_tables.scan_tables(own, "org", "_at"))  # read twice, scanned once
-    each = page_tables.finance_of(scanned, "org", "_at")
-    tables = each.groupBy("org").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_at", "tables"))), lambda x: x["tables"])).alias("tables"))
-    label = F.when(F.col("kind") == "short", "Kortfristiga skulder").otherwise("Långfristiga skulder")
-    debts = page_tables.debts_of(scanned, "org", "_at").groupBy("org", "_at", label.alias("rawLabel")).agg(F.sort_array(F.collect_list(F.struct("year", F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))), asc=False).alias("c"))
-    row = F.struct(F.transform("c", lambda x: x["year"]).alias("years"), "rawLabel", F.transform("c", lambda x: x["value"]).alias("values"))
-    fallback = debts.groupBy("org", "_at").agg(F.array_sort(F.collect_list(row)).alias("rows")).groupBy("org").agg(F.min_by("rows", "_at").alias("debts"))
-    out = contacts
-    for part in (about, tables, fallback):
-        out = out.join(part, "org", "full")
-    return out.select("org", "email", "phone", F.col("reg_year").alias("regYear"), "employees", F.coalesce("is_ab", F.lit(False)).alias("isAB"), "branch", F.col("sni_code").alias("sniCode"), F.coalesce("tables", "debts").alias("tables"))
+    """(org, email, phone, isAB, regYear, employees, branch, sniCode, tables, text): of an org's pages, by seq and then by a
+    hash of html, the first that says a thing; the finance tables of all, or else the debts that a table names; of the texts
+    that hold a lender's name the first by seq and then by a hash.
+
+    One pass over each page, and one aggregate.
+    """
+    own = pages.select("org", "html", _at(pages, "html").alias("_at"), *[c for c in ("seq",) if c in pages.columns])
+    held = own.columns
+    read = extract.extract_contacts(own, *held).select(*held, "email", "phone")
+    held = read.columns
+    read = extract.company_facts(read.withColumn("text", targets.flatten_html(F.col("html"))), *held, rules=rules)
+    # marks only part what stands together, so what a name begins with stands in the html of a text that holds it
+    begins = {w.lower().split()[0] if w.split() else "" for w in rules.lenders}
+    low = F.lower("html")
+    may = F.exists(F.array(*map(F.lit, sorted(begins))), lambda w: F.contains(low, w))
+    broken = F.regexp_replace("html", "(?i)<br[^>]*>|</(p|div|li|tr|h[1-6])>", "\n")
+    read = read.withColumn("_text", F.when(may, F.regexp_replace(broken, "<[^>]*>", " ")))
+    read = read.withColumn("text", F.when(_holds(F.col("_text"), rules), F.col("_text"))).drop("_text")
+    read = page_tables.tables_of(read.withColumn("_text_at", F.when(F.col("text").isNotNull(), _at(pages, "text"))))
+    first = lambda c, at="_at": F.min_by(c, F.when(F.col(c).isNotNull(), F.col(at))).alias(c)
+    tables = F.array_sort(F.collect_list(F.when(F.col("tables").isNotNull(), F.struct("_at", "tables"))))
+    said = read.groupBy("org").agg(*map(first, ("email", "phone", "reg_year", "employees", "branch", "sni_code", "debts")), first("text", "_text_at"), F.bool_or("is_ab").alias("is_ab"), tables.alias("tables"))
+    every = F.when(F.size("tables") > 0, F.flatten(F.transform("tables", lambda x: x["tables"])))
+    return said.select(
+        "org", "email", "phone", F.col("reg_year").alias("regYear"), "employees", F.coalesce("is_ab", F.lit(False)).alias("isAB"), "branch", F.col("sni_code").alias("sniCode"),
+        F.coalesce(every, "debts").alias("tables"), "text")
 
 
 def _first_report(texts: DataFrame, rules: Rules) -> DataFrame:
     """(org, text): of an org's report texts, by seq and then by a hash, the first that holds a lender's name."""
-    low = F.lower("text")
-    holds = F.exists(F.array(*map(F.lit, rules.lenders)), lambda w: F.contains(low, F.lower(w)))
-    at = F.struct(*[c for c in ("seq",) if c in texts.columns], F.xxhash64("text"))
-    return texts.where(holds).groupBy("org").agg(F.min_by("text", at).alias("text"))
-
-
-def _kind() -> Column:
-    """Blended lines are the report's, wherever they were read."""
-    return F.when(F.col("source") == "PDF_XY", "PDF").otherwise(F.col("source"))
+    return texts.where(_holds(F.col("text"), rules)).groupBy("org").agg(F.min_by("text", _at(texts, "text")).alias("text"))
 
 
-def lender_lines(texts: DataFrame, pages: DataFrame, tokens: DataFrame | None = None, rules: Rules = RULES) -> tuple[DataFrame, DataFrame]:
+def lender_lines(texts: DataFrame, page_texts: DataFrame, tokens: DataFrame | None = None, rules: Rules = RULES) -> tuple[DataFrame, DataFrame]:
     """((org, source, keywords), (org, key, line_idx, line, values, source)) of the first source that names a lender.
 
     Report texts come first, blended with positioned tokens where an org has them: (org, page, text, x, y, w, h). Of tokens
-    every matched row counts, of texts ten lines a word.
-    Then the org's pages. Values are put right, and doubled variants of one value go.
+    every matched row counts, of texts ten lines a word. Then the org's page (org, text), of those that hold a name.
+    Values are put right.
     """
-    broken = F.regexp_replace("html", "(?i)<br[^>]*>|</(p|div|li|tr|h[1-6])>", "\n")
-    of_pages = pages.select("org", *[c for c in ("seq",) if c in pages.columns], F.regexp_replace(broken, "<[^>]*>", " ").alias("text"))
-    texts_of = lambda source, df: _first_report(df, rules).select(F.concat(F.lit(f"{source}:"), "org").alias("doc"), "text")
-    documents = texts_of("PDF", texts).unionByName(texts_of("HTML", of_pages))
-    parted = [F.substring_index("doc", ":", 1).alias("source"), F.substring_index("doc", ":", -1).alias("org")]
+    reports = _first_report(texts, rules)
+    words = lambda source, df: lines.scan_keywords(df, rules.lenders, "org").select(F.lit(source).alias("source"), "org", "keyword")
+
+    def found_in(source: str, df: DataFrame) -> DataFrame:
+        found = lines.matched_lines(lines.text_lines(df, "org"), rules.lenders, key="org")
+        return found.select(F.lit(source).alias("source"), "org", F.col("keyword").alias("key"), "line_idx", "line", F.array().cast("array<string>").alias("values"))
+
     # tables of their own: the texts are read once for each, whatever follows
-    named = keep(lines.scan_keywords(documents, rules.lenders, "doc").select(*parted, "keyword"))
-    found = lines.matched_lines(lines.text_lines(documents, "doc"), rules.lenders, key="doc")
-    found = keep(found.select(*parted, F.col("keyword").alias("key"), "line_idx", "line", F.array().cast("array<string>").alias("values")))
+    named, found = keep(words("PDF", reports), release=True), found_in("PDF", reports)
     if tokens is not None:
-        numbered = tokens.withColumn("doc_id", F.col("org").cast("long")).drop("org")
-        placed = layout.matched_token_lines(numbered, rules.lenders, per_key=None, total=None).select(F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("org"), F.col("keyword").alias("key"), "line_idx", "line", "values")
-        blended = lines.blend_lines(placed, found.where("source = 'PDF'").drop("source"), ["org", "key"])
-        blended = keep(blended.select(F.when(F.col("from_first"), "PDF_XY").otherwise("PDF").alias("source"), "org", "key", "line_idx", "line", "values"))
-        found = found.where("source = 'HTML'").unionByName(blended)
-        named = named.unionByName(blended.where("source = 'PDF_XY'").select("source", "org", F.col("key").alias("keyword")))
-    chosen = keep(lines.choose_source(named.select("org", "source", F.lit(True).alias("ok"))).withColumn("kind", _kind()))
-    of_chosen = lambda df: df.withColumn("kind", _kind()).join(chosen.select("org", "kind"), ["org", "kind"], "left_semi").drop("kind")
-    keywords = of_chosen(named).groupBy("org").agg(F.array_sort(F.collect_set("keyword")).alias("keywords")).join(chosen.select("org", "source"), "org")
-    return keywords, lines.normalize_matched_lines(of_chosen(found))
+        placed = layout.matched_token_lines(tokens, rules.lenders, per_key=None, total=None, key="org").withColumnRenamed("keyword", "key")
+        blended = lines.blend_lines(placed.select("org", "key", "line_idx", "line", "values"), found.drop("source"), ["org", "key"])
+        found = blended.select(F.when(F.col("from_first"), "PDF_XY").otherwise("PDF").alias("source"), "org", "key", "line_idx", "line", "values")
+    found = keep(found, release=True)
+    # a report with lines names a lender, so pages count only for orgs whose reports name none
+    named = named.unionByName(found.where("source = 'PDF_XY'").select("source", "org", F.col("key").alias("keyword")))
+    others = page_texts.join(named.select("org"), "org", "left_anti")
+    named = named.unionByName(words("HTML", others))
+    keywords = named.groupBy("org").agg(F.array_sort(F.collect_set("keyword")).alias("keywords"), lines.first_source(F.col("source")).alias("source"))
+    found = found.unionByName(keep(found_in("HTML", others), release=True))
+    return keywords, lines.normalize_matched_lines(found)
 
 
 def build_observations(target_list: DataFrame, pages: DataFrame, texts: DataFrame, done: DataFrame, rules: Rules = RULES, tokens: DataFrame | None = None) -> DataFrame:
     """One observation for each pending target from its pages (org, html, perhaps seq), report texts (org, text, perhaps
     seq) and positioned tokens."""
-    pending = targets.pending_targets(target_list, done).select("org", "name")
+    pending = keep(targets.pending_targets(target_list, done).select("org", "name"), release=True)  # every input is cut to it
     of_pending = lambda df: df.join(pending.select("org"), "org", "left_semi")
-    own = of_pending(pages)
-    keywords, found = lender_lines(of_pending(texts), own, None if tokens is None else of_pending(tokens), rules)
+    said = keep(_page_facts(of_pending(pages), rules), release=True)
+    keywords, found = lender_lines(of_pending(texts), said.where("text is not null").select("org", "text"), None if tokens is None else of_pending(tokens), rules)
     debts = facts.dedupe_value_variants(lines.credit_institution_lines(found))
     item = F.struct("key", "line", F.col("line_idx").cast("int").alias("lineIndex"), "values", "source")
     gathered = lambda df, alias: df.groupBy("org").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_idx", "key", item.alias("item")))), lambda x: x["item"]).alias(alias))
     out = pending
-    for part in (_page_facts(own, rules), keywords, gathered(found, "lenderKeywordLines"), gathered(debts, "kreditinstitutSkulderLines")):
+    for part in (said.drop("text"), keywords, gathered(found, "lenderKeywordLines"), gathered(debts, "kreditinstitutSkulderLines")):
         out = out.join(part, "org", "left")
     shaped = out.select(
         "org", "name", "email", "phone", "regYear", "employees", F.coalesce("isAB", F.lit(False)).alias("isAB"), "branch", "sniCode", F.col("keywords").alias("lenderKeywords"),

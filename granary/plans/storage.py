@@ -23,9 +23,14 @@ def new_path(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/granary-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame, rows: int | None = None) -> DataFrame:
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # shuffle files go when the query that made them ends
+
+
+def keep(df: DataFrame, rows: int | None = None, release: bool = False) -> DataFrame:
     """Write a table below ``spark.checkpoint.dir`` (a temporary folder where none is set, in local tests) and read it.
 
+    With `release`, what was shuffled for it leaves the disk with the write, not when the driver happens to collect its
+    garbage; nothing but the table is read again.
     `rows` is what is known of the number of rows of a table of ids and keys: its last stage, behind a shuffle, then has a
     task for each million of them, which grows with the table and needs no shuffle of its own.
     """
@@ -33,7 +38,14 @@ def keep(df: DataFrame, rows: int | None = None) -> DataFrame:
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // ROWS_OF_A_TASK)))
     path = new_path(spark)
-    df.write.parquet(path)
+    before = spark.conf.get(_RELEASE, None)
+    if release:
+        spark.conf.set(_RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if release:
+            spark.conf.set(_RELEASE, before) if before is not None else spark.conf.unset(_RELEASE)
     return spark.read.schema(df.schema).parquet(path)
 
 
