@@ -139,7 +139,7 @@ def build_observations(target_list: DataFrame, pages: DataFrame, texts: DataFram
 
 def import_leads(existing: DataFrame, sheet: DataFrame, now) -> DataFrame:
     """A lead sheet over the table: missing columns, upsert, stamps."""
-    table = keep(crm.evolve_schema(existing, sheet.drop("seq")))  # read by the upsert and by the stamps
+    table = keep(crm.evolve_schema(existing, sheet.drop("seq")), release=True)  # read by the upsert and by the stamps
     return crm.stamp_changes(crm.upsert_leads(table, sheet, new_rows=crm.defaults(now)), table, now)
 
 
@@ -151,7 +151,7 @@ def rescan_cycle(observations: DataFrame, keywords: DataFrame, all_targets: Data
 
 def rescan(observations: DataFrame, keywords: DataFrame, all_targets: DataFrame, pages: DataFrame, texts: DataFrame, rules: Rules = RULES, tokens: DataFrame | None = None) -> DataFrame:
     """New observations of the targets that rescan_cycle() flags, from their pages, texts and tokens as they are now."""
-    wanted = keep(rescan_cycle(observations, keywords, all_targets))  # every input is cut to it
+    wanted = keep(rescan_cycle(observations, keywords, all_targets), release=True)  # every input is cut to it
     return build_observations(wanted, pages, texts, wanted.limit(0), rules, tokens)
 
 
@@ -172,8 +172,9 @@ def rescan_leads(existing: DataFrame, observations: DataFrame, all_targets: Data
     observations: as read from their files. columns: the table's columns by those of the leads; `org` gives its key.
     """
     words = observations.select("org", "seq", F.explode("lenderKeywords").alias("keyword"))
-    made = keep(rescan(observations.select("org", "seq", "name"), words, all_targets, pages, texts, rules, tokens))  # read twice
+    made = keep(rescan(observations.select("org", "seq", "name"), words, all_targets, pages, texts, rules, tokens), release=True)  # read twice
     touched = made.select("org").distinct()
-    theirs = append_made(observations.join(touched, "org", "left_semi"), made)
+    # of all observations only theirs are read for each of fields, tables, keywords and lines
+    theirs = append_made(keep(observations.join(touched, "org", "left_semi"), release=True), made)
     sheet = build_leads(theirs, rules).select(*[F.col(c).alias(name) for c, name in columns.items()], F.lit(0).alias("seq"))
     return import_leads(existing, sheet, now)
