@@ -173,7 +173,7 @@ def rescan_leads(existing: DataFrame, observations: DataFrame, all_targets: Data
     """
     words = observations.select("org", "seq", F.explode("lenderKeywords").alias("keyword"))
     made = keep(rescan(observations.select("org", "seq", "name"), words, all_targets, pages, texts, rules, tokens), release=True)  # read twice
-    touched = made.select("org").distinct()
+    touched = keep(made.select("org").distinct(), release=True)  # as a table its size is known, so that few are sent to the observations
     # of all observations only theirs are read for each of fields, tables, keywords and lines
     theirs = append_made(keep(observations.join(touched, "org", "left_semi"), release=True), made)
     sheet = build_leads(theirs, rules).select(*[F.col(c).alias(name) for c, name in columns.items()], F.lit(0).alias("seq"))
